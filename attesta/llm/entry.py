@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from attesta.llm import exact_dedup
+from attesta.llm import chat_format, decontaminate, exact_dedup, language_id, main_text, quality_rules, secrets, sentencepieces
 
-QUERIES = {"op8_exact_dedup": exact_dedup.query}
-ORACLE_SQL = {"op8_exact_dedup": exact_dedup.SQL}
+QUERIES = {
+    "op1_main_text": main_text.query,
+    "op2_sentencepiece": sentencepieces.query,
+    "op4_secrets": secrets.query,
+    "op6_decontaminate": decontaminate.query,
+    "op7_quality_rules": quality_rules.query,
+    "op8_exact_dedup": exact_dedup.query,
+    "op9_chat_format": chat_format.query,
+    "op10_language_id": language_id.query,
+}
+ORACLE_SQL = {
+    "op1_main_text": main_text.SQL,
+    "op6_decontaminate": decontaminate.SQL,
+    "op8_exact_dedup": exact_dedup.SQL,
+    "op9_chat_format": chat_format.SQL,
+}

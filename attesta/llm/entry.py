@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from attesta.llm import chat_format, decontaminate, exact_dedup, jaccard_join, language_id, main_text, quality_rules, secrets, sentencepieces
+from attesta.llm import chat_format, decontaminate, exact_dedup, jaccard_join, language_id, main_text, quality_rules, secrets, sentencepieces, suffix_dedup
 
 QUERIES = {
     "op1_main_text": main_text.query,
     "op2_sentencepiece": sentencepieces.query,
+    "op3_suffix_dedup": suffix_dedup.query,
     "op4_secrets": secrets.query,
     "op5_jaccard_join": jaccard_join.query,
     "op6_decontaminate": decontaminate.query,

@@ -93,14 +93,21 @@ def _runs(hit: np.ndarray, words: Words, a: int, b: int, base: int) -> list[dict
 SCHEMA = "n_words bigint, n_hit bigint, items array<string>, spans array<struct<word:bigint,words:bigint,byte:bigint,end:bigint>>"
 
 
+def _items(benchmark: DataFrame, most_windows: int) -> tuple[DataFrame, int]:
+    """item_id, text; and the number of blocks, each of which is broadcast on its own.
+
+    A window takes two characters at least, and six as a rule: a block's texts are bounded.
+    """
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    return items, max(1, -(-total // (6 * most_windows)))
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, most_windows: int = 2_000_000, spans: bool = True) -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted ids of items that occur), spans (runs of hit words)."""
     spark = docs.sparkSession
     small_batches(spark)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
-    # A text of n characters has n windows at most; this bounds what is broadcast at a time.
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // (6 * most_windows)))
+    items, blocks = _items(benchmark, most_windows)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     found = None
     for k in range(blocks):
@@ -127,12 +134,31 @@ def contaminated(n_hit: str = "n_hit", n_words: str = "n_words", share: int = 20
     return (F.col(n_hit) > 0) & (share * F.col(n_hit) >= F.col(n_words))
 
 
-def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that are not contaminated, all columns as they were; a null doc_id stays."""
-    dirty = scan(docs, benchmark, spans=False, **options).where(contaminated()).select("doc_id").distinct()
+def remove_documents(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, most_windows: int = 2_000_000) -> DataFrame:
+    """The documents that are not contaminated, all columns as they were.
+
+    A benchmark that fits one broadcast filters rows where they are; a larger one's hits are united
+    by doc_id first, and rows of a null doc_id stay.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    items, blocks = _items(benchmark, most_windows)
+    if blocks == 1:
+        shared = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in items.collect()], size))
+        return docs.mapInArrow(lambda b: _clean(b, shared), docs.schema)
+    dirty = scan(docs, benchmark, size=size, most_windows=most_windows).where(contaminated()).select("doc_id").distinct()
     return docs.join(dirty, "doc_id", "left_anti")
 
 
+def _clean(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """The rows of which less than a twentieth of the words is hit."""
+    for batch in batches:
+        rows = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), batch.column(batch.schema.get_field_index("text"))], ["doc_id", "text"])
+        (found,) = _scan(iter([rows]), shared, False)
+        words, hit = (found.column(k).to_numpy() for k in (1, 2))
+        yield batch.filter(pa.array((hit == 0) | (20 * hit < words)))
+
+
 def cut_spans(text: str | None, spans: list) -> str | None:
     """The text without the bytes of its hit runs (spans as `scan` returns them)."""
     if text is None:

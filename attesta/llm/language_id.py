@@ -188,22 +188,35 @@ def learn(docs: DataFrame, *, sample_chars: int = 24_000, sample_rows: int = 60)
     return samples
 
 
+def _by_parts(model: Model, texts: list[str | None]) -> list[tuple[str, float, float]]:
+    """Predictions, a bounded number of characters at a time."""
+    found: list[tuple[str, float, float]] = []
+    part: list[str | None] = []
+    size = 0
+    for t in texts:
+        part.append(t)
+        size += len(t or "")
+        if size >= _BATCH_CHARS:
+            found += model.predict(part)
+            part, size = [], 0
+    return found + model.predict(part)
+
+
 def _predicted(batches: Iterator[pa.RecordBatch], samples: dict[str, str]) -> Iterator[pa.RecordBatch]:
     model = model_of(samples)
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        found: list[tuple[str, float, float]] = []
-        part: list[str | None] = []
-        for t in texts:
-            part.append(t)
-            if sum(len(x) for x in part if x) >= _BATCH_CHARS:
-                found += model.predict(part)
-                part = []
-        found += model.predict(part)
+        found = _by_parts(model, batch.column(1).to_pylist())
         lang, score, cost = zip(*found, strict=True) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(cost, pa.float64())], ["doc_id", "lang_pred", "score", "phrase_rate"])
 
 
+def _known(batches: Iterator[pa.RecordBatch], samples: dict[str, str]) -> Iterator[pa.RecordBatch]:
+    model = model_of(samples)
+    for batch in batches:
+        found = _by_parts(model, batch.column(batch.schema.get_field_index("text")).to_pylist())
+        yield batch.filter(pa.array([lang != UNDETERMINED for lang, _, _ in found], pa.bool_()))
+
+
 def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """doc_id, lang_pred, score, phrase_rate (phrases for a character; lower is more alike)."""
     small_batches(docs.sparkSession)
@@ -211,6 +224,12 @@ def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lambda b: _predicted(b, samples), f"doc_id {kind}, lang_pred string, score double, phrase_rate double")
 
 
+def keep_known(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
+    """The documents whose language is found, all columns as they were; no shuffle."""
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(lambda b: _known(b, samples), docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, learn(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

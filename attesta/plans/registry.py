@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from attesta.plans import aggregates, decisions, folds, integrity, joins, lineage, parsing, scalars, search  # noqa: F401
+from attesta.plans.catalog import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -64,10 +64,13 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[cur] = copy
             last = cur
-        # One column more, for the padding of short pieces: it keeps the state.
-        step = np.empty((len(edges), k + 1), np.int32)
-        step[:, :k] = ~np.array([edges[0].get(c, 0) for c in range(k)], np.int32)
-        step[:, k] = np.arange(len(edges))
+        # One column more, for the padding of short pieces: it keeps the state. One state more,
+        # for a symbol that the text lacks: that symbol is a phrase of its own.
+        lost = len(edges)
+        step = np.empty((lost + 1, k + 1), np.int32)
+        step[:, :k] = [~edges[0].get(c, lost) for c in range(k)]
+        step[0, :k] = [edges[0].get(c, lost) for c in range(k)]
+        step[:, k] = np.arange(lost + 1)
         for state, to in enumerate(edges):
             for c, t in to.items():
                 step[state, c] = t

@@ -21,9 +21,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id."""
-    gone = exact_dedup.exact_dedup(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of equal texts the row with the largest doc_id.
+
+    Rows are told by doc_id and text, so that one doc_id with two texts loses only the copy; equal
+    rows of one doc_id stay together.
+    """
+    gone = exact_dedup.exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("_sha"))
+    return docs.join(gone, same, "left_anti").select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,7 +61,7 @@ def reports(spark, d):
     state = F.when(F.col("s_acctbal") < 0, "blocked").when(k % 5 == 0, "bounded_partial").otherwise("complete_for_observed_endpoint")
     made = F.concat(F.lit("2026-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z"))
     n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("source_id"))
-    s = table(spark, d, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    s = table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     return s.select("source_id", k.alias("endpoint"), state.alias("state"), (k % 29).alias("observed"), F.when(k % 6 != 0, k % 29 + 3).alias("expected"), made.alias("generated_at"))
 
 

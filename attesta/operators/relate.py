@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,20 +45,33 @@ def generation_diff(previous: DataFrame, current: DataFrame, key: str, digest: s
     return p.join(c, F.col("pk") == F.col("ck"), "full_outer").select(F.coalesce("ck", "pk").alias(key), change.alias("change"))
 
 
-def shared_fields(fields: DataFrame) -> DataFrame:
-    """a, b, matched, conflicting: document pairs that agree on a field at least.
+def partners(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """key, agreeing, conflicting: how many other rows agree on all fields, or on some but not all.
 
-    fields: (doc_id, name, value_sha). Pairs come from an equi-join on the value; the second join,
-    on names, runs over those pairs only. Values that very many documents share must be left out
-    by the caller, or are meant to be listed pair by pair.
+    No pair is made. For each subset of fields the rows that share its values are counted; those
+    counts give, by inclusion and exclusion, the rows that share a field at least. Nulls agree with
+    nothing.
+    """
+    out, some, every = rows, None, None
+    for size in range(1, len(fields) + 1):
+        for subset in combinations(fields, size):
+            name = "_n_" + "_".join(subset)
+            known = rows.dropna(subset=list(subset)).groupBy(*subset).agg((F.count(F.lit(1)) - 1).alias(name))
+            out = out.join(known, list(subset), "left")
+            n = F.coalesce(name, F.lit(0))
+            signed = n if size % 2 else -n
+            some, every = signed if some is None else some + signed, n
+    return out.select(key, every.alias("agreeing"), (some - every).alias("conflicting"))
+
+
+def capable(required: DataFrame, held: DataFrame) -> DataFrame:
+    """required, held: pairs of sets of which the second has all of the first, by counting shared elements.
+
+    Both sides are distinct sets, so this is as small as the vocabulary of sets.
     """
-    a = fields.select(F.col("doc_id").alias("a"), F.col("name").alias("name"), F.col("value_sha").alias("sha"))
-    b = a.select(F.col("a").alias("b"), "name", "sha")
-    agreed = a.join(b, ["name", "sha"]).where("a < b").select("a", "b").distinct()
-    left = agreed.join(a, "a").select("a", "b", "name", F.col("sha").alias("sha_a"))
-    right = b.select("b", "name", F.col("sha").alias("sha_b"))
-    same = F.col("sha_a") == F.col("sha_b")
-    return left.join(right, ["b", "name"]).groupBy("a", "b").agg(F.count_if(same).alias("matched"), F.count_if(~same).alias("conflicting"))
+    r = required.select("required", F.explode("required").alias("e"))
+    h = held.select("held", F.explode("held").alias("e"))
+    return r.join(h, "e").groupBy("required", "held").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == F.size("required")).drop("n")
 
 
 def token_pairs(records: DataFrame, most_postings: int = 100, least_milli: int = 200) -> DataFrame:

@@ -130,9 +130,9 @@ def agg_content_cluster(spark, d):
     return docs.groupBy("sha").agg(strictest().alias("decision"), F.count_distinct("doc_id").alias("edges"))
 
 
-@query("agg_most_restrictive", f"SELECT source, {STRICTEST} AS decision FROM (SELECT *, {DECISION} AS decision FROM documents WHERE doc_id % 5 = 0) GROUP BY 1")
+@query("agg_most_restrictive", f"SELECT source, {STRICTEST} AS decision FROM (SELECT *, {DECISION} AS decision FROM documents) GROUP BY 1")
 def agg_most_restrictive(spark, d):
-    docs = table(spark, d, "documents").where("doc_id % 5 = 0").select("source", decision(F.col("doc_id")).alias("decision"))
+    docs = table(spark, d, "documents").select("source", decision(F.col("doc_id")).alias("decision"))
     return docs.groupBy("source").agg(strictest().alias("decision"))
 
 
@@ -223,10 +223,10 @@ def agg_run_manifest_outcome(spark, d):
     return table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("run")).agg(F.when(F.every(done), "complete").when(F.some(done), "partial").otherwise("open").alias("outcome"))
 
 
-@query("agg_retrieval_observed", "SELECT item_id, count(DISTINCT d.doc_id) AS observed, count(DISTINCT d.doc_id) FILTER (quality = 0) AS forbidden FROM benchmark b JOIN documents d ON contains(lower(left(d.text, 200)), lower(split_part(b.text, ' ', 3))) LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE b.item_id < 5 GROUP BY 1")
+@query("agg_retrieval_observed", "WITH c AS (SELECT item_id, lower(split_part(text, ' ', 3)) AS term FROM benchmark), w AS (SELECT DISTINCT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documents) SELECT item_id, count(DISTINCT w.doc_id) AS observed, count(DISTINCT w.doc_id) FILTER (quality = 0) AS forbidden FROM c JOIN w USING (term) LEFT JOIN labels USING (doc_id) GROUP BY 1")
 def agg_retrieval_observed(spark, d):
-    """Five cases at most: the bound of the broadcast."""
-    cases = table(spark, d, "benchmark").where("item_id < 5").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(3))).alias("term"))
-    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").select("doc_id", "quality", F.lower(F.left("text", F.lit(200))).alias("head"))
-    hit = docs.join(F.broadcast(cases), F.contains(F.col("head"), F.col("term")))
-    return hit.groupBy("item_id").agg(F.count_distinct("doc_id").alias("observed"), F.count_distinct(F.when(F.col("quality") == 0, F.col("doc_id"))).alias("forbidden"))
+    """Documents that hold each case's term as a word; words that no case asks for are dropped before the shuffle."""
+    cases = table(spark, d, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(3))).alias("term"))
+    words = table(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), " "))).alias("term"))
+    hits = words.join(cases, "term").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return hits.groupBy("item_id").agg(F.count_distinct("doc_id").alias("observed"), F.count_distinct(F.when(F.col("quality") == 0, F.col("doc_id"))).alias("forbidden"))

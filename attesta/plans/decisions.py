@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from attesta.functions import times
@@ -72,10 +73,10 @@ def greedy_balanced_pairs(spark, d):
     brand = c.select("record_id", "source_id")
     pairs = relate.token_pairs(c).join(brand.select(F.col("record_id").alias("first"), F.col("source_id").alias("b1")), "first").join(brand.select(F.col("record_id").alias("second"), F.col("source_id").alias("b2")), "second")
     pairs = pairs.select("first", "second", F.concat_ws("|", F.least("b1", "b2"), F.greatest("b1", "b2")).alias("source_pair"), F.col("similarity_milli").alias("similarity"), F.sha2(F.concat_ws("|", "first", "second"), 256).alias("key"))
-    # No member is used twice: of a source pair, and overall, the best 41 pairs of each member suffice; here the top of each pair of sources.
-    from pyspark.sql import Window
-
-    top = pairs.withColumn("r", F.row_number().over(Window.partitionBy("source_pair").orderBy(F.col("similarity").desc(), "key"))).where("r <= 41").drop("r")
+    # Exact: 20 pairs use 40 members. A pair beyond the best 41 of a member has a better one that is
+    # free, and used members block 40 * 41 of what is left, so 1,641 of each pair of sources suffice.
+    best = lambda *keys: F.row_number().over(Window.partitionBy("source_pair", *keys).orderBy(F.col("similarity").desc(), "key"))
+    top = pairs.withColumns({"r1": best("first"), "r2": best("second")}).where("r1 <= 41 and r2 <= 41").withColumn("r", best()).where("r <= 1641").drop("r", "r1", "r2")
     out = selection.balanced_pairs([r.asDict() for r in top.collect()], 20)
     return spark.createDataFrame([(p["first"], p["second"], p["similarity"]) for p in out], "first bigint, second bigint, similarity_milli bigint")
 

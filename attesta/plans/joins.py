@@ -51,41 +51,36 @@ def join_cand_target(spark, d):
     return c.select("candidate_id", F.inline(dims)).join(records.targets(docs), ["dimension", "value"]).select("candidate_id", "target_id", F.col("priority").cast("bigint").alias("priority"))
 
 
-@query("join_governance_layers", """WITH layers AS (SELECT DISTINCT source, CASE WHEN doc_id % 2 = 0 THEN lang END AS endpoint FROM documents WHERE doc_id < 60)
+@query("join_governance_layers", """WITH layers AS (SELECT DISTINCT source, CASE WHEN doc_id % 2 = 0 THEN lang END AS endpoint FROM documents)
   SELECT d.doc_id, count(*) AS layers, count(endpoint) AS endpoint_layers FROM documents d JOIN layers l ON d.source = l.source AND (l.endpoint IS NULL OR l.endpoint = d.lang) GROUP BY 1""")
 def join_governance_layers(spark, d):
     docs = table(spark, d, "documents")
-    layers = docs.where("doc_id < 60").select(F.col("source").alias("s"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("endpoint")).distinct()
+    layers = docs.select(F.col("source").alias("s"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("endpoint")).distinct()
     joined = docs.select("doc_id", "source", "lang").join(layers, (F.col("source") == F.col("s")) & relate.wildcard(F.col("endpoint"), F.col("lang")))
     return joined.groupBy("doc_id").agg(F.count(F.lit(1)).alias("layers"), F.count("endpoint").alias("endpoint_layers"))
 
 
-PAIRS = ", pf AS (SELECT doc_id, name, value_sha FROM flds WHERE name <> 'language' AND doc_id % 4 = 0), agreed AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM pf a JOIN pf b ON a.name = b.name AND a.value_sha = b.value_sha AND a.doc_id < b.doc_id WHERE a.name = 'title'), shared AS (SELECT g.a, g.b, count(*) FILTER (x.value_sha = y.value_sha) AS matched, count(*) FILTER (x.value_sha <> y.value_sha) AS conflicting FROM agreed g JOIN pf x ON x.doc_id = g.a JOIN pf y ON y.doc_id = g.b AND x.name = y.name GROUP BY 1, 2)"
+WIDE = CTES + """, wide AS (SELECT doc_id, max(value) FILTER (name = 'title') AS title, max(value) FILTER (name = 'language') AS language, max(value) FILTER (name = 'origin') AS origin FROM flds GROUP BY 1),
+  pairs AS (SELECT a.doc_id, (a.title = b.title)::INT + (a.language = b.language)::INT + (a.origin = b.origin)::INT AS matched FROM wide a JOIN wide b ON a.doc_id <> b.doc_id),
+  partners AS (SELECT doc_id, count(*) FILTER (matched = 3) AS agreeing, count(*) FILTER (matched BETWEEN 1 AND 2) AS conflicting FROM pairs GROUP BY 1)"""
 
 
-def pairs(spark, d):
-    """Every fourth document's title and origin; pairs agree on the title."""
-    flds = records.fields(records.documents(spark, d)).where("name <> 'language' and doc_id % 4 = 0")
-    titles = flds.where("name = 'title'").select("doc_id", "value_sha")
-    a, b = titles.select(F.col("doc_id").alias("a"), "value_sha"), titles.select(F.col("doc_id").alias("b"), "value_sha")
-    agreed = a.join(b, "value_sha").where("a < b").select("a", "b").distinct()
-    x = flds.select(F.col("doc_id").alias("a"), "name", F.col("value_sha").alias("va"))
-    y = flds.select(F.col("doc_id").alias("b"), "name", F.col("value_sha").alias("vb"))
-    same = F.col("va") == F.col("vb")
-    return agreed.join(x, "a").join(y, ["b", "name"]).groupBy("a", "b").agg(F.count_if(same).alias("matched"), F.count_if(~same).alias("conflicting"))
+def partners(spark, d):
+    flds = records.fields(records.documents(spark, d))
+    value = lambda name: F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
+    return relate.partners(flds.groupBy("doc_id").agg(value("title"), value("language"), value("origin")), "doc_id", ["title", "language", "origin"])
 
 
-@query("join_pairwise_field_hash", CTES + ", pf AS (SELECT doc_id, name, value_sha FROM flds WHERE name = 'title' OR (name = 'origin' AND doc_id % 50 = 0)), agreed AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM pf a JOIN pf b ON a.name = b.name AND a.value_sha = b.value_sha AND a.doc_id < b.doc_id) SELECT g.a, g.b, count(*) FILTER (x.value_sha = y.value_sha) AS matched, count(*) FILTER (x.value_sha <> y.value_sha) AS conflicting FROM agreed g JOIN pf x ON x.doc_id = g.a JOIN pf y ON y.doc_id = g.b AND x.name = y.name GROUP BY 1, 2")
+@query("join_pairwise_field_hash", WIDE + " SELECT * FROM partners")
 def join_pairwise_field_hash(spark, d):
-    flds = records.fields(records.documents(spark, d)).where("name = 'title' or (name = 'origin' and doc_id % 50 = 0)")
-    return relate.shared_fields(flds.select("doc_id", "name", "value_sha"))
+    """Other documents that agree on all fields, or on some; counted, not listed."""
+    return partners(spark, d)
 
 
-@query("agg_metadata_dup_class", CTES + PAIRS + " SELECT a, b, CASE WHEN conflicting > 0 THEN 'conflicting_duplicate' ELSE 'likely_metadata_duplicate' END AS finding_class, CASE WHEN conflicting = 0 AND matched > 1 THEN 'high' ELSE 'medium' END AS confidence FROM shared")
+@query("agg_metadata_dup_class", WIDE + " SELECT doc_id, CASE WHEN agreeing > 0 THEN 'likely_metadata_duplicate' WHEN conflicting > 0 THEN 'conflicting_duplicate' END AS finding_class, CASE WHEN agreeing > 0 THEN 'high' WHEN conflicting > 0 THEN 'medium' END AS confidence FROM partners")
 def agg_metadata_dup_class(spark, d):
-    kind = F.when(F.col("conflicting") > 0, "conflicting_duplicate").otherwise("likely_metadata_duplicate")
-    sure = F.when((F.col("conflicting") == 0) & (F.col("matched") > 1), "high").otherwise("medium")
-    return pairs(spark, d).select("a", "b", kind.alias("finding_class"), sure.alias("confidence"))
+    grade = lambda high, medium: F.when(F.col("agreeing") > 0, high).when(F.col("conflicting") > 0, medium)
+    return partners(spark, d).select("doc_id", grade("likely_metadata_duplicate", "conflicting_duplicate").alias("finding_class"), grade("high", "medium").alias("confidence"))
 
 
 TOKENS = """WITH r AS (SELECT p_partkey AS record_id, p_brand AS source_id, list_sort(list_distinct(regexp_extract_all(lower(p_name || ' ' || p_type || ' x' || (p_partkey % 90)), '[\\p{L}\\p{N}_]+'))) AS tokens FROM part),
@@ -157,25 +152,30 @@ def join_blocker_work(spark, d):
     return table(spark, d, "supplier").join(blockers, "s_nationkey", "left").select(F.col("s_suppkey").alias("work_item"), F.coalesce("held", F.lit(False)).alias("held"))
 
 
-CAPABLE = "WITH w AS (SELECT user_id, list(DISTINCT event_type) AS held FROM events WHERE user_id < 60 GROUP BY 1), j AS (SELECT event_id AS job_id, [event_type, CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END] AS required FROM events WHERE event_id % 50 = 0)"
+CAPABLE = "WITH w AS (SELECT user_id, list(DISTINCT event_type) AS held FROM events GROUP BY 1), j AS (SELECT event_id AS job_id, list_distinct([event_type, CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END]) AS required FROM events)"
 
 
 def capable(spark, d):
+    """(workers, jobs, sets that fit); jobs and workers meet through their distinct sets."""
     e = table(spark, d, "events")
-    workers = e.where("user_id < 60").groupBy("user_id").agg(F.collect_set("event_type").alias("held"))
-    jobs = e.where("event_id % 50 = 0").select(F.col("event_id").alias("job_id"), F.array("event_type", F.when(F.col("event_id") % 3 == 0, "view").otherwise(F.col("event_type"))).alias("required"))
-    # Sixty workers at most: the key range bounds the broadcast.
-    return jobs.join(F.broadcast(workers), relate.contains_all(F.col("required"), F.col("held")))
+    workers = e.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("held"))
+    need = F.array_sort(F.array_distinct(F.array("event_type", F.when(F.col("event_id") % 3 == 0, "view").otherwise(F.col("event_type")))))
+    jobs = e.select(F.col("event_id").alias("job_id"), need.alias("required"))
+    return workers, jobs, relate.capable(jobs.select("required").distinct(), workers.select("held").distinct())
 
 
 @query("join_capability", CAPABLE + " SELECT job_id, count(*) AS workers FROM j JOIN w ON list_has_all(held, required) GROUP BY 1")
 def join_capability(spark, d):
-    return capable(spark, d).groupBy("job_id").agg(F.count(F.lit(1)).alias("workers"))
+    workers, jobs, fit = capable(spark, d)
+    n = workers.groupBy("held").agg(F.count(F.lit(1)).alias("n"))
+    return jobs.join(fit.join(n, "held").groupBy("required").agg(F.sum("n").alias("workers")), "required").select("job_id", "workers")
 
 
 @query("claim_next_job", CAPABLE + " SELECT user_id, min(job_id) AS job_id FROM j JOIN w ON list_has_all(held, required) GROUP BY 1")
 def claim_next_job(spark, d):
-    return capable(spark, d).groupBy("user_id").agg(F.min("job_id").alias("job_id"))
+    workers, jobs, fit = capable(spark, d)
+    first = jobs.groupBy("required").agg(F.min("job_id").alias("job_id"))
+    return workers.join(fit.join(first, "required").groupBy("held").agg(F.min("job_id").alias("job_id")), "held").select("user_id", "job_id")
 
 
 @query("join_requested_response", "SELECT c_custkey AS requested, count(o_orderkey) AS items, count(o_orderkey) = 0 AS unavailable FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1")

@@ -56,9 +56,9 @@ def graph_withdrawal(spark, d):
     return holders.unionByName(below).distinct()
 
 
-@query("graph_export_subject", PATHS + ", own AS (SELECT 'turn_' || conv_id || '_' || turn AS node, conv_id FROM conversations WHERE turn = 0 AND conv_id % 10 = 0) SELECT own.conv_id AS subject, count(p.node) + 1 AS contributions FROM own LEFT JOIN paths p ON p.ancestor = own.node GROUP BY 1, own.node")
+@query("graph_export_subject", PATHS + ", own AS (SELECT 'turn_' || conv_id || '_' || turn AS node, conv_id FROM conversations WHERE turn = 0) SELECT own.conv_id AS subject, count(p.node) + 1 AS contributions FROM own LEFT JOIN paths p ON p.ancestor = own.node GROUP BY 1, own.node")
 def graph_export_subject(spark, d):
-    own = table(spark, d, "conversations").where("turn = 0 and conv_id % 10 = 0").select(F.concat_ws("_", F.lit("turn"), "conv_id", "turn").alias("ancestor"), F.col("conv_id").alias("subject"))
+    own = table(spark, d, "conversations").where("turn = 0").select(F.concat_ws("_", F.lit("turn"), "conv_id", "turn").alias("ancestor"), F.col("conv_id").alias("subject"))
     return own.join(lineage.closure(records.turns(spark, d)), "ancestor", "left").groupBy("subject", "ancestor").agg((F.count("node") + 1).alias("contributions")).select("subject", "contributions")
 
 

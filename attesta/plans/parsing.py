@@ -59,11 +59,11 @@ def parse_youtube_channel(spark, d):
     return table(spark, d, "events").groupBy(F.col("user_id").alias("channel")).agg(F.min("event_id").alias("uploads"), F.count(F.lit(1)).alias("items"))
 
 
-@query("parse_youtube_uploads", "SELECT l_orderkey AS playlist, l_linenumber AS position, l_partkey AS video FROM lineitem WHERE l_linenumber <= 50")
+@query("parse_youtube_uploads", "SELECT l_orderkey AS playlist, l_linenumber AS position, l_partkey AS video FROM lineitem")
 def parse_youtube_uploads(spark, d):
     l = table(spark, d, "lineitem")
     items = l.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("position"), F.col("l_partkey").alias("video"))).alias("items"))
-    return items.select(F.col("l_orderkey").alias("playlist"), F.inline("items")).where("position <= 50")
+    return items.select(F.col("l_orderkey").alias("playlist"), F.inline("items"))
 
 
 @query("parse_youtube_videos", "SELECT c_custkey AS video, CASE WHEN o.o_custkey IS NULL THEN 'missing' WHEN bal < 0 THEN 'private' WHEN n > 15 THEN 'age_restricted' ELSE 'available' END AS availability FROM (SELECT c_custkey, c_acctbal AS bal FROM customer) LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON c_custkey = o_custkey")
@@ -102,9 +102,9 @@ def scan_governance(spark, d):
     return rows.groupBy("source").agg(F.when(F.count_if(F.coalesce(F.col("toxic") == 1, F.lit(False))) > 0, "review").otherwise("approved").alias("state"))
 
 
-@query("scan_fixture", "SELECT 'asset' AS record_type, 'asset_' || doc_id AS record_id FROM documents WHERE doc_id < 50 UNION ALL SELECT 'rights', 'rights_' || doc_id FROM documents WHERE doc_id < 50 UNION ALL SELECT 'job', 'job_' || doc_id FROM documents WHERE doc_id < 50 AND doc_id % 2 = 0")
+@query("scan_fixture", "SELECT 'asset' AS record_type, 'asset_' || doc_id AS record_id FROM documents UNION ALL SELECT 'rights', 'rights_' || doc_id FROM documents UNION ALL SELECT 'job', 'job_' || doc_id FROM documents WHERE doc_id % 2 = 0")
 def scan_fixture(spark, d):
     n = F.col("doc_id")
     row = lambda kind: F.struct(F.lit(kind).alias("record_type"), F.concat(F.lit(kind + "_"), n).alias("record_id"))
     rows = F.filter(F.array(row("asset"), row("rights"), F.when(n % 2 == 0, row("job"))), lambda x: x.isNotNull())
-    return table(spark, d, "documents").where("doc_id < 50").select(F.inline(rows))
+    return table(spark, d, "documents").select(F.inline(rows))

@@ -113,9 +113,9 @@ def scalar_remainder(spark, d):
     return table(spark, d, "supplier").select("s_suppkey", F.when(k % 6 != 0, F.greatest(F.lit(30) - k, F.lit(0))).alias("remainder"))
 
 
-@query("scalar_sorted_unique", "SELECT doc_id, len(list_distinct(string_split(left(text, 200), ' '))) AS words FROM documents")
+@query("scalar_sorted_unique", "SELECT doc_id, len(list_distinct(string_split(text, ' '))) AS words FROM documents")
 def scalar_sorted_unique(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.size(F.array_sort(F.array_distinct(F.split(F.left("text", F.lit(200)), " ")))).cast("bigint").alias("words"))
+    return table(spark, d, "documents").select("doc_id", F.size(F.array_sort(F.array_distinct(F.split("text", " ")))).cast("bigint").alias("words"))
 
 
 @query("scalar_map_contract", "SELECT event_id, json_keys(props) = ['k'] AND TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) > 0 AS valid FROM events")

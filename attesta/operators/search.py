@@ -31,9 +31,9 @@ def term_match(terms: list[str]) -> Column:
     return policy.closed(out)
 
 
-def matched(shown: DataFrame, terms: list[str]) -> DataFrame:
-    """document_id, match_count, visible_fields; with terms only documents that match."""
-    out = shown.withColumn("hit", term_match(terms)).groupBy("document_id").agg(F.count_if("hit").alias("match_count"), F.count(F.lit(1)).alias("visible_fields"))
+def matched(shown: DataFrame, terms: list[str], *more: Column) -> DataFrame:
+    """document_id, match_count, visible_fields and more aggregates; with terms only documents that match."""
+    out = shown.withColumn("hit", term_match(terms)).groupBy("document_id").agg(F.count_if("hit").alias("match_count"), F.count(F.lit(1)).alias("visible_fields"), *more)
     return out.where("match_count > 0") if any(t.strip() for t in terms) else out
 
 

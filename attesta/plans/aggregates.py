@@ -86,7 +86,7 @@ def agg_site_inventory(spark, d):
 def agg_index_metrics(spark, d):
     from attesta.plans.search import granted, now
 
-    docs = records.documents(spark, d)
+    docs = records.documents(spark, d, clusters=True)
     a = docs.agg(F.count(F.lit(1)).alias("documents"), F.count_distinct("cluster_id").alias("clusters"), F.count_if(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("deletions"))
     b = granted(spark, d, docs).agg(F.count(F.lit(1)).alias("fields"), F.count("policy_id").alias("policies"), F.count_if(policy.authorised(now()) & policy.evidence_holds(now())).alias("granted"))
     return a.join(F.broadcast(b))
@@ -159,7 +159,7 @@ def agg_inherit_contribution(spark, d):
   UNION ALL SELECT 'review_duplicate', source_id, document_id FROM docs WHERE cluster_id IS NOT NULL UNION ALL SELECT 'delete', source_id, document_id FROM docs WHERE toxic = 1)
   SELECT action, source_id, array_to_string(list_sort(list(DISTINCT ref))[1:64], ',') AS refs, count(DISTINCT ref) > 64 AS truncated FROM f GROUP BY ALL""")
 def agg_recommendations(spark, d):
-    docs = records.documents(spark, d)
+    docs = records.documents(spark, d, clusters=True)
     r = reasoned(spark, d, docs)
     part = lambda df, action: df.select(F.lit(action).alias("action"), "source_id", F.col("document_id").alias("ref"))
     found = part(r.where("reason like 'rights%'"), "review_rights").unionByName(part(r.where("reason = 'metadata_unresolved'"), "resolve_metadata"))

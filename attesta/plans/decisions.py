@@ -36,7 +36,7 @@ def first_fail_reason(spark, d):
 
 def covered(spark, d):
     """Rows (candidate_id, place) in the order of selection."""
-    docs = records.documents(spark, d)
+    docs = records.documents(spark, d, clusters=True)
     targets = records.targets(docs)
     eligible = reasoned(spark, d, docs).where("reason is null").select("doc_id", "candidate_id", "cluster_id", "quality_rank")
     matches = search.coverage(docs, targets).join(eligible.select("doc_id", "candidate_id"), "doc_id").select("candidate_id", "target_id", "minimum")

@@ -30,7 +30,7 @@ def build_snapshot(spark, d):
 
 @query("build_corpus_index", CTES + "SELECT document_id, selection_state, period, (SELECT count(*) FROM flds f WHERE f.document_id = docs.document_id) AS fields, coalesce(cluster_id, '') AS cluster_id FROM docs WHERE selection_state <> 'excluded'")
 def build_corpus_index(spark, d):
-    docs = records.documents(spark, d).where("selection_state <> 'excluded'")
+    docs = records.documents(spark, d, clusters=True).where("selection_state <> 'excluded'")
     n = records.fields(docs).groupBy("document_id").agg(F.count(F.lit(1)).alias("fields"))
     return docs.join(n, "document_id").select("document_id", "selection_state", "period", "fields", F.coalesce("cluster_id", F.lit("")).alias("cluster_id"))
 
@@ -101,7 +101,7 @@ def eval_retrieval_case(spark, d):
 def eval_run(spark, d):
     from attesta.plans.decisions import reasoned
 
-    docs = records.documents(spark, d)
+    docs = records.documents(spark, d, clusters=True)
     n = F.count(F.lit(1)).alias("n")
     parts = {"documents": docs.agg(n), "granted": granted(spark, d, docs).where(policy.authorised(now()) & policy.evidence_holds(now())).agg(n), "excluded": reasoned(spark, d, docs).where("reason is not null").agg(n), "clusters": docs.agg(F.count_distinct("cluster_id").alias("n"))}
     out = None

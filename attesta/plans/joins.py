@@ -280,7 +280,7 @@ def topk_hash_rank(spark, d):
 def set_union_findings(spark, d):
     from attesta.plans.decisions import reasoned
 
-    docs = records.documents(spark, d)
+    docs = records.documents(spark, d, clusters=True)
     n = F.count(F.lit(1)).alias("n")
     parts = [(("rights"), reasoned(spark, d).where("reason like 'rights%'")), ("toxic", docs.where("toxic = 1")), ("cluster", docs.where("cluster_id is not null"))]
     frames = [df.agg(n).select(F.lit(name).alias("finding"), "n") for name, df in parts]

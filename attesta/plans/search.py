@@ -64,8 +64,8 @@ def project_feature_value(spark, d):
     return search.feature_values(shown(spark, d, "operator", "score_generation"))
 
 
-def results(spark, d):
-    docs = policy.structural(records.documents(spark, d), language="en")
+def results(spark, d, clusters=False):
+    docs = policy.structural(records.documents(spark, d, clusters), language="en")
     return docs, search.matched(shown(spark, d, docs=docs), ["the"])
 
 
@@ -89,17 +89,19 @@ def agg_doc_match(spark, d):
   SELECT unnest(['source_id', 'period', 'selection_state', 'cluster_id', 'language', 'medium']) AS facet, unnest([source_id, period, selection_state, cluster_id, language, medium]) AS value FROM r)
   SELECT facet, value, count(*) AS n FROM f WHERE value IS NOT NULL GROUP BY ALL""")
 def agg_facets(spark, d):
-    docs, found = results(spark, d)
+    docs, found = results(spark, d, clusters=True)
     return search.facets(docs.join(found, "document_id", "left_semi"))
 
 
 @query("search_corpus_index", RESULTS + """, ev AS (SELECT document_id, strftime(max(make_timestamp((1767225600 + evidence * 86400) * 1000000)), '%Y-%m-%dT%H:%M:%SZ') AS evidence_at, strftime(min(make_timestamp((1767225600 + evidence_expires * 86400) * 1000000)), '%Y-%m-%dT%H:%M:%SZ') AS evidence_expires_at FROM shown GROUP BY 1)
   SELECT document_id, source_id, period, match_count, visible_fields, evidence_at, evidence_expires_at, count(*) OVER () AS result_count FROM results JOIN ev USING (document_id) JOIN docs USING (document_id)""")
 def search_corpus_index(spark, d):
-    docs, found = results(spark, d)
-    scope = shown(spark, d, docs=docs).groupBy("document_id").agg(F.max(times.text(F.col("evidence_at"))).alias("evidence_at"), F.min(times.text(F.col("evidence_expires_at"))).alias("evidence_expires_at"))
+    docs = policy.structural(records.documents(spark, d), language="en")
+    at, ends = F.max(times.text(F.col("evidence_at"))).alias("evidence_at"), F.min(times.text(F.col("evidence_expires_at"))).alias("evidence_expires_at")
+    found = search.matched(shown(spark, d, docs=docs), ["the"], at, ends)
+    # One row: the count of all results, whatever the limit.
     total = found.agg(F.count(F.lit(1)).alias("result_count"))
-    return found.join(scope, "document_id").join(docs.select("document_id", "source_id", "period"), "document_id").join(F.broadcast(total)).select("document_id", "source_id", "period", "match_count", "visible_fields", "evidence_at", "evidence_expires_at", "result_count")
+    return found.join(docs.select("document_id", "source_id", "period"), "document_id").join(F.broadcast(total)).select("document_id", "source_id", "period", "match_count", "visible_fields", "evidence_at", "evidence_expires_at", "result_count")
 
 
 @query("agg_evidence_scope", SHOWN + "SELECT document_id, max(strftime(make_timestamp((1767225600 + evidence * 86400) * 1000000), '%Y-%m-%dT%H:%M:%SZ')) AS evidence_at, min(strftime(make_timestamp((1767225600 + evidence_expires * 86400) * 1000000), '%Y-%m-%dT%H:%M:%SZ')) AS evidence_expires_at FROM shown GROUP BY 1")
@@ -121,7 +123,7 @@ def assert_export_safe(spark, d):
 
 @query("join_cluster_members_visible", SHOWN + "SELECT cluster_id, string_agg(document_id, ',' ORDER BY document_id) AS members FROM docs WHERE cluster_id IS NOT NULL AND document_id IN (SELECT document_id FROM shown) GROUP BY 1")
 def join_cluster_members_visible(spark, d):
-    docs = records.documents(spark, d)
+    docs = records.documents(spark, d, clusters=True)
     return search.cluster_members(docs, shown(spark, d, docs=docs)).groupBy("cluster_id").agg(F.array_join(F.array_sort(F.collect_list("document_id")), ",").alias("members"))
 
 
@@ -143,7 +145,7 @@ def filter_coverage_match(spark, d):
 
 @query("project_public_member", CTES + "SELECT document_id, source_id, asset_id FROM docs WHERE cluster_id IS NOT NULL")
 def project_public_member(spark, d):
-    return records.documents(spark, d).where("cluster_id is not null").select("document_id", "source_id", "asset_id")
+    return records.documents(spark, d, clusters=True).where("cluster_id is not null").select("document_id", "source_id", "asset_id")
 
 
 @query("filter_url_policy", r"""SELECT page_id, CASE WHEN NOT regexp_matches(url, '^https://') THEN 'scheme_not_allowed' WHEN NOT regexp_matches(url, '^https://[a-z0-9.-]+\.example\.(com|org|net)(/|$)') THEN 'host_not_allowed'

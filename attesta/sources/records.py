@@ -15,19 +15,26 @@ from attesta.sources.tables import table
 NOW = 150
 
 
-def documents(spark: SparkSession, d: str) -> DataFrame:
-    """Index documents: where a text is held twice its copies form a duplicate cluster."""
+def documents(spark: SparkSession, d: str, clusters: bool = False) -> DataFrame:
+    """Index documents, with the duplicate cluster of texts held twice where it is asked for.
+
+    Clusters take a shuffle of all digests, which a query that doesn't name them is spared.
+    """
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     rows = docs.join(labels, "doc_id", "left").withColumn("text_sha", F.sha2("text", 256))
-    copies = rows.groupBy("text_sha").agg(F.count(F.lit(1)).alias("copies"))
     n = F.col("doc_id")
-    return rows.join(copies, "text_sha").select(
+    out = rows.select(
         "doc_id", F.concat(F.lit("index_document_"), n).alias("document_id"), F.col("source").alias("source_id"), F.concat(F.lit("asset_"), n % 690).alias("asset_id"), F.col("lang").alias("language"),
         F.when(F.col("n_chars") < 1000, "early").when(F.col("n_chars") < 4000, "middle").otherwise("late").alias("period"),
         F.when(n % 3 == 0, "text").when(n % 3 == 1, "image").otherwise("video").alias("medium"),
         F.when(F.col("quality") == 1, "selected_rich_corpus").when(F.col("quality") == 0, "excluded").otherwise("inventory_only").alias("selection_state"),
-        F.when(F.col("copies") > 1, F.concat(F.lit("duplicate_cluster_"), F.left("text_sha", F.lit(24)))).alias("cluster_id"), "quality", "toxic", "text", "n_chars", "text_sha",
+        "quality", "toxic", "text", "n_chars", "text_sha",
     )
+    if not clusters:
+        return out
+    copies = out.groupBy("text_sha").agg(F.count(F.lit(1)).alias("copies"))
+    cluster = F.when(F.col("copies") > 1, F.concat(F.lit("duplicate_cluster_"), F.left("text_sha", F.lit(24))))
+    return out.join(copies, "text_sha").withColumn("cluster_id", cluster).drop("copies")
 
 
 def fields(docs: DataFrame) -> DataFrame:
@@ -84,7 +91,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     n = F.col("doc_id")
     gate = lambda m, r: F.when(n % m == r, "unknown").otherwise("approved")
     return docs.select(
-        "doc_id", F.concat(F.lit("candidate_"), n).alias("candidate_id"), "document_id", "source_id", "language", "period", "medium", "cluster_id", "toxic",
+        "doc_id", F.concat(F.lit("candidate_"), n).alias("candidate_id"), "document_id", "source_id", "language", "period", "medium", *(["cluster_id"] if "cluster_id" in docs.columns else []), "toxic",
         F.when(n % 41 == 0, "missing").otherwise("observed").alias("inventory_state"), F.when(n % 37 == 0, "restricted").otherwise("available").alias("retrieval_state"),
         gate(29, 1).alias("governance_state"), gate(23, 2).alias("rights_state"), gate(19, 3).alias("retention_state"), F.when(F.col("toxic") == 1, "unknown").otherwise("approved").alias("privacy_state"), gate(31, 4).alias("transformation_state"),
         times.day(n % 400 + 30).alias("governance_expires_at"), times.day(n % 500 + 60).alias("rights_expires_at"), (n % 43 == 5).alias("pipeline_proof"), (n % 86 == 5).alias("override_approved"), (n % 47 == 6).alias("unknown_dimension"),

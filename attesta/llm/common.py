@@ -21,8 +21,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Bound the rows that one Arrow batch brings to a Python worker."""
+    """Bound the rows and bytes that one Arrow batch brings to a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -7,8 +7,8 @@ positions are ranked by what follows, and only those whose rank another document
 1. rank of the 16 bytes at the anchor; anchors of one document alone are dropped;
 2. rank of the block, all that the windows of one anchor cover: where an earlier document has the
    same block, all its windows are repeats;
-3. for blocks that differ under one anchor, rank of each window from the pair of its ranks of 32
-   bytes at offsets 0 and length - 32, themselves pairs of ranks of 16 bytes.
+3. for blocks that differ under one anchor but share a side of it, rank of each window from pairs
+   of ranks at growing offsets: 16, 32 and all of its bytes.
 
 Ranks of 16 bytes and of pairs are 64-bit hashes. Each round sorts (rank, doc_id) in buckets of
 the rank that Spark deals out; what a document needs to know goes back to it by a group of doc_id.
@@ -52,12 +52,9 @@ class Blocks:
             self.lo = self.hi = self.owner = np.empty(0, np.int64)
             self.anchor = self.block = self.left = self.right = np.empty(0, np.uint64)
             return
-        # One running sum gives the hash of any span.
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data)), dtype=np.uint64, out=self.sums[1:])
+        prefix, self.sums = prefix_ranks(data)
         self.back = powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
-        self.prefix = mix((self.sums[PREFIX:] - self.sums[:-PREFIX]) * self.back[:n])
-        least = (self.prefix & ~_POSITION) | np.arange(n, dtype=np.uint64)
+        least = (prefix & ~_POSITION) | np.arange(n, dtype=np.uint64)
         width, have = length - PREFIX + 1, 1
         while have * 2 <= width:
             least = np.minimum(least[:-have], least[have:])
@@ -75,7 +72,7 @@ class Blocks:
         self.lo, self.hi = edge[real], ends[real] - 1
         where = place[self.lo].astype(np.int64)
         self.owner = np.searchsorted(borders, self.lo, "right") - 1
-        self.anchor = self.prefix[where]
+        self.anchor = prefix[where]
         self.block = mix(self._span(self.lo, self.hi + length) + (where - self.lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         # A window has half of its other bytes, at least, on one side of its anchor.
         half = (length - PREFIX + 1) // 2
@@ -86,20 +83,23 @@ class Blocks:
     def _span(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return (self.sums[ends] - self.sums[starts]) * self.back[starts]
 
-    def windows(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, rank) of all windows of the picked blocks, from pairs of ranks."""
-        sizes = self.hi[pick] - self.lo[pick] + 1
-        starts = np.repeat(self.lo[pick] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        if self.length < 2 * PREFIX:
-            raise ValueError("windows have 32 bytes at least")
-        double = lambda s: mix(self.prefix[s] * np.uint64(3) + mix(self.prefix[s + PREFIX]))
-        # Ranks double until they reach the length; the last pair overlaps.
-        reach, rank = 2 * PREFIX, double
-        while reach < self.length:
-            offset = min(reach, self.length - reach)
-            rank = lambda s, f=rank, o=offset: mix(f(s) * np.uint64(3) + mix(f(s + o)))
-            reach += offset
-        return starts, rank(starts)
+
+def prefix_ranks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the PREFIX bytes at each place, and the running sum that gives the hash of any span."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data)), dtype=np.uint64, out=sums[1:])
+    back = powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
+    return mix((sums[PREFIX:] - sums[:-PREFIX]) * back[: len(data) - PREFIX + 1]), sums
+
+
+def window_ranks(prefix: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of whole windows: ranks of pairs at offsets that double until they reach the length."""
+    reach, rank = PREFIX, lambda s: prefix[s]
+    while reach < length:
+        offset = min(reach, length - reach)
+        rank = lambda s, f=rank, o=offset: mix(f(s) * np.uint64(3) + mix(f(s + o)))
+        reach += offset
+    return rank(starts)
 
 
 def pieces(data: np.ndarray, borders: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
@@ -172,9 +172,7 @@ def _ranked(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Ite
         new[1:] = (doc[order][1:] != doc[order][:-1]) | (block[order][1:] != block[order][:-1])
         pick = order[new]
         doc, anchor, block, left, right = doc[pick], anchor[pick], block[pick], left[pick], right[pick]
-        shift = np.uint64(64 - (buckets - 1).bit_length()) if buckets > 1 else np.uint64(0)
-        key = (anchor >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(anchor), np.int64)
-        rows = list(_dealt(key, buckets, doc=doc.astype("<i8"), anchor=anchor.astype("<u4"), block=block.astype("<u4"), high=(block >> np.uint64(32)).astype("<u2"), left=left.astype("u1"), right=right.astype("u1")))
+        rows = list(_dealt(_bucket(anchor, buckets), buckets, doc=doc.astype("<i8"), anchor=anchor.astype("<u4"), block=block.astype("<u4"), high=(block >> np.uint64(32)).astype("<u2"), left=left.astype("u1"), right=right.astype("u1")))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], schema=_PACKS)
 
@@ -259,40 +257,62 @@ def _block_keys(ids: np.ndarray, first: int, x: Blocks) -> np.ndarray:
     return _status_keys(ids[first + x.owner], x.block.astype("<u4"), (x.block >> np.uint64(32)).astype("<u2"))
 
 
-def _contested_windows(texts: pa.Table, told: pa.Table, length: int, buckets: int) -> pa.Table:
-    """Round 3, first half: (doc, rank) of the windows of contested blocks, in packs by bucket of rank."""
+def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    if buckets == 1:
+        return np.zeros(len(anchor), np.int64)
+    return (anchor >> np.uint64(64 - (buckets - 1).bit_length())).astype(np.int64)
+
+
+_BLOCK = ["<i8", "<u4", "<u2", "u1"]
+
+
+def _contested_blocks(texts: pa.Table, told: pa.Table, length: int, buckets: int) -> pa.Table:
+    """Round 3, first half: contested blocks and their bytes, in packs by bucket of anchor."""
     doc, low, high, flag = unpack(told.column("pack").to_pylist(), _STATUS)
     wanted = np.sort(_status_keys(doc, low, high)[flag == 1])
-    found = []
+    keys, packs = [], []
     if len(wanted):
         ids = texts.column("doc").to_numpy()
         data, borders = text_buffer(texts.column("text"))
         for part, at, first, _ in pieces(data, borders, length):
             x = Blocks(part, at, length)
             pick = np.flatnonzero(_within(_block_keys(ids, first, x), wanted))
-            if len(pick):
-                starts, rank = x.windows(pick)
-                found.append((np.repeat(ids[first + x.owner[pick]], x.hi[pick] - x.lo[pick] + 1), rank))
-    if not found:
-        return pa.Table.from_batches([], schema=_PACKS)
-    doc, rank = map(np.concatenate, zip(*found, strict=True))
-    rows = list(_dealt((rank % np.uint64(buckets)).astype(np.int64), buckets, doc=doc, rank=rank))
-    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], schema=_PACKS)
+            key = _bucket(x.anchor[pick], buckets)
+            for k in np.unique(key):
+                mine = pick[key == k]
+                size = x.hi[mine] - x.lo[mine] + 1
+                body = b"".join(part[a:b].tobytes() for a, b in zip(x.lo[mine], x.hi[mine] + length, strict=True))
+                head = pack(doc=ids[first + x.owner[mine]], low=x.block[mine].astype("<u4"), high=(x.block[mine] >> np.uint64(32)).astype("<u2"), size=size.astype("u1"))
+                keys.append(int(k))
+                packs.append(len(head).to_bytes(8, "little") + head + body)
+    return pa.table([pa.array(keys, pa.int64()), pa.array(packs, pa.binary())], schema=_PACKS)
+
+
+_LATER = ["<i8", "<u4", "<u2", "<u8"]
 
 
-def _repeated_windows(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    """Round 3, second half: windows that a smaller document has."""
+def _repeated_windows(batches: Iterator[pa.RecordBatch], length: int, groups: int) -> Iterator[pa.RecordBatch]:
+    """Round 3, second half: of each contested block, a bit for each window that a smaller document has."""
 
     def one(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
-        doc, rank = unpack(blobs, ["<i8", "<u8"])
-        order = np.lexsort((doc, rank))
-        doc, rank = doc[order], rank[order]
+        heads = [8 + int.from_bytes(b[:8], "little") for b in blobs]
+        doc, low, high, size = unpack([b[8:h] for b, h in zip(blobs, heads, strict=True)], _BLOCK)
+        prefix, _ = prefix_ranks(np.frombuffer(b"".join(b[h:] for b, h in zip(blobs, heads, strict=True)), np.uint8))
+        size = size.astype(np.int64)
+        begin = np.cumsum(size + length - 1) - (size + length - 1)
+        of = np.repeat(np.arange(len(size)), size)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+        rank = window_ranks(prefix, begin[of] + nth, length)
+        order = np.lexsort((doc[of], rank))
+        rank, of, nth = rank[order], of[order], nth[order]
         new = np.concatenate([[True], rank[1:] != rank[:-1]])
-        later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-        fresh = np.concatenate([[True], (rank[1:] != rank[:-1]) | (doc[1:] != doc[:-1])])
-        return doc[later & fresh], rank[later & fresh]
+        later = doc[of] > doc[of[np.flatnonzero(new)]][np.cumsum(new) - 1]
+        mask = np.zeros(len(size), np.uint64)
+        np.bitwise_or.at(mask, of[later], np.uint64(1) << nth[later].astype(np.uint64))
+        some = mask != 0
+        return doc[some], low[some], high[some], mask[some]
 
-    yield from _returned((one(b) for b in _per_key(batches)), groups, ["doc", "rank"])
+    yield from _returned((one(b) for b in _per_key(batches)), groups, ["doc", "low", "high", "mask"])
 
 
 def _cut(texts: pa.Table, told: pa.Table, length: int) -> pa.Table:
@@ -301,9 +321,11 @@ def _cut(texts: pa.Table, told: pa.Table, length: int) -> pa.Table:
     blobs = told.column("pack").to_pylist()
     doc, low, high, flag = unpack([b for b, k in zip(blobs, kind, strict=True) if k == 0], _STATUS)
     keys = _status_keys(doc, low, high)
-    repeats, contested = np.sort(keys[flag == 0]), np.sort(keys[flag == 1])
-    doc, rank = unpack([b for b, k in zip(blobs, kind, strict=True) if k == 1], ["<i8", "<u8"])
-    later = np.sort(mix(doc.view(np.uint64) * np.uint64(0x9FB21C651E98DF25)) ^ rank)
+    repeats = np.sort(keys[flag == 0])
+    doc, low, high, mask = unpack([b for b, k in zip(blobs, kind, strict=True) if k == 1], _LATER)
+    later = _status_keys(doc, low, high)
+    order = np.argsort(later)
+    later, mask = later[order], mask[order]
     ids = texts.column("doc").to_numpy()
     data, borders = text_buffer(texts.column("text"))
     begins: dict[int, list[np.ndarray]] = {}
@@ -313,12 +335,12 @@ def _cut(texts: pa.Table, told: pa.Table, length: int) -> pa.Table:
         covers = [np.empty((0, 2), np.int64)]
         whole = np.flatnonzero(_within(key, repeats))
         covers.append(np.stack([x.lo[whole], x.hi[whole] + length], 1))
-        some = np.flatnonzero(_within(key, contested)) if len(later) else whole[:0]
+        some = np.flatnonzero(_within(key, later))
         if len(some):
-            starts, rank = x.windows(some)
-            of = np.repeat(ids[first + x.owner[some]], x.hi[some] - x.lo[some] + 1)
-            hit = starts[_within(mix(of.view(np.uint64) * np.uint64(0x9FB21C651E98DF25)) ^ rank, later)]
-            covers.append(np.stack([hit, hit + length], 1))
+            held = mask[np.searchsorted(later, key[some])]
+            for bit in range(length - PREFIX + 1):
+                hit = x.lo[some[(held >> np.uint64(bit)) & np.uint64(1) == 1]] + bit
+                covers.append(np.stack([hit, hit + length], 1))
         span = np.concatenate(covers)
         if len(span):
             span = span[np.argsort(span[:, 0], kind="stable")]
@@ -362,6 +384,8 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     small_batches(spark, 4000)
+    if not 2 * PREFIX <= length <= PREFIX + 63:
+        raise ValueError("windows have 32 to 79 bytes: a block's windows are the bits of a word")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = 1 << max(0, (total // (PREFIX + 1) // BUCKET_RANKS).bit_length())
@@ -371,8 +395,8 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
 
     grouped = texts.withColumn("key", _group_column(groups))
     told = status.select("key", F.lit(0).alias("kind"), "pack")
-    windows = grouped.groupBy("key").cogroup(told.groupBy("key")).applyInArrow(lambda a, b: _contested_windows(a, b, length, buckets), "key bigint, pack binary")
-    later = _by_key(windows, lambda b: _repeated_windows(b, groups)).select("key", F.lit(1).alias("kind"), "pack")
+    windows = grouped.groupBy("key").cogroup(told.groupBy("key")).applyInArrow(lambda a, b: _contested_blocks(a, b, length, buckets), "key bigint, pack binary")
+    later = _by_key(windows, lambda b: _repeated_windows(b, length, groups)).select("key", F.lit(1).alias("kind"), "pack")
     done = grouped.groupBy("key").cogroup(told.unionByName(later).groupBy("key")).applyInArrow(
         lambda a, b: _cut(a, b, length), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<begin:bigint,end:bigint>>"
     )

@@ -36,9 +36,9 @@ PREFIX = 16
 _BASE = 0x9E3779B97F4A7C15
 _POSITION = np.uint64((1 << 24) - 1)
 #: Longer texts are read in pieces that overlap by a window less a byte.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 512 << 10
 #: Anchors that one bucket of ranks should hold, and texts' bytes that a group of documents should.
-BUCKET_RANKS, GROUP_BYTES = 400_000, 4 << 20
+BUCKET_RANKS, GROUP_BYTES = 100_000, 2 << 20
 _NO_ID = -(1 << 63)
 
 

@@ -237,16 +237,26 @@ def exact_links(hashes: np.ndarray, borders: np.ndarray, threshold: float, colum
     return linked
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, text -> doc, size, zip: texts are most of what the join by doc moves."""
+    codec = pa.Codec("zstd", 3)
+    for batch in batches:
+        raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, raw), pa.int64()), pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())], ["doc", "size", "zip"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """comp, i, j, side, doc, copies, text in runs -> links of each doc, and forest edges (a, b)."""
+    """comp, i, j, side, doc, copies, size, zip in runs -> links of each doc, and forest edges (a, b)."""
+    codec = pa.Codec("zstd", 3)
     for t in runs(batches, 3):
         # A doc_id that is repeated in the input counts once.
         t = t.filter(pa.array(np.concatenate([[True], np.logical_or.reduce([np.diff(t.column(c).to_numpy()) != 0 for c in (0, 1, 2, "doc")])])))
         at = _borders(t, 3)
-        docs, side, copies = (t.column(c).to_numpy() for c in ("doc", "side", "copies"))
+        docs, side, copies, size_of = (t.column(c).to_numpy() for c in ("doc", "side", "copies", "size"))
         a, b, links = [], [], []
         for s, e in zip(at[:-1], at[1:], strict=True):
-            data, borders = text_buffer(t.column("text").slice(s, e - s))
+            raw = b"".join(codec.decompress(z, n, asbytes=True) for z, n in zip(t.column("zip").slice(s, e - s).to_pylist(), size_of[s:e].tolist(), strict=True))
+            data, borders = np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum(size_of[s:e])])
             linked = exact_links(*shingles(data, borders, size), threshold)
             if side[s] >= 0:
                 linked &= side[s:e, None] != side[None, s:e]
@@ -307,8 +317,8 @@ def jaccard_join(
     sized = linked.join(firsts, linked.node == firsts.doc).select(F.col("root").alias("comp"), "doc", "copies", "bytes")
     extent = sized.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("bytes") / block_chars), F.lit(1)).alias("blocks"))
     members = sized.join(extent, "comp").select("comp", "doc", "copies", "blocks")
-    whole = members.join(texts, "doc")
-    links = _in_runs(_dealt(whole, "comp", "blocks", ["doc", "copies", "text"]), "comp", lambda b: _verified(b, size, threshold), "a bigint, b bigint, links bigint").checkpoint()
+    whole = members.join(texts.mapInArrow(_packed, "doc bigint, size bigint, zip binary"), "doc")
+    links = _in_runs(_dealt(whole, "comp", "blocks", ["doc", "copies", "size", "zip"]), "comp", lambda b: _verified(b, size, threshold), "a bigint, b bigint, links bigint").checkpoint()
 
     roots = components(links).select(F.col("node").alias("rep"), "root")
     counts = links.groupBy(F.col("b").alias("rep")).agg(F.sum("links").alias("links"))

@@ -88,6 +88,13 @@ def test_jaccard_join_odd_inputs(spark):
     assert got == sorted([(None, None, 0, None), (1, 1, 0, 1), (2, 2, 1, 2), (2, 2, 1, 2)], key=repr)
 
 
+def test_jaccard_join_of_texts_that_differ_in_signs_only(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words)), (2, ", ".join(words) + "!!"), (3, "; ".join(words[:-1])), (4, " - ".join(words).upper()), (5, "... ".join(words[1:]))]
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join.jaccard_join(frame(spark, rows)).collect()}
+    assert got == jaccard_join.brute_force(rows) and got[1] == (1, 4)
+
+
 def test_pruning_keeps_what_may_be_alike():
     least = jaccard_join.least_matches((16, 128), 0.8, 1e-5)
     assert least[16] < 0.8 * 16 and 75 < least[128] < 0.8 * 128

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -47,3 +50,24 @@ def chunks(borders: np.ndarray, most: int) -> list[tuple[int, int]]:
         out.append((i, j))
         i = j
     return out
+
+
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    """The C library's own way to give freed memory back, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def released(work: Callable) -> Callable:
+    """A generator over batches that gives its memory back when a partition ends; workers are reused."""
+
+    @wraps(work)
+    def run(*args, **named):
+        try:
+            yield from work(*args, **named)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := _trim():
+                trim(0)
+
+    return run

@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import chunks, small_batches, table, text_buffer
+from attesta.llm.common import chunks, released, small_batches, table, text_buffer
 from attesta.llm.wordbytes import Words
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: A bit for each of the top 20 bits of a window's hash rules most words out at once.
 _SHIFT = np.uint64(44)
 
@@ -150,6 +150,7 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, m
     return docs.join(dirty, "doc_id", "left_anti")
 
 
+@released
 def _clean(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """The rows of which less than a twentieth of the words is hit."""
     for batch in batches:

@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import chunks, ensure_checkpoint_dir, small_batches, table, text_buffer
+from attesta.llm.common import chunks, ensure_checkpoint_dir, released, small_batches, table, text_buffer
 from attesta.llm.components import components
 from attesta.llm.wordbytes import Words, mix
 
 BANDS, ROWS = 32, 4
 VALUES = BANDS * ROWS
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: The seeds of the MinHash functions, from a rule.
 _SEEDS = mix(np.arange(1, 2 * VALUES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _MULTIPLY = (_SEEDS[:VALUES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -63,6 +63,13 @@ def shingles(data: np.ndarray, borders: np.ndarray, size: int = 5) -> tuple[np.n
     return hashes, np.searchsorted(owners, np.arange(len(n) + 1))
 
 
+def _in_chunks(data: np.ndarray, borders: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """`shingles` of many texts, a bounded number of bytes at a time."""
+    parts = [shingles(data[borders[i] : borders[j]], borders[i : j + 1] - borders[i], size) for i, j in chunks(borders, CHUNK_BYTES)]
+    counts = np.concatenate([np.diff(at) for _, at in parts])
+    return np.concatenate([h for h, _ in parts]), np.concatenate([[0], np.cumsum(counts)])
+
+
 def signatures(hashes: np.ndarray, borders: np.ndarray) -> np.ndarray:
     """16 bits of each text's MinHash values; texts without shingles have zeros."""
     out = np.zeros((len(borders) - 1, VALUES), np.uint16)
@@ -79,6 +86,7 @@ def signatures(hashes: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return out
 
 
+@released
 def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, borders = text_buffer(batch.column(1))
@@ -180,6 +188,7 @@ def _borders(t: pa.Table, keys: int) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1, [t.num_rows]])
 
 
+@released
 def _candidate_edges(batches: Iterator[pa.RecordBatch], pruner: Pruner) -> Iterator[pa.RecordBatch]:
     """key, i, j, side, doc, sig in runs -> edges of a forest over the pairs that survive."""
     small = 12
@@ -237,6 +246,7 @@ def exact_links(hashes: np.ndarray, borders: np.ndarray, threshold: float, colum
     return linked
 
 
+@released
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc, text -> doc, size, zip: texts are most of what the join by doc moves."""
     codec = pa.Codec("zstd", 3)
@@ -245,6 +255,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, raw), pa.int64()), pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())], ["doc", "size", "zip"])
 
 
+@released
 def _verified(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> Iterator[pa.RecordBatch]:
     """comp, i, j, side, doc, copies, size, zip in runs -> links of each doc, and forest edges (a, b)."""
     codec = pa.Codec("zstd", 3)
@@ -257,7 +268,7 @@ def _verified(batches: Iterator[pa.RecordBatch], size: int, threshold: float) ->
         for s, e in zip(at[:-1], at[1:], strict=True):
             raw = b"".join(codec.decompress(z, n, asbytes=True) for z, n in zip(t.column("zip").slice(s, e - s).to_pylist(), size_of[s:e].tolist(), strict=True))
             data, borders = np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum(size_of[s:e])])
-            linked = exact_links(*shingles(data, borders, size), threshold)
+            linked = exact_links(*_in_chunks(data, borders, size), threshold)
             if side[s] >= 0:
                 linked &= side[s:e, None] != side[None, s:e]
             counts = linked @ copies[s:e]
@@ -288,7 +299,7 @@ def _in_runs(rows: DataFrame, key: str, work: Callable, schema: str) -> DataFram
 
 
 def jaccard_join(
-    docs: DataFrame, *, size: int = 5, threshold: float = 0.8, tolerance: float = 1e-5, bucket_rows: int = 4096, block_rows: int = 512, block_chars: int = 8 << 20
+    docs: DataFrame, *, size: int = 5, threshold: float = 0.8, tolerance: float = 1e-5, bucket_rows: int = 4096, block_rows: int = 512, block_chars: int = 4 << 20
 ) -> DataFrame:
     """doc_id, class_id, n_links, copy_of for each row.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import small_batches, table
+from attesta.llm.common import released, small_batches, table
 
 UNDETERMINED = "und"
 PIECE = 256
@@ -205,6 +205,7 @@ def _by_parts(model: Model, texts: list[str | None]) -> list[tuple[str, float, f
     return found + model.predict(part)
 
 
+@released
 def _predicted(batches: Iterator[pa.RecordBatch], samples: dict[str, str]) -> Iterator[pa.RecordBatch]:
     model = model_of(samples)
     for batch in batches:
@@ -213,6 +214,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], samples: dict[str, str]) -> It
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(cost, pa.float64())], ["doc_id", "lang_pred", "score", "phrase_rate"])
 
 
+@released
 def _known(batches: Iterator[pa.RecordBatch], samples: dict[str, str]) -> Iterator[pa.RecordBatch]:
     model = model_of(samples)
     for batch in batches:

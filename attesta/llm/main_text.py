@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import small_batches, table
+from attesta.llm.common import released, small_batches, table
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -218,6 +218,7 @@ def default_weights() -> Weights:
     return _weights[0]
 
 
+@released
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     weights = default_weights()
     for batch in batches:

@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import chunks, small_batches, table, text_buffer
+from attesta.llm.common import chunks, released, small_batches, table, text_buffer
 from attesta.llm.wordbytes import Words
 
 STATS = [
     "n_words", "word_size", "upper_share", "digit_share", "symbol_share", "stop_share", "space_share", "line_share", "bar_share", "bang_share",
     "repeat_share", "distinct_share", "pair_share", "long_share", "letter_share", "wide_share",
 ]
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def _per_text(mask: np.ndarray, borders: np.ndarray) -> np.ndarray:
@@ -76,6 +76,7 @@ def _firsts(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return (np.unique(mixed) >> np.uint64(40)).astype(np.int64)
 
 
+@released
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, borders = text_buffer(batch.column(1))

@@ -24,12 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from attesta.llm.common import small_batches, table
+from attesta.llm.common import released, small_batches, table
 from attesta.llm.wordbytes import mix, spans_hash
 
 META = "▁"
-KEPT_SEGMENTS = 400_000
-BATCH_CHARS = 1 << 20
+KEPT_SEGMENTS = 200_000
+BATCH_CHARS = 1 << 19
 
 
 class CharacterMap:
@@ -96,7 +96,7 @@ class Codec:
         self.feed = self.library.piece_to_id("<0x0A>")
         #: Known segments: hash -> row; ids of row r are pool[begin[r] : begin[r] + size[r]].
         self.kept: dict[int, int] = {}
-        self.pool, self.used = np.empty(1 << 20, np.int32), 0
+        self.pool, self.used = np.empty(1 << 19, np.int32), 0
         self.begin, self.size = np.empty(1 << 18, np.int64), np.empty(1 << 18, np.int64)
 
     def _learn(self, raw: list[bytes]) -> list[np.ndarray]:
@@ -234,6 +234,7 @@ def codec(model: str) -> Codec:
     return _codecs[model]
 
 
+@released
 def _digests(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
     c = codec(model)
     hexed = lambda s: hashlib.sha256(s.encode()).hexdigest()
@@ -246,6 +247,7 @@ def _digests(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(shown), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+@released
 def _encoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
     c = codec(model)
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import chunks, ensure_checkpoint_dir, small_batches, table, text_buffer
+from attesta.llm.common import chunks, ensure_checkpoint_dir, released, small_batches, table, text_buffer
 from attesta.llm.wordbytes import mix, powers
 
 PREFIX = 16
@@ -155,6 +155,7 @@ _ENTRY = ["<i8", "<u4", "<u4", "<u2", "u1", "u1"]
 _PACKS = pa.schema([("key", pa.int64()), ("pack", pa.binary())])
 
 
+@released
 def _ranked(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """doc, text -> for each bucket of anchor ranks a pack of (doc, anchor, block, sides)."""
     for batch in batches:
@@ -213,6 +214,7 @@ def _returned(found: Iterator[tuple[np.ndarray, ...]], groups: int, names: list[
 _STATUS = ["<i8", "<u4", "<u2", "u1"]
 
 
+@released
 def _judged(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
     """Rounds 1 and 2: which blocks of which documents are repeats (0) or contested (1)."""
 
@@ -291,6 +293,7 @@ def _contested_blocks(texts: pa.Table, told: pa.Table, length: int, buckets: int
 _LATER = ["<i8", "<u4", "<u2", "<u8"]
 
 
+@released
 def _repeated_windows(batches: Iterator[pa.RecordBatch], length: int, groups: int) -> Iterator[pa.RecordBatch]:
     """Round 3, second half: of each contested block, a bit for each window that a smaller document has."""
 

@@ -198,19 +198,27 @@ class Codec:
             out, spread = META.encode() + out, np.concatenate([np.repeat(source[:1], 3), spread])
         return out, np.append(spread, source[-1])
 
-    def spans(self, text: str | None, ids: list[int]) -> list[tuple[int, int]]:
-        """Original byte span of each id but the end; a dummy prefix alone covers nothing.
+    def borders(self, text: str | None, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the original bytes of each id but the end begin and end; a dummy prefix alone covers nothing.
 
         The model must have byte fallback: an unknown piece would cover any number of bytes.
         """
-        text = text or ""
-        normal, source = self.normalise(text)
-        body = np.array(ids[:-1], np.int64)
-        sizes = self.sizes[body]
+        normal, source = self.normalise(text or "")
+        sizes = self.sizes[np.array(ids[:-1], np.int64)]
         ends = np.cumsum(sizes)
-        if len(ends) and ends[-1] != len(normal):
-            raise ValueError(f"pieces cover {ends[-1]} of {len(normal)} normalised bytes")
-        return list(zip(source[ends - sizes].tolist(), source[ends].tolist(), strict=True))
+        if (ends[-1] if len(ends) else 0) != len(normal):
+            raise ValueError(f"pieces cover {sizes.sum()} of {len(normal)} normalised bytes")
+        return source[ends - sizes], source[ends]
+
+    def spans(self, text: str | None, ids: list[int]) -> list[tuple[int, int]]:
+        """Original byte span of each id but the end."""
+        begins, ends = self.borders(text, ids)
+        return list(zip(begins.tolist(), ends.tolist(), strict=True))
+
+    def aligned(self, texts: list[str | None]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, str]]:
+        """(all ids, begins and ends of the original bytes of each but the end id, decoded text) of each text."""
+        for text, (ids, back) in zip(texts, self.encode(texts), strict=True):
+            yield ids, *self.borders(text, ids), back
 
 
 def _trimmed(raw: bytes, source: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -240,8 +248,8 @@ def _digests(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.Recor
     hexed = lambda s: hashlib.sha256(s.encode()).hexdigest()
     for batch in batches:
         n, shown, back = [], [], []
-        for ids, text in c.encode(batch.column(1).to_pylist()):
-            n.append(len(ids))
+        for ids, begins, _, text in c.aligned(batch.column(1).to_pylist()):
+            n.append(len(begins) + 1)
             shown.append(hexed(c.shown(ids)))
             back.append(hexed(text))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(shown), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -253,9 +261,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.Recor
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
         for i in range(batch.num_rows):
-            text = batch.column(1)[i].as_py()
-            ((ids, decoded),) = c.encode([text])
-            spans = [{"begin": a, "end": b} for a, b in c.spans(text, ids)]
+            ((ids, begins, ends, decoded),) = c.aligned([batch.column(1)[i].as_py()])
+            spans = [{"begin": a, "end": b} for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([ids], pa.list_(pa.int32())), pa.array([spans], span), pa.array([decoded])], ["doc_id", "ids", "spans", "decoded"])
 
 
@@ -271,7 +278,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of whole texts."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of whole texts, each normalised and aligned as in `encode`."""
     return _mapped(docs, _digests, model, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 

@@ -242,6 +242,23 @@ def test_sentencepiece_frames(spark):
     assert sentencepieces.digests(frame(spark, []), sentencepieces.default_model()).count() == 0
 
 
+def test_sentencepiece_digests_are_aligned(monkeypatch):
+    import pyarrow as pa
+
+    model = sentencepieces.default_model()
+    c, seen = sentencepieces.codec(model), []
+    texts = ["ab  é\n🙂", None, "", " lead"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts)], ["doc_id", "text"])
+    normalise = c.normalise
+    monkeypatch.setattr(c, "normalise", lambda t: seen.append(t) or normalise(t))
+    (out,) = sentencepieces._digests(iter([batch]), model)
+    assert seen == [t or "" for t in texts]
+    assert out.column(1).to_pylist() == [len(c.spans(t, ids)) + 1 for t, (ids, _) in zip(texts, c.encode(texts), strict=True)]
+    monkeypatch.setattr(c, "normalise", lambda t: normalise(t + "x"))
+    with pytest.raises(ValueError):
+        list(sentencepieces._digests(iter([batch]), model))
+
+
 # --- 9 ---
 
 

@@ -5,14 +5,17 @@ is parsed greedily from left to right into the longest phrases that occur in the
 the automaton gives every longest match in linear time. The phrases for each character are the
 language's estimate of cross entropy, and the language that needs the fewest wins.
 
-The sample: whole labelled documents in the order of a hash of doc_id, of between 200 and 6,000
-characters, until `sample_chars` for each language, from at most `sample_rows` of them. Only text
-and lang of rows with a lang and with crc32(doc_id as text) mod 3 other than 1 are read.
+The sample: labelled documents until `sample_chars` for each language. First come whole ones of 200
+to 6,000 characters, at most `sample_rows`, in the order of a hash of doc_id. A language whose such
+documents give fewer characters and are fewer than `sample_rows` takes others as well: longer ones
+for the rows that are left, each cut to `sample_chars`, then shorter ones, longest first, that
+count together as a row for each 200 characters. Only text and lang of rows with a lang and with
+crc32(doc_id as text) mod 3 other than 1 are read.
 
 All documents of a batch, cut into pieces of `PIECE` characters, walk all automata in step: a
 piece's end ends a phrase, for all languages alike. Letters are case-folded, other characters are
 one class. Null text, or text without a letter, is `und` with score 0, as is every document when
-there is no labelled row. Ties go to the language that sorts first. Rows are judged one by one.
+there is no labelled row with a letter. Ties go to the language that sorts first. Rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from attesta.llm.common import released, small_batches, table
 
 UNDETERMINED = "und"
 PIECE = 256
+#: Characters of the documents that are learned from first.
+LEAST, MOST = 200, 6_000
 _BATCH_CHARS = 1 << 20
 
 
@@ -172,21 +177,50 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def learn(docs: DataFrame, *, sample_chars: int = 24_000, sample_rows: int = 60) -> dict[str, str]:
-    """Sample text of each language; at most `sample_rows` rows of each reach the driver."""
+    """Sample text of each language; `sample_rows` rows of each, or their worth in short texts, reach the driver."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.length("text").between(200, 6000))
-    rows = rows.select("lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), "text")
-    # A hash bound first: about a hundred times the rows that are wanted, so that sorting is little.
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = rows.where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
+    size = F.length("text")
+    kind = F.when(size < LEAST, "short").when(size > MOST, "long").otherwise("usual")
+    rows = rows.select("lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.substring("text", 1, max(MOST, sample_chars)).alias("text"), size.alias("size"), kind.alias("kind"))
+    counts: dict[str, dict[str, int]] = {}
+    for r in rows.groupBy("lang", "kind").count().collect():
+        counts.setdefault(r["lang"], {})[r["kind"]] = r["count"]
+
+    def first(lang: str, kind: str, most: int) -> list[str]:
+        """Texts of a kind, the least hashes first."""
+        # A hash bound first: about four times the rows that are wanted, so that sorting is little.
+        bound = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, 4 * most / counts[lang][kind]) * (1 << 64)))
+        few = rows.where((F.col("lang") == lang) & (F.col("kind") == kind) & (F.col("h") <= bound))
+        return [r["text"].lower() for r in few.orderBy("h", "text").limit(most).collect()]
+
     samples = {}
     for lang, n in counts.items():
-        bound = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, 4 * sample_rows / n) * (1 << 64)))
-        few = rows.where((F.col("lang") == lang) & (F.col("h") <= bound)).orderBy("h", "text").limit(sample_rows).collect()
         picked: list[str] = []
-        for r in few:
-            if sum(map(len, picked)) < sample_chars:
-                picked.append(r["text"].lower())
-        if picked:
+        found = 0
+
+        def take(texts: list[str]) -> None:
+            nonlocal found
+            for t in texts:
+                if found < sample_chars:
+                    picked.append(t)
+                    found += len(t)
+
+        if "usual" in n:
+            take(first(lang, "usual", sample_rows))
+        left = sample_rows - n.get("usual", 0)
+        if "long" in n and left > 0 and found < sample_chars:
+            take([t[:sample_chars] for t in first(lang, "long", left)])
+            left -= n["long"]
+        if "short" in n and left > 0 and found < sample_chars:
+            # Only texts with a letter teach anything; each has a character at least, which bounds the rows.
+            wanted = min(sample_chars - found, left * LEAST)
+            few = rows.where((F.col("lang") == lang) & (F.col("kind") == "short") & F.col("text").rlike(r"\p{L}"))
+            for r in few.orderBy(F.desc("size"), "h", "text").limit(wanted).collect():
+                if wanted > 0:
+                    take([r["text"].lower()])
+                    wanted -= r["size"]
+        if any(map(str.isalpha, "".join(picked))):
             samples[lang] = "\n".join(picked)
     return samples
 

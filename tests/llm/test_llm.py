@@ -319,6 +319,23 @@ def test_language(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_language_with_only_short_or_long_texts(spark):
+    words = {"aa": "tak mok lap", "bb": "dre vin zul", "cc": "qor pex hyb"}
+    text = lambda lang, n, i: " ".join(random.Random(i).choices(words[lang].split(), k=n))
+    rows = [(i, text(lang, n, i), lang) for lang, n, start in (("aa", 80, 0), ("bb", 8, 100), ("cc", 7000, 200)) for i in range(start, start + 40)]
+    docs = spark.createDataFrame([*rows, (300, None, "dd"), (301, "", "dd"), (303, "12 34", "dd")], "doc_id long, text string, lang string")
+    samples = language_id.learn(docs)
+    assert sorted(samples) == ["aa", "bb", "cc"]
+    assert len(samples["bb"]) > 500 and len(samples["cc"]) == 24_000
+    got = language_id.identify(docs, samples).join(docs.select("doc_id", "lang"), "doc_id").where("lang <> 'dd'").collect()
+    assert all(r.lang_pred == r.lang for r in got)
+    short = docs.where("lang = 'bb'")
+    assert language_id.keep_known(short, language_id.learn(short)).count() == 40
+    few = language_id.learn(short, sample_rows=1)["bb"]
+    assert 200 <= len(few.replace("\n", "")) < 240
+    assert language_id.learn(docs.where("lang <> 'cc'"), sample_rows=1)["aa"] in {t for _, t, lang in rows if lang == "aa"}
+
+
 def test_language_ignores_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     other = docs.withColumn("text", F.when(language_id.held_out(), "zzz").otherwise(F.col("text"))).withColumn("lang", F.when(language_id.held_out(), "xx").otherwise(F.col("lang")))

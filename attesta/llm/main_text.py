@@ -4,8 +4,10 @@ A page is read as a sequence of tags and runs of words. Weights come from labell
 element (its tag, and the words of its class, id and role) has the log-odds that a word under it
 is main text, and each tag kind the log-odds that the tag stands inside main text. A run scores
 its words times the weight of its place, a tag scores below zero, and one linear scan finds the
-contiguous region of the highest sum. Runs in that region whose place weighs below zero, such as
-an advert between paragraphs, are left out.
+contiguous region of the highest sum. Where that region has text of an article or main element, all
+other text straight under the same element belongs to it too, so that a short title before a long
+notice stays. Runs whose place weighs below zero, such as an advert between paragraphs, are left
+out.
 
 Character references are decoded after markup is gone; white space inside a block, line breaks
 included, becomes one space; blocks are joined by one line feed, empty ones go. Null html is
@@ -107,6 +109,11 @@ class Places:
             self.open.append((name, features(name, attributes, inside)))
 
 
+def container(open_elements: list[tuple[str, tuple[str, ...]]]) -> tuple | None:
+    """The innermost open article or main; one object for each time that one was opened."""
+    return next((x for x in reversed(open_elements) if x[0] in ("article", "main")), None)
+
+
 class Weights:
     """Log-odds of element features, of tags, and of a word without any."""
 
@@ -153,7 +160,7 @@ def extract(page: str | None, weights: Weights) -> tuple[str, tuple[int, int]]:
         if kind == "text":
             n = len(value.split())
             w = weights.place(places.open)
-            runs.append((block, value, w, len(scores)))
+            runs.append((block, value, w, len(scores), container(places.open)))
             scores.append(n * w)
         else:
             if kind == "tag":
@@ -161,7 +168,7 @@ def extract(page: str | None, weights: Weights) -> tuple[str, tuple[int, int]]:
                 if value[1] not in INLINE:
                     block += 1
                 elif value[1] == "br":
-                    runs.append((block, " ", None, len(scores)))
+                    runs.append((block, " ", None, len(scores), container(places.open)))
             scores.append(weights.tag)
     best, begin, end, total, start = 0.0, 0, 0, 0.0, 0
     for i, s in enumerate(scores):
@@ -170,9 +177,10 @@ def extract(page: str | None, weights: Weights) -> tuple[str, tuple[int, int]]:
         total += s
         if total > best:
             best, begin, end = total, start, i + 1
+    seeds = {id(c) for _, text, w, i, c in runs if begin <= i < end and w and w > 0 and c and text.strip()}
     blocks: dict[int, list[str]] = {}
-    for of, text, w, i in runs:
-        if begin <= i < end and (w is None or w > 0):
+    for of, text, w, i, c in runs:
+        if (begin <= i < end or id(c) in seeds) and (w is None or w > 0):
             blocks.setdefault(of, []).append(text)
     lines = (" ".join(entities.unescape("".join(parts)).split()) for parts in blocks.values())
     return "\n".join(x for x in lines if x), (begin, end)

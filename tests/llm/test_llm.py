@@ -403,6 +403,17 @@ def test_extraction_of_usual_layouts():
     assert main_text.extract(plain, w)[0] == f"Title\n{words}.\n{words} too."
 
 
+def test_main_text_beside_long_boilerplate():
+    w = main_text.default_weights()
+    words = "Plain words make up the story that is told here at length , with care . " * 4
+    notice = "<div class='ad'>" + "buy this now and save a lot of money today " * 6 + "</div>"
+    body = words.strip()
+    assert main_text.extract(f"<article><h1>Short title</h1>{notice}<p>{words}</p></article>", w)[0] == f"Short title\n{body}"
+    assert main_text.extract(f"<main><p>{words}</p>{notice}<p>The<br>end.</p></main>", w)[0] == f"{body}\nThe end."
+    page = f"<main><article><h1>One</h1>{notice}<p>{words}</p></article>{notice}<article><p>Other teaser</p></article></main>"
+    assert main_text.extract(page, w)[0] == f"One\n{body}"
+
+
 def test_extraction_of_cut_pages():
     w = main_text.default_weights()
     assert main_text.extract("<article><p>Some words here now</p><p>and mo", w)[0] == "Some words here now\nand mo"

@@ -9,6 +9,10 @@ other text straight under the same element belongs to it too, so that a short ti
 notice stays. Runs whose place weighs below zero, such as an advert between paragraphs, are left
 out.
 
+Scripts, styles, text areas and titles go up to their end tag, or the end of the page; closed
+noscript, template, select, svg and iframe elements go whole. One that is empty by '/>', or never
+closed, is a tag like any other. The text of math and object stays.
+
 Character references are decoded after markup is gone; white space inside a block, line breaks
 included, becomes one space; blocks are joined by one line feed, empty ones go. Null html is
 empty, and a page without words of weight gives an empty text. Rows are independent: repeated rows
@@ -32,7 +36,8 @@ from attesta.llm.common import released, small_batches, table
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|select|svg|math|iframe|object|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"""|<(noscript|template|select|svg|iframe)(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*(?<!/)>.*?</\2\s*>"""
     r"|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)"""
     r"|<(?=/?[a-zA-Z])[^>]*(?:>|\Z)"
@@ -44,6 +49,8 @@ _HIDDEN = re.compile(r"""aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I
 _BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?=$|\s|=)", re.I)
 _QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+#: Formulas, icons and embedded things stand in a line too.
+INLINE |= {"math", "mfrac", "mi", "mn", "mo", "mover", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtext", "munder", "munderover", "semantics", "annotation", "svg", "object", "iframe"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: An opening tag of these ends an open one of the same kind.
 _ENDS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -74,9 +81,9 @@ def _events(page: str) -> Iterator[tuple[str, tuple | str]]:
         if m.start() > last:
             yield "text", page[last : m.start()]
         last = m.end()
-        if m[3]:
-            yield "tag", (bool(m[2]), m[3].lower(), m[4] or "")
-        elif m[1] or m[0].startswith("<!--"):
+        if m[4]:
+            yield "tag", (bool(m[3]), m[4].lower(), m[5] or "")
+        elif m[1] or m[2] or m[0].startswith("<!--"):
             yield "gap", m[0]
     if last < len(page):
         yield "text", page[last:]

@@ -403,6 +403,18 @@ def test_extraction_of_usual_layouts():
     assert main_text.extract(plain, w)[0] == f"Title\n{words}.\n{words} too."
 
 
+def test_main_text_foreign_elements():
+    w = main_text.default_weights()
+    get = lambda inner: main_text.extract(f"<article><p>Some plain words here {inner} and more of them</p><p>The end</p></article>", w)[0]
+    rest = "and more of them\nThe end"
+    for empty in ("<svg class='i'/>", "<svg a='>' />", "<math/>", "<svg class='i'><path d='M0'/><text>gone</text></svg>", "<svg class='i'>", "<iframe src='x'>", "<select-box></select-box>", "<object data='x'></object>"):
+        assert get(empty).replace("here\n", "here ").replace("\nand", " and") == f"Some plain words here {rest}", empty
+    assert get("<svg class='i'/>") == get("<svg class='i'></svg>") == f"Some plain words here {rest}"
+    assert get("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>") == f"Some plain words here x=2 {rest}"
+    assert get("<object data='x'>fallback</object>") == f"Some plain words here fallback {rest}"
+    assert get("<script>never ends") == "Some plain words here"
+
+
 def test_main_text_beside_long_boilerplate():
     w = main_text.default_weights()
     words = "Plain words make up the story that is told here at length , with care . " * 4

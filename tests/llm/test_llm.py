@@ -156,6 +156,26 @@ def test_decontaminate(spark, sf, real):
     assert clean == {r.doc_id for r in decontaminate.remove_documents(frame(spark, rows, extra=False), bench, most_windows=300).collect()}
 
 
+def test_decontaminate_is_alike_at_every_size(spark):
+    """Repeated ids with other texts of as many words, equal rows, null ids, null items, one long item."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    items = [(k, " ".join(word() for _ in range(20))) for k in range(30)] + [(None, " ".join(word() for _ in range(15))), (7, "x1 x2 x3"), (50, " ".join(word() for _ in range(9000)))]
+    plain = lambda n: " ".join(word() for _ in range(n))
+    long = items[-1][1].split()
+    rows = [(1, items[0][1] + " " + items[1][1]), (1, plain(40)), (2, plain(12)), (2, plain(12)), (None, items[2][1]), (None, plain(20)), (3, items[-3][1] + " tail"), (4, None), (5, "x1 x2 x3"), (5, "x1 x2 x3")]
+    rows += [(6, " ".join(long[4090:4110])), (7, " ".join([*items[3][1].split()[:14], "zz", *items[4][1].split()[:13], *items[5][1].split()])), (8, plain(500) + " " + items[6][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    flat = lambda df: sorted((repr(r.doc_id), r.n_words, r.n_hit, tuple(r["items"]), tuple(map(tuple, r.spans))) for r in df.collect())
+    one, many = (decontaminate.scan(frame(spark, rows), bench, most_windows=m) for m in (2_000_000, 900))
+    assert flat(one) == flat(many) == flat(decontaminate.scan(frame(spark, rows), bench, most_bytes=2000))
+    want = sorted((repr(d), *decontaminate.brute_force([(d, t)], items)[d][:3]) for d, t in rows)
+    assert [(i, w, h, len(x)) for i, w, h, x, _ in flat(one)] == want
+    kept = [sorted(map(repr, decontaminate.remove_documents(frame(spark, rows, extra=False), bench, most_windows=m).collect())) for m in (2_000_000, 900)]
+    assert kept[0] == kept[1]
+    assert len(kept[0]) == sum(not decontaminate.brute_force([(d, t)], items)[d][4] for d, t in rows)
+
+
 def test_decontaminate_odd_inputs(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert [tuple(r)[1:3] for r in decontaminate.scan(frame(spark, [(1, "a b"), (2, None)]), bench).orderBy("doc_id").collect()] == [(2, 0), (0, 0)]

@@ -1,14 +1,17 @@
 """Secret scans with corpus-wide ownership, DataFrame functions only.
 
 Base candidates are matches of three patterns. Each candidate's value is hashed, and the hashes
-are counted over the whole corpus by distinct repository and owner: a value that several owners
-share is a widely copied example; one that stays with one owner looks live, and its exact span is
-added as kind `live`. Counting runs over distinct (hash, owner, repository) rows that map-side
-combines have thinned, so a value in a third of all documents costs a row for each task and owner.
+are counted over the whole corpus by distinct repository and owner: a value of `example_owners`
+owners or `example_repositories` repositories is a widely copied example; any other stays close to
+its owner and looks live, and its exact span is added as kind `live`. Counting runs over distinct
+(hash, owner, repository) rows that map-side combines have thinned, so a value in a third of all
+documents costs a row for each task, owner and repository; the join that brings the verdict back
+has one row for each value on its small side, so that Spark splits the other where it is skewed.
 
 Positions are code points. `split` gives the text between matches, so the lengths of both, summed
-up, place every match. Null text is empty; a null owner or repository counts as one of that name;
-repeated rows each give their row and count once as owners; an empty table gives an empty result.
+up, place every match; sums run in stretches of matches, so that a text with very many costs in
+proportion. Null text is empty; a null owner or repository counts as one of that name; repeated
+rows each give their row and count once as owners; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,12 +31,37 @@ KINDS = ("assign", "access", "hex", "live")
 LEAST_VALUE = 12
 
 
+#: Matches whose places are summed up in one go.
+STRETCH = 256
+
+
+def _bound(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(sizes: Column) -> Column:
+    """Sums of the values before each one: array<int> in stretches, then stretches moved on by what is before them."""
+
+    def stretch(part: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda acc, x: F.struct((acc.at + x).alias("at"), F.concat(acc.out, F.array(acc.at)).alias("out"))
+        return F.aggregate(part, begin, step)
+
+    def moved(parts: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<int>>").alias("out"))
+        step = lambda acc, p: F.struct((acc.at + p.at).alias("at"), F.concat(acc.out, F.array(F.transform(p.out, lambda x: x + acc.at))).alias("out"))
+        return F.flatten(F.aggregate(parts, begin, step, lambda acc: acc.out))
+
+    cut = lambda whole: F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / STRETCH).cast("int")), lambda k: stretch(F.slice(whole, k * STRETCH + 1, F.lit(STRETCH))))
+    return _bound(sizes, lambda whole: _bound(cut(whole), moved))
+
+
 def _starts(text: Column, pattern: str, matches: Column) -> Column:
-    """Where each match begins: the texts before it and the matches before it, summed up."""
-    sizes = F.zip_with(F.split(text, pattern, -1), matches, lambda gap, m: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(m), F.lit(0)).alias("size")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-    step = lambda acc, x: F.struct((acc.at + x.gap + x.size).alias("at"), F.concat(acc.out, F.array(acc.at + x.gap)).alias("out"))
-    return F.aggregate(sizes, begin, step, lambda acc: acc.out)
+    """Where each match begins: what is before it, plus the gap before it; one more, for the text's end."""
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    whole = lambda g: F.zip_with(g, matches, lambda gap, m: gap + F.coalesce(F.length(m), F.lit(0)))
+    return _bound(gaps, lambda g: F.zip_with(_running(whole(g)), g, lambda before, gap: before + gap))
 
 
 def _located(kind: int, text: Column, pattern: str, matches: Column) -> Column:
@@ -65,30 +93,35 @@ def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     return rows.select("doc_id", "owner", "repository", F.coalesce(base, F.array().cast(none)).alias("base"), F.coalesce(values, F.array().cast("array<struct<hash:string,start:int,end:int>>")).alias("values"))
 
 
-def ownership(found: DataFrame, *, example_owners: int = 2) -> DataFrame:
+def ownership(found: DataFrame, *, example_owners: int = 2, example_repositories: int = 3) -> DataFrame:
     """hash, n_owners, n_repositories, live: of every candidate value in the corpus."""
     rows = found.select(F.explode("values.hash").alias("hash"), F.coalesce("owner", F.lit("\0")).alias("owner"), F.coalesce("repository", F.lit("\0")).alias("repository")).distinct()
     by_owner = rows.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
     counted = by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repositories"))
-    return counted.withColumn("live", F.col("n_owners") < example_owners)
+    return counted.withColumn("live", (F.col("n_owners") < example_owners) & (F.col("n_repositories") < example_repositories))
 
 
-def scan(docs: DataFrame, owner: Column, repository: Column, *, example_owners: int = 2) -> DataFrame:
-    """doc_id, base, all (spans with `live` ones), n_live, n_example for each row."""
+def scan(docs: DataFrame, owner: Column, repository: Column, *, example_owners: int = 2, example_repositories: int = 3) -> DataFrame:
+    """doc_id, base, all (spans with `live` ones), n_live, n_example, owned for each row.
+
+    owned: start, end, n_owners, n_repositories and live of each candidate value.
+    """
     ensure_checkpoint_dir(docs.sparkSession)
     # Texts are scanned once; what is kept of them is a few spans.
     found = candidates(docs, owner, repository).checkpoint()
-    held = found.where(F.size("values") > 0).withColumn("key", _shown(F.col("base")))
-    counts = ownership(found, example_owners=example_owners).select("hash", "live")
-    # Equal rows of one doc_id hold equal spans: they are judged once and joined to each.
+    held = found.where(F.size("values") > 0).withColumn("key", F.xxhash64(_shown(F.col("base")), "values"))
+    counts = ownership(found, example_owners=example_owners, example_repositories=example_repositories)
+    # Equal rows of one doc_id hold equal values: they are judged once and joined to each.
     values = held.select("doc_id", "key", F.explode("values").alias("v")).distinct()
-    judged = values.join(counts, values.v.hash == counts.hash)
-    live = F.struct(F.col("v.start").alias("start"), F.lit(3).alias("kind"), F.col("v.end").alias("end"))
-    of = judged.groupBy("doc_id", "key").agg(F.collect_set(F.when(F.col("live"), live)).alias("live"), F.count_distinct(F.when(~F.col("live"), F.col("v"))).alias("n_example"))
-    of = of.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "live", "n_example")
-    with_some = held.join(of, held.doc_id.eqNullSafe(of.d) & (held.key == of.k)).select("doc_id", "base", F.concat("base", "live").alias("all"), F.size("live").cast("bigint").alias("n_live"), "n_example")
-    without = found.where(F.size("values") == 0).select("doc_id", "base", F.col("base").alias("all"), F.lit(0).cast("bigint").alias("n_live"), F.lit(0).cast("bigint").alias("n_example"))
-    return with_some.unionByName(without)
+    judged = values.join(counts, values.v.hash == counts.hash).select("doc_id", "key", F.struct("v.start", "v.end", "n_owners", "n_repositories", "live").alias("o"))
+    of = judged.groupBy("doc_id", "key").agg(F.array_sort(F.collect_set("o")).alias("owned"))
+    of = of.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "owned")
+    live = F.transform(F.filter("owned", lambda o: o.live), lambda o: F.struct(o.start.alias("start"), F.lit(3).alias("kind"), o.end.alias("end")))
+    none = "array<struct<start:int,end:int,n_owners:bigint,n_repositories:bigint,live:boolean>>"
+    rows = found.where(F.size("values") == 0).select("doc_id", "base", F.array().cast(none).alias("owned"))
+    rows = rows.unionByName(held.join(of, held.doc_id.eqNullSafe(of.d) & (held.key == of.k)).select("doc_id", "base", F.col("owned").cast(none).alias("owned")))
+    n_live = F.size(F.filter("owned", lambda o: o.live)).cast("bigint")
+    return rows.select("doc_id", "base", F.concat("base", F.array_distinct(live)).alias("all"), n_live.alias("n_live"), (F.size("owned") - n_live).alias("n_example"), "owned")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +133,22 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def brute_force_live(rows: list[tuple], example_owners: int = 2, example_repositories: int = 3) -> list[set[tuple[int, int]]]:
+    """Spans of live values of each (text, owner, repository)."""
+    values, places = [], {}
+    for text, owner, repository in rows:
+        mine = []
+        for kind, pattern in enumerate((ASSIGN, r"AKIA[A-Z0-9]+", r"[0-9a-f]+")):
+            for m in re.finditer(pattern, text or "", re.A):
+                v = m[2] if kind == 0 else m[0]
+                if len(v) >= (12, 18, 16)[kind]:
+                    mine.append((v, m.end() - len(v), m.end()))
+                    places.setdefault(v, set()).add((owner, repository))
+        values.append(mine)
+    live = {v for v, at in places.items() if len({o for o, _ in at}) < example_owners and len(at) < example_repositories}
+    return [{(a, b) for v, a, b in mine if v in live} for mine in values]
+
+
 def brute_force(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base spans, in order."""
     text, out = text or "", []

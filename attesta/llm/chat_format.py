@@ -2,7 +2,8 @@
 
 A turn is a list of parts (kind, text, ref, units). A visitor flattens them in order: text parts
 are escaped, image, audio and document parts become placeholders whose reference and expanded
-token count are recorded. A turn is written as
+token count are recorded. A part without a kind is text, a null part is an empty text, and one of
+any other kind becomes a placeholder of kind `other`, recorded without tokens. A turn is written as
 
     <|im_start|>role\\n body <|im_end|>\\n
 
@@ -33,7 +34,7 @@ PART = "struct<kind:string,text:string,ref:string,units:bigint>"
 TOKENS = {"image": 256, "audio": 25, "document": 512}
 _OUT = re.compile(r"<(\\*)\|")
 _IN = re.compile(r"<(\\*)\\\|")
-_HELD = re.compile(r"<\|(image|audio|document):(\d+)\|>")
+_HELD = re.compile(r"<\|(image|audio|document|other):(\d+)\|>")
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 
 
@@ -59,17 +60,31 @@ class Visitor:
     def __init__(self):
         self.attached = 0
 
-    def visit(self, part: dict) -> tuple[str, dict | None]:
-        kind = part.get("kind") or "text"
-        if kind == "text":
-            return escape(part.get("text") or ""), None
-        if kind not in TOKENS:
-            raise ValueError(f"no part of kind {kind!r} is known")
+    def visit(self, part: dict | None) -> tuple[str, dict | None]:
+        """What stands for a part, and the attachment that it records."""
+        part = part or {}
+        return getattr(self, f"visit_{part.get('kind') or 'text'}", self.visit_other)(part)
+
+    def visit_text(self, part: dict) -> tuple[str, None]:
+        return escape(part.get("text") or ""), None
+
+    def visit_image(self, part: dict) -> tuple[str, dict]:
+        return self.attach("image", part, TOKENS["image"])
+
+    def visit_audio(self, part: dict) -> tuple[str, dict]:
+        return self.attach("audio", part, TOKENS["audio"])
+
+    def visit_document(self, part: dict) -> tuple[str, dict]:
+        return self.attach("document", part, TOKENS["document"])
+
+    def visit_other(self, part: dict) -> tuple[str, dict]:
+        return self.attach("other", part, 0)
+
+    def attach(self, kind: str, part: dict, tokens: int) -> tuple[str, dict]:
         n, self.attached = self.attached, self.attached + 1
-        units = max(1, part.get("units") or 1)
-        return f"<|{kind}:{n}|>", {"n": n, "kind": kind, "ref": part.get("ref"), "tokens": TOKENS[kind] * units}
+        return f"<|{kind}:{n}|>", {"n": n, "kind": part["kind"], "ref": part.get("ref"), "tokens": tokens * max(1, part.get("units") or 1)}
 
-    def turn(self, role: str | None, parts: list[dict]) -> tuple[str, list[tuple[int, int]], list[dict]]:
+    def turn(self, role: str | None, parts: list[dict | None]) -> tuple[str, list[tuple[int, int]], list[dict]]:
         """(formatted turn, loss spans in it, attachments); only an assistant's text bears loss."""
         out, spans, attachments = START + _role_out(role or "") + "\n", [], []
         for part in parts:

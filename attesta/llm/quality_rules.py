@@ -7,7 +7,7 @@ those are compiled into one Spark column expression, so that scoring is a projec
 Statistics are taken over whole texts; null text is empty, and an empty text has zeros. Learning
 reads the text and `labels.quality` of rows with crc32(doc_id as text) mod 5 other than 0, at most
 `sample_rows` of them, in the order of a hash of doc_id; a document with several labels has the
-largest. Without labels of both kinds the score is the share of label 1, or 0.5 without any. Rows
+largest, one with several texts the least statistics. Without labels of both kinds the score is the share of label 1, or 0.5 without any. Rows
 are scored one by one; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -201,9 +201,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample_rows: int = 8000) -> tup
     picked = picked.withColumnRenamed("doc_id", "_id")
     # At most sample_rows pairs of numbers.
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select(F.struct("doc_id", "quality").alias("doc_id"), "text")
-    got = measure(texts).orderBy("doc_id.doc_id", *STATS).limit(2 * sample_rows).collect()
-    x = np.array([r[1:] for r in got], float).reshape(-1, len(STATS))
-    return fit(x, np.array([r[0]["quality"] for r in got], float))
+    got = measure(texts).groupBy("doc_id").agg(F.min(F.struct(*STATS)).alias("x")).orderBy("doc_id.doc_id").collect()
+    x = np.array([r["x"] for r in got], float).reshape(-1, len(STATS))
+    return fit(x, np.array([r["doc_id"]["quality"] for r in got], float))
 
 
 def score(docs: DataFrame, model: tuple[float, list[tuple[Rule, float]]]) -> DataFrame:
@@ -215,3 +215,23 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, learn(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def brute_force(text: str | None) -> list[float]:
+    """STATS of a text, character by character and word by word."""
+    import re
+
+    t = text or ""
+    words = [w.encode() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))]
+    n, chars = len(words), len(t)
+    wide = [c for c in t if ord(c) >= 0x80]
+    upper = [c for c in t if "A" <= c <= "Z" or "À" <= c <= "Þ"]
+    digits = [c for c in t if "0" <= c <= "9"]
+    letters = [c for c in t if "a" <= c.lower() <= "z" and ord(c) < 128] + wide
+    symbols = [c for c in t if 32 < ord(c) < 128 and not c.isalnum() and c not in ".,"]
+    over = lambda a, b: a / max(b, 1)
+    pairs = list(zip(words, words[1:], strict=False))
+    return [
+        n, over(sum(map(len, words)), n), over(len(upper), len(letters)), over(len(digits), chars), over(len(symbols), chars), over(t.count(".") + t.count(","), n), over(t.count(" "), chars), over(t.count("\n"), n), over(t.count("|"), n), over(t.count("!"), n),
+        over(sum(a == b for a, b in pairs), n), over(len(set(words)), n), over(len(set(pairs)), n - 1), over(sum(len(w) > 20 for w in words), n), over(len(letters), chars), over(len(wide), chars),
+    ]

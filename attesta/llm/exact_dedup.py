@@ -7,8 +7,11 @@ pairwise, round by round, until each document has one. Two texts are equal exact
 equally many blocks and ended with the same name.
 
 A block with very many copies would fill one bucket. Such blocks (over `hot_rows` occurrences and
-over a thousandth of all, so a thousand at most) are named from their distinct values, which a
-map-side combine leaves few of, and the at most thousand names are broadcast.
+over a hundred-thousandth of all, so a hundred thousand at most, which are told to all tasks by 8-byte
+checks) are named from their distinct values, which a map-side combine leaves few of; their
+occurrences are dealt out by as many salts as hold `hot_rows` each, and the names copied to those.
+Groups are summed up before the shuffle and joined back as a table of their own, so that Spark can
+split the rows of one hot group.
 
 Null text is empty. Rows are judged one by one: repeated rows of one doc_id are copies of each
 other, and all rows that bear the largest doc_id of a group are marked as kept. A null doc_id is
@@ -23,6 +26,8 @@ from pyspark.sql import functions as F
 from attesta.llm.common import ensure_checkpoint_dir, table
 
 BUCKET_ROWS = 4000
+#: A block with more than one in so many of all occurrences is hot.
+HOT_SHARE = 100_000
 
 
 def _rank_names(distinct_or_rows: DataFrame, keys: list[str], buckets: int, first_bucket: int = 0) -> DataFrame:
@@ -66,14 +71,17 @@ def name_texts(docs: DataFrame, text: Column | None = None, *, block_chars: int
     counted = blocks.groupBy(F.xxhash64("block").alias("fp")).count()
     counted = counted.checkpoint()
     total = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    # Over a thousandth of all blocks: a thousand rows at most, whatever the input.
-    hot_fp = counted.where(F.col("count") > max(hot_rows, total // 1000)).select("fp", F.lit(True).alias("hot"))
+    salts = F.ceil(F.col("count") / hot_rows).cast("int").alias("salts")
+    # At most HOT_SHARE rows of 12 bytes, whatever the input.
+    hot_fp = counted.where(F.col("count") > max(hot_rows, total // HOT_SHARE)).select("fp", salts)
     marked = blocks.withColumn("fp", F.xxhash64("block")).join(F.broadcast(hot_fp), "fp", "left")
     buckets = max(1, total // BUCKET_ROWS) + 16
     slim = lambda rows: rows.select("id", "h", "n", F.when(F.col("i") == 0, F.col("sha")).alias("sha"), "i", "name")
-    cold = slim(_rank_names(marked.where("hot is null").select("id", "h", "n", "sha", "i", "block"), ["block"], buckets))
-    hot_names = _rank_names(marked.where("hot").select("block").distinct(), ["block"], 16, buckets)
-    hot = slim(marked.where("hot").join(F.broadcast(hot_names), "block"))
+    cold = slim(_rank_names(marked.where("salts is null").select("id", "h", "n", "sha", "i", "block"), ["block"], buckets))
+    held = marked.where("salts is not null")
+    hot_names = _rank_names(held.select("block", "salts").distinct(), ["block"], 64, buckets)
+    copies = hot_names.select("block", "name", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    hot = slim(held.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("int")).join(copies, ["block", "salt"]))
     rows = cold.unionByName(hot).checkpoint()
     first = rows.where("i = 0").select("id", "h", "n", "sha", "name")
     most = first.agg(F.max("n")).first()[0] or 1
@@ -94,7 +102,7 @@ def exact_dedup(docs: DataFrame, text: Column | None = None, **options) -> DataF
     """doc_id, keep_id, group_size, kept, text_sha256 for each row; the largest doc_id of equal texts stays."""
     ensure_checkpoint_dir(docs.sparkSession)
     named = name_texts(docs, text, **options).checkpoint()
-    groups = named.groupBy("n", "name").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = named.groupBy("n", "name").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).checkpoint()
     return named.join(groups, ["n", "name"]).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256")
     )

@@ -7,16 +7,19 @@ uniform prior, m matches of k leave P(similarity >= threshold) = P(Binomial(k +
 and a pair is dropped where that falls below the tolerance. What is left links texts to candidate
 components, in which every pair is then verified exactly on the shingles.
 
-Nothing is quadratic in rows: bands and blocks emit a spanning forest and counts, never all pairs.
-A band bucket over `bucket_rows`, and a component over `block_rows` texts or `block_chars`
-characters, is dealt in blocks, each pair of blocks to a task. Within a bucket, texts already
-linked aren't compared again; within a component all pairs are, since links are counted.
+Bands and blocks emit a spanning forest and counts, never all pairs, and classes stand for their
+copies. Counting links exactly compares the different texts of one component with each other: that
+work, alone, grows with the square of a component's different texts. It is dealt out evenly: a band
+bucket over `bucket_rows`, and a component over `block_rows` texts or `block_chars` characters, goes
+in blocks, each pair of blocks to a task. Within a bucket, texts already linked aren't compared again.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased. A text of one
 to four words is one shingle; null text and texts without words have none and no link, not to
-each other either. Repeated rows of one doc_id are copies: they share a class. A null doc_id is
-left out of the join, as it can't be named in a group, and comes back as its own class without
-links. An empty table gives an empty result; other columns are ignored.
+each other either. Rows are told apart by doc_id and a 64-bit hash of the text: rows of one doc_id
+with several texts are in the class of each text, repeated rows share a class, and rows with equal
+doc_id and text stay or go together. A doc_id may be of any type that sorts. A null doc_id is left
+out of the join, as it can't be named in a group, and comes back as its own class without links. An
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -88,8 +91,9 @@ def signatures(hashes: np.ndarray, borders: np.ndarray) -> np.ndarray:
 
 @released
 def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """doc, tk, text -> doc, tk, shingles, two sums that tell sets apart, bytes, signature."""
     for batch in batches:
-        data, borders = text_buffer(batch.column(1))
+        data, borders = text_buffer(batch.column(2))
         n, one, two, sig = [], [], [], []
         for i, j in chunks(borders, CHUNK_BYTES):
             hashes, at = shingles(data[borders[i] : borders[j]], borders[i : j + 1] - borders[i], size)
@@ -101,7 +105,8 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             sig += [s.tobytes() for s in signatures(hashes, at)]
         cat = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
         sizes = np.diff(borders) if len(borders) > 1 else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cat(n), pa.int64()), pa.array(cat(one), pa.int64()), pa.array(cat(two), pa.int64()), pa.array(sizes, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "n", "h1", "h2", "bytes", "sig"])
+        columns = [pa.array(cat(x), pa.int64()) for x in (n, one, two)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, pa.array(sizes, pa.int64()), pa.array(sig, pa.binary())], ["doc", "tk", "n", "h1", "h2", "bytes", "sig"])
 
 
 def least_matches(steps: tuple[int, ...], threshold: float, tolerance: float) -> dict[int, int]:
@@ -190,10 +195,10 @@ def _borders(t: pa.Table, keys: int) -> np.ndarray:
 
 @released
 def _candidate_edges(batches: Iterator[pa.RecordBatch], pruner: Pruner) -> Iterator[pa.RecordBatch]:
-    """key, i, j, side, doc, sig in runs -> edges of a forest over the pairs that survive."""
+    """key, i, j, side, node, sig in runs -> edges of a forest over the pairs that survive."""
     small = 12
     for t in runs(batches, 3):
-        docs, side = t.column("doc").to_numpy(), t.column("side").to_numpy()
+        docs, side = t.column("node").to_numpy(), t.column("side").to_numpy()
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint16).reshape(-1, VALUES)
         at = _borders(t, 3)
         sizes = np.diff(at)
@@ -248,22 +253,22 @@ def exact_links(hashes: np.ndarray, borders: np.ndarray, threshold: float, colum
 
 @released
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc, text -> doc, size, zip: texts are most of what the join by doc moves."""
+    """doc, tk, text -> doc, tk, size, zip: texts are most of what the join by row moves."""
     codec = pa.Codec("zstd", 3)
     for batch in batches:
-        raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, raw), pa.int64()), pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())], ["doc", "size", "zip"])
+        raw = [(t or "").encode() for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, raw), pa.int64()), pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())], ["doc", "tk", "size", "zip"])
 
 
 @released
 def _verified(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> Iterator[pa.RecordBatch]:
-    """comp, i, j, side, doc, copies, size, zip in runs -> links of each doc, and forest edges (a, b)."""
+    """comp, i, j, side, node, copies, size, zip in runs -> links of each node, and forest edges (a, b)."""
     codec = pa.Codec("zstd", 3)
     for t in runs(batches, 3):
-        # A doc_id that is repeated in the input counts once.
-        t = t.filter(pa.array(np.concatenate([[True], np.logical_or.reduce([np.diff(t.column(c).to_numpy()) != 0 for c in (0, 1, 2, "doc")])])))
+        # A row that is repeated in the input counts once.
+        t = t.filter(pa.array(np.concatenate([[True], np.logical_or.reduce([np.diff(t.column(c).to_numpy()) != 0 for c in (0, 1, 2, "node")])])))
         at = _borders(t, 3)
-        docs, side, copies, size_of = (t.column(c).to_numpy() for c in ("doc", "side", "copies", "size"))
+        docs, side, copies, size_of = (t.column(c).to_numpy() for c in ("node", "side", "copies", "size"))
         a, b, links = [], [], []
         for s, e in zip(at[:-1], at[1:], strict=True):
             raw = b"".join(codec.decompress(z, n, asbytes=True) for z, n in zip(t.column("zip").slice(s, e - s).to_pylist(), size_of[s:e].tolist(), strict=True))
@@ -288,62 +293,77 @@ def _dealt(rows: DataFrame, key: str, blocks: str, columns: list[str]) -> DataFr
 
     Columns key, i, j, side (-1: all pairs of the run are of interest; 0, 1: those across), columns.
     """
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc", F.lit(7)), F.col(blocks)).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col(blocks)).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(blocks).cast("int") - 1)))
     side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
     return rows.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), *columns)
 
 
 def _in_runs(rows: DataFrame, key: str, work: Callable, schema: str) -> DataFrame:
-    return rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "doc").mapInArrow(work, schema)
+    return rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node").mapInArrow(work, schema)
 
 
-def jaccard_join(
-    docs: DataFrame, *, size: int = 5, threshold: float = 0.8, tolerance: float = 1e-5, bucket_rows: int = 4096, block_rows: int = 512, block_chars: int = 4 << 20
-) -> DataFrame:
-    """doc_id, class_id, n_links, copy_of for each row.
+def jaccard_join(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id, n_links, copy_of for each row; options as in `_joined`.
 
     class_id: the least doc_id that links lead to. n_links: other rows with similarity of at least
     the threshold, copies among them. copy_of: the least doc_id with the same shingles.
     """
+    return _joined(docs, **options).select("doc_id", "class_id", "n_links", "copy_of")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").alias("doc"), F.xxhash64(text).alias("tk"), text.alias("text"))
+
+
+def _joined(
+    docs: DataFrame, *, size: int = 5, threshold: float = 0.8, tolerance: float = 1e-5, bucket_rows: int = 4096, block_rows: int = 512, block_chars: int = 4 << 20
+) -> DataFrame:
+    """doc_id, tk (hash of the text), class_id, class_tk, n_links, copy_of for each row."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     small_batches(spark)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc"), F.col("text").cast("string").alias("text"))
-    signed = texts.mapInArrow(lambda b: _signed(b, size), "doc bigint, n bigint, h1 bigint, h2 bigint, bytes bigint, sig binary").checkpoint()
+    texts = _rows(docs)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    signed = texts.mapInArrow(lambda b: _signed(b, size), f"doc {kind}, tk bigint, n bigint, h1 bigint, h2 bigint, bytes bigint, sig binary").checkpoint()
     real = signed.where("n > 0 and doc is not null")
-    classes = real.groupBy("n", "h1", "h2").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("bytes").alias("bytes")).checkpoint()
-    firsts = classes.select(F.col("rep").alias("doc"), "copies", "bytes")
+    # Equal sets have equal signatures. A class is known by a number from here on.
+    classes = real.groupBy("n", "h1", "h2").agg(F.min(F.struct("doc", "tk")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("bytes").alias("bytes"), F.first("sig").alias("sig"))
+    classes = classes.withColumn("node", F.monotonically_increasing_id()).checkpoint()
 
-    # One signature for each class: rows that repeat the least doc_id are alike.
-    sigs = real.join(classes.select("n", "h1", "h2", F.col("rep").alias("doc")), ["n", "h1", "h2", "doc"], "left_semi").dropDuplicates(["doc", "n", "h1", "h2"]).select("doc", "sig")
+    sigs = classes.select("node", "sig")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (2 * ROWS) + 1, F.lit(2 * ROWS))))
-    banded = sigs.select("doc", F.explode(bands).alias("key"))
+    banded = sigs.select("node", F.explode(bands).alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").withColumn("blocks", F.ceil(F.col("m") / bucket_rows))
-    held = banded.join(shared.drop("m"), "key").join(sigs, "doc")
+    held = banded.join(shared.drop("m"), "key").join(sigs, "node")
     pruner = Pruner(threshold, tolerance)
-    candidates = _in_runs(_dealt(held, "key", "blocks", ["doc", "sig"]), "key", lambda b: _candidate_edges(b, pruner), "a bigint, b bigint").distinct()
+    candidates = _in_runs(_dealt(held, "key", "blocks", ["node", "sig"]), "key", lambda b: _candidate_edges(b, pruner), "a bigint, b bigint").distinct()
 
-    linked = components(candidates)
-    sized = linked.join(firsts, linked.node == firsts.doc).select(F.col("root").alias("comp"), "doc", "copies", "bytes")
+    sized = components(candidates).join(classes.select("node", "rep", "copies", "bytes"), "node").withColumnRenamed("root", "comp")
     extent = sized.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("bytes") / block_chars), F.lit(1)).alias("blocks"))
-    members = sized.join(extent, "comp").select("comp", "doc", "copies", "blocks")
-    whole = members.join(texts.mapInArrow(_packed, "doc bigint, size bigint, zip binary"), "doc")
-    links = _in_runs(_dealt(whole, "comp", "blocks", ["doc", "copies", "size", "zip"]), "comp", lambda b: _verified(b, size, threshold), "a bigint, b bigint, links bigint").checkpoint()
-
-    roots = components(links).select(F.col("node").alias("rep"), "root")
-    counts = links.groupBy(F.col("b").alias("rep")).agg(F.sum("links").alias("links"))
-    known = classes.join(counts, "rep", "left").join(roots, "rep", "left").select("n", "h1", "h2", "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("class_id"))
-    out = real.select("doc", "n", "h1", "h2").join(known, ["n", "h1", "h2"]).select(F.col("doc").alias("doc_id"), "class_id", "n_links", F.col("rep").alias("copy_of"))
-    alone = signed.where("not (n > 0 and doc is not null)").select(F.col("doc").alias("doc_id"), F.col("doc").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.col("doc").alias("copy_of"))
+    members = sized.join(extent, "comp").select("comp", "node", "rep.doc", "rep.tk", "copies", "blocks")
+    whole = members.join(texts.mapInArrow(_packed, f"doc {kind}, tk bigint, size bigint, zip binary"), ["doc", "tk"])
+    links = _in_runs(_dealt(whole, "comp", "blocks", ["node", "copies", "size", "zip"]), "comp", lambda b: _verified(b, size, threshold), "a bigint, b bigint, links bigint").checkpoint()
+
+    roots = components(links)
+    heads = roots.join(classes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("head"))
+    counts = links.groupBy(F.col("b").alias("node")).agg(F.sum("links").alias("links"))
+    known = classes.drop("sig").join(counts, "node", "left").join(roots, "node", "left").join(heads, "root", "left")
+    head = F.coalesce("head", "rep")
+    known = known.select("n", "h1", "h2", "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), head.alias("head"))
+    out = real.select("doc", "tk", "n", "h1", "h2").join(known, ["n", "h1", "h2"])
+    out = out.select(F.col("doc").alias("doc_id"), "tk", F.col("head.doc").alias("class_id"), F.col("head.tk").alias("class_tk"), "n_links", F.col("rep.doc").alias("copy_of"))
+    doc = F.col("doc")
+    alone = signed.where("not (n > 0 and doc is not null)").select(doc.alias("doc_id"), "tk", doc.alias("class_id"), F.col("tk").alias("class_tk"), F.lit(0).cast("bigint").alias("n_links"), doc.alias("copy_of"))
     return out.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents that open their class, all columns as they were; a null doc_id stays."""
-    found = jaccard_join(docs, **options)
-    gone = found.where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The documents that open their class (the least doc_id), all columns as they were; a null doc_id stays."""
+    gone = _joined(docs, **options).where("doc_id <> class_id or tk <> class_tk").select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_tk"))
+    return docs.join(gone, same, "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

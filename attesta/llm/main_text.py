@@ -7,13 +7,18 @@ its words times the weight of its place, a tag scores below zero, and one linear
 contiguous region of the highest sum. Where that region has text of an article or main element, all
 other text straight under the same element belongs to it too, so that a short title before a long
 notice stays. Runs whose place weighs below zero, such as an advert between paragraphs, are left
-out.
+out. A name of several parts counts by itself where labelled pages have it, else by its parts, which
+say nothing where they disagree.
+
+The work is linear in the page: open elements carry the weights and the container of those around
+them, and each end tag pays for what it closes.
 
 Scripts, styles, text areas and titles go up to their end tag, or the end of the page; closed
 noscript, template, select, svg and iframe elements go whole. One that is empty by '/>', or never
 closed, is a tag like any other. The text of math and object stays.
 
-Character references are decoded after markup is gone; white space inside a block, line breaks
+Character references are decoded in each run of text by itself, so that markup never makes one;
+white space inside a block, line breaks
 included, becomes one space; blocks are joined by one line feed, empty ones go. Null html is
 empty, and a page without words of weight gives an empty text. Rows are independent: repeated rows
 repeat their result, an empty table gives an empty one, other columns are ignored.
@@ -25,8 +30,9 @@ import html as entities
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +43,14 @@ from attesta.llm.common import released, small_batches, table
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(noscript|template|select|svg|iframe)(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*(?<!/)>.*?</\2\s*>"""
     r"|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)"""
     r"|<(?=/?[a-zA-Z])[^>]*(?:>|\Z)"
     r"|</?\Z",
     re.S | re.I,
 )
+#: Elements that go whole where they are closed.
+_WHOLE = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("noscript", "template", "select", "svg", "iframe")}
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _BARE_HIDDEN = re.compile(r"(?:^|\s)hidden(?=$|\s|=)", re.I)
@@ -58,67 +65,101 @@ _CLOSES_P = {"article", "aside", "blockquote", "div", "dl", "fieldset", "footer"
 
 
 @lru_cache(maxsize=4096)
-def features(tag: str, attributes: str, inside: bool) -> tuple[str, ...]:
-    """The tag, marked where it stands inside an article, and the words of its names.
+def features(tag: str, attributes: str, inside: bool) -> tuple[tuple[str, ...], ...]:
+    """The tag, marked where it stands inside an article, and each name with its parts.
 
     Inline tags say nothing by themselves: links and emphasis are as much part of prose.
     """
-    out = [] if tag in INLINE else ["in:" + tag if inside else tag]
+    out = [] if tag in INLINE else [("in:" + tag if inside else tag,)]
     if attributes and tag not in ("html", "body"):
         for name, *values in _ATTRIBUTE.findall(attributes):
             for word in next((v for v in values if v), "").lower().split():
                 parts = re.split(r"[-_\d]+", word)
-                out += [f"={p}" for p in dict.fromkeys((word, *parts)) if p]
+                out.append(tuple(f"={p}" for p in dict.fromkeys((word, *parts)) if p))
         if _HIDDEN.search(attributes) or _BARE_HIDDEN.search(_QUOTED.sub("", attributes)):
-            out.append("=hidden")
+            out.append(("=hidden",))
     return tuple(out)
 
 
 def _events(page: str) -> Iterator[tuple[str, tuple | str]]:
     """("text", raw) and ("tag", (closing, name, attributes)) in page order."""
-    last = 0
-    for m in _TOKEN.finditer(page):
+    last = at = 0
+    lacking: set[str] = set()
+    while m := _TOKEN.search(page, at):
         if m.start() > last:
             yield "text", page[last : m.start()]
-        last = m.end()
-        if m[4]:
-            yield "tag", (bool(m[3]), m[4].lower(), m[5] or "")
-        elif m[1] or m[2] or m[0].startswith("<!--"):
+        last = at = max(m.end(), at + 1)
+        name = (m[3] or "").lower()
+        if name in _WHOLE and not m[2] and not m[0].endswith("/>") and name not in lacking:
+            if end := _WHOLE[name].search(page, at):
+                last = at = end.end()
+                yield "gap", name
+                continue
+            lacking.add(name)
+        if name:
+            yield "tag", (bool(m[2]), name, m[4] or "")
+        elif m[1] or m[0].startswith("<!--"):
             yield "gap", m[0]
     if last < len(page):
         yield "text", page[last:]
 
 
+class Element(NamedTuple):
+    """An open element, and what it and those around it come to."""
+
+    name: str
+    found: tuple[tuple[str, ...], ...]
+    #: Where the innermost element that isn't inline stands among the open ones.
+    block: int
+    inside: bool
+    #: Number of the innermost article or main on the page; none: -1.
+    container: int
+    low: float
+    total: float
+
+
+_PAGE = Element("", (), -1, False, -1, 0.0, 0.0)
+
+
 class Places:
     """The open elements, by the rules that real pages need."""
 
-    def __init__(self):
-        self.open: list[tuple[str, tuple[str, ...]]] = []
+    def __init__(self, weigh: Callable[[tuple], float] = lambda found: 0.0):
+        self.open: list[Element] = []
+        self.count: Counter[str] = Counter()
+        self.containers, self.weigh = 0, weigh
+
+    @property
+    def top(self) -> Element:
+        return self.open[-1] if self.open else _PAGE
+
+    def _close(self, at: int) -> None:
+        for x in self.open[at:]:
+            self.count[x.name] -= 1
+        del self.open[at:]
 
     def tag(self, closing: bool, name: str, attributes: str) -> None:
-        names = [n for n, _ in self.open]
         if closing:
-            if name in names:
-                del self.open[len(names) - 1 - names[::-1].index(name) :]
+            if self.count[name]:
+                at = len(self.open) - 1
+                while self.open[at].name != name:
+                    at -= 1
+                self._close(at)
             return
         if name == "body":
-            self.open = [x for x in self.open if x[0] == "html"]
-            names = [n for n, _ in self.open]
+            self._close(1 if self.open and self.open[0].name == "html" else 0)
         ends = _ENDS.get(name, ()) or (("p",) if name in _CLOSES_P else ())
-        for k in range(len(names) - 1, -1, -1):
-            if names[k] in ends:
-                del self.open[k:]
-                break
-            if names[k] not in INLINE and not (name in ("td", "th", "tr") and names[k] in ("td", "th")):
-                break
+        if ends and (at := self.top.block) >= 0 and self.open[at].name in ends:
+            self._close(at)
         if name not in VOID and not attributes.rstrip().endswith("/"):
-            inside = any(n in ("article", "main") for n, _ in self.open)
-            self.open.append((name, features(name, attributes, inside)))
-
-
-def container(open_elements: list[tuple[str, tuple[str, ...]]]) -> tuple | None:
-    """The innermost open article or main; one object for each time that one was opened."""
-    return next((x for x in reversed(open_elements) if x[0] in ("article", "main")), None)
+            around = self.top
+            found = features(name, attributes, around.inside)
+            weight = self.weigh(found)
+            container = around.container
+            if name in ("article", "main"):
+                container, self.containers = self.containers, self.containers + 1
+            self.open.append(Element(name, found, around.block if name in INLINE else len(self.open), around.inside or name in ("article", "main"), container, min(around.low, weight), around.total + weight))
+            self.count[name] += 1
 
 
 class Weights:
@@ -138,7 +179,7 @@ class Weights:
                         tags[main][value[1]] += 1
                     elif kind == "text" and (n := len(value.split())):
                         total[main] += n
-                        for f in {f for _, fs in places.open for f in fs}:
+                        for f in {f for x in places.open for name in x.found for f in name}:
                             words[main][f] += n
         odds = lambda f: math.log((words[True][f] + smooth) / (total[True] + 1)) - math.log((words[False][f] + smooth) / (total[False] + 1))
         self.feature = {f: odds(f) for f in {*words[True], *words[False]}}
@@ -146,28 +187,37 @@ class Weights:
         self.tag = min(-0.05, math.log((n_tags[True] / max(1, total[True]) + 0.01) / (n_tags[False] / max(1, total[False]) + 0.01)) / 4)
         self._element = lru_cache(maxsize=8192)(self._weigh)
 
-    def _weigh(self, found: tuple[str, ...]) -> float:
-        known = [self.feature[f] for f in found if f in self.feature]
+    def _weigh(self, found: tuple[tuple[str, ...], ...]) -> float:
+        known = [self._name(n) for n in found]
         low = min(known, default=0.0)
         return low if low < -1.5 else sum(known)
 
-    def place(self, open_elements: list[tuple[str, tuple[str, ...]]]) -> float:
-        """Weight of a word under these elements: a clear sign against counts alone."""
-        each = [self._element(f) for _, f in open_elements]
-        low = min(each, default=0.0)
-        return low if low < -1.5 else max(-3.0, min(6.0, 0.1 + sum(each)))
+    def _name(self, name: tuple[str, ...]) -> float:
+        """The name's own weight, or its clearest part's; nothing where parts disagree."""
+        if name[0] in self.feature:
+            return self.feature[name[0]]
+        parts = [self.feature[p] for p in name[1:] if p in self.feature]
+        low, high = min(parts, default=0.0), max(parts, default=0.0)
+        return 0.0 if low < 0 < high else low if low < 0 else high
+
+    def places(self) -> Places:
+        return Places(self._element)
+
+    def place(self, top: Element) -> float:
+        """Weight of a word under this element and those around it: a clear sign against counts alone."""
+        return top.low if top.low < -1.5 else max(-3.0, min(6.0, 0.1 + top.total))
 
 
 def extract(page: str | None, weights: Weights) -> tuple[str, tuple[int, int]]:
     """(main text, first and last event of the best region)."""
     if not page:
         return "", (0, 0)
-    places, scores, runs, block = Places(), [], [], 0
+    places, scores, runs, block = weights.places(), [], [], 0
     for kind, value in _events(page):
         if kind == "text":
             n = len(value.split())
-            w = weights.place(places.open)
-            runs.append((block, value, w, len(scores), container(places.open)))
+            w = weights.place(places.top)
+            runs.append((block, entities.unescape(value), w, len(scores), places.top.container))
             scores.append(n * w)
         else:
             if kind == "tag":
@@ -175,7 +225,7 @@ def extract(page: str | None, weights: Weights) -> tuple[str, tuple[int, int]]:
                 if value[1] not in INLINE:
                     block += 1
                 elif value[1] == "br":
-                    runs.append((block, " ", None, len(scores), container(places.open)))
+                    runs.append((block, " ", None, len(scores), places.top.container))
             scores.append(weights.tag)
     best, begin, end, total, start = 0.0, 0, 0, 0.0, 0
     for i, s in enumerate(scores):
@@ -184,12 +234,12 @@ def extract(page: str | None, weights: Weights) -> tuple[str, tuple[int, int]]:
         total += s
         if total > best:
             best, begin, end = total, start, i + 1
-    seeds = {id(c) for _, text, w, i, c in runs if begin <= i < end and w and w > 0 and c and text.strip()}
+    seeds = {c for _, text, w, i, c in runs if begin <= i < end and w and w > 0 and c >= 0 and text.strip()}
     blocks: dict[int, list[str]] = {}
     for of, text, w, i, c in runs:
-        if (begin <= i < end or id(c) in seeds) and (w is None or w > 0):
+        if (begin <= i < end or c in seeds) and (w is None or w > 0):
             blocks.setdefault(of, []).append(text)
-    lines = (" ".join(entities.unescape("".join(parts)).split()) for parts in blocks.values())
+    lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(x for x in lines if x), (begin, end)
 
 

@@ -6,16 +6,19 @@ the automaton gives every longest match in linear time. The phrases for each cha
 language's estimate of cross entropy, and the language that needs the fewest wins.
 
 The sample: labelled documents until `sample_chars` for each language. First come whole ones of 200
-to 6,000 characters, at most `sample_rows`, in the order of a hash of doc_id. A language whose such
-documents give fewer characters and are fewer than `sample_rows` takes others as well: longer ones
-for the rows that are left, each cut to `sample_chars`, then shorter ones, longest first, that
-count together as a row for each 200 characters. Only text and lang of rows with a lang and with
-crc32(doc_id as text) mod 3 other than 1 are read.
-
-All documents of a batch, cut into pieces of `PIECE` characters, walk all automata in step: a
-piece's end ends a phrase, for all languages alike. Letters are case-folded, other characters are
-one class. Null text, or text without a letter, is `und` with score 0, as is every document when
-there is no labelled row with a letter. Ties go to the language that sorts first. Rows are judged one by one.
+to 6,000 characters, at most `sample_rows`, in the order of a hash of doc_id and text. A language
+whose such documents give fewer characters and are fewer than `sample_rows` takes others as well:
+longer ones for the rows that are left, each cut to `sample_chars`, then shorter ones that count
+together as a row for each 200 characters. Only text and lang of rows with a lang and with
+crc32(doc_id as text) mod 3 other than 1 are read, in two passes for all languages together.
+
+All documents of a batch walk all automata in step. Long ones are cut into pieces of `PIECE`
+characters that are first parsed each from its own start; then each piece is entered with the phrase
+that its predecessor leaves open, and followed until both parses end a phrase at one place, from
+where they are the same. The result is the parse of the whole text. Letters are case-folded, runs of
+other characters are one symbol. Null text, or text without a letter, is `und` with score 0, as is
+every document when there is no labelled row with a letter. Ties go to the language that sorts
+first. Rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -81,16 +84,50 @@ class SuffixAutomaton:
                 step[state, c] = t
         self.k, self.step = k + 1, step.ravel()
 
-    def phrases(self, grid: np.ndarray) -> np.ndarray:
-        """Phrases of each column of a (steps x pieces) grid of symbols; an empty one has none."""
+    def walk(self, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where phrases begin in each column of a (steps x pieces) grid of symbols, and the state at its end."""
         state = np.zeros(grid.shape[1], np.int32)
-        ended = np.zeros(grid.shape[1], np.int32)
-        for row in grid:
+        begins = np.empty(grid.shape, bool)
+        for row, out in zip(grid, begins, strict=True):
             state = self.step[state * self.k + row]
-            sign = state >> 31
-            ended -= sign
-            state ^= sign
-        return ended + (grid[0] < self.k - 1)
+            np.less(state, 0, out=out)
+            state ^= state >> 31
+        begins[0] = grid[0] < self.k - 1
+        return begins, state
+
+    def stitched(self, flat: np.ndarray, start: np.ndarray, stop: np.ndarray, first: np.ndarray, begins: np.ndarray, state: np.ndarray) -> np.ndarray:
+        """Phrases that begin in each piece flat[start:stop] when texts are parsed whole.
+
+        first: the piece opens a text; others go on where the piece before them ends. begins, state:
+        what `walk` found in each piece by itself.
+        """
+        before = np.concatenate([[0], np.cumsum(begins)])
+        count, leaves = before[stop] - before[start], state.copy()
+        entered = np.full(len(start), -1, np.int32)
+        todo = np.flatnonzero(~first)
+        while len(todo):
+            todo = todo[leaves[todo - 1] != entered[todo]]
+            entered[todo] = now = leaves[todo - 1]
+            at, found, out = start[todo].copy(), np.zeros(len(todo), np.int64), state[todo].copy()
+            live = np.arange(len(todo))
+            while len(live):
+                p = at[live]
+                now = self.step[now * self.k + flat[p]]
+                ended = now < 0
+                now ^= now >> 31
+                found[live] += ended
+                met = ended & begins[p]
+                found[live[met]] += before[stop[todo[live[met]]]] - before[p[met] + 1]
+                at[live] = p + 1
+                over = ~met & (p + 1 >= stop[todo[live]])
+                out[live[over]] = now[over]
+                live, now = live[~met & ~over], now[~met & ~over]
+            count[todo] = found
+            changed = todo[out != leaves[todo]]
+            leaves[todo] = out
+            todo = changed[changed + 1 < len(start)] + 1
+            todo = todo[~first[todo]]
+        return count
 
 
 class Model:
@@ -127,16 +164,23 @@ class Model:
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start = begin[owner] + nth * PIECE
         stop = np.minimum(start + PIECE, (begin + sizes)[owner])
-        phrases = np.zeros((len(texts), len(self.langs)), np.int64)
+        begins = np.zeros((len(self.langs), len(flat)), bool)
+        state = np.zeros((len(self.langs), len(start)), np.int32)
         order = np.argsort(start - stop, kind="stable")
         # Pieces of like length share a grid, so that padding is little.
         for at in range(0, len(order), 8192):
             mine = order[at : at + 8192]
             most = int((stop[mine] - start[mine]).max())
             places = start[mine] + np.arange(most)[:, None]
-            grid = np.where(places < stop[mine], flat[np.minimum(places, len(flat) - 1)], self.k).astype(np.int32)
+            real = places < stop[mine]
+            grid = np.where(real, flat[np.minimum(places, len(flat) - 1)], self.k).astype(np.int32)
+            places = places[real]
             for j, automaton in enumerate(self.automata):
-                np.add.at(phrases[:, j], owner[mine], automaton.phrases(grid))
+                new, state[j, mine] = automaton.walk(grid)
+                begins[j, places] = new[real]
+        phrases = np.zeros((len(texts), len(self.langs)), np.int64)
+        for j, automaton in enumerate(self.automata):
+            np.add.at(phrases[:, j], owner, automaton.stitched(flat, start, stop, nth == 0, begins[j], state[j]))
         return phrases / np.maximum(sizes, 1)[:, None], sizes
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
@@ -177,51 +221,53 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def learn(docs: DataFrame, *, sample_chars: int = 24_000, sample_rows: int = 60) -> dict[str, str]:
-    """Sample text of each language; `sample_rows` rows of each, or their worth in short texts, reach the driver."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
+    """Sample text of each language.
+
+    One pass counts the labelled rows of each language and kind, one brings the rows under a bound of
+    their hash that is set so that four times the sample is expected to reach the driver.
+    """
     size = F.length("text")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    # Only texts with a letter teach anything.
+    rows = rows.where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     kind = F.when(size < LEAST, "short").when(size > MOST, "long").otherwise("usual")
-    rows = rows.select("lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h"), F.substring("text", 1, max(MOST, sample_chars)).alias("text"), size.alias("size"), kind.alias("kind"))
-    counts: dict[str, dict[str, int]] = {}
-    for r in rows.groupBy("lang", "kind").count().collect():
-        counts.setdefault(r["lang"], {})[r["kind"]] = r["count"]
-
-    def first(lang: str, kind: str, most: int) -> list[str]:
-        """Texts of a kind, the least hashes first."""
-        # A hash bound first: about four times the rows that are wanted, so that sorting is little.
-        bound = min((1 << 63) - 1, -(1 << 63) + int(min(1.0, 4 * most / counts[lang][kind]) * (1 << 64)))
-        few = rows.where((F.col("lang") == lang) & (F.col("kind") == kind) & (F.col("h") <= bound))
-        return [r["text"].lower() for r in few.orderBy("h", "text").limit(most).collect()]
-
+    rows = rows.select("lang", kind.alias("kind"), F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h"), size.alias("size"), "text")
+    counts: dict[str, dict[str, tuple[int, int]]] = {}
+    for r in rows.groupBy("lang", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars")).collect():
+        counts.setdefault(r["lang"], {})[r["kind"]] = (r["n"], r["chars"])
+
+    wanted: dict[tuple[str, str], tuple[int, int]] = {}
+    bounds = []
+    for lang, of in counts.items():
+        left = sample_rows
+        for k in ("usual", "long", "short"):
+            n, chars = of.get(k, (0, 0))
+            if n and left > 0:
+                limit = min(sample_chars, left * LEAST) if k == "short" else sample_chars
+                wanted[lang, k] = (n if k == "short" else left, limit)
+                share = 4 * limit / chars if k == "short" else 4 * left / n
+                bounds.append((lang, k, min((1 << 63) - 1, -(1 << 63) + int(min(1.0, share) * (1 << 64)))))
+            left -= n
+    if not bounds:
+        return {}
+    # A row for each language and kind; languages have an automaton each, so they are few.
+    few = rows.join(F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, kind string, most long")), ["lang", "kind"]).where("h <= most")
+    picked: dict[tuple[str, str], list] = {}
+    for r in few.select("lang", "kind", "h", F.substring("text", 1, max(MOST, sample_chars)).alias("text")).distinct().collect():
+        picked.setdefault((r["lang"], r["kind"]), []).append((r["h"], r["text"]))
     samples = {}
-    for lang, n in counts.items():
-        picked: list[str] = []
-        found = 0
-
-        def take(texts: list[str]) -> None:
-            nonlocal found
-            for t in texts:
-                if found < sample_chars:
-                    picked.append(t)
-                    found += len(t)
-
-        if "usual" in n:
-            take(first(lang, "usual", sample_rows))
-        left = sample_rows - n.get("usual", 0)
-        if "long" in n and left > 0 and found < sample_chars:
-            take([t[:sample_chars] for t in first(lang, "long", left)])
-            left -= n["long"]
-        if "short" in n and left > 0 and found < sample_chars:
-            # Only texts with a letter teach anything; each has a character at least, which bounds the rows.
-            wanted = min(sample_chars - found, left * LEAST)
-            few = rows.where((F.col("lang") == lang) & (F.col("kind") == "short") & F.col("text").rlike(r"\p{L}"))
-            for r in few.orderBy(F.desc("size"), "h", "text").limit(wanted).collect():
-                if wanted > 0:
-                    take([r["text"].lower()])
-                    wanted -= r["size"]
-        if any(map(str.isalpha, "".join(picked))):
-            samples[lang] = "\n".join(picked)
+    for lang in counts:
+        taken: list[str] = []
+        for k in ("usual", "long", "short"):
+            most_rows, limit = wanted.get((lang, k), (0, 0))
+            have = sum(map(len, taken))
+            limit = min(limit, sample_chars - have) + have
+            for _, text in sorted(picked.get((lang, k), ()))[:most_rows]:
+                if have < limit:
+                    taken.append(text[:sample_chars].lower() if k == "long" else text.lower())
+                    have += len(taken[-1])
+        if any(map(str.isalpha, "".join(taken))):
+            samples[lang] = "\n".join(taken)
     return samples
 
 
@@ -249,11 +295,12 @@ def _predicted(batches: Iterator[pa.RecordBatch], samples: dict[str, str]) -> It
 
 
 @released
-def _known(batches: Iterator[pa.RecordBatch], samples: dict[str, str]) -> Iterator[pa.RecordBatch]:
+def _known(batches: Iterator[pa.RecordBatch], samples: dict[str, str], languages: frozenset[str] | None, least_score: float, most_rate: float) -> Iterator[pa.RecordBatch]:
     model = model_of(samples)
     for batch in batches:
         found = _by_parts(model, batch.column(batch.schema.get_field_index("text")).to_pylist())
-        yield batch.filter(pa.array([lang != UNDETERMINED for lang, _, _ in found], pa.bool_()))
+        keep = [lang != UNDETERMINED and (languages is None or lang in languages) and score >= least_score and rate <= most_rate for lang, score, rate in found]
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
@@ -263,12 +310,47 @@ def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lambda b: _predicted(b, samples), f"doc_id {kind}, lang_pred string, score double, phrase_rate double")
 
 
-def keep_known(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """The documents whose language is found, all columns as they were; no shuffle."""
+def keep_known(docs: DataFrame, samples: dict[str, str], *, languages: set[str] | None = None, least_score: float = 0.0, most_rate: float = 0.6) -> DataFrame:
+    """The documents whose language is found, all columns as they were; no shuffle.
+
+    A prediction outside `languages` (where given), one with a score under `least_score`, and a text
+    that even its best language parses into more than `most_rate` phrases a character are rejected:
+    the last are texts that no learned language explains.
+    """
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(lambda b: _known(b, samples), docs.schema)
+    wanted = None if languages is None else frozenset(languages)
+    return docs.mapInArrow(lambda b: _known(b, samples, wanted, least_score, most_rate), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs, learn(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def brute_force(samples: dict[str, str], text: str | None) -> tuple[str, float]:
+    """(language, score) from greedy parses of the whole text, by substring search."""
+    import math
+
+    known = {c for t in samples.values() for c in t if c.isalpha()}
+
+    def coded(t: str) -> str:
+        out = "".join(c if c in known else "\1" if c.isalpha() else "\0" for c in t)
+        while "\0\0" in out:
+            out = out.replace("\0\0", "\0")
+        return out
+
+    if not text or not samples or not any(map(str.isalpha, text)):
+        return UNDETERMINED, 0.0
+    t = coded(text.lower())
+    rates = {}
+    for lang in sorted(samples):
+        sample, n, at = coded(samples[lang]), 0, 0
+        while at < len(t):
+            size = 1
+            while at + size < len(t) and t[at : at + size + 1] in sample:
+                size += 1
+            at += size
+            n += 1
+        rates[lang] = n / len(t)
+    best = min(rates, key=rates.get)
+    return best, 1 / sum(math.exp(-25 * (r - rates[best]) * min(1, len(t) / 50)) for r in rates.values())

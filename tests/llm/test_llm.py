@@ -88,6 +88,19 @@ def test_jaccard_join_odd_inputs(spark):
     assert got == sorted([(None, None, 0, None), (1, 1, 0, 1), (2, 2, 1, 2), (2, 2, 1, 2)], key=repr)
 
 
+def test_jaccard_join_of_ids_with_several_texts(spark):
+    words = lambda c: [f"{c}{i}" for i in range(40)]
+    a, b = " ".join(words("a")), " ".join(words("b"))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (5, a.upper()), (5, a.upper())]
+    got = sorted(map(tuple, jaccard_join.jaccard_join(frame(spark, rows)).collect()))
+    assert got == [(1, 1, 1, 1), (1, 1, 3, 1), (2, 1, 3, 2), (3, 1, 1, 3), (5, 1, 3, 1), (5, 1, 3, 1)]
+    assert sorted((r.doc_id, r.text) for r in jaccard_join.keep_one(frame(spark, rows, extra=False)).collect()) == [(1, a), (1, b)]
+    more = [(0, b + " z"), *rows]
+    assert sorted((r.doc_id, r.text) for r in jaccard_join.keep_one(frame(spark, more, extra=False)).collect()) == [(0, b + " z"), (1, a)]
+    named = frame(spark, rows).withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    assert sorted(map(tuple, jaccard_join.jaccard_join(named).collect())) == [(f"d{i}", f"d{c}", n, f"d{o}") for i, c, n, o in got]
+
+
 def test_jaccard_join_of_texts_that_differ_in_signs_only(spark):
     words = [f"w{i}" for i in range(40)]
     rows = [(1, " ".join(words)), (2, ", ".join(words) + "!!"), (3, "; ".join(words[:-1])), (4, " - ".join(words).upper()), (5, "... ".join(words[1:]))]
@@ -203,6 +216,29 @@ def test_secrets(spark, real):
     assert by[1000].base == [] and secrets.scan(df.limit(0), F.col("source"), F.col("source")).count() == 0
 
 
+def test_secrets_ownership(spark):
+    """Which values are live, against brute force: one owner with few repositories, with many, several owners."""
+    rng = random.Random(5)
+    values = [f"{rng.getrandbits(80):020x}" for _ in range(8)]
+    rows = [(i, "".join(f"token={v}; " for v in rng.sample(values, 2)) + f"pad {i}", rng.choice(["o1", "o1", "o2", None]), rng.choice(["r1", "r2", "r3", None])) for i in range(14)]
+    rows += [(50 + k, f"x {hex(1 << 90 | 7)[2:]}", "o9", f"q{k}") for k in range(3)] + [(60 + k, f"x {hex(1 << 90 | 9)[2:]}", "o9", f"q{k}") for k in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, repo string").withColumn("owned", F.lit("clash"))
+    got = {r.doc_id: r for r in secrets.scan(df, F.col("source"), F.col("repo")).collect()}
+    want = secrets.brute_force_live([r[1:] for r in rows])
+    assert {r[0]: {(s.start, s.end) for s in got[r[0]]["all"] if s.kind == 3} for r in rows} == {r[0]: w for r, w in zip(rows, want, strict=True)}
+    assert got[50].n_live == 0 and got[60].n_live == 1 and [o.n_repositories for o in got[50].owned] == [3]
+
+
+def test_secrets_in_a_text_of_very_many_matches(spark):
+    import time
+
+    text = "é " + "0123456789abcdef " * 200_000
+    began = time.time()
+    (r,) = secrets.candidates(spark.createDataFrame([(1, text)], "doc_id long, text string"), F.lit("o"), F.lit("r")).collect()
+    assert time.time() - began < 60 and len(r.base) == 200_000
+    assert [(s.start, s.end) for s in r.base[-2:]] == [(2 + 17 * k, 2 + 17 * k + 16) for k in (199_998, 199_999)]
+
+
 def test_secrets_repeated_rows(spark):
     df = spark.createDataFrame([(1, "token=abcdefabcdefabcd9", "s")] * 2, "doc_id long, text string, source string")
     got = secrets.scan(df, F.col("source"), F.col("source")).collect()
@@ -311,6 +347,17 @@ def test_chat_parts(spark):
     assert chat_format.digests(df).first().attachment_tokens == 1099
 
 
+def test_chat_odd_parts(spark):
+    parts = "array<struct<kind:string,text:string,ref:string,units:bigint>>"
+    rows = [(1, 0, "assistant", [None, ("video", "lost", "v", 3), (None, "a", None, None), ("text", None, None, None), ("other", None, None, None), ("image", None, None, -2)]), (1, 1, "user", None), (1, 2, "user", [])]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {parts}")
+    turns = chat_format.format_chats(df).orderBy("nth").collect()
+    assert [(a.n, a.kind, a.ref, a.tokens) for a in turns[0].attachments] == [(0, "video", "v", 0), (1, "other", None, 0), (2, "image", None, 256)]
+    out = "".join(r.formatted for r in turns)
+    assert chat_format.read_back(out) == [("assistant", "a"), ("user", ""), ("user", "")]
+    assert [out[s.begin : s.end] for r in turns for s in r.loss] == ["a"]
+
+
 # --- 10 ---
 
 
@@ -328,8 +375,38 @@ def test_automaton_matches_greedy_parse():
                 size += 1
             at += size
             n += 1
-        assert a.phrases(np.array([probe], np.int32).T)[0] == n
-    assert a.phrases(np.full((3, 1), 5, np.int32))[0] == 0
+        assert a.walk(np.array([probe], np.int32).T)[0].sum() == n
+    assert a.walk(np.full((3, 1), 5, np.int32))[0].sum() == 0
+
+
+def test_language_pieces_are_parsed_as_whole_texts(real, monkeypatch):
+    """Predictions by brute force, with pieces shorter than phrases, about as long, and longer."""
+    by_lang = {"en": real[0][1] + real[1][1], "xx": real[2][1][::-1] + " wabe dako " * 20, "zz": "ababababababababab ab " * 30}
+    texts = [t for _, t in real[:40] + odd(real)[4:]] + ["ab" * 400 + "c", "wabe dako wabe", real[0][1][:300] + real[2][1][::-1][:300], None, "", "7"]
+    want = [language_id.brute_force(by_lang, t) for t in texts]
+    for size in (3, 17, 256):
+        monkeypatch.setattr(language_id, "PIECE", size)
+        got = language_id.Model(by_lang).predict(texts)
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert np.allclose([g[1] for g in got], [w[1] for w in want])
+
+
+def test_language_query_by_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    samples = language_id.learn(docs, sample_chars=3000, sample_rows=8)
+    got = {r.doc_id: r for r in language_id.identify(docs, samples).collect()}
+    for d in docs.select("doc_id", "text").collect()[::9]:
+        lang, score = language_id.brute_force(samples, d.text and d.text[:4000])
+        if len(d.text or "") <= 4000:
+            assert got[d.doc_id].lang_pred == lang and abs(got[d.doc_id].score - score) < 1e-9
+
+
+def test_language_rejects(spark):
+    samples = {"en": "the cat and the dog sat on the mat with a hat " * 5, "fr": "le chat et le chien sont sur le tapis " * 5}
+    df = frame(spark, [(1, "the cat and the dog"), (2, "le chat et le chien"), (3, "xq zvw qqk jzx wvk"), (4, "123"), (None, "the hat")], extra=False)
+    kept = lambda **o: sorted(r.doc_id or -1 for r in language_id.keep_known(df, samples, **o).collect())
+    assert kept() == [-1, 1, 2] and kept(most_rate=1.0) == [-1, 1, 2, 3]
+    assert kept(languages={"fr"}) == [2] and kept(least_score=1.1) == []
 
 
 def test_language(spark):
@@ -393,6 +470,24 @@ def test_quality_rules_compile_to_what_they_mean(spark):
     assert np.allclose([r[0] for r in df.select(quality_rules.compiled((b0, rules))).collect()], want[:50])
 
 
+def test_quality_statistics(spark, real):
+    rows = real + odd(real) + [(3000, "ÀÉß Öl! A|B\n\nx, y. 12 12 12 " + "w" * 30)]
+    got = {r.doc_id: r[1:] for r in quality_rules.measure(frame(spark, rows)).collect()}
+    for i, t in rows:
+        assert np.allclose(got[i], quality_rules.brute_force(t), rtol=1e-12), i
+
+
+def test_quality_score_is_the_model_over_the_statistics(spark, sf):
+    """The query's scores, from rules and statistics by brute force."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    b0, rules = quality_rules.learn(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    got = {r.doc_id: r for r in quality_rules.query(spark, sf).collect()}
+    for d in docs.select("doc_id", "text").collect():
+        x = np.array([quality_rules.brute_force(d.text)])
+        want = 1 / (1 + np.exp(-(b0 + sum(w * bool(quality_rules.holds(r, x)[0]) for r, w in rules))))
+        assert abs(got[d.doc_id].score - want) < 1e-9 and got[d.doc_id].predicted == int(want >= 0.3) and got[d.doc_id].held_out == (zlib.crc32(str(d.doc_id).encode()) % 5 == 0)
+
+
 def test_quality_odd_inputs(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     df = frame(spark, [(1, None), (2, ""), (3, "a b c. " * 5000), (None, "x"), (2, "")])
@@ -400,6 +495,8 @@ def test_quality_odd_inputs(spark):
     assert quality_rules.score(frame(spark, []), (0.0, [])).count() == 0
     one = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
     assert quality_rules.learn(df, one)[1] == []
+    twice = quality_rules.learn(frame(spark, [(1, "a"), (1, "b b"), (2, "c, d")] * 3), spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 0, 0)], "doc_id long, quality int, toxic int"))
+    assert quality_rules.learn(frame(spark, [(1, "a"), (2, "c, d")]), spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")) == twice
     s = quality_rules.statistics(np.frombuffer("AB ab ab!\nÄx".encode(), np.uint8), np.array([0, 13]))[0]
     got = dict(zip(quality_rules.STATS, s, strict=True))
     assert got["n_words"] == 4 and got["upper_share"] == 3 / 8 and got["repeat_share"] == 2 / 4 and got["bang_share"] == 1 / 4
@@ -446,6 +543,30 @@ def test_main_text_beside_long_boilerplate():
     assert main_text.extract(page, w)[0] == f"One\n{body}"
 
 
+def test_main_text_references_are_decoded_run_by_run():
+    w = main_text.default_weights()
+    get = lambda inner: main_text.extract(f"<article><p>Some plain words {inner} here</p></article>", w)[0]
+    assert get("&am<b>p;</b>") == "Some plain words &amp; here" and get("&amp;lt; &lt;b&gt;") == "Some plain words &lt; <b> here"
+    assert get("&eacute;<i>&#233;</i>&nbsp;x") == "Some plain words éé x here"
+
+
+def test_main_text_names_that_disagree():
+    w = main_text.default_weights()
+    prose = "Plain words make up the story that is told here at length , with care ."
+    assert main_text.extract(f"<article><h1>Head</h1><section class='banner-story'><p>{prose}</p></section><p>{prose}</p></article>", w)[0] == f"Head\n{prose}\n{prose}"
+    assert main_text.extract(f"<article><p>{prose}</p><div class='cookie-notice'>We use cookies</div><p>{prose}</p></article>", w)[0] == f"{prose}\n{prose}"
+
+
+@pytest.mark.parametrize("unit", ["<div>a ", "<b>a ", "<svg>a ", "<p><button><b>a <div></div>", "<html><body>a ", "<li><b>x</i>", "</div>a ", "<a x=\">"])
+def test_main_text_of_deep_pages_is_linear(unit):
+    import time
+
+    w = main_text.default_weights()
+    began = time.time()
+    main_text.extract(f"<article><p>Some words that stay here.</p>{unit * 50_000}</article>", w)
+    assert time.time() - began < 15
+
+
 def test_extraction_of_cut_pages():
     w = main_text.default_weights()
     assert main_text.extract("<article><p>Some words here now</p><p>and mo", w)[0] == "Some words here now\nand mo"

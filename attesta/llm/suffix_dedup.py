@@ -10,13 +10,16 @@ positions are ranked by what follows, and only those whose rank another document
 3. for blocks that differ under one anchor but share a side of it, rank of each window from pairs
    of ranks at growing offsets: 16, 32 and all of its bytes.
 
-Ranks of 16 bytes and of pairs are 64-bit hashes. Each round sorts (rank, doc_id) in buckets of
-the rank that Spark deals out; what a document needs to know goes back to it by a group of doc_id.
-The texts are shuffled once, and that exchange is read by the rounds and by the cutting.
-
-Windows lie in one document. Null text is empty; texts under 50 bytes lose nothing. Rows that
-repeat a doc_id are judged alike against smaller ids only; a null doc_id is below all others. An
-empty table gives an empty result; other columns are ignored.
+Ranks of 16 bytes and of pairs are 64-bit hashes. Texts are dealt to groups of about `GROUP_BYTES`
+once, and that exchange is read by ranking, by the third round and by the cutting. A group sends each
+distinct block once, with the smallest document that has it, so that a passage in very many documents
+costs a row for each group. Rounds sort (rank, doc_id) in buckets of the rank that Spark deals out,
+and tell the groups the smallest document of a block; each group applies that to its own documents.
+
+Windows lie in one document. Null text is empty; texts under 50 bytes lose nothing. doc_id is of an
+integer type. Rows that repeat a doc_id are judged alike against smaller ids only; a null doc_id is
+below all others, and is told as the least long. An empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -26,10 +29,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import chunks, ensure_checkpoint_dir, released, small_batches, table, text_buffer
+from attesta.llm.common import chunks, released, small_batches, table, text_buffer
 from attesta.llm.wordbytes import mix, powers
 
 PREFIX = 16
@@ -37,7 +40,7 @@ _BASE = 0x9E3779B97F4A7C15
 _POSITION = np.uint64((1 << 24) - 1)
 #: Longer texts are read in pieces that overlap by a window less a byte.
 PIECE_BYTES = 512 << 10
-#: Anchors that one bucket of ranks should hold, and texts' bytes that a group of documents should.
+#: Anchors that one bucket of ranks should hold, and texts' bytes that a group of rows should.
 BUCKET_RANKS, GROUP_BYTES = 100_000, 2 << 20
 _NO_ID = -(1 << 63)
 
@@ -132,74 +135,69 @@ def unpack(blobs: list[bytes], kinds: list[str]) -> list[np.ndarray]:
     return [np.concatenate(p) if p else np.empty(0, k) for p, k in zip(parts, kinds, strict=True)]
 
 
-def _dealt(keys: np.ndarray, parts: int, **columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """A pack for each part that has rows."""
+def _dealt(keys: np.ndarray, **columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """A pack for each key."""
     order = np.argsort(keys, kind="stable")
-    at = np.searchsorted(keys[order], np.arange(parts + 1))
-    for k in np.flatnonzero(np.diff(at)):
-        pick = order[at[k] : at[k + 1]]
-        yield int(k), pack(**{n: c[pick] for n, c in columns.items()})
-
-
-def _group(docs: np.ndarray, groups: int) -> np.ndarray:
-    """The group of a document, as `_group_column` has it."""
-    return (docs ^ (docs.view(np.uint64) >> np.uint64(21)).view(np.int64)) % groups
+    ranked = keys[order]
+    begins = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else ranked
+    for i, j in zip(begins, np.append(begins[1:], len(ranked)), strict=True):
+        pick = order[i:j]
+        yield int(ranked[i]), pack(**{n: c[pick] for n, c in columns.items()})
 
 
-def _group_column(groups: int) -> Column:
-    """By column functions, so that both readers of the texts share one exchange."""
-    return F.pmod(F.col("doc").bitwiseXOR(F.shiftrightunsigned("doc", 21)), F.lit(groups))
+_ENTRY = ["<i8", "<u4", "<u8", "u1", "u1"]
+_TO_BUCKET = pa.schema([("key", pa.int64()), ("group", pa.int64()), ("pack", pa.binary())])
+_TO_GROUP = pa.schema([("key", pa.int64()), ("pack", pa.binary())])
 
 
-_ENTRY = ["<i8", "<u4", "<u4", "<u2", "u1", "u1"]
-_PACKS = pa.schema([("key", pa.int64()), ("pack", pa.binary())])
+def _found(texts: pa.Table, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, Blocks, int, int]]:
+    """(documents of the blocks, bytes, blocks, first text, offset in it) for each piece of a group's texts."""
+    ids = texts.column("doc").to_numpy()
+    data, borders = text_buffer(texts.column("text"))
+    for part, at, first, offset in pieces(data, borders, length):
+        x = Blocks(part, at, length)
+        yield ids[first + x.owner], part, x, first, offset
 
 
-@released
-def _ranked(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """doc, text -> for each bucket of anchor ranks a pack of (doc, anchor, block, sides)."""
-    for batch in batches:
-        ids = batch.column(0).to_numpy()
-        data, borders = text_buffer(batch.column(1))
-        found = []
-        for part, at, first, _ in pieces(data, borders, length):
-            x = Blocks(part, at, length)
-            found.append((ids[first + x.owner], x.anchor, x.block, x.left, x.right))
-        if not found:
-            continue
+def _ranked(texts: pa.Table, length: int, buckets: int) -> pa.Table:
+    """For each bucket of anchor ranks a pack of a group's distinct (anchor, block, sides), each with its least doc."""
+    found = [(doc, x.anchor, x.block, x.left, x.right) for doc, _, x, _, _ in _found(texts, length)]
+    rows = []
+    if found:
         doc, anchor, block, left, right = map(np.concatenate, zip(*found, strict=True))
         order = np.lexsort((doc, block))
         new = np.ones(len(order), bool)
-        new[1:] = (doc[order][1:] != doc[order][:-1]) | (block[order][1:] != block[order][:-1])
+        new[1:] = block[order][1:] != block[order][:-1]
         pick = order[new]
         doc, anchor, block, left, right = doc[pick], anchor[pick], block[pick], left[pick], right[pick]
-        rows = list(_dealt(_bucket(anchor, buckets), buckets, doc=doc.astype("<i8"), anchor=anchor.astype("<u4"), block=block.astype("<u4"), high=(block >> np.uint64(32)).astype("<u2"), left=left.astype("u1"), right=right.astype("u1")))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], schema=_PACKS)
+        rows = list(_dealt(_bucket(anchor, buckets), doc=doc.astype("<i8"), anchor=anchor.astype("<u4"), block=block.astype("<u8"), left=left.astype("u1"), right=right.astype("u1")))
+    group = texts.column("key")[0].as_py() if texts.num_rows else 0
+    return pa.table([pa.array([r[0] for r in rows], pa.int64()), pa.array([group] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], schema=_TO_BUCKET)
 
 
-def _per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
-    """The packs of each key; a key's rows follow each other."""
-    key, held = None, []
+def _per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Groups and packs of each key; a key's rows follow each other."""
+    key, groups, packs = None, [], []
     for batch in batches:
-        for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if k != key and held:
-                yield held
-                held = []
+        for k, group, blob in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            if k != key and packs:
+                yield groups, packs
+                groups, packs = [], []
             key = k
-            held.append(blob)
-    if held:
-        yield held
+            groups.append(group)
+            packs.append(blob)
+    if packs:
+        yield groups, packs
 
 
-def _returned(found: Iterator[tuple[np.ndarray, ...]], groups: int, names: list[str], least: int = 1 << 18) -> Iterator[pa.RecordBatch]:
-    """What documents need to know, gathered over buckets and dealt to groups of doc_id."""
+def _returned(found: Iterator[tuple[np.ndarray, ...]], names: list[str], least: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """What groups need to know, gathered over buckets and dealt to them: the first column is the group."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def out() -> pa.RecordBatch:
-        columns = dict(zip(names, map(np.concatenate, zip(*held, strict=True)), strict=True))
-        rows = list(_dealt(_group(columns["doc"], groups), groups, **columns))
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], schema=_PACKS)
+        group, *columns = map(np.concatenate, zip(*held, strict=True))
+        rows = list(_dealt(group, **dict(zip(names, columns, strict=True))))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], schema=_TO_GROUP)
 
     for columns in found:
         if len(columns[0]):
@@ -211,24 +209,24 @@ def _returned(found: Iterator[tuple[np.ndarray, ...]], groups: int, names: list[
         yield out()
 
 
-_STATUS = ["<i8", "<u4", "<u2", "u1"]
+_STATUS = ["<i8", "<u8", "u1"]
 
 
 @released
-def _judged(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
-    """Rounds 1 and 2: which blocks of which documents are repeats (0) or contested (1)."""
-
-    def one(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
-        doc, anchor, low, high, left, right = unpack(blobs, _ENTRY)
-        order = np.lexsort((doc, low, high, anchor))
-        doc, anchor, low, high, left, right = (c[order] for c in (doc, anchor, low, high, left, right))
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rounds 1 and 2: to each group the smallest document of a block that it has later (0), or its own contested ones (1)."""
+
+    def one(found: tuple[list[int], list[bytes]]) -> tuple[np.ndarray, ...]:
+        doc, anchor, block, left, right = unpack(found[1], _ENTRY)
+        group = np.repeat(np.array(found[0], np.int64), [len(b) // sum(np.dtype(k).itemsize for k in _ENTRY) for b in found[1]])
+        order = np.lexsort((doc, block, anchor))
+        group, doc, anchor, block, left, right = (c[order] for c in (group, doc, anchor, block, left, right))
         new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         new = new_anchor.copy()
-        new[1:] |= (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        new[1:] |= block[1:] != block[:-1]
         content = np.cumsum(new) - 1
         at = np.flatnonzero(new)
         least = doc[at]  # of each content, the smallest document
-        repeat = doc > least[content]
         # Contents of one anchor that share a side, but not their smallest document, are contested.
         of = np.cumsum(new_anchor)[at].astype(np.uint64)
         contested = np.zeros(len(at), bool)
@@ -238,15 +236,15 @@ def _judged(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.Recor
             start = np.flatnonzero(np.concatenate([[True], key[by][1:] != key[by][:-1]]))
             differ = np.minimum.reduceat(least[by], start) != np.maximum.reduceat(least[by], start)
             contested[by] |= np.repeat(differ, np.diff(np.append(start, len(by))))
-        told = repeat.copy()
-        told[at] |= contested
-        return doc[told], low[told], high[told], (~repeat[told]).astype("u1")
+        later = doc > least[content]
+        told = later | contested[content]
+        return group[told], least[content[told]], block[told], (~later[told]).astype("u1")
 
-    yield from _returned((one(b) for b in _per_key(batches)), groups, ["doc", "low", "high", "flag"])
+    yield from _returned((one(b) for b in _per_key(batches)), ["doc", "block", "flag"])
 
 
-def _status_keys(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    return mix(doc.view(np.uint64) * np.uint64(0x9FB21C651E98DF25)) ^ (low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32))
+def _status_keys(doc: np.ndarray, block: np.ndarray) -> np.ndarray:
+    return mix(doc.view(np.uint64) * np.uint64(0x9FB21C651E98DF25)) ^ block
 
 
 def _within(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
@@ -255,51 +253,46 @@ def _within(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[np.minimum(np.searchsorted(sorted_set, values), len(sorted_set) - 1)] == values
 
 
-def _block_keys(ids: np.ndarray, first: int, x: Blocks) -> np.ndarray:
-    return _status_keys(ids[first + x.owner], x.block.astype("<u4"), (x.block >> np.uint64(32)).astype("<u2"))
-
-
 def _bucket(anchor: np.ndarray, buckets: int) -> np.ndarray:
     if buckets == 1:
         return np.zeros(len(anchor), np.int64)
     return (anchor >> np.uint64(64 - (buckets - 1).bit_length())).astype(np.int64)
 
 
-_BLOCK = ["<i8", "<u4", "<u2", "u1"]
+_BLOCK = ["<i8", "<u8", "u1"]
 
 
 def _contested_blocks(texts: pa.Table, told: pa.Table, length: int, buckets: int) -> pa.Table:
     """Round 3, first half: contested blocks and their bytes, in packs by bucket of anchor."""
-    doc, low, high, flag = unpack(told.column("pack").to_pylist(), _STATUS)
-    wanted = np.sort(_status_keys(doc, low, high)[flag == 1])
+    doc, block, flag = unpack(told.column("pack").to_pylist(), _STATUS)
+    wanted = np.sort(_status_keys(doc, block)[flag == 1])
     keys, packs = [], []
-    if len(wanted):
-        ids = texts.column("doc").to_numpy()
-        data, borders = text_buffer(texts.column("text"))
-        for part, at, first, _ in pieces(data, borders, length):
-            x = Blocks(part, at, length)
-            pick = np.flatnonzero(_within(_block_keys(ids, first, x), wanted))
-            key = _bucket(x.anchor[pick], buckets)
-            for k in np.unique(key):
-                mine = pick[key == k]
-                size = x.hi[mine] - x.lo[mine] + 1
-                body = b"".join(part[a:b].tobytes() for a, b in zip(x.lo[mine], x.hi[mine] + length, strict=True))
-                head = pack(doc=ids[first + x.owner[mine]], low=x.block[mine].astype("<u4"), high=(x.block[mine] >> np.uint64(32)).astype("<u2"), size=size.astype("u1"))
-                keys.append(int(k))
-                packs.append(len(head).to_bytes(8, "little") + head + body)
-    return pa.table([pa.array(keys, pa.int64()), pa.array(packs, pa.binary())], schema=_PACKS)
-
-
-_LATER = ["<i8", "<u4", "<u2", "<u8"]
+    for ids, part, x, _, _ in _found(texts, length) if len(wanted) else ():
+        pick = np.flatnonzero(_within(_status_keys(ids, x.block), wanted))
+        key = _bucket(x.anchor[pick], buckets)
+        for k in np.unique(key):
+            mine = pick[key == k]
+            size = x.hi[mine] - x.lo[mine] + 1
+            body = b"".join(part[a:b].tobytes() for a, b in zip(x.lo[mine], x.hi[mine] + length, strict=True))
+            head = pack(doc=ids[mine], block=x.block[mine].astype("<u8"), size=size.astype("u1"))
+            keys.append(int(k))
+            packs.append(len(head).to_bytes(8, "little") + head + body)
+    group = texts.column("key")[0].as_py() if texts.num_rows else 0
+    return pa.table([pa.array(keys, pa.int64()), pa.array([group] * len(keys), pa.int64()), pa.array(packs, pa.binary())], schema=_TO_BUCKET)
+
+
+_LATER = ["<i8", "<u8", "<u8"]
 
 
 @released
-def _repeated_windows(batches: Iterator[pa.RecordBatch], length: int, groups: int) -> Iterator[pa.RecordBatch]:
+def _repeated_windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Round 3, second half: of each contested block, a bit for each window that a smaller document has."""
 
-    def one(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    def one(found: tuple[list[int], list[bytes]]) -> tuple[np.ndarray, ...]:
+        groups, blobs = found
         heads = [8 + int.from_bytes(b[:8], "little") for b in blobs]
-        doc, low, high, size = unpack([b[8:h] for b, h in zip(blobs, heads, strict=True)], _BLOCK)
+        group = np.repeat(np.array(groups, np.int64), [(h - 8) // sum(np.dtype(k).itemsize for k in _BLOCK) for h in heads])
+        doc, block, size = unpack([b[8:h] for b, h in zip(blobs, heads, strict=True)], _BLOCK)
         prefix, _ = prefix_ranks(np.frombuffer(b"".join(b[h:] for b, h in zip(blobs, heads, strict=True)), np.uint8))
         size = size.astype(np.int64)
         begin = np.cumsum(size + length - 1) - (size + length - 1)
@@ -313,47 +306,59 @@ def _repeated_windows(batches: Iterator[pa.RecordBatch], length: int, groups: in
         mask = np.zeros(len(size), np.uint64)
         np.bitwise_or.at(mask, of[later], np.uint64(1) << nth[later].astype(np.uint64))
         some = mask != 0
-        return doc[some], low[some], high[some], mask[some]
+        return group[some], doc[some], block[some], mask[some]
 
-    yield from _returned((one(b) for b in _per_key(batches)), groups, ["doc", "low", "high", "mask"])
+    yield from _returned((one(b) for b in _per_key(batches)), ["doc", "block", "mask"])
+
+
+def _least_docs(blocks: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct blocks, sorted, and the smallest document of each."""
+    order = np.lexsort((docs, blocks))
+    blocks, docs = blocks[order], docs[order]
+    new = np.concatenate([[True], blocks[1:] != blocks[:-1]]) if len(blocks) else np.empty(0, bool)
+    return blocks[new], docs[new]
 
 
 def _cut(texts: pa.Table, told: pa.Table, length: int) -> pa.Table:
     """The spans that go, and digests of what stays, of each text of a group."""
     kind = told.column("kind").to_numpy()
     blobs = told.column("pack").to_pylist()
-    doc, low, high, flag = unpack([b for b, k in zip(blobs, kind, strict=True) if k == 0], _STATUS)
-    keys = _status_keys(doc, low, high)
-    repeats = np.sort(keys[flag == 0])
-    doc, low, high, mask = unpack([b for b, k in zip(blobs, kind, strict=True) if k == 1], _LATER)
-    later = _status_keys(doc, low, high)
+    doc, block, flag = unpack([b for b, k in zip(blobs, kind, strict=True) if k == 0], _STATUS)
+    other, other_doc = block[flag == 0], doc[flag == 0]
+    doc, block, mask = unpack([b for b, k in zip(blobs, kind, strict=True) if k == 1], _LATER)
+    later = _status_keys(doc, block)
     order = np.argsort(later)
     later, mask = later[order], mask[order]
-    ids = texts.column("doc").to_numpy()
     data, borders = text_buffer(texts.column("text"))
-    begins: dict[int, list[np.ndarray]] = {}
-    for part, at, first, offset in pieces(data, borders, length) if len(keys) else ():
-        x = Blocks(part, at, length)
-        key = _block_keys(ids, first, x)
-        covers = [np.empty((0, 2), np.int64)]
-        whole = np.flatnonzero(_within(key, repeats))
-        covers.append(np.stack([x.lo[whole], x.hi[whole] + length], 1))
-        some = np.flatnonzero(_within(key, later))
+    # Of each block of the group: document, hash, row, first window in the row, windows less one.
+    seen = [(ids, x.block, (first + x.owner).astype(np.int32), x.lo - (borders[first + x.owner] - borders[first]) + offset, (x.hi - x.lo).astype(np.uint8)) for ids, _, x, first, offset in _found(texts, length)]
+    begins: dict[int, np.ndarray] = {}
+    if seen:
+        ids, blocks, rows, lo, more = map(np.concatenate, zip(*seen, strict=True))
+        del seen
+        every, least = _least_docs(np.concatenate([blocks, other]), np.concatenate([ids, other_doc]))
+        whole = ids > least[np.searchsorted(every, blocks)]
+        row, at, end = [rows[whole]], [lo[whole]], [lo[whole] + more[whole] + length]
+        some = np.flatnonzero(~whole)
+        keys = _status_keys(ids[some], blocks[some])
+        hit = _within(keys, later)
+        some, keys = some[hit], keys[hit]
         if len(some):
-            held = mask[np.searchsorted(later, key[some])]
+            held = mask[np.searchsorted(later, keys)]
             for bit in range(length - PREFIX + 1):
-                hit = x.lo[some[(held >> np.uint64(bit)) & np.uint64(1) == 1]] + bit
-                covers.append(np.stack([hit, hit + length], 1))
-        span = np.concatenate(covers)
-        if len(span):
-            span = span[np.argsort(span[:, 0], kind="stable")]
-            of = np.searchsorted(at, span[:, 0], "right") - 1
-            for k in np.unique(of):
-                begins.setdefault(first + int(k), []).append(span[of == k] - at[k] + offset)
+                on = some[(held >> np.uint64(bit)) & np.uint64(1) == 1]
+                row.append(rows[on])
+                at.append(lo[on] + bit)
+                end.append(lo[on] + bit + length)
+        row, span = np.concatenate(row), np.stack([np.concatenate(at), np.concatenate(end)], 1)
+        order = np.argsort(row, kind="stable")
+        row, span = row[order], span[order]
+        edges = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else row
+        begins = {int(row[i]): span[i:j] for i, j in zip(edges, np.append(edges[1:], len(row)), strict=True)}
     n_removed, n_spans, kept, spans = [], [], [], []
-    for k in range(len(ids)):
+    for k in range(len(borders) - 1):
         raw = data[borders[k] : borders[k + 1]]
-        merged = _merged(np.concatenate(begins[k])) if k in begins else np.empty((0, 2), np.int64)
+        merged = _merged(begins[k]) if k in begins else np.empty((0, 2), np.int64)
         n_removed.append(int((merged[:, 1] - merged[:, 0]).sum()))
         n_spans.append(len(merged))
         digest, last = hashlib.sha256(), 0
@@ -385,7 +390,6 @@ def _by_key(packs: DataFrame, work: Callable) -> DataFrame:
 def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed bytes) of each row."""
     spark = docs.sparkSession
-    ensure_checkpoint_dir(spark)
     small_batches(spark, 4000)
     if not 2 * PREFIX <= length <= PREFIX + 63:
         raise ValueError("windows have 32 to 79 bytes: a block's windows are the bits of a word")
@@ -393,13 +397,12 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = 1 << max(0, (total // (PREFIX + 1) // BUCKET_RANKS).bit_length())
     groups = max(1, total // GROUP_BYTES) | 1
-    packs = texts.mapInArrow(lambda b: _ranked(b, length, buckets), "key bigint, pack binary")
-    status = _by_key(packs, lambda b: _judged(b, groups)).checkpoint()
-
-    grouped = texts.withColumn("key", _group_column(groups))
-    told = status.select("key", F.lit(0).alias("kind"), "pack")
-    windows = grouped.groupBy("key").cogroup(told.groupBy("key")).applyInArrow(lambda a, b: _contested_blocks(a, b, length, buckets), "key bigint, pack binary")
-    later = _by_key(windows, lambda b: _repeated_windows(b, length, groups)).select("key", F.lit(1).alias("kind"), "pack")
+    # By column functions alone, so that all readers of the texts share one exchange.
+    grouped = texts.withColumn("key", F.pmod(F.xxhash64("doc", "text"), F.lit(groups)))
+    packs = grouped.groupBy("key").applyInArrow(lambda t: _ranked(t, length, buckets), "key bigint, group bigint, pack binary")
+    told = _by_key(packs, _judged).select("key", F.lit(0).alias("kind"), "pack")
+    windows = grouped.groupBy("key").cogroup(told.groupBy("key")).applyInArrow(lambda a, b: _contested_blocks(a, b, length, buckets), "key bigint, group bigint, pack binary")
+    later = _by_key(windows, lambda b: _repeated_windows(b, length)).select("key", F.lit(1).alias("kind"), "pack")
     done = grouped.groupBy("key").cogroup(told.unionByName(later).groupBy("key")).applyInArrow(
         lambda a, b: _cut(a, b, length), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans array<struct<begin:bigint,end:bigint>>"
     )

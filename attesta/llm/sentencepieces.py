@@ -247,12 +247,14 @@ def _digests(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.Recor
     c = codec(model)
     hexed = lambda s: hashlib.sha256(s.encode()).hexdigest()
     for batch in batches:
-        n, shown, back = [], [], []
-        for ids, begins, _, text in c.aligned(batch.column(1).to_pylist()):
+        n, shown, back, spans = [], [], [], []
+        for ids, begins, ends, text in c.aligned(batch.column(1).to_pylist()):
             n.append(len(begins) + 1)
             shown.append(hexed(c.shown(ids)))
             back.append(hexed(text))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(shown), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            spans.append(hashlib.sha256(np.stack([begins, ends], 1).astype("<i8").tobytes()).hexdigest())
+        columns = [pa.array(n, pa.int64()), *(pa.array(c, pa.string()) for c in (shown, back, spans))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
 
 @released
@@ -278,8 +280,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of whole texts, each normalised and aligned as in `encode`."""
-    return _mapped(docs, _digests, model, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256 of whole texts, each normalised and aligned as in `encode`.
+
+    spans_sha256: digest of begin and end of each id but the last, as 64-bit integers.
+    """
+    return _mapped(docs, _digests, model, "n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_sha256 string")
 
 
 def default_model() -> str:

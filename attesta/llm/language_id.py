@@ -295,11 +295,15 @@ def _predicted(batches: Iterator[pa.RecordBatch], samples: dict[str, str]) -> It
 
 
 @released
-def _known(batches: Iterator[pa.RecordBatch], samples: dict[str, str], languages: frozenset[str] | None, least_score: float, most_rate: float) -> Iterator[pa.RecordBatch]:
+def _known(batches: Iterator[pa.RecordBatch], samples: dict[str, str], languages: frozenset[str] | None, least_score: float, most_rate: float, least_chars: int) -> Iterator[pa.RecordBatch]:
     model = model_of(samples)
     for batch in batches:
-        found = _by_parts(model, batch.column(batch.schema.get_field_index("text")).to_pylist())
-        keep = [lang != UNDETERMINED and (languages is None or lang in languages) and score >= least_score and rate <= most_rate for lang, score, rate in found]
+        texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+        found = _by_parts(model, texts)
+        keep = [
+            lang != UNDETERMINED and (languages is None or lang in languages) and score >= least_score and (rate <= most_rate or len(text) < least_chars)
+            for text, (lang, score, rate) in zip(texts, found, strict=True)
+        ]
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
@@ -310,16 +314,16 @@ def identify(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(lambda b: _predicted(b, samples), f"doc_id {kind}, lang_pred string, score double, phrase_rate double")
 
 
-def keep_known(docs: DataFrame, samples: dict[str, str], *, languages: set[str] | None = None, least_score: float = 0.0, most_rate: float = 0.6) -> DataFrame:
+def keep_known(docs: DataFrame, samples: dict[str, str], *, languages: set[str] | None = None, least_score: float = 0.0, most_rate: float = 0.6, least_chars: int = 8) -> DataFrame:
     """The documents whose language is found, all columns as they were; no shuffle.
 
     A prediction outside `languages` (where given), one with a score under `least_score`, and a text
-    that even its best language parses into more than `most_rate` phrases a character are rejected:
-    the last are texts that no learned language explains.
+    of `least_chars` characters or more that even its best language parses into more than `most_rate`
+    phrases a character are rejected: the last are texts that no learned language explains.
     """
     small_batches(docs.sparkSession)
     wanted = None if languages is None else frozenset(languages)
-    return docs.mapInArrow(lambda b: _known(b, samples, wanted, least_score, most_rate), docs.schema)
+    return docs.mapInArrow(lambda b: _known(b, samples, wanted, least_score, most_rate, least_chars), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

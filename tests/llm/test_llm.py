@@ -128,6 +128,20 @@ def test_suffix_dedup(spark, real):
     assert got == suffix_dedup.brute_force(rows)
 
 
+def test_suffix_dedup_over_many_groups(spark, monkeypatch):
+    """Passages that many documents share, near copies and repeated ids, dealt to groups of few texts."""
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 3000)
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("abcdefg ", k=n))
+    shared, base = text(170), text(400)
+    rows = [(i, text(rng.randint(0, 300)) + shared[rng.randint(0, 60) :] + text(rng.randint(0, 200))) for i in range(120)]
+    rows += [(200 + i, base[: 40 * i] + "#" + base[40 * i :]) for i in range(10)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(frame(spark, rows)).collect()}
+    assert got == suffix_dedup.brute_force(rows)
+    twice = suffix_dedup.suffix_dedup(frame(spark, [(1, base[:100]), (5, "x" + base[:200]), (5, "y" + base[20:250]), (5, "x" + base[:200]), (9, base)])).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in twice) == [(1, 0), (5, 80), (5, 100), (5, 100), (9, 250)]
+
+
 def test_suffix_dedup_long_texts_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 500)
     rng = random.Random(2)
@@ -272,6 +286,36 @@ def test_sentencepiece_store_that_empties(real, monkeypatch):
     assert [ids for ids, _ in c.encode(texts)] == [[*c.library.encode(t), c.end] for t in texts]
 
 
+def test_sentencepiece_offsets_against_the_library(tmp_path):
+    """Byte spans of every piece, by the 32k model and by one with an NFKC character map."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    plain = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
+    spec = plain.serialized_normalizer_spec if isinstance(plain.serialized_normalizer_spec, bytes) else plain.serialized_normalizer_spec()
+    rule, proto = pb.NormalizerSpec(), pb.ModelProto()
+    rule.ParseFromString(spec)
+    with open(sentencepieces.default_model(), "rb") as f:
+        proto.ParseFromString(f.read())
+    texts = ["ＡＢ ﬁ ①é x", "  lead  two ", "", "ｶﾞ ㍿ …x", "á b\u00a0c\td", "日本語 🙂", " ", "x ", "plain words, twice  over\n\nnew"]
+    models = [sentencepieces.default_model()]
+    for trims in (False, True):
+        proto.normalizer_spec.precompiled_charsmap = rule.precompiled_charsmap
+        proto.normalizer_spec.remove_extra_whitespaces = trims
+        models.append(str(tmp_path / f"{trims}.model"))
+        with open(models[-1], "wb") as f:
+            f.write(proto.SerializeToString())
+    for model in models:
+        c = sentencepieces.Codec(model)
+        for text, (ids, _) in zip(texts, c.encode(texts), strict=True):
+            theirs = c.library.encode(text, return_type="proto").pieces
+            assert ids[:-1] == [p.id for p in theirs]
+            # Pieces of single bytes have each their byte here, where a character isn't mapped.
+            plain = [k for k, p in enumerate(theirs) if not p.piece.startswith("<0x")]
+            spans = c.spans(text, ids)
+            assert [text.encode()[slice(*spans[k])].decode() for k in plain] == [theirs[k].surface for k in plain]
+
+
 def test_character_map():
     import sentencepiece
 
@@ -309,6 +353,7 @@ def test_sentencepiece_digests_are_aligned(monkeypatch):
     monkeypatch.setattr(c, "normalise", lambda t: seen.append(t) or normalise(t))
     (out,) = sentencepieces._digests(iter([batch]), model)
     assert seen == [t or "" for t in texts]
+    assert out.column(4)[2].as_py() == hashlib.sha256(b"").hexdigest() and out.column(4)[3].as_py() == hashlib.sha256(np.array(c.spans(" lead", next(c.encode([" lead"]))[0]), "<i8").tobytes()).hexdigest()
     assert out.column(1).to_pylist() == [len(c.spans(t, ids)) + 1 for t, (ids, _) in zip(texts, c.encode(texts), strict=True)]
     monkeypatch.setattr(c, "normalise", lambda t: normalise(t + "x"))
     with pytest.raises(ValueError):
@@ -405,6 +450,7 @@ def test_language_rejects(spark):
     samples = {"en": "the cat and the dog sat on the mat with a hat " * 5, "fr": "le chat et le chien sont sur le tapis " * 5}
     df = frame(spark, [(1, "the cat and the dog"), (2, "le chat et le chien"), (3, "xq zvw qqk jzx wvk"), (4, "123"), (None, "the hat")], extra=False)
     kept = lambda **o: sorted(r.doc_id or -1 for r in language_id.keep_known(df, samples, **o).collect())
+    assert language_id.keep_known(frame(spark, [(1, "x"), (2, "qx")], extra=False), samples).count() == 2
     assert kept() == [-1, 1, 2] and kept(most_rate=1.0) == [-1, 1, 2, 3]
     assert kept(languages={"fr"}) == [2] and kept(least_score=1.1) == []
 

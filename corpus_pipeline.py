@@ -16,7 +16,7 @@ from attesta.llm.common import ensure_checkpoint_dir, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language ID gives a language; null texts and texts without a letter go."""
+    """Documents of a learned language: null texts, texts without a letter and texts that even their best language hardly explains go."""
     return language_id.keep_known(docs, language_id.learn(docs))
 
 
@@ -32,7 +32,10 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links of five-word shingles (0.8 or more) connect, the least doc_id."""
+    """Of each group that links of five-word shingles (0.8 or more) connect, the least doc_id.
+
+    Exact copies, by contrast, keep the largest doc_id, as that operator's contract has it.
+    """
     return jaccard_join.keep_one(docs).select(docs.columns)
 
 
@@ -42,7 +45,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, spans_sha256."""
     return sentencepieces.digests(docs, sentencepieces.default_model())
 
 

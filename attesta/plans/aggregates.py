@@ -147,14 +147,6 @@ def agg_rights_inheritance(spark, d):
     return top.select("source", "lang", F.when(F.size("rs") == 1, F.col("rs")[0]).otherwise(F.sha2(F.concat(F.to_json("rs"), F.lit("\n")), 256)).alias("effective_rights"))
 
 
-@query("agg_inherit_contribution", """SELECT o_custkey AS subject, string_agg(DISTINCT 'consent_' || (o_orderkey % 5), ',' ORDER BY 'consent_' || (o_orderkey % 5)) AS consents, max(CASE o_orderstatus WHEN 'P' THEN 3 WHEN 'O' THEN 2 ELSE 1 END) AS confidentiality, strftime(min(o_orderdate), '%Y-%m-%d') AS retention
-  FROM orders GROUP BY 1""")
-def agg_inherit_contribution(spark, d):
-    rank = F.when(F.col("o_orderstatus") == "P", 3).when(F.col("o_orderstatus") == "O", 2).otherwise(1)
-    o = table(spark, d, "orders")
-    return o.groupBy(F.col("o_custkey").alias("subject")).agg(summarise.listed(F.concat(F.lit("consent_"), F.col("o_orderkey") % 5)).alias("consents"), F.max(rank).alias("confidentiality"), F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("retention"))
-
-
 @query("agg_recommendations", CTES + """, f AS (SELECT 'review_rights' AS action, source_id, document_id AS ref FROM reasons WHERE reason LIKE 'rights%' UNION ALL SELECT 'resolve_metadata', source_id, document_id FROM reasons WHERE reason = 'metadata_unresolved'
   UNION ALL SELECT 'review_duplicate', source_id, document_id FROM docs WHERE cluster_id IS NOT NULL UNION ALL SELECT 'delete', source_id, document_id FROM docs WHERE toxic = 1)
   SELECT action, source_id, array_to_string(list_sort(list(DISTINCT ref))[1:64], ',') AS refs, count(DISTINCT ref) > 64 AS truncated FROM f GROUP BY ALL""")
@@ -204,11 +196,6 @@ def agg_quota(spark, d):
     return table(spark, d, "events").groupBy("user_id").agg(F.least(F.sum(units), F.lit(60)).cast("bigint").alias("units"), F.count(F.lit(1)).alias("calls"))
 
 
-@query("agg_result_facts", "SELECT doc_id, n_chars = length(text) AS chars_agree, len(string_split(text, chr(10))) AS lines FROM documents")
-def agg_result_facts(spark, d):
-    return table(spark, d, "documents").select("doc_id", (F.col("n_chars") == F.length("text")).alias("chars_agree"), F.size(F.split("text", "\n")).cast("bigint").alias("lines"))
-
-
 @query("agg_removed_counts", CTES + "SELECT document_id, count(*) AS fields, count(consent_sha) AS consents, count(policy_id) AS policies FROM auth WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY 1")
 def agg_removed_counts(spark, d):
     from attesta.plans.search import granted

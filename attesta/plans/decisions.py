@@ -81,100 +81,6 @@ def greedy_balanced_pairs(spark, d):
     return spark.createDataFrame([(p["first"], p["second"], p["similarity"]) for p in out], "first bigint, second bigint, similarity_milli bigint")
 
 
-FACTS = ("identity", "license", "robots", "privacy")
-
-
-@query("eval_source_operation", """WITH s AS (SELECT c_custkey, [CASE WHEN c_acctbal < 0 THEN 'license:denied' END, CASE WHEN c_nationkey % 5 = 0 THEN 'robots:evidence_expired' END, CASE WHEN c_mktsegment = 'BUILDING' THEN 'privacy:unknown' END, CASE WHEN c_custkey % 9 = 0 THEN 'operation:decision_expired' END] AS r FROM customer)
-  SELECT c_custkey, array_to_string(list_filter(r, lambda x: x IS NOT NULL), ',') AS reasons, len(list_filter(r, lambda x: x IS NOT NULL)) = 0 AS eligible FROM s""")
-def eval_source_operation(spark, d):
-    c = F.col
-    reasons = policy.all_reasons([(c("c_acctbal") < 0, "license:denied"), (c("c_nationkey") % 5 == 0, "robots:evidence_expired"), (c("c_mktsegment") == "BUILDING", "privacy:unknown"), (c("c_custkey") % 9 == 0, "operation:decision_expired")])
-    return table(spark, d, "customer").select("c_custkey", F.array_join(reasons, ",").alias("reasons"), (F.size(reasons) == 0).alias("eligible"))
-
-
-@query("eval_project_native_use", """SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderstatus <> 'F' THEN 'consent:' || o_orderstatus END, CASE WHEN o_orderdate > TIMESTAMP '1998-01-01' THEN 'consent:not_yet_effective' END, CASE WHEN o_orderpriority = '1-URGENT' THEN 'consent:use_not_allowed' END, CASE WHEN o_totalprice > 150000 THEN 'retention:expired' END) AS reasons FROM orders""")
-def eval_project_native_use(spark, d):
-    c = F.col
-    reasons = F.concat_ws(",", F.when(c("o_orderstatus") != "F", F.concat(F.lit("consent:"), "o_orderstatus")), F.when(c("o_orderdate") > F.lit("1998-01-01").cast("timestamp"), "consent:not_yet_effective"), F.when(c("o_orderpriority") == "1-URGENT", "consent:use_not_allowed"), F.when(c("o_totalprice") > 150000, "retention:expired"))
-    return table(spark, d, "orders").select("o_orderkey", reasons.alias("reasons"))
-
-
-@query("eval_project_native_operation", "SELECT o_orderkey, len(list_filter([o_orderstatus = 'P', o_totalprice < 1000, o_orderpriority LIKE '1%', c_acctbal < 0, c_custkey IS NULL], lambda x: coalesce(x, true))) AS n_reasons FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
-def eval_project_native_operation(spark, d):
-    o, cu = table(spark, d, "orders"), table(spark, d, "customer")
-    c = F.col
-    rules = [(c("o_orderstatus") == "P", "pending"), (c("o_totalprice") < 1000, "small"), (c("o_orderpriority").startswith("1"), "urgent"), (c("c_acctbal") < 0, "revoked"), (c("c_custkey").isNull(), "missing")]
-    return o.join(cu, o.o_custkey == cu.c_custkey, "left").select("o_orderkey", F.size(policy.all_reasons(rules)).cast("bigint").alias("n_reasons"))
-
-
-@query("transition_consent", "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'revoked' WHEN c_custkey % 17 = 0 THEN 'expired' ELSE 'active' END AS state, CASE WHEN c_acctbal < 0 OR c_custkey % 17 = 0 THEN strftime(TIMESTAMP '2026-01-01' + to_hours(CASE c_mktsegment WHEN 'BUILDING' THEN 24 ELSE 72 END), '%Y-%m-%dT%H:%M:%SZ') END AS due_at FROM customer")
-def transition_consent(spark, d):
-    state = F.when(F.col("c_acctbal") < 0, "revoked").when(F.col("c_custkey") % 17 == 0, "expired").otherwise("active")
-    due = times.at(0) + F.make_dt_interval(F.lit(0), F.when(F.col("c_mktsegment") == "BUILDING", 24).otherwise(72))
-    return table(spark, d, "customer").select("c_custkey", state.alias("state"), F.when(state != "active", times.text(due)).alias("due_at"))
-
-
-OPERATIONS = ("metadata", "raw_storage", "ocr", "transcription", "embedding", "search", "export", "publication", "training")
-
-
-@query("compile_qualification", CTES + f""", ops AS (SELECT unnest({list(OPERATIONS)}) AS operation, unnest(range(1, 10)) AS i)
-  SELECT doc_id, operation, CASE WHEN reason IS NULL THEN CASE WHEN (doc_id + i) % 6 = 0 THEN 'decision_missing' ELSE 'eligible' END ELSE reason END AS outcome FROM reasons, ops""")
-def compile_qualification(spark, d):
-    """Every candidate by nine operations: the list is exploded, not joined."""
-    r = reasoned(spark, d).select("doc_id", "reason", F.posexplode(F.array(*map(F.lit, OPERATIONS))).alias("i", "operation"))
-    outcome = F.coalesce("reason", F.when((F.col("doc_id") + F.col("i") + 1) % 6 == 0, "decision_missing").otherwise("eligible"))
-    return r.select("doc_id", "operation", outcome.alias("outcome"))
-
-
-@query("query_qualified_assets", CTES + "SELECT doc_id, count(*) AS operations FROM (SELECT doc_id, unnest(range(1, 10)) AS i FROM reasons WHERE reason IS NULL) WHERE (doc_id + i) % 6 <> 0 GROUP BY 1")
-def query_qualified_assets(spark, d):
-    return compile_qualification(spark, d).where("outcome = 'eligible'").groupBy("doc_id").agg(F.count(F.lit(1)).alias("operations"))
-
-
-@query("build_qualified_job", CTES + "SELECT doc_id, 'qualified_job_' || left(sha256('ocr|' || document_id || chr(10)), 24) AS job_id FROM reasons WHERE reason IS NULL AND (doc_id + 2) % 6 <> 0 AND (doc_id + 3) % 6 <> 0")
-def build_qualified_job(spark, d):
-    from attesta.functions.hashing import record_id
-
-    n = F.col("doc_id")
-    rows = reasoned(spark, d).where("reason is null").where(((n + 2) % 6 != 0) & ((n + 3) % 6 != 0))
-    return rows.select("doc_id", record_id("qualified_job", F.concat(F.lit("ocr|"), "document_id")).alias("job_id"))
-
-
-ADMIT = "[CASE WHEN medium = 'video' AND n_chars > 5000 THEN 'media_too_large' END, CASE WHEN toxic = 1 THEN 'privacy_hold' END, CASE WHEN selection_state <> 'selected_rich_corpus' THEN 'not_selected' END, CASE WHEN doc_id % 200 + 120 <= 150 THEN 'authority_stale' END]"
-
-
-def admitted(spark, d):
-    c = F.col
-    rules = [(F.coalesce((c("medium") == "video") & (c("n_chars") > 5000), F.lit(False)), "media_too_large"), (F.coalesce(c("toxic") == 1, F.lit(False)), "privacy_hold"), (c("selection_state") != "selected_rich_corpus", "not_selected"), (times.day(c("doc_id") % 200 + 120) <= now(), "authority_stale")]
-    return records.documents(spark, d).withColumn("reasons", policy.all_reasons(rules))
-
-
-@query("eval_admission", CTES + f"SELECT doc_id, array_to_string(list_filter({ADMIT}, lambda x: x IS NOT NULL), ',') AS reasons FROM docs")
-def eval_admission(spark, d):
-    return admitted(spark, d).select("doc_id", F.array_join("reasons", ",").alias("reasons"))
-
-
-@query("plan_media_job", CTES + f"SELECT doc_id, 'derived_media_job_' || left(sha256(document_id || '|' || medium || chr(10)), 24) AS job_id FROM docs WHERE len(list_filter({ADMIT}, lambda x: x IS NOT NULL)) = 0")
-def plan_media_job(spark, d):
-    from attesta.functions.hashing import record_id
-
-    return admitted(spark, d).where(F.size("reasons") == 0).select("doc_id", record_id("derived_media_job", F.concat_ws("|", "document_id", "medium")).alias("job_id"))
-
-
-@query("eval_media_conflicts", "SELECT l_orderkey, concat_ws(',', CASE WHEN count(*) > count(DISTINCT l_partkey) THEN 'duplicate_result' END, CASE WHEN min(l_discount) < 0.01 THEN 'low_confidence' END, CASE WHEN count(DISTINCT l_returnflag) > 1 THEN 'conflicting_output' END) AS conflicts FROM lineitem GROUP BY 1")
-def eval_media_conflicts(spark, d):
-    found = F.concat_ws(",", F.when(F.count(F.lit(1)) > F.count_distinct("l_partkey"), "duplicate_result"), F.when(F.min("l_discount") < 0.01, "low_confidence"), F.when(F.count_distinct("l_returnflag") > 1, "conflicting_output"))
-    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(found.alias("conflicts"))
-
-
-@query("derive_contribution", "SELECT o_custkey, 'contribution_' || left(sha256(string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) || chr(10)), 24) AS contribution_id, count(*) AS inputs FROM orders GROUP BY 1")
-def derive_contribution(spark, d):
-    from attesta.functions.hashing import record_id
-
-    inputs = F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda x: x.cast("string")), ",")
-    return table(spark, d, "orders").groupBy("o_custkey").agg(inputs.alias("i"), F.count(F.lit(1)).alias("inputs")).select("o_custkey", record_id("contribution", F.col("i")).alias("contribution_id"), "inputs")
-
-
 @query("retention_state", "SELECT o_orderkey, CASE WHEN o_orderkey % 31 = 0 THEN 'legal_hold_conflict' WHEN TIMESTAMP '1996-06-01' < o_orderdate THEN 'not_due' WHEN o_orderpriority LIKE '1%' THEN 'awaiting_review' ELSE 'ready_exact_cleanup' END AS state FROM orders")
 def retention_state(spark, d):
     t = F.lit("1996-06-01").cast("timestamp")
@@ -235,9 +141,3 @@ def inventory_verdict(spark, d):
 def operator_gate(spark, d):
     n, s = table(spark, d, "nation").select("n_nationkey"), table(spark, d, "supplier").groupBy("s_nationkey").agg(F.min("s_acctbal").alias("least"))
     return n.join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left").select("n_nationkey", F.when(F.col("least").isNull(), "no_work").when(F.col("least") < 0, "blocked").otherwise("resumed").alias("gate"))
-
-
-@query("filter_transfer_rights", "SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0 AND o_orderstatus = 'F'")
-def filter_transfer_rights(spark, d):
-    ok = table(spark, d, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("o_custkey"))
-    return table(spark, d, "orders").where("o_orderstatus = 'F'").join(ok, "o_custkey", "left_semi").select("o_orderkey")

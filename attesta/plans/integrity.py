@@ -149,11 +149,6 @@ def contiguous_index_check(spark, d):
     return expect.contiguous(table(spark, d, "conversations"), ["conv_id"], "turn", 0)
 
 
-@query("adjacent_span_check", "SELECT event_id, ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY event_id) AS in_order FROM events")
-def adjacent_span_check(spark, d):
-    return table(spark, d, "events").select("event_id", (F.col("ts") >= F.lag("ts").over(Window.partitionBy("user_id").orderBy("event_id"))).alias("in_order"))
-
-
 @query("monotonic_checkpoint", "SELECT user_id, count(*) AS backwards FROM (SELECT user_id, value < lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events) WHERE b GROUP BY 1")
 def monotonic_checkpoint(spark, d):
     e = table(spark, d, "events").withColumn("b", F.col("value") < F.lag("value").over(Window.partitionBy("user_id").orderBy("event_id")))

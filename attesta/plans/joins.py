@@ -51,15 +51,6 @@ def join_cand_target(spark, d):
     return c.select("candidate_id", F.inline(dims)).join(records.targets(docs), ["dimension", "value"]).select("candidate_id", "target_id", F.col("priority").cast("bigint").alias("priority"))
 
 
-@query("join_governance_layers", """WITH layers AS (SELECT DISTINCT source, CASE WHEN doc_id % 2 = 0 THEN lang END AS endpoint FROM documents)
-  SELECT d.doc_id, count(*) AS layers, count(endpoint) AS endpoint_layers FROM documents d JOIN layers l ON d.source = l.source AND (l.endpoint IS NULL OR l.endpoint = d.lang) GROUP BY 1""")
-def join_governance_layers(spark, d):
-    docs = table(spark, d, "documents")
-    layers = docs.select(F.col("source").alias("s"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("endpoint")).distinct()
-    joined = docs.select("doc_id", "source", "lang").join(layers, (F.col("source") == F.col("s")) & relate.wildcard(F.col("endpoint"), F.col("lang")))
-    return joined.groupBy("doc_id").agg(F.count(F.lit(1)).alias("layers"), F.count("endpoint").alias("endpoint_layers"))
-
-
 WIDE = CTES + """, wide AS (SELECT doc_id, max(value) FILTER (name = 'title') AS title, max(value) FILTER (name = 'language') AS language, max(value) FILTER (name = 'origin') AS origin FROM flds GROUP BY 1),
   pairs AS (SELECT a.doc_id, (a.title = b.title)::INT + (a.language = b.language)::INT + (a.origin = b.origin)::INT AS matched FROM wide a JOIN wide b ON a.doc_id <> b.doc_id),
   partners AS (SELECT doc_id, count(*) FILTER (matched = 3) AS agreeing, count(*) FILTER (matched BETWEEN 1 AND 2) AS conflicting FROM pairs GROUP BY 1)"""
@@ -137,15 +128,6 @@ def join_override(spark, d):
     return c.where("pipeline_proof").join(overrides, "candidate_id", "left").select("candidate_id", F.coalesce("ok", F.lit(False)).alias("override_approved"))
 
 
-@query("join_consent_bundle", """SELECT o_orderkey AS contribution, concat_ws(',', CASE WHEN c_custkey IS NULL THEN 'consent_missing' END, CASE WHEN c_acctbal < 0 THEN 'consent_revoked' END, CASE WHEN o_orderstatus = 'P' THEN 'retention_pending' END) AS reasons
-  FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
-def join_consent_bundle(spark, d):
-    o, c = table(spark, d, "orders"), table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    j = o.join(c, o.o_custkey == c.c_custkey, "left")
-    reasons = F.concat_ws(",", F.when(F.col("c_custkey").isNull(), "consent_missing"), F.when(F.col("c_acctbal") < 0, "consent_revoked"), F.when(F.col("o_orderstatus") == "P", "retention_pending"))
-    return j.select(F.col("o_orderkey").alias("contribution"), reasons.alias("reasons"))
-
-
 @query("join_blocker_work", "WITH b AS (SELECT n_nationkey AS scope FROM nation WHERE n_regionkey = 1) SELECT s_suppkey AS work_item, s_nationkey IN (SELECT scope FROM b) AS held FROM supplier")
 def join_blocker_work(spark, d):
     blockers = table(spark, d, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("s_nationkey"), F.lit(True).alias("held"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from attesta.plans import aggregates, decisions, folds, integrity, joins, lineage, parsing, scalars, search  # noqa: F401
+from attesta.plans import aggregates, decisions, folds, governance, integrity, joins, lineage, media, parsing, qualification, scalars, search  # noqa: F401
 from attesta.plans.catalog import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -1,0 +1,136 @@
+"""Record families with evidence behind them, as SQL that Spark and DuckDB both read.
+
+A family names tables and other families in braces. `family` gives it as a DataFrame, `ctes` as the
+opening of a DuckDB query. Days count from the epoch of `times`; validity is half-open.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+from attesta.sources.tables import table
+
+FAMILIES: dict[str, str] = {}
+_NAME = re.compile(r"\{(\w+)\}")
+
+
+def _define(**families: str) -> None:
+    FAMILIES.update(families)
+
+
+def _needs(name: str) -> list[str]:
+    """The families that a family rests on, itself last."""
+    out: list[str] = []
+    for other in _NAME.findall(FAMILIES[name]):
+        if other in FAMILIES:
+            out += [n for n in _needs(other) if n not in out]
+    return [*out, name]
+
+
+def family(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """The rows of a family over the tables of a folder."""
+    text = FAMILIES[name].replace("EACH(", "explode(")
+    return spark.sql(text, **{n: family(spark, d, n) if n in FAMILIES else table(spark, d, n) for n in _NAME.findall(text)})
+
+
+def ctes(*names: str) -> str:
+    """WITH ... for DuckDB: the families and what they rest on."""
+    order = list(dict.fromkeys(n for name in names for n in _needs(name)))
+    text = lambda n: re.sub(r"sha2\((.*?), 256\)", r"sha256(\1)", _NAME.sub(r"\1", FAMILIES[n].replace("EACH(", "unnest(")))
+    return "WITH " + ", ".join(f"{n} AS ({text(n)})" for n in order)
+
+
+# Dimensions of facts, the state of each that passes, and the operations of a source.
+DIMENSIONS = {
+    "access_control": "allowed", "api_availability": "available", "authentication": "not_required", "copyright_lawful_basis": "permitted", "platform_terms": "permitted", "robots": "allowed",
+}
+OPERATIONS = (
+    "acquisition_eligibility", "caption_retention", "deletion", "derivative_eligibility", "derived_processing", "indexing", "media_acquisition", "metadata_inventory", "prose_retention", "public_retrieval", "retention", "search_visibility",
+)
+_dims, _ops = ",".join(DIMENSIONS), ",".join(OPERATIONS)
+_passing = "CASE dimension " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DIMENSIONS.items()) + " END"
+
+
+
+def _governed(prefix: str, subjects: str, rare: tuple[int, int, int, int] = (11, 13, 17, 19)) -> dict[str, str]:
+    """Families of the facts, observations, operation states and decisions about subjects, a select of (subject, k, blocked).
+
+    rare: one in so many states is denied, unknown, without a decision, or with one of another state.
+    """
+    p, (r1, r2, r3, r4) = prefix, rare
+    return {
+        f"{p}_subject": subjects,
+        f"{p}_fact_key": f"SELECT subject, k, EACH(split('{_dims}', ',')) AS dimension FROM {{{p}_subject}}",
+        f"{p}_fact_place": f"SELECT subject, k, dimension, CAST(array_position(split('{_dims}', ','), dimension) AS INT) AS place FROM {{{p}_fact_key}}",
+        f"{p}_fact": f"SELECT subject, k, dimension, place, CASE WHEN (k * 7 + place * 3) % 53 = 0 THEN 'unknown' WHEN (k * 5 + place) % 61 = 0 THEN 'denied' ELSE {_passing} END AS state FROM {{{p}_fact_place}}",
+        f"{p}_observation": f"""SELECT subject, dimension, CASE WHEN (k * 3 + place) % 67 = 0 THEN 'unknown' ELSE state END AS state, (k * place) % 153 AS observed_day, 146 + (k * 11 + place) % 90 AS expires_day FROM {{{p}_fact}} WHERE (k + place) % 71 <> 0
+          UNION ALL SELECT subject, dimension, state, 10, 400 FROM {{{p}_fact}} WHERE (k + 2 * place) % 73 = 0""",
+        f"{p}_state_key": f"SELECT subject, k, EACH(split('{_ops}', ',')) AS operation FROM {{{p}_subject}}",
+        f"{p}_state_place": f"SELECT subject, k, operation, CAST(array_position(split('{_ops}', ','), operation) AS INT) AS place FROM {{{p}_state_key}}",
+        f"{p}_state": f"SELECT subject, k, operation, place, CASE WHEN (k * 5 + place) % {r1} = 0 THEN 'denied' WHEN (k + place) % {r2} = 1 THEN 'unknown' ELSE 'approved' END AS state FROM {{{p}_state_place}}",
+        f"{p}_decision": f"""SELECT subject, operation, CASE WHEN (k + 3 * place) % {r4} = 0 THEN 'unknown' ELSE state END AS state, (k * place) % 156 AS decided_day, 144 + (k + place) % 70 AS expires_day FROM {{{p}_state}} WHERE (k + place) % {r3} <> 0
+          UNION ALL SELECT subject, operation, state, 5, 300 FROM {{{p}_state}} WHERE (k + 2 * place) % 43 = 0""",
+    }
+
+
+_define(**_governed("gov", "SELECT c_custkey AS subject, c_custkey AS k, c_acctbal < -900 AS blocked FROM {customer}"))
+# Layers of authority over documents as assets: a source, an endpoint of it, and one asset each.
+_define(
+    qa_layer="""SELECT CONCAT('source|', source) AS subject, source AS source_id, CAST(NULL AS STRING) AS endpoint_id, CAST(NULL AS STRING) AS asset_id, min(doc_id) + 6 AS k FROM {documents} WHERE source IS NOT NULL GROUP BY source
+      UNION ALL SELECT CONCAT('endpoint|', source, '|', lang), source, lang, CAST(NULL AS STRING), min(doc_id) + 3 FROM {documents} WHERE source IS NOT NULL AND lang IS NOT NULL GROUP BY source, lang
+      UNION ALL SELECT CONCAT('asset|', doc_id), source, lang, CONCAT('asset_', doc_id), doc_id FROM {documents} WHERE doc_id % 83 <> 7 AND source IS NOT NULL AND lang IS NOT NULL""",
+    **_governed("qa", "SELECT subject, k, k % 211 = 9 AS blocked FROM {qa_layer}", (97, 101, 103, 107)),
+    qa_asset="""SELECT doc_id, CONCAT('asset_', doc_id) AS asset_id, source AS source_id, lang AS endpoint_id, CASE doc_id % 5 WHEN 0 THEN 'caption' WHEN 1 THEN 'prose' WHEN 2 THEN 'document' WHEN 3 THEN 'image' ELSE 'media' END AS asset_kind,
+      CASE WHEN doc_id % 43 = 3 THEN 'restricted' ELSE 'available' END AS access_state, CASE WHEN doc_id % 6 = 0 THEN 'inventory_metadata' ELSE 'selected_raw' END AS retention_class, CASE WHEN doc_id % 7 = 2 THEN 'none' ELSE 'operation_specific' END AS derivative_policy,
+      CASE WHEN doc_id % 3 = 0 THEN 'public' ELSE 'restricted' END AS retrieval_policy, sha2(CONCAT(doc_id, '|', coalesce(n_chars, 0)), 256) AS facts_sha FROM {documents}""",
+)
+QUALIFIED = ("metadata_retention", "download", "raw_storage", "ocr", "transcription", "video_understanding", "indexing", "score_generation", "public_retrieval")
+_qual = ",".join(QUALIFIED)
+_define(
+    qa_operation_key=f"SELECT doc_id, EACH(split('{_qual}', ',')) AS operation FROM {{documents}}",
+    qa_operation=f"SELECT doc_id, operation, CAST(array_position(split('{_qual}', ','), operation) AS INT) AS place FROM {{qa_operation_key}}",
+    qa_op_decision="""SELECT o.doc_id, operation, CASE WHEN (o.doc_id + place) % 23 = 0 THEN 'blocked' WHEN (o.doc_id + 5 * place) % 29 = 0 THEN 'revoked' ELSE 'approved' END AS state, CASE WHEN (o.doc_id + place) % 31 = 0 THEN 'source_policy' ELSE 'asset_specific' END AS scope,
+      CASE WHEN (o.doc_id * 3 + place) % 37 = 0 THEN 'public_visibility' WHEN (o.doc_id + place) % 41 = 0 THEN CAST(NULL AS STRING) ELSE 'reviewed_lawful_basis' END AS basis, CASE WHEN (o.doc_id + 7 * place) % 47 = 0 THEN 'intern' ELSE 'rights_reviewer' END AS authority,
+      CASE WHEN (o.doc_id + 11 * place) % 53 = 0 THEN CAST(NULL AS STRING) ELSE CONCAT('evidence_', o.doc_id) END AS evidence_ref, (o.doc_id * place) % 154 AS decided_day, CASE WHEN (o.doc_id + place) % 59 = 0 THEN 0 ELSE 145 + (o.doc_id + 13 * place) % 200 END AS expires_day,
+      CASE WHEN (o.doc_id + place) % 61 = 0 THEN sha2('stale', 256) ELSE facts_sha END AS facts_sha, CASE WHEN (o.doc_id + 2 * place) % 67 = 0 THEN 'selected_derived' ELSE retention_class END AS retention_class
+      FROM {qa_operation} o JOIN {qa_asset} a ON o.doc_id = a.doc_id WHERE (o.doc_id + place) % 19 <> 0""",
+)
+_define(
+    # Project-native lifecycle: a consent, a retention and a deletion record of each customer, a contribution of each order.
+    pn_consent="""SELECT c_custkey AS subject, CONCAT('consent_', c_custkey) AS consent_id, CONCAT('source_', c_nationkey % 3) AS source_id, CONCAT('purpose_', c_custkey % 2) AS purpose_code, CONCAT('notice_', c_custkey % 4) AS notice_version,
+      CASE WHEN c_custkey % 17 = 0 THEN 'expired' WHEN c_custkey % 13 = 0 THEN 'revoked' WHEN c_custkey % 29 = 0 THEN 'pending' ELSE 'active' END AS state, c_custkey % 155 AS decided_day, 120 + c_custkey % 400 AS expires_day,
+      split(CASE WHEN c_custkey % 5 = 0 THEN 'derived_processing' ELSE 'derived_processing,search_visibility,public_retrieval' END, ',') AS allowed_uses,
+      split(CASE WHEN c_custkey % 7 = 0 THEN 'operator' ELSE 'operator,researcher' END, ',') AS allowed_viewer_roles, c_custkey % 11 = 0 AS redaction_required, CASE c_custkey % 3 WHEN 0 THEN 'public' WHEN 1 THEN 'internal' ELSE 'restricted' END AS confidentiality FROM {customer}""",
+    pn_retention="""SELECT c_custkey AS subject, CONCAT('consent_', CASE WHEN c_custkey % 97 = 0 THEN c_custkey + 1 ELSE c_custkey END) AS consent_id, CONCAT('source_', c_nationkey % 3) AS source_id, CASE WHEN c_custkey % 19 = 0 THEN 'review' ELSE 'retain_until' END AS state, 140 + c_custkey % 350 AS expires_day,
+      c_custkey % 23 = 0 AS legal_hold, CASE WHEN c_custkey % 2 = 0 THEN 'delete_on_withdrawal' ELSE 'review_on_withdrawal' END AS derived_treatment FROM {customer}""",
+    pn_deletion="""SELECT c_custkey AS subject, CONCAT('consent_', c_custkey) AS consent_id, CONCAT('source_', CASE WHEN c_custkey % 89 = 0 THEN 7 ELSE c_nationkey % 3 END) AS source_id, CASE WHEN c_custkey % 31 = 0 THEN 'retention_expired' WHEN c_custkey % 17 = 0 THEN 'consent_expired' WHEN c_custkey % 13 = 0 THEN 'consent_revoked' ELSE 'none' END AS trigger_state,
+      CASE WHEN c_custkey % 31 = 0 OR c_custkey % 17 = 0 OR c_custkey % 13 = 0 THEN 'pending' ELSE 'not_requested' END AS status, 24 + 24 * (c_custkey % 3) AS sla_hours FROM {customer}""",
+    pn_contribution="""SELECT CONCAT('contribution_', o_orderkey) AS contribution_id, o_orderkey AS k, o_custkey AS subject, CONCAT('consent_', o_custkey) AS consent_id, CONCAT('purpose_', CASE WHEN o_orderkey % 101 = 0 THEN 9 ELSE o_custkey % 2 END) AS purpose_code, CONCAT('notice_', o_custkey % 4) AS notice_version,
+      CASE WHEN o_orderkey % 37 = 0 THEN 'pending' WHEN o_custkey % 17 = 0 THEN 'expired' WHEN o_custkey % 13 = 0 THEN 'revoked' WHEN o_custkey % 29 = 0 THEN 'pending' ELSE 'active' END AS consent_state, CASE WHEN o_orderkey % 4 = 0 THEN 'public' WHEN o_orderkey % 4 = 1 THEN 'internal' ELSE 'restricted' END AS confidentiality,
+      split(CASE WHEN o_orderkey % 6 = 0 THEN 'search_visibility' ELSE 'derived_processing,search_visibility' END, ',') AS allowed_uses, split(CASE WHEN o_orderkey % 9 = 0 THEN 'operator' ELSE 'operator,researcher' END, ',') AS allowed_audiences, 130 + o_orderkey % 380 AS retention_expires_day,
+      CASE WHEN o_orderkey % 47 = 0 THEN 'withdrawn' ELSE 'current' END AS withdrawal_state, CASE WHEN o_orderkey % 59 = 0 THEN 'scheduled' ELSE 'active' END AS deletion_state FROM {orders}""",
+)
+
+# Derived media: documents as raw inputs, three profiles, a job for each, results from order lines.
+_define(
+    dm_profile="""SELECT 0 AS p, 'ocr' AS operation, 'ocr_result' AS output_type, split('ocr_a,ocr_b', ',') AS tool_ids, split('local', ',') AS tool_classes, '1.2' AS least_version, '3.0.5' AS most_version, split('text/plain,image/png', ',') AS media_types, split('en,de', ',') AS languages, 9000 AS most_bytes, 'metadata_only' AS most_decision, 'selected_derived' AS retention_class, 600 AS least_confidence
+      UNION ALL SELECT 1, 'transcription', 'transcription_result', split('asr_a', ','), split('local,hosted', ','), '2.0.1', '2.10', split('audio/wav,video/mp4', ','), split('en,fr,es', ','), 12000, 'approved', 'project_native_expiring', 500
+      UNION ALL SELECT 2, 'video_understanding', 'video_result', split('vid_a,vid_b,vid_c', ','), split('hosted', ','), '0.9', '1', split('video/mp4', ','), split('en,de,fr,es', ','), 15000, 'metadata_only', 'selected_derived', 400""",
+    dm_receipt="""SELECT doc_id, source AS source_id, CONCAT('asset_', doc_id) AS asset_id, CONCAT('raw/', source, '/', doc_id) AS object_key, sha2(CONCAT('raw|', doc_id), 256) AS sha, CASE doc_id % 4 WHEN 0 THEN 'text/plain' WHEN 1 THEN 'audio/wav' WHEN 2 THEN 'video/mp4' ELSE 'image/png' END AS media_type, CASE WHEN doc_id % 71 = 5 THEN 'derived' ELSE 'raw' END AS object_kind,
+      CASE WHEN doc_id % 73 = 6 THEN 'pending' ELSE 'verified' END AS verification, n_chars AS byte_size, CASE WHEN doc_id % 31 = 7 THEN 'blocked' WHEN doc_id % 5 = 0 THEN 'metadata_only' ELSE 'approved' END AS decision FROM {documents}""",
+    dm_request="""SELECT doc_id, CAST(CASE doc_id % 4 WHEN 1 THEN 1 WHEN 2 THEN 1 + doc_id % 2 ELSE 0 END AS INT) AS p, CASE WHEN doc_id % 17 = 3 THEN 'other' WHEN doc_id % 4 = 1 THEN 'asr_a' WHEN doc_id % 4 = 2 THEN 'asr_a' ELSE 'ocr_b' END AS tool_id, CASE WHEN doc_id % 19 = 4 THEN 'remote' ELSE 'local' END AS tool_class,
+      CASE doc_id % 11 WHEN 0 THEN '1.1.9' WHEN 1 THEN '3.0.6' WHEN 2 THEN '2.10.0' ELSE '2.1' END AS tool_version, CASE WHEN doc_id % 13 = 0 THEN CAST(NULL AS STRING) ELSE lang END AS language_hint, CASE doc_id % 9 WHEN 0 THEN 'granted' WHEN 1 THEN 'withdrawn' ELSE 'not_applicable' END AS consent_state, CASE WHEN doc_id % 50 = 0 THEN 'project-native-x' ELSE source END AS q_source_id FROM {documents}""",
+    dm_rights="""SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN 'blocked' ELSE 'approved' END AS state, doc_id % 29 <> 0 AS eligible, 140 + doc_id % 300 AS expires_day, CASE WHEN doc_id % 37 = 0 THEN 'none' ELSE 'operation_specific' END AS derivative_policy, CONCAT('asset_', CASE WHEN doc_id % 41 = 0 THEN doc_id + 1 ELSE doc_id END) AS r_asset_id, 146 + doc_id % 280 AS governance_day FROM {documents} WHERE doc_id % 43 <> 0""",
+    dm_authority="SELECT doc_id, CONCAT('asset_', CASE WHEN doc_id % 79 = 0 THEN doc_id + 2 ELSE doc_id END) AS a_asset_id, doc_id % 61 = 0 AS legal_hold, 139 + doc_id % 310 AS expires_day, 147 + doc_id % 320 AS valid_until_day FROM {documents}",
+    dm_tombstone="SELECT doc_id, CONCAT('raw/', source, '/', doc_id) AS object_key, CASE WHEN doc_id % 2 = 0 THEN sha2(CONCAT('raw|', doc_id), 256) ELSE sha2('other', 256) END AS sha FROM {documents} WHERE doc_id % 53 = 8",
+    dm_result_key="SELECT doc_id, lang, EACH(split(CASE WHEN doc_id % 7 = 0 THEN '0,1' ELSE '0' END, ',')) AS copy FROM {documents}",
+    dm_result="""SELECT x.doc_id, CONCAT('derived/', x.doc_id, CASE WHEN copy = '1' AND x.doc_id % 14 = 0 THEN '/b' ELSE '' END) AS output_key, 350 + (x.doc_id * 7 + CASE WHEN copy = '1' THEN 13 ELSE 0 END) % 650 AS confidence, CASE WHEN x.doc_id % 15 = 0 THEN CAST(NULL AS STRING) WHEN x.doc_id % 16 = 0 THEN 'ko' ELSE lang END AS detected,
+      CASE WHEN x.doc_id % 27 = 0 THEN '9.9' ELSE tool_version END AS tool_version FROM {dm_result_key} x JOIN {dm_request} r ON x.doc_id = r.doc_id""",
+    dm_line="SELECT l_orderkey AS result, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS INT) - 1 AS nth, l_partkey, CAST(l_quantity AS BIGINT) AS words FROM {lineitem}",
+    dm_element="""SELECT result, result % 3 AS kind, nth + CASE WHEN result % 51 = 0 AND nth = 1 THEN 1 ELSE 0 END AS idx, words, words % 7 + 1 AS lines, nth * 1000 + CASE WHEN result % 33 = 1 AND nth = 1 THEN -200 ELSE 0 END AS start_ms,
+      nth * 1000 + CASE WHEN result % 39 = 1 AND nth = 0 THEN 0 ELSE 900 END AS end_ms, CASE WHEN l_partkey % 3 = 0 THEN 'shot' ELSE 'event' END AS observation FROM {dm_line}""",
+    dm_header="""SELECT result, kind, n + CASE WHEN result % 21 = 0 THEN 1 ELSE 0 END AS elements, words + CASE WHEN result % 27 = 0 THEN 1 ELSE 0 END AS words, lines + CASE WHEN result % 15 = 0 THEN 2 ELSE 0 END AS lines, shots + CASE WHEN result % 57 = 2 THEN 1 ELSE 0 END AS shots, events, n * 1000 - CASE WHEN result % 45 = 1 THEN 400 ELSE 0 END AS duration_ms
+      FROM (SELECT result, kind, count(*) AS n, sum(words) AS words, sum(lines) AS lines, sum(CASE WHEN observation = 'shot' THEN 1 ELSE 0 END) AS shots, sum(CASE WHEN observation = 'event' THEN 1 ELSE 0 END) AS events FROM {dm_element} GROUP BY result, kind) t""",
+)

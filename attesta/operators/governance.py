@@ -134,15 +134,15 @@ def native_operation(contributions: DataFrame, records: DataFrame, operation: st
 
 
 def inherited(inputs: DataFrame, key: str) -> DataFrame:
-    """key, consents (union), uses and audiences (in all inputs), confidentiality (the strictest), retention_day (the least), purposes.
+    """key, consents (union), uses and audiences (in all inputs), confidentiality (the strictest), retention_day (the least), purposes, purpose.
 
-    inputs: (key, consent_id, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
+    inputs: (key, consents, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
     purpose_code), arrays without repeats. Labels are few; what all inputs share is counted, so that
     no group is gathered row by row.
     """
     n = inputs.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("consent_id")).alias("consents"), F.max(policy.ranked(F.col("confidentiality"), CONFIDENTIALITY)).alias("strictest"),
-        F.min("retention_expires_day").alias("retention_day"), F.count_distinct("purpose_code").alias("purposes"),
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("consents")))).alias("consents"), F.max(policy.ranked(F.col("confidentiality"), CONFIDENTIALITY)).alias("strictest"),
+        F.min("retention_expires_day").alias("retention_day"), F.count_distinct("purpose_code").alias("purposes"), F.min("purpose_code").alias("purpose"),
     )
 
     def shared(labels: str, name: str) -> DataFrame:
@@ -152,4 +152,30 @@ def inherited(inputs: DataFrame, key: str) -> DataFrame:
     out = n.join(shared("allowed_uses", "uses"), key, "left").join(shared("allowed_audiences", "audiences"), key, "left")
     level = F.element_at(F.array(*map(F.lit, CONFIDENTIALITY)), F.greatest("strictest", F.lit(1)).cast("int"))
     none = F.array().cast("array<string>")
-    return out.select(key, "n", "consents", F.coalesce("uses", none).alias("uses"), F.coalesce("audiences", none).alias("audiences"), level.alias("confidentiality"), "retention_day", "purposes")
+    return out.select(key, "n", "consents", F.coalesce("uses", none).alias("uses"), F.coalesce("audiences", none).alias("audiences"), level.alias("confidentiality"), "retention_day", "purposes", "purpose")
+
+
+def drift(derived: DataFrame, inputs: DataFrame, operation: str, audience: str, t: Column) -> DataFrame:
+    """node, reason: where a derived record isn't what its inputs give, or may not be used itself.
+
+    derived: (node, consents, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
+    purpose_code, withdrawal_state, deletion_state); inputs: the records of each node's inputs, keyed by node.
+    """
+    want = inherited(inputs, "node").select("node", *(F.col(c).alias(f"w_{c}") for c in ("consents", "uses", "audiences", "confidentiality", "retention_day", "purposes", "purpose")))
+    rows = derived.join(want, "node", "left")
+    c = F.col
+    sorted_ = lambda x: F.array_sort(c(x))
+    reasons = _listed([
+        _unless((c("w_purposes") == 1) & (c("purpose_code") == c("w_purpose")), "purpose_drift"), _unless(sorted_("consents") == c("w_consents"), "consent_lineage_drift"), _unless(sorted_("allowed_uses") == c("w_uses"), "use_inheritance_drift"),
+        _unless(sorted_("allowed_audiences") == c("w_audiences"), "audience_inheritance_drift"), _unless(c("confidentiality") == c("w_confidentiality"), "confidentiality_drift"), _unless(c("retention_expires_day") == c("w_retention_day"), "retention_drift"),
+        _unless(F.array_contains("allowed_uses", operation), "use_not_allowed"), _unless(F.array_contains("allowed_audiences", audience), "audience_not_allowed"),
+        _unless(F.lit(operation != "public_retrieval") | (F.lit(audience == "public") & (c("confidentiality") == "public")), "confidentiality_not_public"),
+        _unless(t < c("retention_expires_day"), "retention_expired"), _unless(c("withdrawal_state") == "current", "withdrawn"), _unless(c("deletion_state") == "active", "deletion_pending"),
+    ])
+    return rows.select("node", F.explode(reasons).alias("reason"))
+
+
+def graph_reasons(own: DataFrame, edges: DataFrame, reach) -> DataFrame:
+    """node, reason: each node's own reasons and those of everything that it rests on, named input:<id>:<reason>."""
+    named = own.select("node", F.concat_ws(":", F.lit("input"), "node", "reason").alias("reason"))
+    return reach(edges, named)

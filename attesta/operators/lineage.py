@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 
 def checkpoints(spark: SparkSession) -> None:
-    """The cluster's shared folder, or one of our own where the session names none."""
+    """The cluster's shared folder; one of our own only where a local session names none."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/checkpoints/{uuid.uuid4().hex}")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(shared or f"/tmp/checkpoints/{uuid.uuid4().hex}")
 
 
 def closure(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
@@ -33,9 +36,41 @@ def closure(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     raise RuntimeError("lineage is deeper than the bound")
 
 
-def cyclic(edges: DataFrame) -> DataFrame:
-    """Nodes that are their own ancestors; none in sound lineage."""
-    return closure(edges).where("node = ancestor").select("node")
+def reach(edges: DataFrame, start: DataFrame, most_rounds: int = 1000) -> DataFrame:
+    """start's rows (node, and any other columns) and those of all nodes that rest on its nodes, by edges (node, input).
+
+    Each round follows edges from the rows that were new in the round before, so the work is that of
+    the rows found; depth is the number of rounds.
+    """
+    checkpoints(edges.sparkSession)
+    edges = edges.select(F.col("node").alias("_to"), F.col("input").alias("_from")).distinct().checkpoint()
+    rest = [c for c in start.columns if c != "node"]
+    reached = new = start.distinct().checkpoint()
+    for _ in range(most_rounds):
+        found = new.join(edges, new.node == edges["_from"]).select(F.col("_to").alias("node"), *rest).distinct()
+        same = [found[c].eqNullSafe(reached[c]) for c in start.columns]
+        new = found.join(reached, same, "left_anti").checkpoint()
+        if new.isEmpty():
+            return reached
+        reached = reached.unionByName(new)
+    raise RuntimeError("lineage is deeper than the bound")
+
+
+def cyclic(edges: DataFrame, most_rounds: int = 1000) -> DataFrame:
+    """Nodes on a cycle, or that rest on one; none in sound lineage.
+
+    Nodes whose inputs are all peeled are peeled in turn; what is never peeled is left.
+    """
+    checkpoints(edges.sparkSession)
+    left = edges.select("node", "input").where("node is not null and input is not null").distinct().checkpoint()
+    n = left.count()
+    for _ in range(most_rounds):
+        held = left.select(F.col("node").alias("input")).distinct()
+        left = left.join(held, "input", "left_semi").select("node", "input").checkpoint()
+        last, n = n, left.count()
+        if n == last:
+            return left.select("node").distinct()
+    raise RuntimeError("lineage is deeper than the bound")
 
 
 def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -46,18 +81,24 @@ def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def and_reach(roots: DataFrame, inputs: DataFrame, outputs: DataFrame, most_rounds: int = 100) -> DataFrame:
     """(item, round): items reached when a step fires only with all of its inputs reached.
 
-    roots: (item); inputs: (step, item); outputs: (step, item). Rounds go on until nothing is new;
-    each is one aggregate over the steps' inputs, written out.
+    roots: (item); inputs: (step, item); outputs: (step, item). A round joins only the items that are
+    new and adds to the counts of met inputs; only steps whose count grew can fire.
     """
     spark = roots.sparkSession
     checkpoints(spark)
-    reached = roots.select("item", F.lit(0).alias("round")).distinct().checkpoint()
-    need = inputs.distinct().groupBy("step").agg(F.count(F.lit(1)).alias("need")).checkpoint()
+    pairs = inputs.select("step", "item").distinct().checkpoint()
+    need = pairs.groupBy("step").agg(F.count(F.lit(1)).alias("need")).checkpoint()
+    reached = new = roots.select("item", F.lit(0).alias("round")).distinct().checkpoint()
+    met = None
     for r in range(1, most_rounds + 1):
-        met = inputs.distinct().join(reached.select("item"), "item").groupBy("step").agg(F.count(F.lit(1)).alias("met"))
-        fired = need.join(met, "step").where("need = met").select("step")
-        new = outputs.join(fired, "step").select("item").distinct().join(reached, "item", "left_anti").withColumn("round", F.lit(r)).checkpoint()
+        grown = pairs.join(new.select("item"), "item").groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.lit(True).alias("fresh"))
+        both = grown if met is None else grown.unionByName(met.withColumn("fresh", F.lit(False)))
+        counted = both.groupBy("step").agg(F.sum("n").alias("n"), F.max("fresh").alias("fresh")).checkpoint()
+        fired = need.join(counted.where("fresh"), "step").where("need = n").select("step")
+        met = counted.drop("fresh")
+        found = outputs.join(fired, "step").select("item").distinct()
+        new = found.join(reached, "item", "left_anti").withColumn("round", F.lit(r)).checkpoint()
         if new.isEmpty():
             return reached
-        reached = reached.unionByName(new).checkpoint()
+        reached = reached.unionByName(new)
     raise RuntimeError("steps did not settle within the bound")

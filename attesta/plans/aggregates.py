@@ -196,14 +196,6 @@ def agg_quota(spark, d):
     return table(spark, d, "events").groupBy("user_id").agg(F.least(F.sum(units), F.lit(60)).cast("bigint").alias("units"), F.count(F.lit(1)).alias("calls"))
 
 
-@query("agg_removed_counts", CTES + "SELECT document_id, count(*) AS fields, count(consent_sha) AS consents, count(policy_id) AS policies FROM auth WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY 1")
-def agg_removed_counts(spark, d):
-    from attesta.plans.search import granted
-
-    gone = table(spark, d, "labels").where("toxic = 1").select("doc_id")
-    return granted(spark, d).join(gone, "doc_id", "left_semi").groupBy("document_id").agg(F.count(F.lit(1)).alias("fields"), F.count("consent_sha").alias("consents"), F.count("policy_id").alias("policies"))
-
-
 @query("agg_run_manifest_outcome", "SELECT l_orderkey AS run, CASE WHEN bool_and(l_linestatus = 'F') THEN 'complete' WHEN bool_or(l_linestatus = 'F') THEN 'partial' ELSE 'open' END AS outcome FROM lineitem GROUP BY 1")
 def agg_run_manifest_outcome(spark, d):
     done = F.col("l_linestatus") == "F"

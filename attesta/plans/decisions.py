@@ -88,20 +88,6 @@ def retention_state(spark, d):
     return table(spark, d, "orders").select("o_orderkey", state.alias("state"))
 
 
-@query("deletion_work", "SELECT o_custkey, string_agg(DISTINCT CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS targets, strftime(min(l_shipdate) + INTERVAL 3 DAYS, '%Y-%m-%d') AS due FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P' GROUP BY 1")
-def deletion_work(spark, d):
-    o, l = table(spark, d, "orders").where("o_orderstatus = 'P'").select("o_orderkey", "o_custkey"), table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
-    targets = F.array_join(F.array_sort(F.collect_set(F.col("l_partkey").cast("string"))), ",")
-    return o.join(l, o.o_orderkey == l.l_orderkey).groupBy("o_custkey").agg(targets.alias("targets"), F.date_format(F.min("l_shipdate") + F.make_dt_interval(F.lit(3)), "yyyy-MM-dd").alias("due"))
-
-
-@query("complete_deletion", "SELECT o_orderkey, count(*) AS planned, count(*) FILTER (l_linestatus = 'F') AS done, count(*) = count(*) FILTER (l_linestatus = 'F') AS tombstone FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P' GROUP BY 1")
-def complete_deletion(spark, d):
-    o, l = table(spark, d, "orders").where("o_orderstatus = 'P'").select("o_orderkey"), table(spark, d, "lineitem").select("l_orderkey", "l_linestatus")
-    done = F.count_if(F.col("l_linestatus") == "F")
-    return o.join(l, o.o_orderkey == l.l_orderkey).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("planned"), done.alias("done"), (F.count(F.lit(1)) == done).alias("tombstone"))
-
-
 @query("propagate_deletion", CTES + ", gone AS (SELECT text_sha FROM docs WHERE toxic = 1) SELECT document_id, CASE WHEN toxic = 1 THEN 'target' ELSE 'copy' END AS cause FROM docs WHERE text_sha IN (SELECT text_sha FROM gone)")
 def propagate_deletion(spark, d):
     docs = records.documents(spark, d)

@@ -103,7 +103,7 @@ INHERIT = ctes("pn_contribution") + f""", x AS (SELECT *, 'derived_' || (k // 4)
 
 def inheritance(spark, d):
     (x,) = rows(spark, d, "pn_contribution")
-    out = governance.inherited(x.withColumn("derived", F.concat(F.lit("derived_"), F.floor(F.col("k") / 4))), "derived")
+    out = governance.inherited(x.withColumn("consents", F.array("consent_id")).withColumn("derived", F.concat(F.lit("derived_"), F.floor(F.col("k") / 4))), "derived")
     listed = lambda c: F.array_join(c, ",").alias(c)
     return out.select("derived", "n", listed("consents"), listed("uses"), listed("audiences"), "confidentiality", "retention_day", "purposes")
 

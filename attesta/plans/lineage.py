@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from attesta.operators import lineage
+from attesta.functions import times
+from attesta.operators import governance, lineage
 from attesta.plans.catalog import query
-from attesta.sources import records
-from attesta.sources.records import CTES
+from attesta.plans.governance import OPERATION, lifecycle
+from attesta.sources import evidence, records
+from attesta.sources.evidence import ctes
+from attesta.sources.records import CTES, NOW
 from attesta.sources.tables import table
 
 PATHS = CTES + ", paths(node, ancestor) AS (SELECT node, input FROM turns UNION SELECT p.node, t.input FROM paths p JOIN turns t ON p.ancestor = t.node) "
@@ -23,11 +26,6 @@ def graph_descendants(spark, d):
     return lineage.closure(records.turns(spark, d)).groupBy(F.col("ancestor").alias("node")).agg(F.count(F.lit(1)).alias("descendants"))
 
 
-@query("graph_acyclic", PATHS + "SELECT count(*) AS cyclic_nodes FROM paths WHERE node = ancestor")
-def graph_acyclic(spark, d):
-    return lineage.cyclic(records.turns(spark, d)).agg(F.count(F.lit(1)).alias("cyclic_nodes"))
-
-
 @query("graph_inputs_exist", "SELECT 'turn_' || conv_id || '_' || (turn - 1) AS node FROM conversations c WHERE turn > 0 AND NOT EXISTS (SELECT 1 FROM conversations x WHERE x.conv_id = c.conv_id AND x.turn = c.turn - 1 AND x.role <> 'system')")
 def graph_inputs_exist(spark, d):
     """Inputs outside the table of turns, here without those of the system."""
@@ -41,34 +39,16 @@ def graph_lineage_documents(spark, d):
     return lineage.closure(records.turns(spark, d)).groupBy("node").agg(F.count_distinct(F.split_part("ancestor", F.lit("_"), F.lit(2))).alias("conversations"))
 
 
-@query("graph_deletion_fixpoint", PATHS + ", gone AS (SELECT DISTINCT input AS node FROM turns WHERE turn = 2) SELECT node FROM gone UNION SELECT node FROM paths WHERE ancestor IN (SELECT node FROM gone)")
-def graph_deletion_fixpoint(spark, d):
-    t = records.turns(spark, d)
-    gone = t.where("turn = 2").select(F.col("input").alias("node")).distinct()
-    swept = lineage.closure(t).join(gone.withColumnRenamed("node", "ancestor"), "ancestor", "left_semi").select("node")
-    return gone.unionByName(swept).distinct()
+@query("graph_acyclic", PATHS + "SELECT count(DISTINCT node) AS cyclic_nodes FROM paths WHERE ancestor IN (SELECT node FROM paths WHERE node = ancestor)")
+def graph_acyclic(spark, d):
+    return lineage.cyclic(records.turns(spark, d)).agg(F.count(F.lit(1)).alias("cyclic_nodes"))
 
 
 @query("graph_withdrawal", PATHS + ", holders AS (SELECT 'turn_' || conv_id || '_' || turn AS node FROM conversations WHERE role = 'system') SELECT node FROM holders UNION SELECT node FROM paths WHERE ancestor IN (SELECT node FROM holders)")
 def graph_withdrawal(spark, d):
+    """Holders of a withdrawn consent and all that rests on them."""
     holders = table(spark, d, "conversations").where("role = 'system'").select(F.concat_ws("_", F.lit("turn"), "conv_id", "turn").alias("node"))
-    below = lineage.closure(records.turns(spark, d)).join(holders.withColumnRenamed("node", "ancestor"), "ancestor", "left_semi").select("node")
-    return holders.unionByName(below).distinct()
-
-
-@query("graph_export_subject", PATHS + ", own AS (SELECT 'turn_' || conv_id || '_' || turn AS node, conv_id FROM conversations WHERE turn = 0) SELECT own.conv_id AS subject, count(p.node) + 1 AS contributions FROM own LEFT JOIN paths p ON p.ancestor = own.node GROUP BY 1, own.node")
-def graph_export_subject(spark, d):
-    own = table(spark, d, "conversations").where("turn = 0").select(F.concat_ws("_", F.lit("turn"), "conv_id", "turn").alias("ancestor"), F.col("conv_id").alias("subject"))
-    return own.join(lineage.closure(records.turns(spark, d)), "ancestor", "left").groupBy("subject", "ancestor").agg((F.count("node") + 1).alias("contributions")).select("subject", "contributions")
-
-
-@query("graph_policy_eval", PATHS + ", own AS (SELECT 'turn_' || conv_id || '_' || turn AS node, CASE WHEN role = 'system' THEN 'role_system' WHEN length(text) > 1500 THEN 'too_long' END AS reason FROM conversations), a AS (SELECT node, reason FROM own WHERE reason IS NOT NULL UNION SELECT p.node, 'input:' || o.reason FROM paths p JOIN own o ON o.node = p.ancestor WHERE o.reason IS NOT NULL) SELECT node, string_agg(reason, ',' ORDER BY reason) AS reasons FROM a GROUP BY 1")
-def graph_policy_eval(spark, d):
-    c = table(spark, d, "conversations")
-    reason = F.when(F.col("role") == "system", "role_system").when(F.length("text") > 1500, "too_long")
-    own = c.select(F.concat_ws("_", F.lit("turn"), "conv_id", "turn").alias("node"), reason.alias("reason")).where("reason is not null")
-    inherited = lineage.closure(records.turns(spark, d)).join(own.withColumnRenamed("node", "ancestor"), "ancestor").select("node", F.concat(F.lit("input:"), "reason").alias("reason"))
-    return own.unionByName(inherited).groupBy("node").agg(F.array_join(F.array_sort(F.collect_set("reason")), ",").alias("reasons"))
+    return lineage.reach(records.turns(spark, d), holders).distinct()
 
 
 @query("graph_fixpoint_and_reach")
@@ -77,3 +57,115 @@ def graph_fixpoint_and_reach(spark, d):
     l = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("step"), F.col("l_partkey").alias("item"), "l_linenumber")
     roots = table(spark, d, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("item"))
     return lineage.and_reach(roots, l.where("l_linenumber <= 2").select("step", "item"), l.where("l_linenumber = 3").select("step", "item"))
+
+
+def _families(spark, d, *names):
+    return [evidence.family(spark, d, n) for n in names]
+
+
+_DRIFT = """[CASE WHEN NOT (purposes = 1 AND n.purpose_code = w.purpose) THEN 'purpose_drift' END, CASE WHEN n.consents <> w.consents THEN 'consent_lineage_drift' END, CASE WHEN array_to_string(n.allowed_uses, ',') <> w.uses THEN 'use_inheritance_drift' END, CASE WHEN array_to_string(n.allowed_audiences, ',') <> w.audiences THEN 'audience_inheritance_drift' END,
+  CASE WHEN n.confidentiality <> w.confidentiality THEN 'confidentiality_drift' END, CASE WHEN n.retention_expires_day <> w.retention THEN 'retention_drift' END, CASE WHEN NOT list_contains(n.allowed_audiences, 'researcher') THEN 'audience_not_allowed' END, CASE WHEN n.retention_expires_day <= {0} THEN 'retention_expired' END, CASE WHEN n.withdrawal_state <> 'current' THEN 'withdrawn' END, CASE WHEN n.deletion_state <> 'active' THEN 'deletion_pending' END]""".format(NOW)
+_WANT = """SELECT node, list_sort(list_distinct(flatten(list(consents)))) AS consents, count(DISTINCT purpose_code) AS purposes, min(purpose_code) AS purpose, min(retention_expires_day) AS retention, CASE max(CASE confidentiality WHEN 'public' THEN 1 WHEN 'internal' THEN 2 ELSE 3 END) WHEN 1 THEN 'public' WHEN 2 THEN 'internal' ELSE 'restricted' END AS confidentiality,
+  concat_ws(',', CASE WHEN bool_and(list_contains(allowed_uses, 'derived_processing')) THEN 'derived_processing' END, CASE WHEN bool_and(list_contains(allowed_uses, 'public_retrieval')) THEN 'public_retrieval' END, CASE WHEN bool_and(list_contains(allowed_uses, 'search_visibility')) THEN 'search_visibility' END) AS uses,
+  concat_ws(',', CASE WHEN bool_and(list_contains(allowed_audiences, 'operator')) THEN 'operator' END, CASE WHEN bool_and(list_contains(allowed_audiences, 'researcher')) THEN 'researcher' END) AS audiences FROM {0} GROUP BY 1"""
+GRAPH = OPERATION.replace(ctes("pn_contribution", "pn_consent", "pn_retention", "pn_deletion"), ctes("pn_contribution", "pn_consent", "pn_retention", "pn_deletion", "pn_derived", "pn_merged", "pn_edge", "pn_target", "pn_removed")).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+  in1 AS (SELECT 'derived_' || (k // 4) AS node, [consent_id] AS consents, purpose_code, retention_expires_day, confidentiality, allowed_uses, allowed_audiences FROM pn_contribution), in2 AS (SELECT 'merged_' || (j // 3) AS node, consents, purpose_code, retention_expires_day, confidentiality, allowed_uses, allowed_audiences FROM pn_derived),
+  w AS ({_WANT.format('in1')} UNION ALL {_WANT.format('in2')}), n AS (SELECT * FROM pn_derived UNION ALL SELECT * FROM pn_merged),
+  own AS (SELECT node, r AS reason FROM (SELECT n.node, unnest({_DRIFT}) AS r FROM n JOIN w ON n.node = w.node) WHERE r IS NOT NULL UNION ALL SELECT contribution_id, unnest(string_split(reasons, ',')) FROM op WHERE reasons <> ''),
+  up(node, ancestor) AS (SELECT node, input FROM pn_edge UNION SELECT u.node, e.input FROM up u JOIN pn_edge e ON e.node = u.ancestor)"""
+
+
+def graph(spark, d):
+    """(contributions, derived and merged records, edges)."""
+    x, one, two, edges = _families(spark, d, "pn_contribution", "pn_derived", "pn_merged", "pn_edge")
+    return x, one, two, edges
+
+
+@query("graph_policy_eval", GRAPH + " SELECT node, string_agg(DISTINCT reason, ',' ORDER BY reason) AS reasons FROM (SELECT node, 'input:' || node || ':' || reason AS reason FROM own UNION SELECT u.node, 'input:' || o.node || ':' || o.reason FROM up u JOIN own o ON o.node = u.ancestor) GROUP BY 1")
+def graph_policy_eval(spark, d):
+    """Every record with the reasons against it and against all that it rests on: current authority and inheritance drift."""
+    x, one, two, edges = graph(spark, d)
+    rows = governance.native_operation(x, lifecycle(spark, d), "search_visibility", "researcher", F.lit(NOW))
+    own = rows.select(F.col("contribution_id").alias("node"), F.explode("reasons").alias("reason"))
+    share = ["consents", "purpose_code", "retention_expires_day", "confidentiality", "allowed_uses", "allowed_audiences"]
+    from_x = x.withColumn("consents", F.array("consent_id")).select(F.concat(F.lit("derived_"), F.floor(F.col("k") / 4)).alias("node"), *share)
+    from_one = one.select(F.concat(F.lit("merged_"), F.floor(F.col("j") / 3)).alias("node"), *share)
+    drift = governance.drift(one.unionByName(two), from_x.unionByName(from_one), "search_visibility", "researcher", F.lit(NOW))
+    found = governance.graph_reasons(own.unionByName(drift), edges, lineage.reach)
+    return found.groupBy("node").agg(F.array_join(F.array_sort(F.collect_set("reason")), ",").alias("reasons"))
+
+
+def affected(spark, d, consents):
+    """(node, consent_id): contributions under the consents, and all that rests on them."""
+    x, _, _, edges = graph(spark, d)
+    start = x.select(F.col("contribution_id").alias("node"), "consent_id").join(consents, "consent_id", "left_semi").select("node", "consent_id")
+    return lineage.reach(edges, start)
+
+
+_AFFECTED = """, hit AS (SELECT contribution_id AS node, consent_id FROM pn_contribution WHERE consent_id IN (SELECT consent_id FROM {0}) UNION SELECT u.node, x.consent_id FROM up u JOIN pn_contribution x ON x.contribution_id = u.ancestor WHERE x.consent_id IN (SELECT consent_id FROM {0}))"""
+
+
+@query("graph_deletion_fixpoint", GRAPH + ", gone AS (SELECT consent_id FROM pn_deletion WHERE trigger_state <> 'none')" + _AFFECTED.format("gone") + " SELECT DISTINCT node FROM hit")
+def graph_deletion_fixpoint(spark, d):
+    """Sweeps until nothing is new: what was swept makes what rests on it part of the next sweep."""
+    x, _, _, edges = graph(spark, d)
+    gone = _families(spark, d, "pn_deletion")[0].where("trigger_state <> 'none'").select("consent_id")
+    return lineage.reach(edges, x.join(gone, "consent_id", "left_semi").select(F.col("contribution_id").alias("node"))).distinct()
+
+
+@query("graph_export_subject", GRAPH + ", all_ AS (SELECT consent_id FROM pn_consent)" + _AFFECTED.format("all_") + """, cs AS (SELECT contribution_id AS node, [consent_id] AS consents FROM pn_contribution UNION ALL SELECT node, consents FROM n),
+  e AS (SELECT consent_id, count(*) AS records, count(*) FILTER (len(consents) > 1 OR consents[1] <> consent_id) AS mixed FROM hit JOIN cs USING (node) GROUP BY 1)
+  SELECT consent_id, records, mixed, CASE WHEN mixed > 0 THEN 'mixed_subject' WHEN state <> 'active' THEN 'consent_not_active' WHEN expires_day <= """ + str(NOW) + """ THEN 'consent_expired' ELSE 'exportable' END AS outcome FROM e JOIN pn_consent USING (consent_id)""")
+def graph_export_subject(spark, d):
+    """Each subject's contributions and what rests on them; a derivative of several subjects stops the export."""
+    x, one, two, _ = graph(spark, d)
+    consents = _families(spark, d, "pn_consent")[0].select("consent_id", "state", "expires_day")
+    held = x.select(F.col("contribution_id").alias("node"), F.array("consent_id").alias("consents")).unionByName(one.select("node", "consents")).unionByName(two.select("node", "consents"))
+    rows = affected(spark, d, consents).join(held, "node").withColumn("mixed", F.size(F.array_except("consents", F.array("consent_id"))) > 0)
+    e = rows.groupBy("consent_id").agg(F.count(F.lit(1)).alias("records"), F.count_if("mixed").alias("mixed"))
+    outcome = F.when(F.col("mixed") > 0, "mixed_subject").when(F.col("state") != "active", "consent_not_active").when(F.col("expires_day") <= NOW, "consent_expired").otherwise("exportable")
+    return e.join(consents, "consent_id").select("consent_id", "records", "mixed", outcome.alias("outcome"))
+
+
+WORK = GRAPH + ", gone AS (SELECT consent_id FROM pn_deletion WHERE trigger_state <> 'none')" + _AFFECTED.format("gone") + f""", work AS (SELECT DISTINCT consent_id, kind, target, CASE WHEN legal_hold THEN 'legal_hold_review' ELSE 'pending' END AS state, strftime(TIMESTAMP '2026-01-01' + to_hours({NOW} * 24 + least(sla_hours, 48)), '%Y-%m-%dT%H:%M:%SZ') AS due_at FROM hit JOIN pn_target USING (node) JOIN pn_deletion USING (consent_id) JOIN pn_retention r ON r.subject = pn_deletion.subject)"""
+
+
+def work(spark, d):
+    """(consent_id, node, kind, target, state, due_hours) of all deletions that were triggered."""
+    deletions, retentions, targets = _families(spark, d, "pn_deletion", "pn_retention", "pn_target")
+    due = deletions.where("trigger_state <> 'none'").join(retentions.select("subject", "legal_hold"), "subject")
+    state = F.when(F.col("legal_hold"), "legal_hold_review").otherwise("pending")
+    due = due.select("consent_id", state.alias("state"), F.least("sla_hours", F.lit(48)).alias("due_hours"))
+    return affected(spark, d, due.select("consent_id")).join(targets, "node").join(due, "consent_id")
+
+
+@query("deletion_work", WORK + " SELECT * FROM work")
+def deletion_work(spark, d):
+    """Distinct targets of five kinds for each triggered deletion, and when they are due: a row each, so that none is too long."""
+    due = times.text(times.at(NOW) + F.make_dt_interval(F.lit(0), F.col("due_hours")))
+    return work(spark, d).select("consent_id", "kind", "target", "state", due.alias("due_at")).distinct()
+
+
+@query("complete_deletion", WORK + """, wanted AS (SELECT consent_id, kind, target FROM work WHERE state = 'pending'), seen AS (SELECT DISTINCT consent_id, kind, target FROM hit JOIN pn_removed USING (node) WHERE consent_id IN (SELECT consent_id FROM wanted)),
+  bad AS (SELECT coalesce(a.consent_id, b.consent_id) AS consent_id, coalesce(a.kind, b.kind) AS kind FROM wanted a FULL JOIN seen b ON a.consent_id = b.consent_id AND a.kind = b.kind AND a.target = b.target WHERE a.target IS NULL OR b.target IS NULL)
+  SELECT w.consent_id, count(DISTINCT w.kind || w.target) AS targets, coalesce((SELECT string_agg(DISTINCT kind, ',' ORDER BY kind) FROM bad WHERE bad.consent_id = w.consent_id), '') AS inexact FROM wanted w GROUP BY 1""")
+def complete_deletion(spark, d):
+    """Deletions whose observed removals are just what was planned; otherwise the kinds that aren't exact."""
+    planned = work(spark, d).where("state = 'pending'").select("consent_id", "node", "kind", "target").checkpoint()
+    wanted = planned.select("consent_id", "kind", "target").distinct()
+    (removed,) = _families(spark, d, "pn_removed")
+    nodes = affected(spark, d, wanted.select("consent_id").distinct())
+    seen = nodes.join(removed, "node").select("consent_id", "kind", "target").distinct()
+    both = wanted.withColumn("w", F.lit(1)).unionByName(seen.withColumn("w", F.lit(2))).groupBy("consent_id", "kind", "target").agg(F.sum("w").alias("w"))
+    inexact = F.array_join(F.array_sort(F.collect_set(F.when(F.col("w") != 3, F.col("kind")))), ",")
+    return both.groupBy("consent_id").agg(F.count_if(F.col("w") != 2).alias("targets"), inexact.alias("inexact"))
+
+
+_KINDS = ("raw", "derived", "index", "cache", "export")
+
+
+@query("agg_removed_counts", WORK + ", t AS (SELECT DISTINCT consent_id, node, kind, target FROM hit JOIN pn_target USING (node)) SELECT consent_id, node, " + ", ".join(f"count(*) FILTER (kind = '{k}') AS {k}_count" for k in _KINDS) + " FROM t WHERE consent_id IN (SELECT consent_id FROM work WHERE state = 'pending') GROUP BY 1, 2")
+def agg_removed_counts(spark, d):
+    """A tombstone for each record of a completed deletion: how much of each kind it had, and nothing of its content."""
+    rows = work(spark, d).where("state = 'pending'").select("consent_id", "node", "kind", "target").distinct()
+    return rows.groupBy("consent_id", "node").agg(*(F.count_if(F.col("kind") == k).alias(f"{k}_count") for k in _KINDS))

@@ -134,3 +134,29 @@ _define(
     dm_header="""SELECT result, kind, n + CASE WHEN result % 21 = 0 THEN 1 ELSE 0 END AS elements, words + CASE WHEN result % 27 = 0 THEN 1 ELSE 0 END AS words, lines + CASE WHEN result % 15 = 0 THEN 2 ELSE 0 END AS lines, shots + CASE WHEN result % 57 = 2 THEN 1 ELSE 0 END AS shots, events, n * 1000 - CASE WHEN result % 45 = 1 THEN 400 ELSE 0 END AS duration_ms
       FROM (SELECT result, kind, count(*) AS n, sum(words) AS words, sum(lines) AS lines, sum(CASE WHEN observation = 'shot' THEN 1 ELSE 0 END) AS shots, sum(CASE WHEN observation = 'event' THEN 1 ELSE 0 END) AS events FROM {dm_element} GROUP BY result, kind) t""",
 )
+
+# Lineage of project-native material: contributions, what four of them give, and what three of those give.
+_INHERIT = """min({p}) AS purpose_code, max(CASE confidentiality WHEN 'public' THEN 1 WHEN 'internal' THEN 2 ELSE 3 END) AS strict, min(retention_expires_day) AS retention, min(CASE WHEN array_contains(allowed_uses, 'derived_processing') THEN 1 ELSE 0 END) AS d, min(CASE WHEN array_contains(allowed_audiences, 'researcher') THEN 1 ELSE 0 END) AS r""".replace("{p}", "purpose_code")
+
+
+def _derived(level: str, j: str) -> str:
+    """A derived record from its aggregate: as inherited, but for some that have drifted."""
+    return f"""SELECT CONCAT('{level}_', {j}) AS node, {j} AS j, consents, CASE WHEN {j} % 23 = 0 THEN 'purpose_9' ELSE purpose_code END AS purpose_code, split(CASE WHEN {j} % 13 = 5 THEN 'derived_processing,public_retrieval,search_visibility' WHEN d = 1 THEN 'derived_processing,search_visibility' ELSE 'search_visibility' END, ',') AS allowed_uses,
+      split(CASE WHEN r = 1 THEN 'operator,researcher' ELSE 'operator' END, ',') AS allowed_audiences, CASE WHEN {j} % 19 = 3 THEN 'public' WHEN strict = 1 THEN 'public' WHEN strict = 2 THEN 'internal' ELSE 'restricted' END AS confidentiality, retention + CASE WHEN {j} % 17 = 2 THEN 1 ELSE 0 END AS retention_expires_day,
+      CASE WHEN {j} % 31 = 4 THEN 'withdrawn' ELSE 'current' END AS withdrawal_state, CASE WHEN {j} % 37 = 6 THEN 'scheduled' ELSE 'active' END AS deletion_state"""
+
+
+_define(
+    pn_first=f"SELECT CAST(FLOOR(k / 4) AS BIGINT) AS j, array_sort(array_agg(DISTINCT consent_id)) AS consents, {_INHERIT} FROM {{pn_contribution}} GROUP BY CAST(FLOOR(k / 4) AS BIGINT)",
+    pn_derived=_derived("derived", "j") + " FROM {pn_first}",
+    pn_second_consent="SELECT CAST(FLOOR(j / 3) AS BIGINT) AS m, EACH(consents) AS consent_id FROM {pn_derived}",
+    pn_second_consents="SELECT m, array_sort(array_agg(DISTINCT CASE WHEN m % 29 = 7 THEN 'consent_0' ELSE consent_id END)) AS consents FROM {pn_second_consent} GROUP BY m",
+    pn_second=f"SELECT CAST(FLOOR(j / 3) AS BIGINT) AS m2, {_INHERIT} FROM {{pn_derived}} GROUP BY CAST(FLOOR(j / 3) AS BIGINT)",
+    pn_merged=_derived("merged", "m") + " FROM (SELECT s.*, c.m, c.consents FROM {pn_second} s JOIN {pn_second_consents} c ON s.m2 = c.m) t",
+    pn_edge="SELECT CONCAT('derived_', CAST(FLOOR(k / 4) AS BIGINT)) AS node, contribution_id AS input FROM {pn_contribution} UNION ALL SELECT CONCAT('merged_', CAST(FLOOR(j / 3) AS BIGINT)), node FROM {pn_derived}",
+    # What there is to delete of each record, by kind.
+    pn_target="""SELECT contribution_id AS node, 'raw' AS kind, CONCAT('raw/', k) AS target FROM {pn_contribution} UNION ALL SELECT contribution_id, 'index', CONCAT('index_document_', k) FROM {pn_contribution} WHERE k % 2 = 0 UNION ALL SELECT contribution_id, 'cache', CONCAT('cache_', k % 1000) FROM {pn_contribution} WHERE k % 3 = 0
+      UNION ALL SELECT node, 'derived', CONCAT('derived/', j) FROM {pn_derived} UNION ALL SELECT node, 'export', CONCAT('score_export_', j) FROM {pn_derived} WHERE j % 5 = 0 UNION ALL SELECT node, 'derived', CONCAT('derived/merged/', j) FROM {pn_merged} UNION ALL SELECT node, 'cache', CONCAT('cache_m', j) FROM {pn_merged} WHERE j % 2 = 0""",
+    # What was found deleted: some things are missing, some were not asked for.
+    pn_removed="SELECT node, kind, target FROM {pn_target} WHERE NOT (kind = 'raw' AND LENGTH(target) % 2 = 0 AND target LIKE '%77') UNION ALL SELECT contribution_id, 'cache', CONCAT('stray_', k) FROM {pn_contribution} WHERE k % 401 = 0",
+)

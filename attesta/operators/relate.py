@@ -46,22 +46,36 @@ def generation_diff(previous: DataFrame, current: DataFrame, key: str, digest: s
 
 
 def partners(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """key, agreeing, conflicting: how many other rows agree on all fields, or on some but not all.
+    """key, likely_high, likely_medium, conflicting, class_id: how other rows compare on the fields that both have.
 
-    No pair is made. For each subset of fields the rows that share its values are counted; those
-    counts give, by inclusion and exclusion, the rows that share a field at least. Nulls agree with
-    nothing.
+    likely: all shared fields agree, more than one of them (high) or just one (medium); conflicting:
+    some agree and some don't. class_id: the least key with the same fields, null-safe. No pair is
+    made: for each subset of fields the rows that share its values are counted by which fields they
+    have, and inclusion and exclusion over the subsets gives the rows that share one at least.
     """
-    out, some, every = rows, None, None
-    for size in range(1, len(fields) + 1):
-        for subset in combinations(fields, size):
-            name = "_n_" + "_".join(subset)
-            known = rows.dropna(subset=list(subset)).groupBy(*subset).agg((F.count(F.lit(1)) - 1).alias(name))
-            out = out.join(known, list(subset), "left")
-            n = F.coalesce(name, F.lit(0))
-            signed = n if size % 2 else -n
-            some, every = signed if some is None else some + signed, n
-    return out.select(key, every.alias("agreeing"), (some - every).alias("conflicting"))
+    every = range(1, 1 << len(fields))
+    names = lambda mask: [f for i, f in enumerate(fields) if mask >> i & 1]
+    has = sum((F.when(F.col(f).isNotNull(), F.lit(1 << i)).otherwise(0) for i, f in enumerate(fields)), F.lit(0))
+    rows = rows.withColumn("_has", has)
+    same = [F.col(f) for f in fields]
+    classes = rows.groupBy(*(F.coalesce(c, F.lit("\0")).alias(f"_c{i}") for i, c in enumerate(same))).agg(F.min(key).alias("class_id"))
+    out = rows.select("*", *(F.coalesce(c, F.lit("\0")).alias(f"_c{i}") for i, c in enumerate(same))).join(classes, [f"_c{i}" for i in range(len(fields))])
+    for s in every:
+        known = rows.dropna(subset=names(s)).groupBy(*names(s), "_has").agg(F.count(F.lit(1)).alias("n"))
+        # A handful of entries: which fields a row can have.
+        by = known.groupBy(*names(s)).agg(F.map_from_entries(F.collect_list(F.struct("_has", "n"))).alias(f"_n{s}"))
+        out = out.join(by, names(s), "left")
+    own = F.col("_has")
+    count = lambda s, q: F.coalesce(F.element_at(f"_n{s}", F.lit(q)), F.lit(0)) - F.when((own == q) & own.bitwiseAND(F.lit(s)).eqNullSafe(F.lit(s)), 1).otherwise(0)
+    high = medium = conflicting = F.lit(0)
+    for q in every:
+        some = sum((count(s, q) * (1 if len(names(s)) % 2 else -1) for s in every if s & q == s), F.lit(0))
+        shared = own.bitwiseAND(F.lit(q))
+        agree = lambda wide: F.coalesce(*(F.when(shared == s, count(s, q)) for s in every if s & q == s and (len(names(s)) > 1) == wide), F.lit(0)) if any(s & q == s and (len(names(s)) > 1) == wide for s in every) else F.lit(0)  # noqa: B023, E731
+        h, m = agree(True), agree(False)
+        high, medium, conflicting = high + h, medium + m, conflicting + some - h - m
+    big = lambda c, name: c.cast("bigint").alias(name)
+    return out.select(key, big(high, "likely_high"), big(medium, "likely_medium"), big(conflicting, "conflicting"), "class_id")
 
 
 def capable(required: DataFrame, held: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions.text import snippet
-from attesta.operators import policy
+from attesta.operators import lineage, policy
+from attesta.sources import records
 
-FACETS = ("source_id", "period", "selection_state", "cluster_id", "language", "medium")
+FACETS = ("source_id", "period", "selection_state", "coverage_state", "cluster_id", "languages", "mediums")
 
 
 def grants(fields: DataFrame, policies: DataFrame, edges: DataFrame) -> DataFrame:
@@ -43,21 +44,52 @@ def rank(results: DataFrame, limit: int | None = None) -> DataFrame:
         raise ValueError("a limit is not negative")
     order = (F.col("match_count").desc(), F.col("visible_fields").desc(), F.col("document_id"))
     if limit is None:
-        return results.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+        return _ranked(results, order)
     top = results.orderBy(*order).limit(limit)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
+def _ranked(results: DataFrame, order: tuple[Column, ...]) -> DataFrame:
+    """All results with their place: sorted by ranges, numbered in each, and moved on by the ranges before.
+
+    What reaches the driver is a count for each range, of which there are as many as shuffle partitions.
+    """
+    lineage.checkpoints(results.sparkSession)
+    placed = results.orderBy(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).checkpoint()
+    before, ranges = 0, []
+    for p, n in sorted(map(tuple, placed.groupBy("_p").count().collect())):
+        ranges.append((p, before))
+        before += n
+    moved = placed.join(F.broadcast(results.sparkSession.createDataFrame(ranges, "_p int, _before long")), "_p")
+    return moved.withColumn("rank", (F.col("_before") + F.col("_i") + 1).cast("int")).drop("_p", "_i", "_before")
+
+
 def facets(results: DataFrame, names: tuple[str, ...] = FACETS) -> DataFrame:
-    """facet, value, count over all results; nulls have none."""
-    pairs = F.array(*(F.struct(F.lit(n).alias("facet"), F.col(n).alias("value")) for n in names))
-    return results.select(F.inline(pairs)).where("value is not null").groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
+    """facet, value, n, place over all results: nulls have none, arrays count each label, most first, then by value.
+
+    Of `names`, those that the frame has: a cluster or coverage costs a join that not every query wants.
+    """
+    none = F.array().cast("array<struct<facet:string,value:string>>")
+    pair = lambda n: lambda v: F.struct(F.lit(n).alias("facet"), v.alias("value"))
+    parts = []
+    for n in (n for n in names if n in results.columns):
+        single = results.schema[n].dataType.typeName() == "string"
+        parts.append(F.array(pair(n)(F.col(n))) if single else F.coalesce(F.transform(n, pair(n)), none))
+    counted = results.select(F.inline(F.concat(*parts))).where("value is not null").groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
+    # One row for each label by now.
+    return counted.withColumn("place", F.row_number().over(Window.partitionBy("facet").orderBy(F.col("n").desc(), "value")))
 
 
-def coverage(documents: DataFrame, targets: DataFrame) -> DataFrame:
-    """doc_id, dimension, value, target_id: documents against targets through their dimensions."""
-    dims = F.array(*(F.struct(F.lit(n).alias("dimension"), F.col(c).alias("value")) for n, c in (("source", "source_id"), ("period", "period"), ("language", "language"), ("medium", "medium"))))
-    return documents.select("doc_id", F.inline(dims)).join(targets, ["dimension", "value"])
+def coverage(documents: DataFrame, targets: DataFrame, *more: str) -> DataFrame:
+    """doc_id, more, dimension, value and the target's columns: documents or candidates against targets through all dimensions that they have."""
+    return documents.select("doc_id", *more, F.inline(records.dimensions(documents))).join(targets, ["dimension", "value"])
+
+
+def coverage_state(documents: DataFrame, targets: DataFrame) -> DataFrame:
+    """doc_id, coverage_state, target_ids: what a document contributes to; targets are few, so are those of one document."""
+    hits = coverage(documents, targets).groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("target_id")), ",").alias("target_ids"))
+    state = F.when(F.col("target_ids").isNull(), "outside_coverage_targets").when(F.col("selection_state") == "selected_rich_corpus", "selected_contribution").otherwise("unselected_candidate")
+    return documents.select("doc_id", "selection_state").join(hits, "doc_id", "left").select("doc_id", state.alias("coverage_state"), "target_ids")
 
 
 def cluster_members(documents: DataFrame, shown_ids: DataFrame) -> DataFrame:
@@ -76,3 +108,22 @@ def feature_values(shown: DataFrame, longest: int = 128) -> DataFrame:
     may = policy.closed(F.array_contains("allowed_operations", "score_feature_value"))
     value = F.when(F.length("value") > longest, F.raise_error(F.lit("a feature value is too long")).cast("string")).otherwise(F.col("value"))
     return shown.select("document_id", "field_id", F.when(may, value).alias("feature_value"))
+
+
+def term_hits(texts: DataFrame, text: str, cases: DataFrame, block: int = 500) -> DataFrame:
+    """texts' rows with case_id, for each case whose term occurs in the text, as a substring of both lower-cased.
+
+    cases: (case_id, term), told to all tasks `block` terms at a time; every block reads the texts once.
+    """
+    spark = texts.sparkSession
+    lower = F.lower(F.col(text))
+    rows = cases.where("term is not null and term <> ''").select(F.col("case_id"), F.lower("term").alias("term"), F.pmod(F.xxhash64("case_id", "term"), F.lit(1 << 20)).alias("_h"))
+    blocks = max(1, -(-rows.count() // block))
+    out = None
+    for k in range(blocks):
+        few = [(r["case_id"], r["term"]) for r in rows.where(F.col("_h") % blocks == k).collect()]
+        told = F.broadcast(spark.createDataFrame([(0, few)], f"_k int, _cases array<struct<case_id:{cases.schema['case_id'].dataType.simpleString()},term:string>>"))
+        held = texts.withColumn("_t", lower).withColumn("_k", F.lit(0)).join(told, "_k")
+        one = held.withColumn("_hit", F.explode(F.filter("_cases", lambda c: F.contains(F.col("_t"), c.term)))).withColumn("case_id", F.col("_hit.case_id")).drop("_t", "_k", "_cases", "_hit")
+        out = one if out is None else out.unionByName(one)
+    return out

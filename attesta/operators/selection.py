@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from attesta.operators import policy
 
-def compressed(eligible: DataFrame, matches: DataFrame) -> DataFrame:
+
+def overridden(candidates: DataFrame, overrides: DataFrame, t: Column) -> DataFrame:
+    """Candidates with `override`: current, or why their review override counts for nothing."""
+    o = overrides.select(*(F.col(c).alias(f"o_{c}") for c in overrides.columns))
+    c = F.col
+    bound = policy.closed((c("o_candidate_sha") == c("candidate_sha")) & (c("o_source_id") == c("source_id")) & (c("o_asset_id") == c("asset_id")))
+    worth = policy.first_reason([
+        (c("o_candidate_id").isNull(), "missing"), (~bound, "not_bound"), (~policy.closed(c("o_state") == "approved"), F.coalesce("o_state", F.lit("unknown"))), (~policy.closed(c("o_decided_at") <= t), "not_yet_effective"), (~policy.closed(t < c("o_expires_at")), "expired"), (F.lit(True), "current"),
+    ])
+    return candidates.join(o, candidates.candidate_id == o.o_candidate_id, "left").withColumn("override", worth).drop(*o.columns)
+
+
+def compressed(eligible: DataFrame, matches: DataFrame, rounds: int) -> DataFrame:
     """The candidates that the greedy cover could ever pick.
 
-    eligible: (candidate_id, cluster_id, quality_rank); matches: (candidate_id, target_id, minimum).
-    Unclustered candidates with the same targets and quality are interchangeable but for their
-    ids, and each pick serves an unmet target: no more than the largest minimum of one kind are
-    ever picked, so only the first of each kind in id order are kept. Clustered ones stay.
+    eligible: (candidate_id, cluster_id, quality_rank); matches: (candidate_id, target_id, minimum);
+    rounds: the sum of the targets' minimums, which bounds the picks, as each serves an unmet target.
+    Candidates with the same targets and quality are interchangeable but for their ids and clusters.
+    A pick takes at most one cluster away, so of each kind the first candidate of each of the first
+    `rounds` + 1 clusters in id order suffices; one without a cluster is a cluster of its own.
     """
-    kinds = matches.groupBy("candidate_id").agg(F.array_sort(F.collect_set("target_id")).alias("targets"), F.max("minimum").alias("most"))
-    rows = eligible.join(kinds, "candidate_id")
+    kinds = matches.groupBy("candidate_id").agg(F.array_sort(F.collect_set("target_id")).alias("targets"))
+    rows = eligible.join(kinds, "candidate_id").withColumn("_own", F.coalesce("cluster_id", "candidate_id"))
+    first = rows.groupBy("targets", "quality_rank", "_own").agg(F.min(F.struct("candidate_id", "cluster_id")).alias("c")).select("targets", "quality_rank", "c.*")
     place = F.row_number().over(Window.partitionBy("targets", "quality_rank").orderBy("candidate_id"))
-    plain = rows.where("cluster_id is null").withColumn("place", place).where("place <= most").drop("place")
-    return plain.unionByName(rows.where("cluster_id is not null"))
+    return first.withColumn("place", place).where(F.col("place") <= rounds + 1).drop("place")
 
 
 def greedy_cover(candidates: list[dict], targets: list[dict]) -> list[str]:

@@ -12,16 +12,16 @@ from attesta.sources import records
 from attesta.sources.records import CTES
 from attesta.sources.tables import table
 
-COVER = CTES + """, dims AS (SELECT candidate_id, unnest(['source', 'period', 'language', 'medium']) AS dimension, unnest([source_id, period, language, medium]) AS value FROM cands),
+COVER = CTES + """,
   cov AS (SELECT t.target_id, t.minimum, count(c.candidate_id) AS observed, count(*) FILTER (c.candidate_id IS NOT NULL AND c.reason IS NULL) AS eligible,
     count(*) FILTER (c.reason = 'metadata_unresolved') AS unresolved, count(*) FILTER (c.reason LIKE '%not_approved' OR c.reason LIKE '%expired') AS blocked, count(*) FILTER (c.reason LIKE 'inventory%' OR c.reason LIKE 'retrieval%') AS unavailable
-    FROM tgts t LEFT JOIN dims d ON t.dimension = d.dimension AND t.value = d.value LEFT JOIN reasons c ON c.candidate_id = d.candidate_id GROUP BY 1, 2)"""
+    FROM tgts t LEFT JOIN cdims d ON t.dimension = d.dimension AND t.value = d.value LEFT JOIN reasons c ON c.candidate_id = d.candidate_id GROUP BY 1, 2)"""
 
 
 def cover(spark, d):
     docs = records.documents(spark, d)
     r = F.col("reason")
-    matched = search.coverage(docs, records.targets(docs)).join(reasoned(spark, d, docs).select("doc_id", "reason"), "doc_id")
+    matched = search.coverage(reasoned(spark, d, docs), records.targets(docs), "reason")
     yes = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     return matched.groupBy("target_id", "minimum").agg(
         F.count(F.lit(1)).alias("observed"), F.count_if(r.isNull()).alias("eligible"), yes(r == "metadata_unresolved").alias("unresolved"),
@@ -202,10 +202,13 @@ def agg_run_manifest_outcome(spark, d):
     return table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("run")).agg(F.when(F.every(done), "complete").when(F.some(done), "partial").otherwise("open").alias("outcome"))
 
 
-@query("agg_retrieval_observed", "WITH c AS (SELECT item_id, lower(split_part(text, ' ', 3)) AS term FROM benchmark), w AS (SELECT DISTINCT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documents) SELECT item_id, count(DISTINCT w.doc_id) AS observed, count(DISTINCT w.doc_id) FILTER (quality = 0) AS forbidden FROM c JOIN w USING (term) LEFT JOIN labels USING (doc_id) GROUP BY 1")
+@query("agg_retrieval_observed", """WITH c AS (SELECT item_id, lower(split_part(text, ' ', 3)) AS term FROM benchmark), h AS (SELECT item_id, doc_id, quality FROM c JOIN documents ON term <> '' AND contains(lower(text), term) LEFT JOIN labels USING (doc_id))
+  SELECT item_id, count(DISTINCT doc_id) AS observed, count(DISTINCT doc_id) FILTER (quality = 0) AS forbidden, CASE WHEN count(DISTINCT doc_id) FILTER (quality = 1) = 0 THEN 'missing' WHEN count(*) FILTER (quality = 0) > 0 THEN 'forbidden' ELSE 'contained' END AS verdict FROM h GROUP BY 1""")
 def agg_retrieval_observed(spark, d):
-    """Documents that hold each case's term as a word; words that no case asks for are dropped before the shuffle."""
-    cases = table(spark, d, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(3))).alias("term"))
-    words = table(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(F.split(F.lower("text"), " "))).alias("term"))
-    hits = words.join(cases, "term").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
-    return hits.groupBy("item_id").agg(F.count_distinct("doc_id").alias("observed"), F.count_distinct(F.when(F.col("quality") == 0, F.col("doc_id"))).alias("forbidden"))
+    """Documents whose text holds each case's term, whole words or not, and whether what is shown is what may be."""
+    cases = table(spark, d, "benchmark").select(F.col("item_id").alias("case_id"), F.split_part("text", F.lit(" "), F.lit(3)).alias("term"))
+    docs = table(spark, d, "documents").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left").select("doc_id", "quality", "text")
+    hits = search.term_hits(docs, "text", cases).select(F.col("case_id").alias("item_id"), "doc_id", "quality")
+    one = lambda q: F.count_distinct(F.when(F.col("quality") == q, F.col("doc_id")))
+    verdict = F.when(one(1) == 0, "missing").when(one(0) > 0, "forbidden").otherwise("contained")
+    return hits.groupBy("item_id").agg(F.count_distinct("doc_id").alias("observed"), one(0).alias("forbidden"), verdict.alias("verdict"))

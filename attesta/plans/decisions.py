@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from attesta.functions import times
-from attesta.operators import policy, search, selection
+from attesta.operators import lineage, policy, selection
 from attesta.plans.catalog import query
 from attesta.plans.search import now
 from attesta.sources import records
@@ -19,14 +19,16 @@ def reasoned(spark, d, docs=None):
     """Candidates with the first gate that each fails; null if it passes all."""
     c = F.col
     approved = lambda name: c(name) != "approved"
+    over = lambda name: c(f"{name}_expires_at") <= now()
     reason = policy.first_reason([
         (c("inventory_state") != "observed", F.concat(F.lit("inventory_"), "inventory_state")), (c("retrieval_state") != "available", F.concat(F.lit("retrieval_"), "retrieval_state")),
         (approved("governance_state"), "source_governance_not_approved"), (approved("rights_state"), "rights_not_approved"), (approved("retention_state"), "retention_not_approved"),
         (approved("privacy_state"), "privacy_not_approved"), (approved("transformation_state"), "transformation_not_approved"),
-        (c("governance_expires_at") <= now(), "source_governance_expired"), (c("rights_expires_at") <= now(), "rights_expired"),
-        (c("pipeline_proof") & ~c("override_approved"), "proof_requires_review"), (c("unknown_dimension"), "metadata_unresolved"),
+        (over("governance"), "source_governance_expired"), (over("rights"), "rights_expired"), (over("retention"), "retention_expired"), (over("privacy"), "privacy_expired"), (over("transformation"), "transformation_expired"),
+        (c("pipeline_proof") & (c("override") != "current"), "proof_requires_review"), (c("unknown_dimension"), "metadata_unresolved"),
     ])
-    return records.candidates(records.documents(spark, d) if docs is None else docs).withColumn("reason", reason)
+    rows = records.candidates(records.documents(spark, d) if docs is None else docs)
+    return selection.overridden(rows, records.overrides(spark, d), now()).withColumn("reason", reason)
 
 
 @query("first_fail_reason", CTES + "SELECT candidate_id, reason FROM reasons")
@@ -35,15 +37,19 @@ def first_fail_reason(spark, d):
 
 
 def covered(spark, d):
-    """Rows (candidate_id, place) in the order of selection."""
+    """(candidates with reasons, rows (candidate_id, place) in the order of selection)."""
+    lineage.checkpoints(spark)
     docs = records.documents(spark, d, clusters=True)
-    targets = records.targets(docs)
-    eligible = reasoned(spark, d, docs).where("reason is null").select("doc_id", "candidate_id", "cluster_id", "quality_rank")
-    matches = search.coverage(docs, targets).join(eligible.select("doc_id", "candidate_id"), "doc_id").select("candidate_id", "target_id", "minimum")
-    # Bounded: the first few of each kind of candidate, and those of clusters (see `compressed`).
-    few = [r.asDict() for r in selection.compressed(eligible.drop("doc_id"), matches).collect()]
-    order = selection.greedy_cover(few, [r.asDict() for r in targets.collect()])
-    return docs, spark.createDataFrame(list(enumerate(order)), "place bigint, candidate_id string")
+    targets = [r.asDict() for r in records.targets(docs).collect()]
+    rows = reasoned(spark, d, docs)
+    kept = rows.select("doc_id", "candidate_id", "cluster_id", "quality_rank", "reason", records.dimensions(rows).alias("dims")).checkpoint()
+    eligible = kept.where("reason is null")
+    wanted = spark.createDataFrame([(t["target_id"], t["dimension"], t["value"]) for t in targets], "target_id string, dimension string, value string")
+    matches = eligible.select("candidate_id", F.inline("dims")).join(F.broadcast(wanted), ["dimension", "value"]).select("candidate_id", "target_id")
+    # Bounded: a few of each kind of candidate (see `compressed`).
+    few = [r.asDict() for r in selection.compressed(eligible.select("candidate_id", "cluster_id", "quality_rank"), matches, sum(t["minimum"] for t in targets)).collect()]
+    order = selection.greedy_cover(few, targets)
+    return kept.drop("dims"), spark.createDataFrame(list(enumerate(order)), "place bigint, candidate_id string")
 
 
 @query("greedy_cover")
@@ -54,8 +60,7 @@ def greedy_cover(spark, d):
 @query("eval_selection")
 def eval_selection(spark, d):
     """candidate_id, decision, reason of every candidate."""
-    docs, order = covered(spark, d)
-    rows = reasoned(spark, d, docs)
+    rows, order = covered(spark, d)
     picked = rows.join(order, "candidate_id").select("candidate_id", "cluster_id", F.lit(True).alias("picked"))
     clusters = picked.where("cluster_id is not null").select("cluster_id", F.lit(True).alias("represented")).distinct()
     reason = F.coalesce("reason", F.when(F.col("picked"), "selected").when(F.col("represented"), "duplicate_not_representative").otherwise("coverage_not_needed"))

@@ -6,10 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from attesta.functions import times
-from attesta.operators import expect, policy
+from attesta.operators import expect, policy, search
 from attesta.plans.catalog import query
 from attesta.plans.joins import generations
-from attesta.plans.search import granted, now
+from attesta.plans.search import granted, now, shown
 from attesta.sources import records
 from attesta.sources.records import CTES
 from attesta.sources.tables import table
@@ -87,14 +87,22 @@ def qc_index_consistency(spark, d):
     return previous.join(current, "doc_id", "left_anti").join(events, "doc_id", "left_anti").select("doc_id")
 
 
-@query("eval_retrieval_case", CTES + ", t AS (SELECT item_id, lower(split_part(text, ' ', 2)) AS term FROM benchmark), w AS (SELECT field_id, rights_state, unnest(list_distinct(string_split(lower(value), ' '))) AS term FROM auth WHERE name = 'title') SELECT item_id, count(field_id) AS found, count(field_id) FILTER (rights_state <> 'approved') AS forbidden FROM t LEFT JOIN w USING (term) GROUP BY 1")
+@query("eval_retrieval_case", CTES + """, t AS (SELECT item_id, lower(split_part(text, ' ', 2)) AS term FROM benchmark), seen AS (SELECT item_id, field_id, policy_id FROM t JOIN (SELECT * FROM granted WHERE list_contains(allowed_operations, 'search_visibility') AND list_contains(allowed_audiences, 'researcher')) ON term <> '' AND contains(lower(name || ' ' || value), term)),
+  want AS (SELECT item_id, field_id FROM t JOIN flds ON term <> '' AND name = 'title' AND contains(lower(value), term)), x AS (SELECT coalesce(a.item_id, b.item_id) AS item_id, a.field_id IS NOT NULL AS seen, b.field_id IS NOT NULL AS wanted FROM seen a FULL JOIN want b ON a.item_id = b.item_id AND a.field_id = b.field_id)
+  SELECT item_id, count(x.item_id) FILTER (seen) AS found, count(x.item_id) FILTER (wanted AND NOT seen) AS missing, count(x.item_id) FILTER (seen AND NOT wanted) AS unexpected, CASE WHEN count(x.item_id) FILTER (seen) = 0 THEN 'empty' WHEN count(x.item_id) FILTER (seen AND NOT wanted) > 0 THEN 'unexpected' WHEN count(x.item_id) FILTER (wanted AND NOT seen) > 0 THEN 'partial' ELSE 'pass' END AS verdict FROM t LEFT JOIN x USING (item_id) GROUP BY 1""")
 def eval_retrieval_case(spark, d):
-    """Each case's term against the words of all titles."""
-    cases = table(spark, d, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("term"))
-    words = granted(spark, d).where("name = 'title'").select("field_id", "rights_state", F.explode(F.array_distinct(F.split(F.lower("value"), " "))).alias("term"))
-    hits = cases.join(words, "term").groupBy("item_id").agg(F.count(F.lit(1)).alias("found"), F.count_if(F.col("rights_state") != "approved").alias("forbidden"))
+    """Each case searched as a researcher sees it: what is found against the titles that hold the term."""
+    cases = table(spark, d, "benchmark").select(F.col("item_id").alias("case_id"), F.split_part("text", F.lit(" "), F.lit(2)).alias("term"))
+    flds = records.fields(records.documents(spark, d))
+    visible = shown(spark, d).select("field_id", F.concat_ws(" ", "name", "value").alias("t"))
+    seen = search.term_hits(visible, "t", cases).select("case_id", "field_id", F.lit(1).alias("w"))
+    wanted = search.term_hits(flds.where("name = 'title'").select("field_id", "value"), "value", cases).select("case_id", "field_id", F.lit(2).alias("w"))
+    each = seen.unionByName(wanted).groupBy("case_id", "field_id").agg(F.sum("w").alias("w"))
+    n = lambda *w: F.count_if(F.col("w").isin(*w))
+    found = each.groupBy("case_id").agg(n(1, 3).alias("found"), n(2).alias("missing"), n(1).alias("unexpected"))
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return cases.select("item_id").join(hits, "item_id", "left").select("item_id", zero("found"), zero("forbidden"))
+    rows = cases.select("case_id").join(found, "case_id", "left").select(F.col("case_id").alias("item_id"), zero("found"), zero("missing"), zero("unexpected"))
+    return rows.withColumn("verdict", F.when(F.col("found") == 0, "empty").when(F.col("unexpected") > 0, "unexpected").when(F.col("missing") > 0, "partial").otherwise("pass"))
 
 
 @query("eval_run", CTES + "SELECT 'documents' AS metric, count(*) AS n FROM docs UNION ALL SELECT 'granted', count(*) FROM granted UNION ALL SELECT 'excluded', count(*) FROM reasons WHERE reason IS NOT NULL UNION ALL SELECT 'clusters', count(DISTINCT cluster_id) FROM docs")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from attesta.functions import text, times
-from attesta.operators import policy, relate
+from attesta.operators import policy, relate, selection
 from attesta.plans.catalog import query
-from attesta.plans.search import granted
+from attesta.plans.search import granted, now
 from attesta.sources import records
 from attesta.sources.records import CTES, NOW
 from attesta.sources.tables import table
@@ -43,35 +43,39 @@ def join_receipt_mirror(spark, d):
     return l.join(p, (l.l_partkey == p.p_partkey) & (l.l_quantity == p.p_size) & (l.l_extendedprice >= p.p_retailprice)).select("l_orderkey", "l_linenumber")
 
 
-@query("join_cand_target", CTES + ", dims AS (SELECT candidate_id, unnest(['source', 'period', 'language', 'medium']) AS dimension, unnest([source_id, period, language, medium]) AS value FROM cands) SELECT candidate_id, target_id, priority FROM dims JOIN tgts USING (dimension, value)")
+@query("join_cand_target", CTES + " SELECT candidate_id, target_id, priority, minimum FROM cdims JOIN tgts USING (dimension, value)")
 def join_cand_target(spark, d):
     docs = records.documents(spark, d)
     c = records.candidates(docs)
-    dims = F.array(*(F.struct(F.lit(n).alias("dimension"), F.col(x).alias("value")) for n, x in (("source", "source_id"), ("period", "period"), ("language", "language"), ("medium", "medium"))))
-    return c.select("candidate_id", F.inline(dims)).join(records.targets(docs), ["dimension", "value"]).select("candidate_id", "target_id", F.col("priority").cast("bigint").alias("priority"))
+    rows = c.select("candidate_id", F.inline(records.dimensions(c))).join(records.targets(docs), ["dimension", "value"])
+    return rows.select("candidate_id", "target_id", F.col("priority").cast("bigint").alias("priority"), F.col("minimum").cast("bigint").alias("minimum"))
 
 
-WIDE = CTES + """, wide AS (SELECT doc_id, max(value) FILTER (name = 'title') AS title, max(value) FILTER (name = 'language') AS language, max(value) FILTER (name = 'origin') AS origin FROM flds GROUP BY 1),
-  pairs AS (SELECT a.doc_id, (a.title = b.title)::INT + (a.language = b.language)::INT + (a.origin = b.origin)::INT AS matched FROM wide a JOIN wide b ON a.doc_id <> b.doc_id),
-  partners AS (SELECT doc_id, count(*) FILTER (matched = 3) AS agreeing, count(*) FILTER (matched BETWEEN 1 AND 2) AS conflicting FROM pairs GROUP BY 1)"""
+WIDE = CTES + """, wide AS (SELECT doc_id, max(value) FILTER (name = 'title' AND doc_id % 7 <> 3) AS title, max(value) FILTER (name = 'language' AND doc_id % 11 <> 5) AS language, max(value) FILTER (name = 'origin') AS origin FROM flds GROUP BY 1),
+  pairs AS (SELECT a.doc_id, coalesce((a.title = b.title)::INT, 0) + coalesce((a.language = b.language)::INT, 0) + coalesce((a.origin = b.origin)::INT, 0) AS matched, coalesce((a.title <> b.title)::INT, 0) + coalesce((a.language <> b.language)::INT, 0) + coalesce((a.origin <> b.origin)::INT, 0) AS unequal FROM wide a JOIN wide b ON a.doc_id <> b.doc_id),
+  counted AS (SELECT doc_id, count(*) FILTER (matched > 1 AND unequal = 0) AS likely_high, count(*) FILTER (matched = 1 AND unequal = 0) AS likely_medium, count(*) FILTER (matched > 0 AND unequal > 0) AS conflicting FROM pairs GROUP BY 1)"""
 
 
 def partners(spark, d):
     flds = records.fields(records.documents(spark, d))
-    value = lambda name: F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
-    return relate.partners(flds.groupBy("doc_id").agg(value("title"), value("language"), value("origin")), "doc_id", ["title", "language", "origin"])
+    n = F.col("doc_id")
+    value = lambda name, known=F.lit(True): F.max(F.when((F.col("name") == name) & known, F.col("value"))).alias(name)
+    return relate.partners(flds.groupBy("doc_id").agg(value("title", n % 7 != 3), value("language", n % 11 != 5), value("origin")), "doc_id", ["title", "language", "origin"])
 
 
-@query("join_pairwise_field_hash", WIDE + " SELECT * FROM partners")
+@query("join_pairwise_field_hash", WIDE + ", c AS (SELECT min(doc_id) AS class_id, title, language, origin FROM wide GROUP BY ALL) SELECT counted.*, class_id FROM counted JOIN wide USING (doc_id) JOIN c ON c.title IS NOT DISTINCT FROM wide.title AND c.language IS NOT DISTINCT FROM wide.language AND c.origin IS NOT DISTINCT FROM wide.origin")
 def join_pairwise_field_hash(spark, d):
-    """Other documents that agree on all fields, or on some; counted, not listed."""
+    """How many other documents agree on all shared fields, or on some but not all; and the class of equal fields."""
     return partners(spark, d)
 
 
-@query("agg_metadata_dup_class", WIDE + " SELECT doc_id, CASE WHEN agreeing > 0 THEN 'likely_metadata_duplicate' WHEN conflicting > 0 THEN 'conflicting_duplicate' END AS finding_class, CASE WHEN agreeing > 0 THEN 'high' WHEN conflicting > 0 THEN 'medium' END AS confidence FROM partners")
+@query("agg_metadata_dup_class", WIDE + """ SELECT doc_id, 'likely_metadata_duplicate' AS finding_class, 'high' AS confidence, likely_high AS partners FROM counted WHERE likely_high > 0 UNION ALL SELECT doc_id, 'likely_metadata_duplicate', 'medium', likely_medium FROM counted WHERE likely_medium > 0
+  UNION ALL SELECT doc_id, 'conflicting_duplicate', 'medium', conflicting FROM counted WHERE conflicting > 0""")
 def agg_metadata_dup_class(spark, d):
-    grade = lambda high, medium: F.when(F.col("agreeing") > 0, high).when(F.col("conflicting") > 0, medium)
-    return partners(spark, d).select("doc_id", grade("likely_metadata_duplicate", "conflicting_duplicate").alias("finding_class"), grade("high", "medium").alias("confidence"))
+    """Findings of each class and confidence, with the number of partners; a likely one doesn't hide a conflicting one."""
+    one = lambda name, grade, c: F.when(F.col(c) > 0, F.struct(F.lit(name).alias("finding_class"), F.lit(grade).alias("confidence"), F.col(c).alias("partners")))
+    found = F.array(one("likely_metadata_duplicate", "high", "likely_high"), one("likely_metadata_duplicate", "medium", "likely_medium"), one("conflicting_duplicate", "medium", "conflicting"))
+    return partners(spark, d).select("doc_id", F.inline(F.filter(found, lambda x: x.isNotNull())))
 
 
 TOKENS = """WITH r AS (SELECT p_partkey AS record_id, p_brand AS source_id, list_sort(list_distinct(regexp_extract_all(lower(p_name || ' ' || p_type || ' x' || (p_partkey % 90)), '[\\p{L}\\p{N}_]+'))) AS tokens FROM part),
@@ -121,11 +125,11 @@ def join_manifest_receipts(spark, d):
     return o.join(per, o.o_orderkey == per.l_orderkey, "left").select(F.col("o_orderkey").alias("manifest"), zero("outputs").alias("outputs"), zero("distinct_outputs").alias("distinct_outputs"), (zero("outputs") == zero("distinct_outputs")).alias("owned_once"))
 
 
-@query("join_override", CTES + "SELECT candidate_id, override_approved FROM cands WHERE pipeline_proof")
+@query("join_override", CTES + """ SELECT c.candidate_id, CASE WHEN o.candidate_id IS NULL THEN 'missing' WHEN o.candidate_sha <> c.candidate_sha OR o.source_id <> c.source_id OR o.asset_id <> c.asset_id THEN 'not_bound' WHEN o.state <> 'approved' THEN o.state WHEN decided > 150 THEN 'not_yet_effective' WHEN expires <= 150 THEN 'expired' ELSE 'current' END AS override FROM cands c LEFT JOIN overrides o USING (candidate_id) WHERE pipeline_proof""")
 def join_override(spark, d):
-    c = records.candidates(records.documents(spark, d))
-    overrides = c.where("override_approved").select("candidate_id", F.lit(True).alias("ok"))
-    return c.where("pipeline_proof").join(overrides, "candidate_id", "left").select("candidate_id", F.coalesce("ok", F.lit(False)).alias("override_approved"))
+    """Proof candidates with what their review override is worth: it binds the candidate's exact content, source and asset."""
+    c = records.candidates(records.documents(spark, d)).where("pipeline_proof")
+    return selection.overridden(c, records.overrides(spark, d), now()).select("candidate_id", "override")
 
 
 @query("join_blocker_work", "WITH b AS (SELECT n_nationkey AS scope FROM nation WHERE n_regionkey = 1) SELECT s_suppkey AS work_item, s_nationkey IN (SELECT scope FROM b) AS held FROM supplier")
@@ -160,13 +164,6 @@ def claim_next_job(spark, d):
     return workers.join(fit.join(first, "required").groupBy("held").agg(F.min("job_id").alias("job_id")), "held").select("user_id", "job_id")
 
 
-@query("join_requested_response", "SELECT c_custkey AS requested, count(o_orderkey) AS items, count(o_orderkey) = 0 AS unavailable FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1")
-def join_requested_response(spark, d):
-    c, o = table(spark, d, "customer").select("c_custkey"), table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    items = F.coalesce("n", F.lit(0))
-    return c.join(o, c.c_custkey == o.o_custkey, "left").select(F.col("c_custkey").alias("requested"), items.alias("items"), (items == 0).alias("unavailable"))
-
-
 @query("join_job_duplicates", "SELECT a.l_orderkey, a.l_linenumber, count(*) AS twins FROM lineitem a JOIN lineitem b ON a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey AND a.l_quantity = b.l_quantity AND a.l_returnflag = b.l_returnflag AND (a.l_orderkey <> b.l_orderkey OR a.l_linenumber <> b.l_linenumber) GROUP BY ALL")
 def join_job_duplicates(spark, d):
     sign = ["l_partkey", "l_suppkey", "l_quantity", "l_returnflag"]

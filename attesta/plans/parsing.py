@@ -10,27 +10,6 @@ from attesta.sources import tables
 from attesta.sources.tables import table
 
 
-@query("parse_html_fragment", """SELECT page_id, count(*) AS links, count(DISTINCT href) AS distinct_links FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS href FROM pages) GROUP BY 1""")
-def parse_html_fragment(spark, d):
-    return table(spark, d, "pages").select("page_id", F.explode(parse.anchors(F.col("html"))).alias("href")).groupBy("page_id").agg(F.count(F.lit(1)).alias("links"), F.count_distinct("href").alias("distinct_links"))
-
-
-@query("parse_html_pdf_links", """SELECT page_id, href FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS href FROM pages) WHERE regexp_matches(href, '^/[a-z]{2,6}$')""")
-def parse_html_pdf_links(spark, d):
-    return table(spark, d, "pages").select("page_id", F.explode(parse.anchors(F.col("html"))).alias("href")).where(F.col("href").rlike("^/[a-z]{2,6}$"))
-
-
-@query("parse_html_meta", r"""SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '\s+', ' ', 'g')) AS title, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang FROM pages""")
-def parse_html_meta(spark, d):
-    return table(spark, d, "pages").select("page_id", parse.title(F.col("html")).alias("title"), parse.language(F.col("html")).alias("lang"))
-
-
-@query("parse_html_catalogue", "SELECT page_id, len(regexp_extract_all(html, '<article')) AS articles, len(regexp_extract_all(html, '<h1>')) AS headings FROM pages")
-def parse_html_catalogue(spark, d):
-    n = lambda p: F.regexp_count("html", F.lit(p)).cast("bigint")
-    return table(spark, d, "pages").select("page_id", n("<article").alias("articles"), n("<h1>").alias("headings"))
-
-
 @query("html_shape_profile")
 def html_shape_profile(spark, d):
     return parse.shapes(table(spark, d, "pages")).groupBy("signature").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("pages"))
@@ -41,38 +20,6 @@ def html_tag_histogram(spark, d):
     return parse.tag_counts(table(spark, d, "pages"))
 
 
-@query("parse_sitemap_xml", "SELECT page_id, url AS loc FROM pages WHERE NOT contains(url, '&')")
-def parse_sitemap_xml(spark, d):
-    """Each URL written as a sitemap entry and read back."""
-    entry = F.concat(F.lit("<urlset><url><loc>"), "url", F.lit("</loc></url></urlset>"))
-    return table(spark, d, "pages").where(~F.contains("url", F.lit("&"))).select("page_id", F.xpath_string(entry, F.lit("/urlset/url/loc")).alias("loc"))
-
-
-@query("parse_rest_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(ceil(CAST(json_extract(props, '$.k') AS BIGINT) / 10.0) AS BIGINT) AS pages FROM events")
-def parse_rest_json(spark, d):
-    k = F.from_json("props", "k bigint")["k"]
-    return table(spark, d, "events").select("event_id", k.alias("k"), F.ceil(k / 10).alias("pages"))
-
-
-@query("parse_youtube_channel", "SELECT user_id AS channel, min(event_id) AS uploads, count(*) AS items FROM events GROUP BY 1")
-def parse_youtube_channel(spark, d):
-    return table(spark, d, "events").groupBy(F.col("user_id").alias("channel")).agg(F.min("event_id").alias("uploads"), F.count(F.lit(1)).alias("items"))
-
-
-@query("parse_youtube_uploads", "SELECT l_orderkey AS playlist, l_linenumber AS position, l_partkey AS video FROM lineitem")
-def parse_youtube_uploads(spark, d):
-    l = table(spark, d, "lineitem")
-    items = l.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("position"), F.col("l_partkey").alias("video"))).alias("items"))
-    return items.select(F.col("l_orderkey").alias("playlist"), F.inline("items"))
-
-
-@query("parse_youtube_videos", "SELECT c_custkey AS video, CASE WHEN o.o_custkey IS NULL THEN 'missing' WHEN bal < 0 THEN 'private' WHEN n > 15 THEN 'age_restricted' ELSE 'available' END AS availability FROM (SELECT c_custkey, c_acctbal AS bal FROM customer) LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON c_custkey = o_custkey")
-def parse_youtube_videos(spark, d):
-    c, o = table(spark, d, "customer"), table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    state = F.when(F.col("n").isNull(), "missing").when(F.col("c_acctbal") < 0, "private").when(F.col("n") > 15, "age_restricted").otherwise("available")
-    return c.join(o, c.c_custkey == o.o_custkey, "left").select(F.col("c_custkey").alias("video"), state.alias("availability"))
-
-
 @query("classify_robots")
 def classify_robots(spark, d):
     body = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("User-agent: *\nDisallow: "), F.try_parse_url("url", F.lit("PATH")))).when(F.col("page_id") % 3 == 1, "User-agent: *\nAllow: /").otherwise("nothing here")

@@ -85,12 +85,19 @@ def agg_doc_match(spark, d):
     return results(spark, d)[1]
 
 
-@query("agg_facets", RESULTS + """, r AS (SELECT docs.* FROM docs JOIN results USING (document_id)), f AS (
-  SELECT unnest(['source_id', 'period', 'selection_state', 'cluster_id', 'language', 'medium']) AS facet, unnest([source_id, period, selection_state, cluster_id, language, medium]) AS value FROM r)
-  SELECT facet, value, count(*) AS n FROM f WHERE value IS NOT NULL GROUP BY ALL""")
+STATE = """, hits AS (SELECT doc_id, string_agg(DISTINCT target_id, ',' ORDER BY target_id) AS target_ids FROM ddims JOIN tgts USING (dimension, value) GROUP BY 1),
+  covered AS (SELECT d.doc_id, CASE WHEN target_ids IS NULL THEN 'outside_coverage_targets' WHEN selection_state = 'selected_rich_corpus' THEN 'selected_contribution' ELSE 'unselected_candidate' END AS coverage_state, target_ids FROM docs d LEFT JOIN hits USING (doc_id))"""
+
+
+@query("agg_facets", RESULTS + STATE + """, r AS (SELECT docs.*, coverage_state FROM docs JOIN results USING (document_id) JOIN covered USING (doc_id)), f AS (
+  SELECT unnest(['source_id', 'period', 'selection_state', 'coverage_state', 'cluster_id']) AS facet, unnest([source_id, period, selection_state, coverage_state, cluster_id]) AS value FROM r UNION ALL SELECT 'languages', unnest(languages) FROM r UNION ALL SELECT 'mediums', unnest(mediums) FROM r)
+  SELECT *, CAST(row_number() OVER (PARTITION BY facet ORDER BY n DESC, value) AS INTEGER) AS place FROM (SELECT facet, value, count(*) AS n FROM f WHERE value IS NOT NULL GROUP BY ALL)""")
 def agg_facets(spark, d):
+    """Seven dimensions over all results; those of arrays count each label."""
     docs, found = results(spark, d, clusters=True)
-    return search.facets(docs.join(found, "document_id", "left_semi"))
+    every = records.documents(spark, d)
+    state = search.coverage_state(every, records.targets(every)).select("doc_id", "coverage_state")
+    return search.facets(docs.join(found, "document_id", "left_semi").join(state, "doc_id"))
 
 
 @query("search_corpus_index", RESULTS + """, ev AS (SELECT document_id, strftime(max(make_timestamp((1767225600 + evidence * 86400) * 1000000)), '%Y-%m-%dT%H:%M:%SZ') AS evidence_at, strftime(min(make_timestamp((1767225600 + evidence_expires * 86400) * 1000000)), '%Y-%m-%dT%H:%M:%SZ') AS evidence_expires_at FROM shown GROUP BY 1)
@@ -127,20 +134,18 @@ def join_cluster_members_visible(spark, d):
     return search.cluster_members(docs, shown(spark, d, docs=docs)).groupBy("cluster_id").agg(F.array_join(F.array_sort(F.collect_list("document_id")), ",").alias("members"))
 
 
-@query("join_doc_coverage", CTES + """, dims AS (SELECT doc_id, selection_state, unnest(['source', 'period', 'language', 'medium']) AS dimension, unnest([source_id, period, language, medium]) AS value FROM docs)
-  SELECT docs.doc_id, CASE WHEN count(t.target_id) = 0 THEN 'outside_coverage_targets' WHEN any_value(docs.selection_state) = 'selected_rich_corpus' THEN 'selected_contribution' ELSE 'unselected_candidate' END AS coverage_state,
-  string_agg(t.target_id, ',' ORDER BY t.target_id) AS target_ids FROM docs LEFT JOIN dims ON docs.doc_id = dims.doc_id LEFT JOIN tgts t ON t.dimension = dims.dimension AND t.value = dims.value GROUP BY docs.doc_id""")
+@query("join_doc_coverage", CTES + STATE + " SELECT * FROM covered")
 def join_doc_coverage(spark, d):
     docs = records.documents(spark, d)
-    hits = search.coverage(docs, records.targets(docs)).groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list("target_id")), ",").alias("target_ids"))
-    state = F.when(F.col("target_ids").isNull(), "outside_coverage_targets").when(F.col("selection_state") == "selected_rich_corpus", "selected_contribution").otherwise("unselected_candidate")
-    return docs.select("doc_id", "selection_state").join(hits, "doc_id", "left").select("doc_id", state.alias("coverage_state"), "target_ids")
+    return search.coverage_state(docs, records.targets(docs))
 
 
-@query("filter_coverage_match", CTES + ", dims AS (SELECT doc_id, unnest(['source', 'period', 'language', 'medium']) AS dimension, unnest([source_id, period, language, medium]) AS value FROM docs) SELECT doc_id, target_id FROM dims JOIN tgts USING (dimension, value)")
+@query("filter_coverage_match", CTES + " SELECT candidate_id, target_id FROM cdims JOIN tgts USING (dimension, value)")
 def filter_coverage_match(spark, d):
+    """Candidates against targets on six dimensions, arrays label by label."""
     docs = records.documents(spark, d)
-    return search.coverage(docs, records.targets(docs)).select("doc_id", "target_id")
+    c = records.candidates(docs)
+    return search.coverage(c, records.targets(docs)).select(F.concat(F.lit("candidate_"), "doc_id").alias("candidate_id"), "target_id")
 
 
 @query("project_public_member", CTES + "SELECT document_id, source_id, asset_id FROM docs WHERE cluster_id IS NOT NULL")

@@ -31,6 +31,7 @@ def _needs(name: str) -> list[str]:
 
 def family(spark: SparkSession, d: str, name: str) -> DataFrame:
     """The rows of a family over the tables of a folder."""
+    # Curly brackets that are doubled stand for themselves, in both dialects.
     text = FAMILIES[name].replace("EACH(", "explode(")
     return spark.sql(text, **{n: family(spark, d, n) if n in FAMILIES else table(spark, d, n) for n in _NAME.findall(text)})
 
@@ -38,7 +39,7 @@ def family(spark: SparkSession, d: str, name: str) -> DataFrame:
 def ctes(*names: str) -> str:
     """WITH ... for DuckDB: the families and what they rest on."""
     order = list(dict.fromkeys(n for name in names for n in _needs(name)))
-    text = lambda n: re.sub(r"sha2\((.*?), 256\)", r"sha256(\1)", _NAME.sub(r"\1", FAMILIES[n].replace("EACH(", "unnest(")))
+    text = lambda n: re.sub(r"sha2\((.*?), 256\)", r"sha256(\1)", _NAME.sub(r"\1", FAMILIES[n].replace("EACH(", "unnest(").replace("array_join(", "array_to_string(")))
     return "WITH " + ", ".join(f"{n} AS ({text(n)})" for n in order)
 
 
@@ -160,3 +161,30 @@ _define(
     # What was found deleted: some things are missing, some were not asked for.
     pn_removed="SELECT node, kind, target FROM {pn_target} WHERE NOT (kind = 'raw' AND LENGTH(target) % 2 = 0 AND target LIKE '%77') UNION ALL SELECT contribution_id, 'cache', CONCAT('stray_', k) FROM {pn_contribution} WHERE k % 401 = 0",
 )
+
+# Captured pages and responses, written by rules, so that what a parser must find is known.
+_P = "CAST(FLOOR((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) / 4) AS INT) + 1"
+_L, _R = "CHR(123)", "CHR(125)"
+_define(
+    cap_post=f"SELECT o_custkey AS endpoint, o_orderkey AS post, {_P} AS page FROM {{orders}}",
+    cap_rest_body=f"""SELECT endpoint, page, count(*) AS items, max(CASE WHEN post % 197 = 0 THEN 1 ELSE 0 END) AS odd, CONCAT('[', array_join(array_sort(array_agg(CONCAT({_L}, '"id":', post, ',"link":"https://a.example.com/p/', post, '"', CASE WHEN post % 197 = 0 THEN ',"extra":1' ELSE '' END, {_R}))), ','), ']') AS body FROM {{cap_post}} GROUP BY endpoint, page""",
+    cap_rest_total="SELECT endpoint, count(*) + CASE WHEN endpoint % 17 = 0 THEN 25 ELSE 0 END - CASE WHEN endpoint % 29 = 0 AND count(*) > 8 THEN 5 ELSE 0 END AS total FROM {cap_post} GROUP BY endpoint",
+    cap_rest="SELECT b.endpoint, b.page, b.body, b.items, b.odd, t.total AS x_total, CAST(CEIL(t.total / 4.0) AS BIGINT) + CASE WHEN t.endpoint % 19 = 0 THEN 1 ELSE 0 END AS x_pages FROM {cap_rest_body} b JOIN {cap_rest_total} t ON b.endpoint = t.endpoint",
+    cap_channel=f"""SELECT c_custkey AS handle, CONCAT({_L}, '"items":[', CASE WHEN c_custkey % 11 = 0 THEN '' ELSE CONCAT({_L}, '"id":"channel_', c_custkey, '","contentDetails":', {_L}, '"relatedPlaylists":', {_L}, '"uploads":"uploads_', c_custkey, '"', {_R}, {_R}, {_R}) END,
+      CASE WHEN c_custkey % 13 = 0 AND c_custkey % 11 <> 0 THEN CONCAT(',', {_L}, '"id":"channel_x"', {_R}) ELSE '' END, ']', {_R}) AS body FROM {{customer}}""",
+    cap_upload=f"""SELECT endpoint AS playlist, page, count(*) AS items, CONCAT({_L}, '"items":[', array_join(array_sort(array_agg(CONCAT({_L}, '"contentDetails":', {_L}, '"videoId":"video_', post, '"', {_R}, {_R}))), ','), ']', CASE WHEN page < max(last_page) AND NOT (endpoint % 23 = 0 AND page = 1) THEN CONCAT(',"nextPageToken":"token_', endpoint, '_', page + 1, '"') ELSE '' END, {_R}) AS body
+      FROM (SELECT endpoint, post, page, max(page) OVER (PARTITION BY endpoint) AS last_page FROM {{cap_post}}) t GROUP BY endpoint, page""",
+    cap_video=f"""SELECT c_custkey AS video, CONCAT({_L}, '"id":"video_', c_custkey, '","status":', {_L}, '"privacyStatus":"', CASE WHEN c_custkey % 37 = 0 THEN 'secret' WHEN c_custkey % 5 = 0 THEN 'private' WHEN c_custkey % 6 = 0 THEN 'unlisted' ELSE 'public' END, '"', {_R}, ',"contentDetails":', {_L}, '"duration":"PT', c_custkey % 60, 'M"',
+      CASE WHEN c_custkey % 8 = 0 THEN CONCAT(',"regionRestriction":', {_L}, '"blocked":["', CASE WHEN c_custkey % 3 = 0 THEN 'kr' ELSE 'KR' END, '"]', {_R}) ELSE '' END, CASE WHEN c_custkey % 9 = 0 THEN CONCAT(',"contentRating":', {_L}, '"ytRating":"ytAgeRestricted"', {_R}) ELSE '' END, {_R},
+      CASE WHEN c_custkey % 10 < 4 THEN CONCAT(',"liveStreamingDetails":', {_L}, CASE c_custkey % 10 WHEN 0 THEN '"actualStartTime":"2026-01-01T00:00:00Z","actualEndTime":"2026-01-01T01:00:00Z"' WHEN 1 THEN '"actualStartTime":"2026-01-01T00:00:00Z"' WHEN 2 THEN '"scheduledStartTime":"2026-03-01T00:00:00Z"' ELSE '"note":"none"' END, {_R}) ELSE '' END, {_R}) AS body
+      FROM {{customer}} WHERE c_custkey % 7 <> 0""",
+    cap_entry="""SELECT CAST(FLOOR(page_id / 5) AS BIGINT) AS sitemap, page_id, CONCAT('https://s.example.org/p/', page_id) AS loc, CASE WHEN page_id % 3 = 0 THEN CAST(NULL AS STRING) ELSE CONCAT('2026-01-', LPAD(CAST(page_id % 28 + 1 AS STRING), 2, '0'), CASE WHEN page_id % 101 = 0 THEN ' noon' ELSE 'T00:00:00Z' END) END AS lastmod FROM {pages}""",
+    cap_sitemap="""SELECT sitemap, count(*) AS entries, CONCAT(CASE WHEN sitemap % 13 = 6 THEN '' ELSE '<?xml version="1.0" encoding="UTF-8"?>' END, CASE WHEN sitemap % 4 = 1 THEN '<sitemapindex' ELSE '<urlset' END, ' xmlns="http://www.sitemaps.org/schemas/sitemap/', CASE WHEN sitemap % 11 = 3 THEN '0.8' ELSE '0.9' END, '">',
+      array_join(array_sort(array_agg(CONCAT(CASE WHEN sitemap % 4 = 1 THEN '<sitemap>' ELSE '<url>' END, CASE WHEN sitemap % 17 = 2 THEN '' ELSE CONCAT('<loc>', loc, CASE WHEN sitemap % 19 = 5 THEN '?a=1&amp;b=2' ELSE '' END, '</loc>') END, CASE WHEN lastmod IS NULL THEN '' ELSE CONCAT('<lastmod>', lastmod, '</lastmod>') END, CASE WHEN sitemap % 4 = 1 THEN '</sitemap>' ELSE '</url>' END))), ''), CASE WHEN sitemap % 4 = 1 THEN '</sitemapindex>' ELSE '</urlset>' END) AS body FROM {cap_entry} GROUP BY sitemap""",
+    cap_list_item="SELECT CAST(FLOOR(p_partkey / 7) AS BIGINT) AS list, p_partkey, CASE WHEN p_partkey % 91 = 3 THEN p_partkey + 1 ELSE p_partkey END AS object, p_name FROM {part} UNION ALL SELECT CAST(FLOOR(p_partkey / 7) AS BIGINT), p_partkey + 1000000000, p_partkey + 1000000000, p_name FROM {part} WHERE FLOOR(p_partkey / 7) % 5 = 0 AND p_partkey % 7 < 2",
+    cap_list="""SELECT list, CONCAT('<div><ul class="items">', array_join(array_sort(array_agg(CONCAT('<li><a href="/mediaObjects/', object, '"> ', REPLACE(p_name, ' ', '  '), CASE WHEN p_partkey % 2 = 0 THEN ' <b>new</b>' ELSE '' END, CHR(10), '</a></li>'))), ''), '</ul></div>') AS body FROM {cap_list_item} GROUP BY list""",
+    cap_pdf_item="SELECT CAST(FLOOR(p_partkey / 8) AS BIGINT) AS page, p_partkey, p_name FROM {part} WHERE p_partkey % 113 <> 5",
+    cap_pdf="""SELECT page, CONCAT('<main><p>Files</p>', array_join(array_sort(array_agg(CONCAT('<a href="', CASE WHEN p_partkey % 2 = 0 THEN 'https://f.example.org' ELSE '' END, '/files/', p_partkey, '.PDF#top">', p_name, ' (PDF)</a><a href="/about">about</a>'))), ' | '), '</main>') AS body FROM {cap_pdf_item} GROUP BY page""",
+    cap_article="""SELECT page_id, CONCAT('<html><head>', CASE WHEN page_id % 7 = 0 THEN '' ELSE CONCAT('<link rel="canonical" href="https://s.example.org/p/', page_id, '">') END, '<meta property="og:title" content=" Page  ', page_id, ' "><meta name="author" content="a', page_id % 5, '">', CASE WHEN page_id % 9 = 0 THEN '<meta property="og:title" content="twice">' ELSE '' END, CASE WHEN page_id % 2 = 0 THEN CONCAT('<meta name="next-cursor" content="c', page_id + 1, '"><meta name="next-ordinal" content="', page_id, '">') ELSE '' END,
+      '</head><body>', CASE WHEN page_id % 6 = 0 THEN '' ELSE CONCAT('<article data-record-id="r', page_id, '"><h2>One</h2></article>') END, '<article data-record-id="r', page_id % 10, '"><h2>Two</h2></article><article>no id</article></body></html>') AS body FROM {pages}""",
+)

@@ -141,7 +141,7 @@ def test_greedy_cover_against_brute_force(spark):
         least = {t["target_id"]: t["minimum"] for t in targets}
         el = spark.createDataFrame([(c["candidate_id"], c["cluster_id"], c["quality_rank"]) for c in cands], "candidate_id string, cluster_id string, quality_rank int")
         ma = spark.createDataFrame([(c["candidate_id"], t, least[t]) for c in cands for t in c["targets"]], "candidate_id string, target_id string, minimum int")
-        few = [r.asDict() for r in selection.compressed(el, ma).collect()]
+        few = [r.asDict() for r in selection.compressed(el, ma, 20).collect()]
         assert selection.greedy_cover(few, targets) == greedy(cands, targets)
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from attesta.operators import relate, states
 from attesta.plans.catalog import query
+from attesta.sources import evidence
+from attesta.sources.evidence import ctes
 from attesta.sources.tables import table
 
 
@@ -19,18 +20,6 @@ def state_latest(spark, d):
 MOVES = {"view": ["click", "view"], "click": ["purchase", "view"], "purchase": ["view"]}
 
 
-@query("state_asset_fsm")
-def state_asset_fsm(spark, d):
-    return states.folded(table(spark, d, "events"), "user_id", "event_id", "event_type", MOVES, "view")
-
-
-@query("state_job_lease", "SELECT user_id, max(ts) + INTERVAL 6 HOURS <= TIMESTAMP '2024-01-15' AS expired, count(*) AS beats FROM events WHERE ts <= TIMESTAMP '2024-01-15' GROUP BY 1")
-def state_job_lease(spark, d):
-    now = F.lit("2024-01-15").cast("timestamp")
-    e = table(spark, d, "events").where(F.col("ts") <= now)
-    return e.groupBy("user_id").agg((F.max("ts") + F.make_dt_interval(F.lit(0), F.lit(6)) <= now).alias("expired"), F.count(F.lit(1)).alias("beats"))
-
-
 UNITS = "CASE event_type WHEN 'purchase' THEN 5 WHEN 'view' THEN 1 ELSE 2 END"
 
 
@@ -45,12 +34,6 @@ def state_rate_limit(spark, d):
     return states.gaps(table(spark, d, "events"), "user_id", "ts", "event_id").select("event_id", "gap_s")
 
 
-@query("state_retry", "SELECT event_id, sum(pow(2, CAST(json_extract(props, '$.k') AS BIGINT) % 6)) OVER (PARTITION BY user_id ORDER BY event_id) <= 60 AS permitted FROM events")
-def state_retry(spark, d):
-    delay = F.pow(F.lit(2.0), F.get_json_object("props", "$.k").cast("bigint") % 6)
-    return states.running(table(spark, d, "events"), "user_id", "event_id", delay, 60).select("event_id", F.col("within").alias("permitted"))
-
-
 @query("stream_loop_detect", "SELECT event_id, row_number() OVER (PARTITION BY user_id, json_extract_string(props, '$.k') ORDER BY event_id) > 1 AS looped FROM events")
 def stream_loop_detect(spark, d):
     return states.loops(table(spark, d, "events"), "user_id", "event_id", F.get_json_object("props", "$.k")).select("event_id", "looped")
@@ -62,38 +45,98 @@ def stream_dedup(spark, d):
     return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first_id"), (F.count_distinct("props") > 1).alias("changed"))
 
 
-@query("stream_idempotent_op", "SELECT event_type, user_id % 50 AS operation, min_by(value, event_id) AS stored, count(*) - 1 AS replays FROM events GROUP BY 1, 2")
+_MOVES = " OR ".join(f"(now = '{a}' AND event_type IN ({', '.join(repr(t) for t in to)}))" for a, to in MOVES.items())
+
+
+@query("state_asset_fsm", f"""WITH RECURSIVE e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nth FROM events),
+  r(user_id, nth, now, rejected) AS (SELECT DISTINCT user_id, CAST(0 AS BIGINT), 'view', CAST(0 AS BIGINT) FROM events UNION ALL SELECT r.user_id, e.nth, CASE WHEN {_MOVES} THEN event_type ELSE now END, rejected + CASE WHEN {_MOVES} THEN 0 ELSE 1 END FROM r JOIN e ON e.user_id = r.user_id AND e.nth = r.nth + 1)
+  SELECT user_id, arg_max(now, nth) AS final, max(rejected) AS rejected FROM r GROUP BY 1""")
+def state_asset_fsm(spark, d):
+    return states.folded(table(spark, d, "events"), "user_id", "event_id", "event_type", MOVES, "view", stretch=1000)
+
+
+_HOLDS = "(status = 'leased' AND beat + 172800 > e.at)"
+_MINE = f"({_HOLDS} AND owner = e.worker)"
+
+
+@query("state_job_lease", ctes("lease_op").replace("WITH ", "WITH RECURSIVE ", 1) + f""", o AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY event_id) AS nth FROM lease_op),
+  r(job, nth, status, owner, token, beat, rejected) AS (SELECT DISTINCT job, CAST(0 AS BIGINT), 'queued', CAST(NULL AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(0 AS BIGINT) FROM lease_op UNION ALL
+    SELECT r.job, e.nth, CASE WHEN op = 'claim' AND status <> 'complete' AND NOT {_HOLDS} THEN 'leased' WHEN op = 'complete' AND {_MINE} THEN 'complete' WHEN op IN ('fail', 'release') AND {_MINE} THEN 'queued' ELSE status END,
+      CASE WHEN op = 'claim' AND status <> 'complete' AND NOT coalesce({_HOLDS}, false) THEN e.worker WHEN op IN ('fail', 'release') AND {_MINE} THEN NULL ELSE owner END, token + CASE WHEN op = 'claim' AND status <> 'complete' AND NOT coalesce({_HOLDS}, false) THEN 1 ELSE 0 END,
+      CASE WHEN op = 'claim' AND status <> 'complete' AND NOT coalesce({_HOLDS}, false) THEN e.at WHEN op IN ('fail', 'release') AND {_MINE} THEN NULL WHEN op IN ('heartbeat', 'complete') AND {_MINE} THEN e.at ELSE beat END,
+      rejected + CASE WHEN (op = 'claim' AND status <> 'complete' AND NOT coalesce({_HOLDS}, false)) OR (op <> 'claim' AND coalesce({_MINE}, false)) THEN 0 ELSE 1 END FROM r JOIN o e ON e.job = r.job AND e.nth = r.nth + 1)
+  SELECT job, arg_max(status, nth) AS status, max_by(owner, nth) FILTER (nth = last) AS owner, max(token) AS token, max(rejected) AS rejected, coalesce(bool_or(nth = last AND status = 'leased' AND beat + 172800 <= 2592000), false) AS expired FROM (SELECT *, max(nth) OVER (PARTITION BY job) AS last FROM r) GROUP BY 1""".replace("NOT (status = 'leased' AND beat + 172800 > e.at) THEN 'leased'", "NOT coalesce((status = 'leased' AND beat + 172800 > e.at), false) THEN 'leased'"))
+def state_job_lease(spark, d):
+    """Jobs after all operations on their leases: owner, fencing token, rejected operations, and whether the lease lapsed."""
+    return states.leases(evidence.family(spark, d, "lease_op"), "job", "event_id", 172_800, 2_592_000)
+
+
+@query("state_retry", """WITH a AS (SELECT *, coalesce(sum((event_type = 'purchase')::INT) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM events), b AS (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY event_id) AS attempt FROM a),
+  c AS (SELECT *, least(greatest(0.5 * pow(2, attempt - 1), CASE WHEN event_id % 5 = 0 THEN 20.0 ELSE 0.0 END), 32.0) AS delay FROM b) SELECT event_id, CAST(attempt AS INTEGER) AS attempt, delay, sum(delay) OVER (PARTITION BY user_id, run ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= 60 AS permitted FROM c""")
+def state_retry(spark, d):
+    """Attempts since the last success with their delays, the server's own among them, and whether the budget allows them."""
+    out = states.retries(table(spark, d, "events"), "user_id", "event_id", F.col("event_type") == "purchase", F.when(F.col("event_id") % 5 == 0, 20.0), 0.5, 32.0, 60.0)
+    return out.select("event_id", "attempt", "delay", "permitted")
+
+
+@query("stream_idempotent_op", "WITH e AS (SELECT event_id, event_type, user_id % 50 AS operation, CAST(json_extract(props, '$.k') AS BIGINT) % 3 AS request, value FROM events), f AS (SELECT *, first_value(request) OVER w AS bound, first_value(value) OVER w AS stored, row_number() OVER w AS nth FROM e WINDOW w AS (PARTITION BY event_type, operation ORDER BY event_id)) SELECT event_id, CASE WHEN nth = 1 THEN 'stored' WHEN request = bound THEN 'replayed' ELSE 'conflict' END AS outcome, CASE WHEN nth = 1 OR request = bound THEN stored END AS result FROM f")
 def stream_idempotent_op(spark, d):
-    return table(spark, d, "events").groupBy("event_type", (F.col("user_id") % 50).alias("operation")).agg(F.min_by("value", "event_id").alias("stored"), (F.count(F.lit(1)) - 1).alias("replays"))
+    """An operation id is bound to its first request: a replay gets the stored result, another request is a conflict."""
+    e = table(spark, d, "events").select("event_id", "event_type", (F.col("user_id") % 50).alias("operation"), (F.get_json_object("props", "$.k").cast("bigint") % 3).alias("request"), "value")
+    # The first of each operation is one aggregate; it goes back to its operation's rows by a join that Spark may split.
+    first = e.groupBy("event_type", "operation").agg(F.min(F.struct("event_id", "request", "value")).alias("f"))
+    same = F.col("request") == F.col("f.request")
+    outcome = F.when(F.col("event_id") == F.col("f.event_id"), "stored").when(same, "replayed").otherwise("conflict")
+    return e.join(first, ["event_type", "operation"]).select("event_id", outcome.alias("outcome"), F.when(same, F.col("f.value")).alias("result"))
 
 
-@query("stream_late_authority", "SELECT event_id, ts < TIMESTAMP '2024-01-10' AND ts + INTERVAL 1 HOUR >= TIMESTAMP '2024-01-10' AS voided FROM events")
+@query("stream_late_authority", ctes("authority") + """, x AS (SELECT event_id, event_id * 260 AS s, event_id * 260 + CAST(json_extract(props, '$.k') AS BIGINT) * 600 AS e, expires_s FROM events JOIN authority USING (user_id)) SELECT event_id, CASE WHEN expires_s <= s THEN 'expired_before' WHEN expires_s <= e THEN 'voided' ELSE 'held' END AS outcome FROM x""")
 def stream_late_authority(spark, d):
-    end = F.lit("2024-01-10").cast("timestamp")
-    return table(spark, d, "events").select("event_id", ((F.col("ts") < end) & (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(1)) >= end)).alias("voided"))
+    """Requests against their authority: one that expires while a request is under way voids it."""
+    e = table(spark, d, "events").select("event_id", "user_id", (F.col("event_id") * 260).alias("s"), (F.col("event_id") * 260 + F.get_json_object("props", "$.k").cast("bigint") * 600).alias("e"))
+    rows = e.join(evidence.family(spark, d, "authority"), "user_id")
+    return rows.select("event_id", F.when(F.col("expires_s") <= F.col("s"), "expired_before").when(F.col("expires_s") <= F.col("e"), "voided").otherwise("held").alias("outcome"))
 
 
-@query("stream_reservation", "SELECT user_id, count(*) FILTER (event_type = 'view') AS reserved, count(*) FILTER (event_type = 'click') AS settled, greatest(count(*) FILTER (event_type = 'view') - count(*) FILTER (event_type = 'click'), 0) AS interrupted FROM events GROUP BY 1")
+@query("stream_reservation", """WITH r AS (SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) % 10 AS k, ts FROM events WHERE event_type IN ('view', 'signup')), s AS (SELECT user_id, CAST(json_extract(props, '$.k') AS BIGINT) % 10 AS k, max(event_id) AS settled FROM events WHERE event_type IN ('click', 'purchase') GROUP BY ALL)
+  SELECT event_id, CASE WHEN settled > event_id THEN 'settled' WHEN ts + INTERVAL 1 DAY <= TIMESTAMP '2024-01-30' THEN 'request_interrupted' ELSE 'in_flight' END AS state FROM r LEFT JOIN s USING (user_id, k)""")
 def stream_reservation(spark, d):
-    n = lambda kind: F.count_if(F.col("event_type") == kind)
-    return table(spark, d, "events").groupBy("user_id").agg(n("view").alias("reserved"), n("click").alias("settled"), F.greatest(n("view") - n("click"), F.lit(0)).alias("interrupted"))
+    """Requests that were reserved ahead: settled later, stale and so interrupted, or still under way."""
+    k = F.get_json_object("props", "$.k").cast("bigint") % 10
+    e = table(spark, d, "events").withColumn("k", k)
+    settled = e.where(F.col("event_type").isin("click", "purchase")).groupBy("user_id", "k").agg(F.max("event_id").alias("settled"))
+    now = F.lit("2024-01-30").cast("timestamp")
+    state = F.when(F.col("settled") > F.col("event_id"), "settled").when(F.col("ts") + F.make_dt_interval(F.lit(1)) <= now, "request_interrupted").otherwise("in_flight")
+    return e.where(F.col("event_type").isin("view", "signup")).join(settled, ["user_id", "k"], "left").select("event_id", state.alias("state"))
 
 
-@query("stream_checkpoint", "SELECT user_id, max(event_id) AS sequence, count(*) AS committed, CAST(sum(value) AS DECIMAL(18, 2)) AS total FROM (SELECT user_id, event_id, CAST(value AS DECIMAL(18, 2)) AS value FROM events) GROUP BY 1")
-def stream_checkpoint(spark, d):
-    e = table(spark, d, "events").select("user_id", "event_id", F.col("value").cast("decimal(18,2)").alias("value"))
-    return e.groupBy("user_id").agg(F.max("event_id").alias("sequence"), F.count(F.lit(1)).alias("committed"), F.sum("value").cast("decimal(18,2)").alias("total"))
+PAGED = ctes("run_page") + """, f AS (SELECT run, page, count(*) AS new FROM (SELECT run, record, min(page) AS page FROM run_page GROUP BY ALL) GROUP BY ALL), p AS (SELECT run, page, count(*) AS records, min(cursor) AS cursor FROM run_page GROUP BY ALL),
+  q AS (SELECT p.*, coalesce(new, 0) AS new, row_number() OVER (PARTITION BY run, cursor ORDER BY page) > 1 AS seen FROM p LEFT JOIN f USING (run, page)),
+  s AS (SELECT *, row_number() OVER o AS nth, coalesce(sum(records) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS had, bool_or(seen) OVER o AS looped, CAST(sum(new) OVER o AS BIGINT) AS uniq, CAST(sum(records - new) OVER o AS BIGINT) AS dups FROM q WINDOW o AS (PARTITION BY run ORDER BY page)),
+  disc AS (SELECT *, nth <= 4 AND had < 14 AND NOT looped AS committed FROM s),
+  v AS (SELECT run, count(*) FILTER (committed) AS pages, max(uniq) FILTER (committed) AS uniq, max(dups) FILTER (committed) AS dups, min(page) FILTER (NOT committed) AS held, arg_min(looped, page) FILTER (NOT committed) AS held_loop FROM disc GROUP BY 1),
+  verdict AS (SELECT run, pages, uniq, dups, held, CASE WHEN held IS NULL THEN 'terminal_page' WHEN held_loop THEN 'cursor_loop' WHEN pages >= 4 THEN 'page_bound' ELSE 'record_bound' END AS reason FROM v)"""
+
+
+def discovered(spark, d):
+    return states.discovery(evidence.family(spark, d, "run_page"), "run", "page", "record", "cursor", 4, 14)
 
 
-@query("stream_paged_discovery", "SELECT host, count(*) AS pages, count(DISTINCT url) AS records, count(*) - count(DISTINCT url) AS duplicates, CASE WHEN count(*) > count(DISTINCT url) THEN 'bounded_partial' ELSE 'complete_for_observed_endpoint' END AS state FROM (SELECT url, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages) GROUP BY 1")
+@query("stream_paged_discovery", PAGED + """ SELECT run, pages, uniq AS "unique", dups AS duplicates, reason AS stop_reason, CASE reason WHEN 'terminal_page' THEN 'complete_for_observed_endpoint' WHEN 'cursor_loop' THEN 'blocked' ELSE 'bounded_partial' END AS state, CASE WHEN reason IN ('page_bound', 'record_bound') THEN held END AS resume_page FROM verdict""")
 def stream_paged_discovery(spark, d):
-    pages = table(spark, d, "pages").select("url", F.try_parse_url("url", F.lit("HOST")).alias("host"))
-    n, distinct = F.count(F.lit(1)), F.count_distinct("url")
-    return pages.groupBy("host").agg(n.alias("pages"), distinct.alias("records"), (n - distinct).alias("duplicates"), F.when(n > distinct, "bounded_partial").otherwise("complete_for_observed_endpoint").alias("state"))
+    """Runs over recorded pages under budgets: what was committed, why each stopped, and where it would resume."""
+    return states.verdicts(discovered(spark, d), "run", "page", 4)
+
+
+@query("stream_checkpoint", PAGED + " SELECT run, page AS sequence, uniq AS observed_unique, dups AS duplicate_records, sha256(cursor) AS cursor_sha FROM disc WHERE committed")
+def stream_checkpoint(spark, d):
+    """The checkpoint that each committed page leaves: counts so far and the digest of its cursor, in one row."""
+    return discovered(spark, d).where("committed").select("run", F.col("page").alias("sequence"), F.col("unique").alias("observed_unique"), F.col("duplicates").alias("duplicate_records"), F.sha2("_cursor", 256).alias("cursor_sha"))
 
 
-@query("stream_conformance", "SELECT user_id, count(*) AS steps, count(*) FILTER (event_id < prev) AS out_of_order FROM (SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events) GROUP BY 1")
+@query("stream_conformance", PAGED + " SELECT run, count(*) AS checkpoints, sha256(string_agg(page || '|' || uniq || '|' || dups || '|' || cursor, ',' ORDER BY page)) AS signature FROM disc WHERE committed GROUP BY 1")
 def stream_conformance(spark, d):
-    before = F.lag("event_id").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    e = table(spark, d, "events").withColumn("prev", before)
-    return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("steps"), F.count_if(F.col("event_id") < F.col("prev")).alias("out_of_order"))
+    """Each run's chain of checkpoints, signed: a replay that conforms gives the same digest. Runs commit a bounded number of pages."""
+    c = discovered(spark, d).where("committed").select("run", "page", F.concat_ws("|", F.col("page").cast("string"), F.col("unique").cast("string"), F.col("duplicates").cast("string"), "_cursor").alias("line"))
+    chain = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "line"))), lambda x: x.line), ",")
+    return c.groupBy("run").agg(F.count(F.lit(1)).alias("checkpoints"), F.sha2(chain, 256).alias("signature"))

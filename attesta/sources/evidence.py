@@ -188,3 +188,10 @@ _define(
     cap_article="""SELECT page_id, CONCAT('<html><head>', CASE WHEN page_id % 7 = 0 THEN '' ELSE CONCAT('<link rel="canonical" href="https://s.example.org/p/', page_id, '">') END, '<meta property="og:title" content=" Page  ', page_id, ' "><meta name="author" content="a', page_id % 5, '">', CASE WHEN page_id % 9 = 0 THEN '<meta property="og:title" content="twice">' ELSE '' END, CASE WHEN page_id % 2 = 0 THEN CONCAT('<meta name="next-cursor" content="c', page_id + 1, '"><meta name="next-ordinal" content="', page_id, '">') ELSE '' END,
       '</head><body>', CASE WHEN page_id % 6 = 0 THEN '' ELSE CONCAT('<article data-record-id="r', page_id, '"><h2>One</h2></article>') END, '<article data-record-id="r', page_id % 10, '"><h2>Two</h2></article><article>no id</article></body></html>') AS body FROM {pages}""",
 )
+
+# Runs of paged discovery: a customer's orders, records that come up on several pages, some cursors that repeat.
+_define(
+    run_page="""SELECT endpoint AS run, page, CAST(FLOOR(post / 3) AS BIGINT) AS record, CONCAT('cursor_', endpoint, '_', CASE WHEN endpoint % 7 = 0 AND page = 3 THEN 1 ELSE page END) AS cursor FROM {cap_post}""",
+    lease_op="""SELECT event_id, user_id AS job, CASE event_type WHEN 'view' THEN 'claim' WHEN 'signup' THEN 'claim' WHEN 'click' THEN 'heartbeat' WHEN 'error' THEN 'fail' ELSE CASE WHEN event_id % 4 = 0 THEN 'complete' ELSE 'release' END END AS op, event_id % 2 AS worker, event_id * 260 AS at FROM {events}""",
+    authority="SELECT user_id, min(event_id) AS first_event, CAST(400 + user_id % 1800 AS BIGINT) * 1000 AS expires_s FROM {events} GROUP BY user_id",
+)

@@ -118,3 +118,31 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str, digest: str) -> tup
     new = incoming.join(known, incoming[key] == F.col("_k"), "left_anti")
     conflicts = incoming.join(known, incoming[key] == F.col("_k")).where(~F.col(digest).eqNullSafe(F.col("_d"))).drop("_k", "_d")
     return new, conflicts
+
+
+def variant_pairs(records: DataFrame, most_postings: int = 100) -> DataFrame:
+    """first, second, similarity_milli: records of different sources that share a rarer token, by their most alike variants.
+
+    records: (record_id, source_id, variants), a variant being the tokens of one title.
+    """
+    tokens = records.select("record_id", "source_id", F.array_distinct(F.flatten("variants")).alias("tokens"))
+    pairs = token_pairs(tokens, most_postings, 0).select("first", "second")
+    side = lambda name, v: records.select(F.col("record_id").alias(name), F.filter("variants", lambda x: F.size(x) > 0).alias(v))
+    alike = lambda x, y: F.lit(1000.0) * F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
+    best = F.array_max(F.flatten(F.transform("v1", lambda x: F.transform("v2", lambda y: alike(x, y)))))
+    return pairs.join(side("first", "v1"), "first").join(side("second", "v2"), "second").select("first", "second", F.bround(best, 0).cast("bigint").alias("similarity_milli"))
+
+
+def exact_sets(expected: DataFrame, observed: DataFrame, keys: list[str], item: str) -> DataFrame:
+    """keys, missing, unexpected, exact: whether the observed items of a key are just the expected ones, by counting both sides."""
+    both = expected.select(*keys, item, F.lit(1).alias("w")).distinct().unionByName(observed.select(*keys, item, F.lit(2).alias("w")).distinct())
+    each = both.groupBy(*keys, item).agg(F.sum("w").alias("w"))
+    out = each.groupBy(*keys).agg(F.count_if(F.col("w") == 1).alias("missing"), F.count_if(F.col("w") == 2).alias("unexpected"))
+    return out.withColumn("exact", (F.col("missing") == 0) & (F.col("unexpected") == 0))
+
+
+def held_work(items: DataFrame, blockers: DataFrame, scopes: list[str]) -> DataFrame:
+    """Items with `held`: whether a blocker of any scope names what the item has there. blockers: (scope, subject)."""
+    fields = F.array(*(F.struct(F.lit(s).alias("scope"), F.col(s).alias("subject")) for s in scopes))
+    hit = items.select("item", F.inline(fields)).join(blockers, ["scope", "subject"], "left_semi").select("item", F.lit(True).alias("held")).distinct()
+    return items.join(hit, "item", "left").withColumn("held", F.coalesce("held", F.lit(False)))

@@ -176,32 +176,6 @@ def agg_progress(spark, d):
     return e.groupBy(F.col("event_type").alias("state")).agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("jobs"), F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("retries"))
 
 
-@query("agg_fixture_manifest", "SELECT 'documents' AS record_type, count(*) AS n FROM documents UNION ALL SELECT 'pages', count(*) FROM pages UNION ALL SELECT 'labels', count(*) FROM labels UNION ALL SELECT 'benchmark', count(*) FROM benchmark UNION ALL SELECT 'conversations', count(*) FROM conversations")
-def agg_fixture_manifest(spark, d):
-    out = None
-    for name in ("documents", "pages", "labels", "benchmark", "conversations"):
-        one = table(spark, d, name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("record_type"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-@query("agg_dup_occurrence", "SELECT user_id, event_type, count(*) - 1 AS duplicates FROM events GROUP BY 1, 2")
-def agg_dup_occurrence(spark, d):
-    return summarise.occurrences(table(spark, d, "events").select("user_id", "event_type"), ["user_id", "event_type"])
-
-
-@query("agg_quota", "SELECT user_id, CAST(least(sum(CASE event_type WHEN 'purchase' THEN 5 WHEN 'view' THEN 1 ELSE 2 END), 60) AS BIGINT) AS units, count(*) AS calls FROM events GROUP BY 1")
-def agg_quota(spark, d):
-    units = F.when(F.col("event_type") == "purchase", 5).when(F.col("event_type") == "view", 1).otherwise(2)
-    return table(spark, d, "events").groupBy("user_id").agg(F.least(F.sum(units), F.lit(60)).cast("bigint").alias("units"), F.count(F.lit(1)).alias("calls"))
-
-
-@query("agg_run_manifest_outcome", "SELECT l_orderkey AS run, CASE WHEN bool_and(l_linestatus = 'F') THEN 'complete' WHEN bool_or(l_linestatus = 'F') THEN 'partial' ELSE 'open' END AS outcome FROM lineitem GROUP BY 1")
-def agg_run_manifest_outcome(spark, d):
-    done = F.col("l_linestatus") == "F"
-    return table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("run")).agg(F.when(F.every(done), "complete").when(F.some(done), "partial").otherwise("open").alias("outcome"))
-
-
 @query("agg_retrieval_observed", """WITH c AS (SELECT item_id, lower(split_part(text, ' ', 3)) AS term FROM benchmark), h AS (SELECT item_id, doc_id, quality FROM c JOIN documents ON term <> '' AND contains(lower(text), term) LEFT JOIN labels USING (doc_id))
   SELECT item_id, count(DISTINCT doc_id) AS observed, count(DISTINCT doc_id) FILTER (quality = 0) AS forbidden, CASE WHEN count(DISTINCT doc_id) FILTER (quality = 1) = 0 THEN 'missing' WHEN count(*) FILTER (quality = 0) > 0 THEN 'forbidden' ELSE 'contained' END AS verdict FROM h GROUP BY 1""")
 def agg_retrieval_observed(spark, d):

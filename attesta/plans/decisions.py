@@ -84,51 +84,3 @@ def greedy_balanced_pairs(spark, d):
     top = pairs.withColumns({"r1": best("first"), "r2": best("second")}).where("r1 <= 41 and r2 <= 41").withColumn("r", best()).where("r <= 1641").drop("r", "r1", "r2")
     out = selection.balanced_pairs([r.asDict() for r in top.collect()], 20)
     return spark.createDataFrame([(p["first"], p["second"], p["similarity"]) for p in out], "first bigint, second bigint, similarity_milli bigint")
-
-
-@query("retention_state", "SELECT o_orderkey, CASE WHEN o_orderkey % 31 = 0 THEN 'legal_hold_conflict' WHEN TIMESTAMP '1996-06-01' < o_orderdate THEN 'not_due' WHEN o_orderpriority LIKE '1%' THEN 'awaiting_review' ELSE 'ready_exact_cleanup' END AS state FROM orders")
-def retention_state(spark, d):
-    t = F.lit("1996-06-01").cast("timestamp")
-    state = F.when(F.col("o_orderkey") % 31 == 0, "legal_hold_conflict").when(t < F.col("o_orderdate"), "not_due").when(F.col("o_orderpriority").startswith("1"), "awaiting_review").otherwise("ready_exact_cleanup")
-    return table(spark, d, "orders").select("o_orderkey", state.alias("state"))
-
-
-@query("propagate_deletion", CTES + ", gone AS (SELECT text_sha FROM docs WHERE toxic = 1) SELECT document_id, CASE WHEN toxic = 1 THEN 'target' ELSE 'copy' END AS cause FROM docs WHERE text_sha IN (SELECT text_sha FROM gone)")
-def propagate_deletion(spark, d):
-    docs = records.documents(spark, d)
-    gone = docs.where("toxic = 1").select("text_sha").distinct()
-    return docs.join(gone, "text_sha", "left_semi").select("document_id", F.when(F.col("toxic") == 1, "target").otherwise("copy").alias("cause"))
-
-
-@query("exact_cleanup", "SELECT o_orderkey, CASE WHEN o_orderkey % 31 = 0 THEN 'held' WHEN o_orderdate > TIMESTAMP '1996-06-01' THEN 'not_due' ELSE 'planned' END AS step, 'key/' || o_custkey || '/' || o_orderkey AS object_key FROM orders")
-def exact_cleanup(spark, d):
-    step = F.when(F.col("o_orderkey") % 31 == 0, "held").when(F.col("o_orderdate") > F.lit("1996-06-01").cast("timestamp"), "not_due").otherwise("planned")
-    return table(spark, d, "orders").select("o_orderkey", step.alias("step"), F.concat_ws("/", F.lit("key"), "o_custkey", "o_orderkey").alias("object_key"))
-
-
-@query("reconcile_receipt", "SELECT coalesce(c_custkey, o_custkey) AS item, CASE WHEN o_custkey IS NULL THEN 'write_receipt' WHEN c_custkey IS NULL THEN 'orphan_receipt' WHEN c_acctbal < 0 THEN 'conflict' ELSE 'settled' END AS action FROM (SELECT * FROM customer WHERE c_custkey % 10 <> 1) c FULL JOIN (SELECT DISTINCT o_custkey FROM orders) o ON c_custkey = o_custkey")
-def reconcile_receipt(spark, d):
-    c, o = table(spark, d, "customer").where("c_custkey % 10 <> 1").select("c_custkey", "c_acctbal"), table(spark, d, "orders").select("o_custkey").distinct()
-    action = F.when(F.col("o_custkey").isNull(), "write_receipt").when(F.col("c_custkey").isNull(), "orphan_receipt").when(F.col("c_acctbal") < 0, "conflict").otherwise("settled")
-    return c.join(o, F.col("c_custkey") == F.col("o_custkey"), "full_outer").select(F.coalesce("c_custkey", "o_custkey").alias("item"), action.alias("action"))
-
-
-@query("route_attempt", "SELECT event_id, CASE event_type WHEN 'purchase' THEN 'vm_succeeded' WHEN 'click' THEN CASE WHEN value > 50 THEN 'vm_blocked_use_laptop' ELSE 'vm_retry' END WHEN 'view' THEN 'not_attempted' ELSE 'stopped' END AS route FROM events")
-def route_attempt(spark, d):
-    e = F.col("event_type")
-    route = F.when(e == "purchase", "vm_succeeded").when((e == "click") & (F.col("value") > 50), "vm_blocked_use_laptop").when(e == "click", "vm_retry").when(e == "view", "not_attempted").otherwise("stopped")
-    return table(spark, d, "events").select("event_id", route.alias("route"))
-
-
-@query("inventory_verdict", "SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'blocked' WHEN s_suppkey % 5 = 0 THEN 'bounded_partial' WHEN s_suppkey % 7 = 0 THEN 'blocked' ELSE 'complete' END AS verdict, CASE WHEN s_acctbal < 0 THEN 'transport_error' WHEN s_suppkey % 5 = 0 THEN 'page_bound' WHEN s_suppkey % 7 = 0 THEN 'declared_total_mismatch' ELSE 'terminal_page' END AS reason FROM supplier")
-def inventory_verdict(spark, d):
-    k = F.col("s_suppkey")
-    rules = [(F.col("s_acctbal") < 0, ("blocked", "transport_error")), (k % 5 == 0, ("bounded_partial", "page_bound")), (k % 7 == 0, ("blocked", "declared_total_mismatch")), (F.lit(True), ("complete", "terminal_page"))]
-    pick = lambda i: policy.first_reason([(c, r[i]) for c, r in rules])
-    return table(spark, d, "supplier").select("s_suppkey", pick(0).alias("verdict"), pick(1).alias("reason"))
-
-
-@query("operator_gate", "SELECT n_nationkey, CASE WHEN count(s_suppkey) = 0 THEN 'no_work' WHEN min(s_acctbal) < 0 THEN 'blocked' ELSE 'resumed' END AS gate FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey GROUP BY 1")
-def operator_gate(spark, d):
-    n, s = table(spark, d, "nation").select("n_nationkey"), table(spark, d, "supplier").groupBy("s_nationkey").agg(F.min("s_acctbal").alias("least"))
-    return n.join(s, F.col("n_nationkey") == F.col("s_nationkey"), "left").select("n_nationkey", F.when(F.col("least").isNull(), "no_work").when(F.col("least") < 0, "blocked").otherwise("resumed").alias("gate"))

@@ -66,13 +66,6 @@ def qc_retention_readiness(spark, d):
     return granted(spark, d).groupBy("document_id").agg(F.every(policy.closed(F.col("retention_state") == "retain")).alias("ready"))
 
 
-@query("qc_derived_confidence", CTES + "SELECT document_id, CASE WHEN asset_id IN (SELECT asset_id FROM docs GROUP BY 1 HAVING count(*) > 1) THEN 'pass' ELSE 'fail' END AS state FROM docs WHERE doc_id % 5 = 0")
-def qc_derived_confidence(spark, d):
-    docs = records.documents(spark, d)
-    bound = expect.duplicates(docs, "asset_id").select("asset_id", F.lit("pass").alias("p"))
-    return docs.where("doc_id % 5 = 0").join(bound, "asset_id", "left").select("document_id", F.coalesce("p", F.lit("fail")).alias("state"))
-
-
 @query("qc_deletion_propagation", CTES + "SELECT l.doc_id, count(f.field_id) > 0 AS still_indexed FROM labels l LEFT JOIN flds f ON f.doc_id = l.doc_id WHERE l.toxic = 1 GROUP BY 1")
 def qc_deletion_propagation(spark, d):
     f = records.fields(records.documents(spark, d)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))

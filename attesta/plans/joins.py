@@ -30,19 +30,6 @@ def join_grants_prefetch(spark, d):
     return granted(spark, d).select("field_id", F.coalesce("policy_id", F.lit("")).alias("policy_id"), F.coalesce(F.array_join("allowed_operations", ","), F.lit("")).alias("operations"))
 
 
-@query("join_derived_object", "WITH o AS (SELECT source, lang, count(*) AS n, any_value(doc_id) AS object_id FROM documents WHERE doc_id % 9 = 0 GROUP BY ALL HAVING n = 1) SELECT d.doc_id, o.object_id FROM documents d JOIN o USING (source, lang)")
-def join_derived_object(spark, d):
-    docs = table(spark, d, "documents")
-    objects = docs.where("doc_id % 9 = 0").select("source", "lang", F.col("doc_id").alias("object_id"))
-    return relate.exactly_one(docs.select("doc_id", "source", "lang"), objects, ["source", "lang"]).select("doc_id", "object_id")
-
-
-@query("join_receipt_mirror", "SELECT l_orderkey, l_linenumber FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity = p_size AND l_extendedprice >= p_retailprice")
-def join_receipt_mirror(spark, d):
-    l, p = table(spark, d, "lineitem"), table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice")
-    return l.join(p, (l.l_partkey == p.p_partkey) & (l.l_quantity == p.p_size) & (l.l_extendedprice >= p.p_retailprice)).select("l_orderkey", "l_linenumber")
-
-
 @query("join_cand_target", CTES + " SELECT candidate_id, target_id, priority, minimum FROM cdims JOIN tgts USING (dimension, value)")
 def join_cand_target(spark, d):
     docs = records.documents(spark, d)
@@ -94,37 +81,18 @@ def join_token_inverted(spark, d):
     return relate.token_pairs(catalogue(spark, d))
 
 
-@query("set_multi_label_jaccard", TOKENS + " SELECT first, max(similarity_milli) AS best_milli, count(*) AS links FROM s WHERE similarity_milli >= 200 GROUP BY 1")
-def set_multi_label_jaccard(spark, d):
-    return relate.token_pairs(catalogue(spark, d)).groupBy("first").agg(F.max("similarity_milli").alias("best_milli"), F.count(F.lit(1)).alias("links"))
-
-
 @query("join_anti_token", "WITH a AS (SELECT c_custkey, lower(c_mktsegment) AS seg FROM customer), b AS (SELECT DISTINCT lower(split_part(p_type, ' ', 1)) AS word FROM part) SELECT c_custkey FROM a WHERE seg NOT IN (SELECT word FROM b)")
 def join_anti_token(spark, d):
     words = table(spark, d, "part").select(F.lower(F.split_part("p_type", F.lit(" "), F.lit(1))).alias("seg")).distinct()
     return table(spark, d, "customer").select("c_custkey", F.lower("c_mktsegment").alias("seg")).join(words, "seg", "left_anti").select("c_custkey")
 
 
-@query("join_catalogue_manifest", "SELECT l_orderkey, l_linenumber, p_name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 45")
-def join_catalogue_manifest(spark, d):
-    l, p = table(spark, d, "lineitem"), table(spark, d, "part").where("p_size > 45").select("p_partkey", "p_name")
-    return l.join(p, l.l_partkey == p.p_partkey).select("l_orderkey", "l_linenumber", "p_name")
-
-
 @query("join_page_count", CTES + "SELECT text_sha, CAST(max(n_chars) AS BIGINT) AS n_chars, count(*) AS holders, count(DISTINCT n_chars) = 1 AS consistent FROM docs GROUP BY 1")
 def join_page_count(spark, d):
     docs = table(spark, d, "documents").select(F.sha2("text", 256).alias("text_sha"), "n_chars")
     return docs.groupBy("text_sha").agg(F.max("n_chars").alias("n_chars"), F.count(F.lit(1)).alias("holders"), (F.min("n_chars") == F.max("n_chars")).alias("consistent"))
 
 
-@query("join_manifest_receipts", "SELECT o_orderkey AS manifest, count(l_partkey) AS outputs, count(DISTINCT l_partkey) AS distinct_outputs, count(l_partkey) = count(DISTINCT l_partkey) AS owned_once FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
-def join_manifest_receipts(spark, d):
-    o, l = table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
-    per = l.groupBy("l_orderkey").agg(F.count("l_partkey").alias("outputs"), F.count_distinct("l_partkey").alias("distinct_outputs"))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return o.join(per, o.o_orderkey == per.l_orderkey, "left").select(F.col("o_orderkey").alias("manifest"), zero("outputs").alias("outputs"), zero("distinct_outputs").alias("distinct_outputs"), (zero("outputs") == zero("distinct_outputs")).alias("owned_once"))
-
-
 @query("join_override", CTES + """ SELECT c.candidate_id, CASE WHEN o.candidate_id IS NULL THEN 'missing' WHEN o.candidate_sha <> c.candidate_sha OR o.source_id <> c.source_id OR o.asset_id <> c.asset_id THEN 'not_bound' WHEN o.state <> 'approved' THEN o.state WHEN decided > 150 THEN 'not_yet_effective' WHEN expires <= 150 THEN 'expired' ELSE 'current' END AS override FROM cands c LEFT JOIN overrides o USING (candidate_id) WHERE pipeline_proof""")
 def join_override(spark, d):
     """Proof candidates with what their review override is worth: it binds the candidate's exact content, source and asset."""
@@ -132,12 +100,6 @@ def join_override(spark, d):
     return selection.overridden(c, records.overrides(spark, d), now()).select("candidate_id", "override")
 
 
-@query("join_blocker_work", "WITH b AS (SELECT n_nationkey AS scope FROM nation WHERE n_regionkey = 1) SELECT s_suppkey AS work_item, s_nationkey IN (SELECT scope FROM b) AS held FROM supplier")
-def join_blocker_work(spark, d):
-    blockers = table(spark, d, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("s_nationkey"), F.lit(True).alias("held"))
-    return table(spark, d, "supplier").join(blockers, "s_nationkey", "left").select(F.col("s_suppkey").alias("work_item"), F.coalesce("held", F.lit(False)).alias("held"))
-
-
 CAPABLE = "WITH w AS (SELECT user_id, list(DISTINCT event_type) AS held FROM events GROUP BY 1), j AS (SELECT event_id AS job_id, list_distinct([event_type, CASE WHEN event_id % 3 = 0 THEN 'view' ELSE event_type END]) AS required FROM events)"
 
 
@@ -219,13 +181,6 @@ def set_intersection_uses(spark, d):
     return common.select("l_orderkey", F.array_join(F.array_sort(both), ",").alias("uses")).where("uses <> ''")
 
 
-@query("set_exact_completion", "SELECT o_orderkey, coalesce(list_sort(list(l_linenumber)) = range(1, max(l_linenumber) + 1), false) AS complete FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
-def set_exact_completion(spark, d):
-    o, l = table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("seen"))
-    done = F.coalesce(F.col("seen") == F.sequence(F.lit(1), F.array_max("seen")), F.lit(False))
-    return o.join(l, o.o_orderkey == l.l_orderkey, "left").select("o_orderkey", done.alias("complete"))
-
-
 @query("set_projected_count", "SELECT (SELECT count(*) FROM documents WHERE doc_id % 2 = 0) + (SELECT count(*) FROM (SELECT doc_id FROM documents WHERE doc_id % 3 = 0 EXCEPT SELECT doc_id FROM documents WHERE doc_id % 2 = 0)) AS projected")
 def set_projected_count(spark, d):
     docs = table(spark, d, "documents").select("doc_id")
@@ -234,21 +189,6 @@ def set_projected_count(spark, d):
     return stored.unionByName(new).agg(F.count(F.lit(1)).alias("projected"))
 
 
-@query("join_asof_robots", "WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events WHERE event_type = 'view') SELECT user_id, event_id, TIMESTAMP '2024-02-01' - ts <= INTERVAL 24 HOURS AND ts <= TIMESTAMP '2024-02-01' AS fresh FROM e WHERE r = 1")
-def join_asof_robots(spark, d):
-    """The latest observation by sequence, not by time, and whether it's 24 hours old at most."""
-    last = relate.latest(table(spark, d, "events").where("event_type = 'view'").select("user_id", "event_id", "ts"), ["user_id"], F.col("event_id"))
-    t = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    return last.select("user_id", "event_id", ((F.col("ts") + F.make_dt_interval(F.lit(1)) >= t) & (F.col("ts") <= t)).alias("fresh"))
-
-
-@query("join_deletion_cascade", CTES + "SELECT l.doc_id, count(f.field_id) AS removed_fields, count(f.field_id) = 0 AS unresolved FROM labels l LEFT JOIN flds f ON f.doc_id = l.doc_id AND f.k % 5 <> 0 WHERE l.toxic = 1 GROUP BY 1")
-def join_deletion_cascade(spark, d):
-    f = records.fields(records.documents(spark, d)).where("k % 5 <> 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    n = F.coalesce("n", F.lit(0))
-    return table(spark, d, "labels").where("toxic = 1").select("doc_id").distinct().join(f, "doc_id", "left").select("doc_id", n.alias("removed_fields"), (n == 0).alias("unresolved"))
-
-
 @query("topk_hash_rank", "SELECT doc_id, lang, place FROM (SELECT doc_id, lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY sha256('d' || doc_id), 'd' || doc_id) AS INTEGER) AS place FROM documents) WHERE place <= 20")
 def topk_hash_rank(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "lang")

@@ -20,24 +20,12 @@ def html_tag_histogram(spark, d):
     return parse.tag_counts(table(spark, d, "pages"))
 
 
-@query("classify_robots")
-def classify_robots(spark, d):
-    body = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("User-agent: *\nDisallow: "), F.try_parse_url("url", F.lit("PATH")))).when(F.col("page_id") % 3 == 1, "User-agent: *\nAllow: /").otherwise("nothing here")
-    return table(spark, d, "pages").select("page_id", parse.robots(body, F.col("url")).alias("verdict"))
-
-
 @query("scan_ledger_point", "SELECT 'job_' || event_id AS record_id, event_type FROM events WHERE event_id = 77")
 def scan_ledger_point(spark, d):
     rows = tables.ledger(spark, d).where("record_type = 'job' and record_id = 'job_77'")
     return rows.select("record_id", F.get_json_object("body", "$.event_type").alias("event_type"))
 
 
-@query("scan_ledger_receipts", "SELECT 'receipt_' || o_orderkey AS record_id, o_custkey AS owner FROM orders WHERE o_orderstatus = 'P'")
-def scan_ledger_receipts(spark, d):
-    body = F.from_json("body", "o_custkey bigint, o_orderstatus string")
-    return tables.ledger(spark, d).where("record_type = 'object_receipt'").select("record_id", body.alias("b")).where("b.o_orderstatus = 'P'").select("record_id", F.col("b.o_custkey").alias("owner"))
-
-
 @query("scan_registry", "SELECT source, count(DISTINCT lang) AS endpoints, count(*) AS assets FROM documents GROUP BY 1")
 def scan_registry(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.count_distinct("lang").alias("endpoints"), F.count(F.lit(1)).alias("assets"))
@@ -47,11 +35,3 @@ def scan_registry(spark, d):
 def scan_governance(spark, d):
     rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     return rows.groupBy("source").agg(F.when(F.count_if(F.coalesce(F.col("toxic") == 1, F.lit(False))) > 0, "review").otherwise("approved").alias("state"))
-
-
-@query("scan_fixture", "SELECT 'asset' AS record_type, 'asset_' || doc_id AS record_id FROM documents UNION ALL SELECT 'rights', 'rights_' || doc_id FROM documents UNION ALL SELECT 'job', 'job_' || doc_id FROM documents WHERE doc_id % 2 = 0")
-def scan_fixture(spark, d):
-    n = F.col("doc_id")
-    row = lambda kind: F.struct(F.lit(kind).alias("record_type"), F.concat(F.lit(kind + "_"), n).alias("record_id"))
-    rows = F.filter(F.array(row("asset"), row("rights"), F.when(n % 2 == 0, row("job"))), lambda x: x.isNotNull())
-    return table(spark, d, "documents").select(F.inline(rows))

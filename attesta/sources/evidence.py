@@ -191,7 +191,47 @@ _define(
 
 # Runs of paged discovery: a customer's orders, records that come up on several pages, some cursors that repeat.
 _define(
-    run_page="""SELECT endpoint AS run, page, CAST(FLOOR(post / 3) AS BIGINT) AS record, CONCAT('cursor_', endpoint, '_', CASE WHEN endpoint % 7 = 0 AND page = 3 THEN 1 ELSE page END) AS cursor FROM {cap_post}""",
+    run_page="""SELECT endpoint AS run, page, post, CAST(FLOOR(post / 3) AS BIGINT) AS record, CONCAT('cursor_', endpoint, '_', CASE WHEN endpoint % 7 = 0 AND page = 3 THEN 1 ELSE page END) AS cursor FROM {cap_post}""",
     lease_op="""SELECT event_id, user_id AS job, CASE event_type WHEN 'view' THEN 'claim' WHEN 'signup' THEN 'claim' WHEN 'click' THEN 'heartbeat' WHEN 'error' THEN 'fail' ELSE CASE WHEN event_id % 4 = 0 THEN 'complete' ELSE 'release' END END AS op, event_id % 2 AS worker, event_id * 260 AS at FROM {events}""",
     authority="SELECT user_id, min(event_id) AS first_event, CAST(400 + user_id % 1800 AS BIGINT) * 1000 AS expires_s FROM {events} GROUP BY user_id",
 )
+
+# Objects: a raw receipt of each document, up to three derived ones, their manifest, ledger and heads.
+_define(
+    obj_raw="""SELECT doc_id, CONCAT('receipt_', doc_id) AS receipt_id, source AS source_id, CONCAT('asset_', doc_id) AS asset_id, 'raw' AS object_kind, CONCAT('raw/', source, '/', doc_id) AS object_key, sha2(CONCAT('raw|', doc_id), 256) AS sha, CAST(n_chars AS BIGINT) AS byte_size, 'text/plain' AS media_type, sha2(CONCAT('rights|', doc_id % 50), 256) AS rights_sha,
+      CASE WHEN doc_id % 4 = 0 THEN 'selected_derived' ELSE 'selected_raw' END AS retention_class, CASE WHEN doc_id % 9 = 0 THEN 'blocked' WHEN doc_id % 4 = 1 THEN 'metadata_only' ELSE 'approved' END AS decision, 'verified' AS verification, CAST(NULL AS STRING) AS transformation_id FROM {documents}""",
+    obj_derived_key="SELECT doc_id, source, n_chars, EACH(split(CASE doc_id % 4 WHEN 0 THEN '1,2,3' WHEN 1 THEN '1' ELSE '1,2' END, ',')) AS nth FROM {documents}",
+    obj_derived="""SELECT doc_id, CONCAT('receipt_', doc_id, '_', nth) AS receipt_id, source AS source_id, CONCAT('asset_', doc_id) AS asset_id, 'derived' AS object_kind, CONCAT('derived/', source, '/', doc_id, '/', nth) AS object_key, sha2(CONCAT('derived|', doc_id, '|', nth), 256) AS sha, CAST(n_chars AS BIGINT) AS byte_size, 'application/json' AS media_type, sha2(CONCAT('rights|', doc_id % 50), 256) AS rights_sha,
+      CASE WHEN doc_id % 4 = 0 THEN 'selected_derived' ELSE 'selected_raw' END AS retention_class, CASE WHEN doc_id % 9 = 0 THEN 'blocked' WHEN doc_id % 4 = 1 THEN 'metadata_only' ELSE 'approved' END AS decision, CASE WHEN doc_id % 47 = 2 THEN 'pending' ELSE 'verified' END AS verification, CONCAT('transformation_', doc_id) AS transformation_id FROM {obj_derived_key} WHERE NOT (doc_id % 53 = 4 AND nth = '1')""",
+    obj_receipt="SELECT * FROM {obj_raw} UNION ALL SELECT * FROM {obj_derived}",
+    # What a manifest says of its derived objects: some entries have drifted in one column.
+    obj_entry="""SELECT doc_id, CONCAT('receipt_', doc_id, '_', nth) AS entry_id, source AS source_id, CONCAT('asset_', CASE WHEN doc_id % 59 = 1 THEN doc_id + 1 ELSE doc_id END) AS asset_id, CONCAT('derived/', source, '/', doc_id, '/', nth) AS object_key, CASE WHEN doc_id % 61 = 3 THEN sha2('other', 256) ELSE sha2(CONCAT('derived|', doc_id, '|', nth), 256) END AS sha, CAST(n_chars AS BIGINT) + CASE WHEN doc_id % 67 = 5 THEN 1 ELSE 0 END AS byte_size,
+      CASE WHEN doc_id % 71 = 6 THEN 'text/html' ELSE 'application/json' END AS media_type, sha2(CONCAT('rights|', doc_id % 50), 256) AS rights_sha, CASE WHEN doc_id % 4 = 0 THEN 'selected_derived' ELSE 'selected_raw' END AS retention_class, CASE WHEN doc_id % 73 = 7 THEN 'approved' WHEN doc_id % 9 = 0 THEN 'blocked' WHEN doc_id % 4 = 1 THEN 'metadata_only' ELSE 'approved' END AS decision, CONCAT('transformation_', CASE WHEN doc_id % 79 = 8 THEN 0 ELSE doc_id END) AS transformation_id FROM {obj_derived_key}""",
+    obj_manifest="SELECT doc_id, CONCAT('manifest_', doc_id) AS manifest_id, source AS source_id, CASE WHEN doc_id % 9 = 0 THEN 'blocked' WHEN doc_id % 4 = 1 THEN 'metadata_only' ELSE CASE WHEN doc_id % 31 = 2 THEN 'blocked' ELSE 'approved' END END AS effective_decision, sha2(CONCAT('rights|', doc_id % CASE WHEN doc_id % 37 = 3 THEN 7 ELSE 50 END), 256) AS effective_rights FROM {documents}",
+    obj_link="""SELECT CONCAT('manifest_', doc_id) AS manifest_id, 'input' AS side, CONCAT('receipt_', doc_id) AS receipt_id FROM {documents} UNION ALL SELECT CONCAT('manifest_', doc_id), 'output', CONCAT('receipt_', doc_id, '_', nth) FROM {obj_derived_key}
+      UNION ALL SELECT CONCAT('manifest_', doc_id), 'output', CONCAT('receipt_', doc_id - 1, '_1') FROM {documents} WHERE doc_id % 41 = 9""",
+    obj_commit="""SELECT doc_id, sha AS expected, CASE WHEN doc_id % 11 = 0 THEN CAST(NULL AS STRING) WHEN doc_id % 83 = 4 THEN sha2('artifact', 256) ELSE sha END AS artifact, CASE WHEN doc_id % 7 = 0 THEN CAST(NULL AS STRING) WHEN doc_id % 89 = 5 THEN sha2('ledger', 256) ELSE sha END AS ledger, CASE WHEN doc_id % 29 = 6 THEN CAST(NULL AS STRING) WHEN doc_id % 97 = 7 THEN sha2('head', 256) ELSE sha END AS head FROM {obj_raw}""",
+    obj_authority="SELECT doc_id, CASE WHEN doc_id % 43 = 1 THEN 'inventory_metadata' WHEN doc_id % 4 = 0 THEN 'selected_derived' ELSE 'selected_raw' END AS retention_class, doc_id % 153 AS decided_day, 148 + doc_id % 200 AS valid_until_day, 60 + doc_id % 240 AS expires_day, doc_id % 19 = 0 AS legal_hold, CASE WHEN doc_id % 3 = 0 THEN 'held_for_review' ELSE 'same_proof_disposable' END AS cleanup FROM {documents}",
+    obj_head="SELECT object_key, CASE WHEN LENGTH(object_key) % 7 = 3 AND doc_id % 13 = 1 THEN sha2('changed', 256) ELSE sha END AS head_sha FROM {obj_receipt} WHERE NOT (doc_id % 5 = 2 AND object_kind = 'derived')",
+    # Results of transformations, some made from results, and what refers to them.
+    del_result="""SELECT CONCAT('result_', doc_id, '_', nth) AS result_id, doc_id, CONCAT('raw/', source, '/', doc_id) AS input_key, CONCAT('derived/', source, '/', doc_id, '/', nth) AS output_key FROM {obj_derived_key}
+      UNION ALL SELECT CONCAT('second_', doc_id), doc_id + 1, CONCAT('derived/', source, '/', doc_id, '/1'), CONCAT('second/', doc_id) FROM {documents} WHERE doc_id % 3 = 0 UNION ALL SELECT CONCAT('third_', doc_id), doc_id + 2, CONCAT('second/', doc_id), CONCAT('third/', doc_id) FROM {documents} WHERE doc_id % 6 = 0""",
+    del_trigger="SELECT DISTINCT CONCAT('trigger_', doc_id) AS trigger_id, doc_id, CASE WHEN doc_id % 2 = 0 THEN 'consent_withdrawn' ELSE 'exact_key_deleted' END AS reason_code, CASE WHEN doc_id % 3 = 0 THEN 'review_on_withdrawal' ELSE 'delete_on_withdrawal' END AS treatment FROM {labels} WHERE toxic = 1",
+    del_entry="SELECT 'index' AS kind, CONCAT('index_document_', doc_id, '|field_', nth) AS entry, CONCAT('result_', doc_id, '_', CASE WHEN doc_id % 17 = 3 THEN '9' ELSE nth END) AS result_id FROM {obj_derived_key} UNION ALL SELECT 'export', CONCAT('export_', doc_id % 40), CONCAT('second_', doc_id) FROM {documents} WHERE doc_id % 6 < 4",
+)
+
+# Operations: lanes of runs, blockers and work, catalogue and presence, attempts, gates, robots.
+_define(
+    ops_lane="SELECT l_orderkey AS run, CASE WHEN l_orderkey % 5 < 2 THEN 'passed' WHEN l_partkey % 17 = 0 THEN 'failed' WHEN l_partkey % 13 = 0 THEN 'held' WHEN l_partkey % 11 = 0 THEN 'skipped' ELSE 'passed' END AS status FROM {lineitem}",
+    ops_run="SELECT o_orderkey AS run, CASE o_orderkey % 4 WHEN 0 THEN 'succeeded' WHEN 1 THEN 'succeeded' WHEN 2 THEN 'failed_closed' ELSE 'skipped_not_run' END AS outcome FROM {orders}",
+    ops_work="SELECT s_suppkey AS item, CONCAT('source_', s_nationkey) AS source_id, CONCAT('endpoint_', s_nationkey, '_', s_suppkey % 3) AS endpoint_id, CONCAT('asset_', s_suppkey) AS asset_id, CONCAT('lane_', s_suppkey % 6) AS lane FROM {supplier}",
+    ops_blocker="SELECT 'source_id' AS scope, CONCAT('source_', n_nationkey) AS subject FROM {nation} WHERE n_regionkey = 1 UNION ALL SELECT 'endpoint_id', CONCAT('endpoint_', n_nationkey, '_1') FROM {nation} WHERE n_regionkey = 2 UNION ALL SELECT 'asset_id', CONCAT('asset_', s_suppkey) FROM {supplier} WHERE s_acctbal < 0 UNION ALL SELECT 'lane', 'lane_5' FROM {region} WHERE r_regionkey = 0",
+    cat_record="SELECT p_partkey AS record_id, CASE WHEN p_partkey % 3 = 0 THEN 'pdf' ELSE 'video' END AS kind, p_size AS size FROM {part}",
+    cat_presence="SELECT p_partkey AS record_id, CASE WHEN p_partkey % 3 = 0 THEN 'pdf' ELSE 'video' END AS kind, CASE WHEN p_partkey % 13 = 1 THEN 'absent' ELSE 'present' END AS status, CASE WHEN p_partkey % 27 = 0 THEN 2 ELSE 1 END AS objects, p_size + CASE WHEN p_partkey % 21 = 0 THEN 1 ELSE 0 END AS size FROM {part} WHERE p_partkey % 10 <> 3",
+    att_vm="SELECT s_suppkey AS attempt, CASE WHEN s_suppkey % 4 = 0 THEN 'complete' ELSE 'blocked' END AS state, s_suppkey % 3 <> 0 AS fallback, CONCAT('plan_', s_suppkey % 9) AS plan FROM {supplier}",
+    att_laptop="SELECT s_suppkey AS attempt, CASE WHEN s_suppkey % 5 = 0 THEN 'blocked' ELSE 'complete' END AS state, CONCAT('plan_', CASE WHEN s_suppkey % 22 = 1 THEN 99 ELSE s_suppkey % 9 END) AS plan FROM {supplier} WHERE s_suppkey % 2 = 1 OR s_suppkey % 12 = 0",
+    gate_blocker="SELECT s_suppkey AS blocker, sha2(CONCAT('gate|', s_suppkey), 256) AS subject_sha FROM {supplier} WHERE s_suppkey % 7 <> 0",
+    gate_token="SELECT s_suppkey AS blocker, CASE WHEN s_suppkey % 13 = 0 THEN sha2('other', 256) ELSE sha2(CONCAT('gate|', s_suppkey), 256) END AS subject_sha, 140 + s_suppkey % 60 AS expires_day FROM {supplier} WHERE s_suppkey % 5 <> 0",
+    gate_decision="SELECT s_suppkey AS blocker, CASE WHEN s_suppkey % 11 = 0 THEN 'rejected' ELSE 'approved' END AS decision, s_suppkey % 155 AS decided_day, CONCAT('role_', s_suppkey % 4) AS role FROM {supplier} WHERE s_suppkey % 3 <> 0",
+    rob_body="""SELECT page_id, CONCAT('https://s.example.org/p/', page_id) AS url, CASE page_id % 6 WHEN 0 THEN CONCAT('User-agent: *', CHR(10), 'Disallow: /p/', page_id) WHEN 1 THEN CONCAT('User-agent: *', CHR(10), 'Disallow: /private') WHEN 2 THEN 'nothing here' WHEN 3 THEN CONCAT('User-agent: other', CHR(10), 'Disallow: /') WHEN 4 THEN CONCAT('User-agent: *', CHR(10), 'Disallow: /', CHR(10), 'Allow: /') ELSE CAST(NULL AS STRING) END AS body FROM {pages}""",
+)

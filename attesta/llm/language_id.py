@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 from attesta.llm.common import released, small_batches, table
 
 UNDETERMINED = "und"
-PIECE = 256
+PIECE = 512
 #: Characters of the documents that are learned from first.
 LEAST, MOST = 200, 6_000
-_BATCH_CHARS = 1 << 20
+_BATCH_CHARS = 1 << 22
 
 
 class SuffixAutomaton:
@@ -101,7 +101,7 @@ class SuffixAutomaton:
         first: the piece opens a text; others go on where the piece before them ends. begins, state:
         what `walk` found in each piece by itself.
         """
-        before = np.concatenate([[0], np.cumsum(begins)])
+        before = np.concatenate([[0], np.cumsum(begins, dtype=np.int32)])
         count, leaves = before[stop] - before[start], state.copy()
         entered = np.full(len(start), -1, np.int32)
         todo = np.flatnonzero(~first)

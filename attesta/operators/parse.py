@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from attesta.functions.text import collapse
 
 SIGNATURES, DEPTH = 512, 10
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 
 
 def anchors(page: Column) -> Column:
@@ -34,8 +35,12 @@ def tag_counts(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode(tags).alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: What stands for the signatures beyond the bound of a page, and for elements that lie deeper.
+MORE, DEEPER = "(more)", "(deeper)"
+
+
 class _Shape(HTMLParser):
-    """Path of tags and the names of their attributes, content left out."""
+    """Path of tags and the names of their attributes, content left out; what the bounds leave out is counted as such."""
 
     def __init__(self):
         super().__init__()
@@ -44,13 +49,20 @@ class _Shape(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if len(self.path) < DEPTH:
-            self.path.append(tag)
             names = ",".join(sorted(k for k, _ in attrs))
-            key = "/".join(self.path) + (f"[{names}]" if names else "")
-            if key in self.seen or len(self.seen) < SIGNATURES:
-                self.seen[key] = self.seen.get(key, 0) + 1
-        if tag in ("meta", "br", "img", "link", "input", "hr"):
-            self.path = self.path[:-1]
+            key = "/".join([*self.path, tag]) + (f"[{names}]" if names else "")
+        else:
+            key = DEEPER
+        if key not in self.seen and len(self.seen) >= SIGNATURES and key != DEEPER:
+            key = MORE
+        self.seen[key] = self.seen.get(key, 0) + 1
+        if tag not in VOID:
+            self.path.append(tag)
+
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        depth = len(self.path)
+        self.handle_starttag(tag, attrs)
+        del self.path[depth:]
 
     def handle_endtag(self, tag: str) -> None:
         if tag in self.path:
@@ -65,14 +77,19 @@ def shapes(pages: DataFrame) -> DataFrame:
         for b in batches:
             rows = []
             for page_id, html in zip(b["page_id"], b["html"], strict=True):
-                p = _Shape()
-                p.feed(html or "")
-                rows += [(page_id, k, n) for k, n in p.seen.items()]
+                rows += [(page_id, k, n) for k, n in shape_of(html).items()]
             yield pd.DataFrame(rows, columns=["page_id", "signature", "n"])
 
     return pages.select("page_id", "html").mapInPandas(work, "page_id bigint, signature string, n bigint")
 
 
+def shape_of(page: str | None) -> dict[str, int]:
+    """Signatures of one page and how often each occurs."""
+    p = _Shape()
+    p.feed(page or "")
+    return p.seen
+
+
 def robots(body: Column, url: Column, agent: str = "corpus-reader") -> Column:
     """robots_allowed, robots_denied, or robots_ambiguous where no agent is named."""
 

@@ -89,3 +89,45 @@ def balanced_pairs(pairs: list[dict], count: int) -> list[dict]:
         if p not in out:
             accept(p)
     return out
+
+
+def control_pairs(records: DataFrame, source_pairs: list[tuple[str, str]], count: int, start: int = 64) -> list[tuple]:
+    """(first, second): up to `count` pairs of records of each pair of sources that share no token, no record twice.
+
+    records: (record_id, source_id, tokens). In each source records come in the order of a digest of
+    source and id; each in turn takes the first of the other source that is free and shares nothing.
+    Only the beginning of that order is fetched. Where a record finds no partner in it although there
+    are more, twice as many are fetched and the pair of sources is begun anew, so the pairs are those
+    of the whole order.
+    """
+    ordered = records.withColumn("_h", F.sha2(F.concat_ws("|", "source_id", F.col("record_id").cast("string")), 256))
+    sizes = {r["source_id"]: r["count"] for r in ordered.where(F.col("source_id").isin(*{s for p in source_pairs for s in p})).groupBy("source_id").count().collect()}
+    held: dict[str, list] = {}
+
+    def first(source: str, n: int) -> list:
+        if len(held.get(source, ())) < min(n, sizes.get(source, 0)):
+            held[source] = ordered.where(F.col("source_id") == source).orderBy("_h", "record_id").limit(n).collect()
+        return held.get(source, [])[:n]
+
+    out = []
+    for a, b in source_pairs:
+        n = start
+        while True:
+            left, right = first(a, n), first(b, n)
+            used, pairs, short = set(), [], False
+            for x in left:
+                if len(pairs) == count:
+                    break
+                partner = next((y for y in right if y["record_id"] not in used and not set(x["tokens"]) & set(y["tokens"])), None)
+                if partner is not None:
+                    used.add(partner["record_id"])
+                    pairs.append((x["record_id"], partner["record_id"]))
+                elif len(right) < sizes.get(b, 0):
+                    short = True
+                    break
+            if short or (len(pairs) < count and len(left) < sizes.get(a, 0)):
+                n *= 2
+                continue
+            out += pairs
+            break
+    return out

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from attesta.operators import policy, search, summarise
 from attesta.plans.catalog import query
 from attesta.plans.decisions import reasoned
-from attesta.sources import records
-from attesta.sources.records import CTES
+from attesta.sources import evidence, records
+from attesta.sources.evidence import ctes
+from attesta.sources.records import CTES, NOW
 from attesta.sources.tables import table
 
 COVER = CTES + """,
@@ -97,11 +98,6 @@ def agg_selection_metrics(spark, d):
     return cover(spark, d).agg(F.count(F.lit(1)).alias("declared"), F.count_if(F.col("eligible") >= F.col("minimum")).alias("met"))
 
 
-@query("agg_duplicate_hash", CTES + "SELECT text_sha, count(DISTINCT document_id) AS holders, string_agg(document_id, ',' ORDER BY document_id) AS members FROM docs GROUP BY 1 HAVING holders >= 2")
-def agg_duplicate_hash(spark, d):
-    return records.documents(spark, d).groupBy("text_sha").agg(F.count_distinct("document_id").alias("holders"), summarise.listed(F.col("document_id")).alias("members")).where("holders >= 2")
-
-
 @query("agg_stable_alias", CTES + "SELECT asset_id, count(*) AS holders, count(DISTINCT source_id) AS sources FROM docs GROUP BY 1 HAVING holders >= 2 AND sources >= 2")
 def agg_stable_alias(spark, d):
     return records.documents(spark, d).groupBy("asset_id").agg(F.count(F.lit(1)).alias("holders"), F.count_distinct("source_id").alias("sources")).where("holders >= 2 and sources >= 2")
@@ -147,35 +143,11 @@ def agg_rights_inheritance(spark, d):
     return top.select("source", "lang", F.when(F.size("rs") == 1, F.col("rs")[0]).otherwise(F.sha2(F.concat(F.to_json("rs"), F.lit("\n")), 256)).alias("effective_rights"))
 
 
-@query("agg_recommendations", CTES + """, f AS (SELECT 'review_rights' AS action, source_id, document_id AS ref FROM reasons WHERE reason LIKE 'rights%' UNION ALL SELECT 'resolve_metadata', source_id, document_id FROM reasons WHERE reason = 'metadata_unresolved'
-  UNION ALL SELECT 'review_duplicate', source_id, document_id FROM docs WHERE cluster_id IS NOT NULL UNION ALL SELECT 'delete', source_id, document_id FROM docs WHERE toxic = 1)
-  SELECT action, source_id, array_to_string(list_sort(list(DISTINCT ref))[1:64], ',') AS refs, count(DISTINCT ref) > 64 AS truncated FROM f GROUP BY ALL""")
-def agg_recommendations(spark, d):
-    docs = records.documents(spark, d, clusters=True)
-    r = reasoned(spark, d, docs)
-    part = lambda df, action: df.select(F.lit(action).alias("action"), "source_id", F.col("document_id").alias("ref"))
-    found = part(r.where("reason like 'rights%'"), "review_rights").unionByName(part(r.where("reason = 'metadata_unresolved'"), "resolve_metadata"))
-    found = found.unionByName(part(docs.where("cluster_id is not null"), "review_duplicate")).unionByName(part(docs.where("toxic = 1"), "delete"))
-    return found.groupBy("action", "source_id").agg(summarise.listed(F.col("ref"), 64).alias("refs"), (F.count_distinct("ref") > 64).alias("truncated"))
-
-
-@query("recommendation_order", CTES + ", a AS (SELECT reason AS action, source_id, count(*) AS n FROM reasons WHERE reason IS NOT NULL GROUP BY ALL) SELECT action, source_id, n, CAST(row_number() OVER (ORDER BY n DESC, action, source_id) AS INTEGER) AS place FROM a")
-def recommendation_order(spark, d):
-    a = reasoned(spark, d).where("reason is not null").groupBy(F.col("reason").alias("action"), "source_id").agg(F.count(F.lit(1)).alias("n"))
-    return a.withColumn("place", F.row_number().over(Window.orderBy(F.col("n").desc(), "action", "source_id")))
-
-
 @query("agg_quality_histogram", CTES + "SELECT coalesce(reason, 'eligible') AS state, count(*) AS n FROM reasons GROUP BY 1")
 def agg_quality_histogram(spark, d):
     return reasoned(spark, d).groupBy(F.coalesce("reason", F.lit("eligible")).alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("agg_progress", "SELECT event_type AS state, count(*) AS events, count(DISTINCT user_id) AS jobs, CAST(sum(json_extract(props, '$.k')::BIGINT) AS BIGINT) AS retries FROM events GROUP BY 1")
-def agg_progress(spark, d):
-    e = table(spark, d, "events")
-    return e.groupBy(F.col("event_type").alias("state")).agg(F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("jobs"), F.sum(F.get_json_object("props", "$.k").cast("bigint")).alias("retries"))
-
-
 @query("agg_retrieval_observed", """WITH c AS (SELECT item_id, lower(split_part(text, ' ', 3)) AS term FROM benchmark), h AS (SELECT item_id, doc_id, quality FROM c JOIN documents ON term <> '' AND contains(lower(text), term) LEFT JOIN labels USING (doc_id))
   SELECT item_id, count(DISTINCT doc_id) AS observed, count(DISTINCT doc_id) FILTER (quality = 0) AS forbidden, CASE WHEN count(DISTINCT doc_id) FILTER (quality = 1) = 0 THEN 'missing' WHEN count(*) FILTER (quality = 0) > 0 THEN 'forbidden' ELSE 'contained' END AS verdict FROM h GROUP BY 1""")
 def agg_retrieval_observed(spark, d):
@@ -186,3 +158,54 @@ def agg_retrieval_observed(spark, d):
     one = lambda q: F.count_distinct(F.when(F.col("quality") == q, F.col("doc_id")))
     verdict = F.when(one(1) == 0, "missing").when(one(0) > 0, "forbidden").otherwise("contained")
     return hits.groupBy("item_id").agg(F.count_distinct("doc_id").alias("observed"), one(0).alias("forbidden"), verdict.alias("verdict"))
+
+
+@query("agg_duplicate_hash", CTES + ", n AS (SELECT text_sha, count(DISTINCT document_id) AS holders, min(document_id) AS class_id FROM docs GROUP BY 1 HAVING holders >= 2) SELECT document_id, text_sha, holders, class_id FROM docs JOIN n USING (text_sha)")
+def agg_duplicate_hash(spark, d):
+    """Documents of one content: a row for each member, with the number of holders and the least of them."""
+    docs = records.documents(spark, d).select("document_id", "text_sha")
+    n = docs.groupBy("text_sha").agg(F.count_distinct("document_id").alias("holders"), F.min("document_id").alias("class_id")).where("holders >= 2")
+    return docs.join(n, "text_sha").select("document_id", "text_sha", "holders", "class_id")
+
+
+@query("agg_progress", ctes("prog_asset", "prog_job", "prog_lease", "prog_evidence") + f""", s AS (SELECT state, count(*) AS n FROM prog_asset GROUP BY 1), l AS (SELECT CASE WHEN NOT released THEN CASE WHEN expires_day <= {NOW} THEN 'expired' ELSE 'active' END WHEN reason = 'expired' THEN 'expired' END AS k FROM prog_lease)
+  SELECT 'state' AS section, state AS key, n FROM s UNION ALL SELECT 'retry', retry_state, count(*) FROM prog_job GROUP BY 2 UNION ALL SELECT 'lease', k, count(*) FROM l WHERE k IS NOT NULL GROUP BY 2 UNION ALL SELECT 'evidence', link, count(*) FROM prog_evidence GROUP BY 2
+  UNION ALL SELECT 'next_action', CASE WHEN EXISTS (SELECT 1 FROM s WHERE state = 'blocked') THEN 'resolve current blockers' WHEN EXISTS (SELECT 1 FROM l WHERE k = 'active') THEN 'allow active leases to finish or checkpoint' WHEN EXISTS (SELECT 1 FROM prog_job WHERE retry_state <> 'exhausted') THEN 'claim the next capability-compatible job' ELSE 'advance the earliest asset through its next verified gate' END, 1""")
+def agg_progress(spark, d):
+    """Where a ledger stands: states, retries, leases, evidence, and the next safe action."""
+    f = lambda n: evidence.family(spark, d, n)
+    return summarise.progress(f("prog_asset"), f("prog_job"), f("prog_lease"), f("prog_evidence"), F.lit(NOW))
+
+
+# Findings by the action that they ask for, the most urgent first.
+ACTIONS = ("propagate_deletion", "review_rights", "resolve_metadata", "review_duplicate", "close_coverage_gap")
+FOUND = COVER + """, f AS (SELECT 'review_rights' AS action, reason AS blocker, source_id, document_id AS ref FROM reasons WHERE reason LIKE 'rights%' UNION ALL SELECT 'resolve_metadata', reason, source_id, document_id FROM reasons WHERE reason = 'metadata_unresolved'
+  UNION ALL SELECT 'review_duplicate', 'duplicate_content', source_id, document_id FROM docs WHERE cluster_id IS NOT NULL UNION ALL SELECT 'propagate_deletion', 'deletion_event', source_id, document_id FROM docs WHERE toxic = 1
+  UNION ALL SELECT 'close_coverage_gap', CASE WHEN blocked > 0 THEN 'blocked' WHEN unavailable > 0 THEN 'unavailable' WHEN unresolved > 0 THEN 'unresolved' ELSE 'underrepresented' END, 'corpus', target_id FROM cov WHERE eligible < minimum),
+  r AS (SELECT CASE action WHEN 'propagate_deletion' THEN 1 WHEN 'review_rights' THEN 2 WHEN 'resolve_metadata' THEN 3 WHEN 'review_duplicate' THEN 4 ELSE 5 END AS priority, action, blocker, source_id, array_to_string(list_sort(list(DISTINCT ref))[1:64], ',') AS refs, count(DISTINCT ref) AS n, count(DISTINCT ref) > 64 AS truncated FROM f GROUP BY ALL)"""
+
+
+def recommended(spark, d):
+    """priority, action, blocker, source_id, refs, n, truncated: five kinds of findings by what they ask for."""
+    docs = records.documents(spark, d, clusters=True)
+    reasons = reasoned(spark, d, docs)
+    part = lambda df, action, blocker, source=F.col("source_id"), ref=F.col("document_id"): df.select(F.lit(action).alias("action"), blocker.alias("blocker"), source.alias("source_id"), ref.alias("ref"))
+    c = cover(spark, d)
+    gap = summarise.gap_state(summarise.shortfall(F.col("minimum"), F.col("eligible")), F.col("blocked"), F.col("unavailable"), F.col("unresolved"))
+    found = part(reasons.where("reason like 'rights%'"), "review_rights", F.col("reason")).unionByName(part(reasons.where("reason = 'metadata_unresolved'"), "resolve_metadata", F.col("reason")))
+    found = found.unionByName(part(docs.where("cluster_id is not null"), "review_duplicate", F.lit("duplicate_content"))).unionByName(part(docs.where("toxic = 1"), "propagate_deletion", F.lit("deletion_event")))
+    found = found.unionByName(part(c.where("eligible < minimum"), "close_coverage_gap", gap, F.lit("corpus"), F.col("target_id")))
+    out = summarise.first_refs(found, ["action", "blocker", "source_id"], "ref")
+    return out.withColumn("priority", policy.ranked(F.col("action"), ACTIONS).cast("int"))
+
+
+@query("agg_recommendations", FOUND + " SELECT * FROM r")
+def agg_recommendations(spark, d):
+    return recommended(spark, d).select("priority", "action", "blocker", "source_id", "refs", "n", "truncated")
+
+
+@query("recommendation_order", FOUND + " SELECT priority, action, blocker, source_id, CAST(row_number() OVER (ORDER BY priority, action, source_id, blocker) AS INTEGER) AS place FROM r")
+def recommendation_order(spark, d):
+    """Recommendations in the order of their urgency: a row for each action, blocker and source by now."""
+    place = F.row_number().over(Window.orderBy("priority", "action", "source_id", "blocker"))
+    return recommended(spark, d).select("priority", "action", "blocker", "source_id", place.alias("place"))

@@ -81,12 +81,6 @@ def join_token_inverted(spark, d):
     return relate.token_pairs(catalogue(spark, d))
 
 
-@query("join_anti_token", "WITH a AS (SELECT c_custkey, lower(c_mktsegment) AS seg FROM customer), b AS (SELECT DISTINCT lower(split_part(p_type, ' ', 1)) AS word FROM part) SELECT c_custkey FROM a WHERE seg NOT IN (SELECT word FROM b)")
-def join_anti_token(spark, d):
-    words = table(spark, d, "part").select(F.lower(F.split_part("p_type", F.lit(" "), F.lit(1))).alias("seg")).distinct()
-    return table(spark, d, "customer").select("c_custkey", F.lower("c_mktsegment").alias("seg")).join(words, "seg", "left_anti").select("c_custkey")
-
-
 @query("join_page_count", CTES + "SELECT text_sha, CAST(max(n_chars) AS BIGINT) AS n_chars, count(*) AS holders, count(DISTINCT n_chars) = 1 AS consistent FROM docs GROUP BY 1")
 def join_page_count(spark, d):
     docs = table(spark, d, "documents").select(F.sha2("text", 256).alias("text_sha"), "n_chars")

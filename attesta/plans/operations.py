@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from attesta.functions import text
-from attesta.operators import parse, policy, relate, states
+from attesta.operators import parse, policy, relate, selection, states
 from attesta.plans.catalog import query
 from attesta.plans.folds import PAGED, UNITS, discovered
 from attesta.sources import evidence
@@ -218,3 +218,19 @@ def scan_fixture(spark, d):
 def agg_fixture_manifest(spark, d):
     """Counts of a fixture's records by type and state, and of what they refer to."""
     return fixture(spark, d).groupBy("record_type", "state").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("parent").alias("parents"))
+
+
+#: Sources whose records are paired as negative controls, and how many pairs of each two.
+CONTROLS, CONTROL_PAIRS = [("Brand#11", "Brand#12"), ("Brand#11", "Brand#13"), ("Brand#12", "Brand#13")], 10
+
+
+def _titles(spark, d):
+    p = table(spark, d, "part")
+    return p.select(F.col("p_partkey").alias("record_id"), F.col("p_brand").alias("source_id"), text.tokens(F.concat_ws(" ", "p_name", "p_type")).alias("tokens"))
+
+
+@query("join_anti_token")
+def join_anti_token(spark, d):
+    """Negative controls: pairs of records of two sources without a token in common."""
+    pairs = selection.control_pairs(_titles(spark, d), CONTROLS, CONTROL_PAIRS)
+    return spark.createDataFrame(pairs, "first bigint, second bigint")

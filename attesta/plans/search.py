@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.functions import text, times
+from attesta.functions import text, times, values
 from attesta.operators import policy, search
 from attesta.plans.catalog import query
-from attesta.sources import records
+from attesta.sources import evidence, records
 from attesta.sources.records import CTES, NOW
 from attesta.sources.tables import table
 
@@ -128,10 +128,11 @@ def assert_export_safe(spark, d):
     return table(spark, d, "documents").where(text.looks_secret(F.col("text"))).select("doc_id")
 
 
-@query("join_cluster_members_visible", SHOWN + "SELECT cluster_id, string_agg(document_id, ',' ORDER BY document_id) AS members FROM docs WHERE cluster_id IS NOT NULL AND document_id IN (SELECT document_id FROM shown) GROUP BY 1")
+@query("join_cluster_members_visible", SHOWN + "SELECT cluster_id, document_id FROM docs WHERE cluster_id IS NOT NULL AND document_id IN (SELECT document_id FROM shown)")
 def join_cluster_members_visible(spark, d):
+    """Visible members of each cluster, a row each."""
     docs = records.documents(spark, d, clusters=True)
-    return search.cluster_members(docs, shown(spark, d, docs=docs)).groupBy("cluster_id").agg(F.array_join(F.array_sort(F.collect_list("document_id")), ",").alias("members"))
+    return search.cluster_members(docs, shown(spark, d, docs=docs))
 
 
 @query("join_doc_coverage", CTES + STATE + " SELECT * FROM covered")
@@ -153,13 +154,9 @@ def project_public_member(spark, d):
     return records.documents(spark, d, clusters=True).where("cluster_id is not null").select("document_id", "source_id", "asset_id")
 
 
-@query("filter_url_policy", r"""SELECT page_id, CASE WHEN NOT regexp_matches(url, '^https://') THEN 'scheme_not_allowed' WHEN NOT regexp_matches(url, '^https://[a-z0-9.-]+\.example\.(com|org|net)(/|$)') THEN 'host_not_allowed'
-  WHEN contains(url, '#') THEN 'fragment' WHEN regexp_matches(url, '[?&](token|key|secret|password)=') THEN 'credential_query' WHEN contains(url, '?') THEN 'query' ELSE 'allowed' END AS decision FROM pages""")
+@query("filter_url_policy", """SELECT p_partkey AS k, CASE p_partkey % 16 WHEN 0 THEN 'https_required' WHEN 1 THEN 'userinfo_forbidden' WHEN 2 THEN 'fragment_forbidden' WHEN 3 THEN 'host_not_allowed' WHEN 4 THEN 'port_not_allowed' WHEN 5 THEN 'signed_path_forbidden' WHEN 6 THEN 'signed_query_forbidden' WHEN 7 THEN 'signed_query_forbidden'
+  WHEN 8 THEN 'invalid_url' WHEN 9 THEN 'ambiguous_url' WHEN 10 THEN 'non_public_host' WHEN 12 THEN 'invalid_url' WHEN 13 THEN 'ambiguous_hostname' ELSE 'allowed' END AS decision FROM part""")
 def filter_url_policy(spark, d):
-    u = F.col("url")
-    part = lambda p: F.try_parse_url(u, F.lit(p))
-    decision = policy.first_reason([
-        (~policy.closed(part("PROTOCOL") == "https"), "scheme_not_allowed"), (~policy.closed(part("HOST").rlike(r"^[a-z0-9.-]+\.example\.(com|org|net)$")), "host_not_allowed"),
-        (part("REF").isNotNull(), "fragment"), (part("QUERY").rlike(r"(^|&)(token|key|secret|password)="), "credential_query"), (part("QUERY").isNotNull(), "query"), (F.lit(True), "allowed"),
-    ])
-    return table(spark, d, "pages").select("page_id", decision.alias("decision"))
+    """Addresses against the policy of inputs: scheme, user, fragment, host, port, and credentials in path or query."""
+    reason = values.url_reason(F.col("url"), ["a.example.com", "b.example.com"])
+    return evidence.family(spark, d, "val_url").select("k", F.coalesce(reason, F.lit("allowed")).alias("decision"))

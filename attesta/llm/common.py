@@ -18,9 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; set one only where the session names none."""
+    """Use the cluster's shared checkpoint folder; set one only where a local session names none."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/checkpoints/{uuid.uuid4().hex}")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(shared or f"/tmp/checkpoints/{uuid.uuid4().hex}")
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:

@@ -44,24 +44,25 @@ def rank(results: DataFrame, limit: int | None = None) -> DataFrame:
         raise ValueError("a limit is not negative")
     order = (F.col("match_count").desc(), F.col("visible_fields").desc(), F.col("document_id"))
     if limit is None:
-        return _ranked(results, order)
+        return numbered(results, order, "rank")
     top = results.orderBy(*order).limit(limit)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def _ranked(results: DataFrame, order: tuple[Column, ...]) -> DataFrame:
-    """All results with their place: sorted by ranges, numbered in each, and moved on by the ranges before.
+def numbered(rows: DataFrame, order: tuple[Column, ...], name: str) -> DataFrame:
+    """All rows with their place from 1: sorted by ranges, numbered in each, and moved on by the ranges before.
 
     What reaches the driver is a count for each range, of which there are as many as shuffle partitions.
     """
-    lineage.checkpoints(results.sparkSession)
-    placed = results.orderBy(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).checkpoint()
+    spark = rows.sparkSession
+    lineage.checkpoints(spark)
+    placed = rows.orderBy(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).checkpoint()
     before, ranges = 0, []
     for p, n in sorted(map(tuple, placed.groupBy("_p").count().collect())):
         ranges.append((p, before))
         before += n
-    moved = placed.join(F.broadcast(results.sparkSession.createDataFrame(ranges, "_p int, _before long")), "_p")
-    return moved.withColumn("rank", (F.col("_before") + F.col("_i") + 1).cast("int")).drop("_p", "_i", "_before")
+    moved = placed.join(F.broadcast(spark.createDataFrame(ranges, "_p int, _before long")), "_p")
+    return moved.withColumn(name, (F.col("_before") + F.col("_i") + 1).cast("int")).drop("_p", "_i", "_before")
 
 
 def facets(results: DataFrame, names: tuple[str, ...] = FACETS) -> DataFrame:

@@ -117,14 +117,6 @@ def validate_contributions(spark, d):
     return expect.duplicates(table(spark, d, "documents").select(F.sha2("text", 256).alias("text_sha")), "text_sha")
 
 
-@query("validate_registry_migration", "WITH a AS (SELECT DISTINCT source, lang FROM documents WHERE doc_id % 2 = 0), b AS (SELECT DISTINCT source, lang FROM documents WHERE doc_id % 3 = 0) SELECT coalesce(a.source, b.source) AS source, coalesce(a.lang, b.lang) AS lang, CASE WHEN b.source IS NULL THEN 'removed' WHEN a.source IS NULL THEN 'added' ELSE 'kept' END AS change FROM a FULL JOIN b ON a.source = b.source AND a.lang = b.lang")
-def validate_registry_migration(spark, d):
-    docs = table(spark, d, "documents")
-    a = docs.where("doc_id % 2 = 0").select("source", "lang").distinct().withColumn("a", F.lit(True))
-    b = docs.where("doc_id % 3 = 0").select("source", "lang").distinct().withColumn("b", F.lit(True))
-    return a.join(b, ["source", "lang"], "full_outer").select("source", "lang", F.when(F.col("b").isNull(), "removed").when(F.col("a").isNull(), "added").otherwise("kept").alias("change"))
-
-
 @query("compile_pilot_freeze")
 def compile_pilot_freeze(spark, d):
     """Quota sample of each language, with ordinal and page slot bound in the id."""
@@ -156,11 +148,6 @@ def monotonic_checkpoint(spark, d):
     return e.where("b").groupBy("user_id").agg(F.count(F.lit(1)).alias("backwards"))
 
 
-@query("sort_canonical", "SELECT source, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM documents GROUP BY 1")
-def sort_canonical(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg(F.array_join(F.array_sort(F.collect_list("doc_id")).cast("array<string>"), ",").alias("ids"))
-
-
 @query("ordinal_bind", "SELECT doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS ordinal FROM documents")
 def ordinal_bind(spark, d):
     return table(spark, d, "documents").select("doc_id", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).alias("ordinal"))
@@ -169,3 +156,10 @@ def ordinal_bind(spark, d):
 @query("scalar_sla_due", "SELECT o_orderkey, strftime(o_orderdate + INTERVAL 24 HOURS, '%Y-%m-%dT%H:%M:%SZ') AS due FROM orders")
 def scalar_sla_due(spark, d):
     return table(spark, d, "orders").select("o_orderkey", times.text(F.col("o_orderdate") + F.make_dt_interval(F.lit(1))).alias("due"))
+
+
+@query("sort_canonical", "SELECT doc_id, CAST(row_number() OVER (ORDER BY 'index_document_' || doc_id, doc_id) AS INTEGER) AS place FROM documents")
+def sort_canonical(spark, d):
+    """Every record with its place in the canonical order, numbered by ranges: no list holds them all."""
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("index_document_"), "doc_id").alias("id"))
+    return search.numbered(docs, (F.col("id"), F.col("doc_id")), "place").select("doc_id", "place")

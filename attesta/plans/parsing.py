@@ -24,14 +24,3 @@ def html_tag_histogram(spark, d):
 def scan_ledger_point(spark, d):
     rows = tables.ledger(spark, d).where("record_type = 'job' and record_id = 'job_77'")
     return rows.select("record_id", F.get_json_object("body", "$.event_type").alias("event_type"))
-
-
-@query("scan_registry", "SELECT source, count(DISTINCT lang) AS endpoints, count(*) AS assets FROM documents GROUP BY 1")
-def scan_registry(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg(F.count_distinct("lang").alias("endpoints"), F.count(F.lit(1)).alias("assets"))
-
-
-@query("scan_governance", "SELECT source, CASE WHEN count(*) FILTER (toxic = 1) > 0 THEN 'review' ELSE 'approved' END AS state FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
-def scan_governance(spark, d):
-    rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
-    return rows.groupBy("source").agg(F.when(F.count_if(F.coalesce(F.col("toxic") == 1, F.lit(False))) > 0, "review").otherwise("approved").alias("state"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from attesta.plans import aggregates, captures, decisions, folds, governance, integrity, joins, lineage, media, objects, operations, parsing, qualification, scalars, search  # noqa: F401
+from attesta.plans import aggregates, artifacts, captures, decisions, folds, governance, integrity, joins, lineage, media, objects, operations, parsing, qualification, scalars, search  # noqa: F401
 from attesta.plans.catalog import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -38,3 +38,8 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(events.select(F.lit("job").alias("record_type"), F.concat(F.lit("job_"), "event_id").alias("record_id"), body("user_id", "event_type").alias("body"), F.col("ts").alias("updated_at")))
         .unionByName(pages.select(F.lit("evidence").alias("record_type"), F.concat(F.lit("evidence_"), "page_id").alias("record_id"), body("url").alias("body"), F.lit(None).cast("timestamp").alias("updated_at")))
     )
+
+
+def digests(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path, length, sha of whole files, as bytes."""
+    return spark.read.format("binaryFile").load(paths).select("path", "length", F.sha2("content", 256).alias("sha"))

@@ -111,6 +111,16 @@ def feature_values(shown: DataFrame, longest: int = 128) -> DataFrame:
     return shown.select("document_id", "field_id", F.when(may, value).alias("feature_value"))
 
 
+def export(shown: DataFrame, *, sources: list[str] | None = None, limit: int | None = None, longest: int = 128) -> DataFrame:
+    """document_id, field_id, feature_value of an export: of some sources only, and of the first `limit` documents by id."""
+    if limit is not None and limit < 0:
+        raise ValueError("a limit is not negative")
+    rows = shown if sources is None else shown.where(F.col("source_id").isin(*sources))
+    if limit is not None:
+        rows = rows.join(rows.select("document_id").distinct().orderBy("document_id").limit(limit), "document_id", "left_semi")
+    return feature_values(rows, longest)
+
+
 def term_hits(texts: DataFrame, text: str, cases: DataFrame, block: int = 500) -> DataFrame:
     """texts' rows with case_id, for each case whose term occurs in the text, as a substring of both lower-cased.
 

@@ -30,10 +30,14 @@ def progress(stream: DataFrame, window: str = "10 minutes", late: str = "1 hour"
 
 
 def _discover(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A record's first digest is its state: a repeat of it counts, another digest is a change."""
+    """A record's first digest is its state: a repeat of it counts, another digest is a change. A run that rests is forgotten."""
+    if state.hasTimedOut:
+        state.remove()
+        return
     digest, repeats = state.get if state.exists else (None, 0)
-    verdict = "duplicate"
+    verdict, last = "duplicate", 0
     for b in batches:
+        last = max(last, int(b["observed_at"].max().timestamp() * 1000))
         for payload in b["payload"]:
             if digest is None:
                 digest, verdict = payload, "new"
@@ -42,12 +46,22 @@ def _discover(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
             else:
                 verdict = "changed"
     state.update((digest, repeats))
+    # The watermark trails the latest observation; state lives this much longer than a record is seen.
+    state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + REST_MS)
     yield pd.DataFrame([(*key, verdict, repeats)], columns=["run_id", "record_id", "verdict", "repeats"])
 
 
-def discover(stream: DataFrame) -> DataFrame:
-    """run_id, record_id, verdict (new, duplicate, changed), repeats: conflicts that dropDuplicates can't see."""
-    return stream.groupBy("run_id", "record_id").applyInPandasWithState(_discover, "run_id string, record_id string, verdict string, repeats bigint", "digest string, repeats bigint", "update", GroupStateTimeout.NoTimeout)
+#: Event time after which a record that wasn't seen again is forgotten.
+REST_MS = 24 * 3600 * 1000
+
+
+def discover(stream: DataFrame, late: str = "1 hour") -> DataFrame:
+    """run_id, record_id, verdict (new, duplicate, changed), repeats: conflicts that dropDuplicates can't see.
+
+    State is kept for REST_MS of event time after a record was last seen, so it is bounded by what a day brings.
+    """
+    marked = stream.withWatermark("observed_at", late)
+    return marked.groupBy("run_id", "record_id").applyInPandasWithState(_discover, "run_id string, record_id string, verdict string, repeats bigint", "digest string, repeats bigint", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def verdicts(batch: DataFrame) -> DataFrame:

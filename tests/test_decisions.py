@@ -240,13 +240,17 @@ def test_text_queries_by_brute_force(spark, sf):
 def test_slots_by_brute_force(spark, sf):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     key = lambda i: hashlib.sha256(f"asset_{i}".encode()).hexdigest()
-    got = registry.QUERIES["compile_pilot_freeze"](spark, sf).collect()
+    whole = registry.QUERIES["compile_pilot_freeze"](spark, sf).collect()
+    got = [r for r in whole if r.section == "sample"]
+    pairs = lambda name: sorted((r.first, r.second) for r in whole if r.section == name)
+    assert pairs("linked") == sorted((r.first, r.second) for r in decisions.greedy_balanced_pairs(spark, sf).collect()) and pairs("control")
+    assert len({r.pilot_id for r in whole}) == len(whole)
     by = {}
     for i, r in docs.items():
         by.setdefault(r.lang, []).append(i)
     want = {i: place for ids in by.values() for place, i in enumerate(sorted(ids, key=lambda i: (key(i), f"asset_{i}"))[:30], 1)}
-    assert {r.doc_id: r.place for r in got} == want
-    assert all(r.page_slot == 1 + int(key(r.doc_id), 16) % max(1, docs[r.doc_id].n_chars // 500) for r in got)
+    assert {r.first: r.place for r in got} == want
+    assert all(r.page_slot == 1 + int(key(r.first), 16) % max(1, docs[r.first].n_chars // 500) for r in got)
     slots = registry.QUERIES["page_slot"](spark, sf)
     assert slots.count() == len(docs)
 

@@ -74,6 +74,15 @@ def test_long_feature_value_stops_the_export(spark):
         search.feature_values(df).collect()
 
 
+def test_exports_have_a_scope_and_a_limit(spark):
+    rows = [(f"d{i}", "s1" if i % 2 else "s2", f"f{i}{k}", "v", ["score_feature_value"]) for i in range(4) for k in range(2)]
+    df = spark.createDataFrame(rows, "document_id string, source_id string, field_id string, value string, allowed_operations array<string>")
+    assert sorted({r.document_id for r in search.export(df, sources=["s1"]).collect()}) == ["d1", "d3"]
+    assert sorted({r.document_id for r in search.export(df, limit=3).collect()}) == ["d0", "d1", "d2"] and search.export(df, limit=0).count() == 0
+    with pytest.raises(ValueError):
+        search.export(df, limit=-1)
+
+
 def test_text_functions(spark):
     df = spark.createDataFrame([("Straße  ΣΑΣ　x",)], "t string")
     r = df.select(text.casefold("t").alias("c"), text.collapse(F.col("t")).alias("w"), text.nfkc(F.lit("ﬁ")).alias("n"), text.snippet(F.lit("a" * 97)).alias("s")).first()

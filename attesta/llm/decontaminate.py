@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.llm.common import chunks, released, small_batches, table, text_buffer
@@ -143,9 +143,9 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, size: int, most_windows: int,
         yield docs.sparkSession.sparkContext.broadcast(WindowSet([tuple(r) for r in part.select("item_id", "text").collect()], size))
 
 
-def _key():
+def _key(text: Column | None = None) -> Column:
     """With doc_id, what tells rows apart when several blocks' hits are united; null text has no words, as empty text."""
-    return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    return F.sha2(F.coalesce((F.col("text") if text is None else text).cast("string"), F.lit("")), 256)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, most_windows: int = 2_000_000, most_bytes: int = 32 << 20, spans: bool = True) -> DataFrame:
@@ -214,7 +214,7 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, m
         return docs.mapInArrow(lambda b: _clean(b, shared[0]), docs.schema)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     dirty = _united(rows, shared).where(contaminated()).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_id")) & (_key() == F.col("_key")), "left_anti")
+    return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["_id"]) & (_key(docs["text"]) == dirty["_key"]), "left_anti")
 
 
 @released

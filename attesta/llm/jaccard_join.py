@@ -362,7 +362,7 @@ def _joined(
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents that open their class (the least doc_id), all columns as they were; a null doc_id stays."""
     gone = _joined(docs, **options).where("doc_id <> class_id or tk <> class_tk").select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
-    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_tk"))
+    same = (docs["doc_id"] == gone["_id"]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == gone["_tk"])
     return docs.join(gone, same, "left_anti")
 
 

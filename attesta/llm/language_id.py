@@ -301,7 +301,9 @@ def _known(batches: Iterator[pa.RecordBatch], samples: dict[str, str], languages
         texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
         found = _by_parts(model, texts)
         keep = [
-            lang != UNDETERMINED and (languages is None or lang in languages) and score >= least_score and (rate <= most_rate or len(text) < least_chars)
+            bool(text) and any(map(str.isalpha, text))
+            if not samples
+            else lang != UNDETERMINED and (languages is None or lang in languages) and score >= least_score and (rate <= most_rate or len(text) < least_chars)
             for text, (lang, score, rate) in zip(texts, found, strict=True)
         ]
         yield batch.filter(pa.array(keep, pa.bool_()))
@@ -319,7 +321,8 @@ def keep_known(docs: DataFrame, samples: dict[str, str], *, languages: set[str]
 
     A prediction outside `languages` (where given), one with a score under `least_score`, and a text
     of `least_chars` characters or more that even its best language parses into more than `most_rate`
-    phrases a character are rejected: the last are texts that no learned language explains.
+    phrases a character are rejected: the last are texts that no learned language explains. Where no
+    language was learned, only texts without a letter are rejected.
     """
     small_batches(docs.sparkSession)
     wanted = None if languages is None else frozenset(languages)

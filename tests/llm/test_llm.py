@@ -200,6 +200,8 @@ def test_decontaminate_is_alike_at_every_size(spark):
     assert [(i, w, h, len(x)) for i, w, h, x, _ in flat(one)] == want
     kept = [sorted(map(repr, decontaminate.remove_documents(frame(spark, rows, extra=False), bench, most_windows=m).collect())) for m in (2_000_000, 900)]
     assert kept[0] == kept[1]
+    wide = frame(spark, rows, extra=False).withColumns({c: F.lit("clash") for c in ("_id", "_key", "key", "times", "n_hit")})
+    assert decontaminate.remove_documents(wide, bench, most_windows=900).count() == len(kept[0])
     assert len(kept[0]) == sum(not decontaminate.brute_force([(d, t)], items)[d][4] for d, t in rows)
 
 
@@ -453,6 +455,7 @@ def test_language_rejects(spark):
     assert language_id.keep_known(frame(spark, [(1, "x"), (2, "qx")], extra=False), samples).count() == 2
     assert kept() == [-1, 1, 2] and kept(most_rate=1.0) == [-1, 1, 2, 3]
     assert kept(languages={"fr"}) == [2] and kept(least_score=1.1) == []
+    assert language_id.keep_known(df, {}).count() == 4
 
 
 def test_language(spark):

@@ -27,7 +27,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     rows of one doc_id stay together.
     """
     gone = exact_dedup.exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("_sha"))
+    same = docs["doc_id"].eqNullSafe(gone["_id"]) & (F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256) == gone["_sha"])
     return docs.join(gone, same, "left_anti").select(docs.columns)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.operators import policy
+from attesta.operators import lineage, policy
 
 # What each operation asks of its source, and what counts as an affirmative decision.
 REQUIREMENTS = {
@@ -74,16 +74,20 @@ def compile_matrix(assets: DataFrame, operations: DataFrame, decisions: DataFram
     operations: (doc_id, operation); source_operations: (subject, operation, reasons, eligible) of the
     layers. An asset that lacks a layer has no authority; an operation without a decision has one reason.
     """
-    # Of each asset the reasons of its layers: a few dozen labels at the most.
-    failing = source_operations.where(~F.col("eligible")).select("subject", F.explode("reasons").alias("reason"), F.col("operation").alias("source_operation"))
-    told = covering.join(failing, "subject").groupBy("doc_id").agg(F.collect_set(F.struct("source_operation", "reason")).alias("told"))
+    lineage.checkpoints(assets.sparkSession)
+    # Of each layer its failing operations: twelve at the most, with a handful of reasons each. Written
+    # out, so that Spark can split the assets of a layer that very many have.
+    failing = source_operations.where(~F.col("eligible")).groupBy("subject").agg(F.collect_list(F.struct(F.col("operation").alias("source_operation"), "reasons")).alias("failing")).checkpoint()
+    told = covering.join(failing, "subject", "left").groupBy("doc_id").agg(F.count_distinct("level").alias("levels"), F.flatten(F.collect_list("failing")).alias("told"))
     d = decisions.select("doc_id", "operation", *(F.col(c).alias(f"d_{c}") for c in decisions.columns if c not in ("doc_id", "operation")))
-    rows = operations.select("doc_id", "operation").join(d, ["doc_id", "operation"], "left").join(assets, "doc_id").join(missing_layers(assets, covering), "doc_id").join(told, "doc_id", "left")
+    of = assets.join(told, "doc_id", "left")
+    rows = operations.select("doc_id", "operation").join(d, ["doc_id", "operation"], "left").join(of, "doc_id")
     approved, own = decision_reasons(t)
-    none = F.array().cast("array<struct<source_operation:string,reason:string>>")
+    none = F.array().cast("array<struct<source_operation:string,reasons:array<string>>>")
     needed = requirements(F.col("operation"), F.col("asset_kind"))
-    from_layers = F.transform(F.filter(F.coalesce("told", none), lambda x: F.array_contains(needed, x.source_operation)), lambda x: F.concat_ws(":", F.lit("source"), x.source_operation, x.reason))
-    reasons = F.when(~F.col("complete"), F.array(F.lit("authority:layer_missing"))).when(F.col("d_state").isNull(), F.array(F.lit("decision:missing"))).otherwise(F.array_sort(F.array_distinct(F.concat(own, from_layers))))
+    asked = F.filter(F.coalesce("told", none), lambda x: F.array_contains(needed, x.source_operation))
+    from_layers = F.flatten(F.transform(asked, lambda x: F.transform(x.reasons, lambda r: F.concat_ws(":", F.lit("source"), x.source_operation, r))))
+    reasons = F.when(~F.coalesce(F.col("levels") == 3, F.lit(False)), F.array(F.lit("authority:layer_missing"))).when(F.col("d_state").isNull(), F.array(F.lit("decision:missing"))).otherwise(F.array_sort(F.array_distinct(F.concat(own, from_layers))))
     state = F.when(F.col("d_state").isNull(), "pending").when(F.col("d_basis") == "public_visibility", "blocked").when((F.col("d_state") == "approved") & (~approved | (F.col("d_decided_day") >= F.col("d_expires_day"))), "pending").otherwise(F.col("d_state"))
     out = rows.select("doc_id", "operation", state.alias("state"), reasons.alias("reasons"), "facts_sha")
     return out.withColumn("eligible", (F.col("state") == "approved") & (F.size("reasons") == 0))

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from attesta.functions import times
 from attesta.operators import lineage, policy, selection
 from attesta.plans.catalog import query
 from attesta.plans.search import now
 from attesta.sources import records
 from attesta.sources.records import CTES
-from attesta.sources.tables import table
 
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from attesta.functions import text, times
-from attesta.operators import policy, relate, selection
+from attesta.functions import text
+from attesta.operators import relate, selection
 from attesta.plans.catalog import query
 from attesta.plans.search import granted, now
 from attesta.sources import records
-from attesta.sources.records import CTES, NOW
+from attesta.sources.records import CTES
 from attesta.sources.tables import table
 
 

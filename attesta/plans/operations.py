@@ -132,7 +132,7 @@ def route_attempt(spark, d):
     return vm.join(lap, "attempt", "left").select("attempt", action.alias("action"))
 
 
-@query("inventory_verdict", PAGED.replace("run_page AS (", "run_page AS (", 1) + """, declared AS (SELECT run, CASE WHEN run % 5 = 0 THEN NULL WHEN run % 7 = 2 THEN count(DISTINCT record) + 2 ELSE count(DISTINCT record) END AS total FROM run_page GROUP BY 1)
+@query("inventory_verdict", PAGED + """, declared AS (SELECT run, CASE WHEN run % 5 = 0 THEN NULL WHEN run % 7 = 2 THEN count(DISTINCT record) + 2 ELSE count(DISTINCT record) END AS total FROM run_page GROUP BY 1)
   SELECT run, CASE WHEN reason IN ('page_bound', 'record_bound') THEN 'bounded_partial' WHEN reason <> 'terminal_page' THEN 'blocked' WHEN total IS NULL OR total <> uniq THEN 'blocked' ELSE 'complete' END AS verdict, CASE WHEN reason <> 'terminal_page' THEN reason WHEN total IS NULL THEN 'declared_total_missing' WHEN total <> uniq THEN 'declared_total_mismatch' ELSE 'terminal_page' END AS reason FROM verdict JOIN declared USING (run)""")
 def inventory_verdict(spark, d):
     """Runs whose last page was reached against the total that the endpoint declares: the one isn't the other."""

@@ -108,8 +108,11 @@ def result_facts(headers: DataFrame, elements: DataFrame) -> DataFrame:
 
 
 def span_breaks(elements: DataFrame, headers: DataFrame) -> DataFrame:
-    """result, idx, broken: segments that begin before the one before ends, don't advance, or leave the media."""
-    order = Window.partitionBy("result").orderBy("idx")
+    """result, idx, broken: segments that begin before the one before ends, don't advance, or leave the media.
+
+    Segments of the same idx stand in the order of time, so that the outcome is one, however rows come in.
+    """
+    order = Window.partitionBy("result").orderBy("idx", "start_ms", "end_ms")
     rows = elements.select("result", "idx", "start_ms", "end_ms").withColumn("before", F.coalesce(F.lag("end_ms").over(order), F.lit(0))).withColumn("nth", F.row_number().over(order) - 1)
     rows = rows.join(headers.select("result", "duration_ms"), "result", "left")
     c = F.col

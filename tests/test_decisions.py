@@ -50,6 +50,14 @@ def test_versions_compare_as_numbers(spark):
     assert tuple(r) == (True, True, True)
 
 
+def test_segments_of_one_index_stand_in_the_order_of_time(spark):
+    rows = [(7, 0, 0, 900), (7, 2, 2000, 2900), (7, 2, 1000, 1900), (7, 3, 3000, 3900)]
+    headers = frame(spark, [(7, 4000)], "result long, duration_ms long")
+    for given in (rows, rows[::-1]):
+        got = media.span_breaks(frame(spark, given, "result long, idx int, start_ms long, end_ms long").coalesce(1), headers)
+        assert [tuple(r) for r in got.collect()] == [(7, 2, "not_contiguous")]
+
+
 # --- lineage ---
 
 

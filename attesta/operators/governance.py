@@ -116,16 +116,21 @@ def native_operation(contributions: DataFrame, records: DataFrame, operation: st
 
     contributions carry the snapshot that was taken when they came in; a stale one is a reason of its own.
     """
-    rows = contributions.join(records, contributions.consent_id == records.c_consent_id, "left")
     c = F.col
     rank = lambda x: policy.ranked(x, CONFIDENTIALITY)
     open_ = (F.lit(audience == "public") & (c("confidentiality") == "public")) if operation == "public_retrieval" else F.lit(True)
+    # What a contribution says by itself is said before the join, so that no label is moved.
+    rows = contributions.select(
+        "contribution_id", "k", "subject", "consent_id", "purpose_code", "notice_version", "consent_state", "retention_expires_day", "withdrawal_state", "deletion_state",
+        F.array_contains("allowed_uses", operation).alias("used"), F.array_contains("allowed_audiences", audience).alias("heard"), policy.closed(open_).alias("open"), rank(c("confidentiality")).alias("rank"),
+    )
+    rows = rows.join(records, c("consent_id") == c("c_consent_id"), "left")
     reasons = _listed([
-        _state("consent", c("c_state"), "active"), _unless(c("consent_state") == c("c_state"), "consent:snapshot_stale"), _unless(F.array_contains("c_allowed_uses", operation), "consent:use_not_allowed"), _unless(F.array_contains("allowed_uses", operation), "contribution:use_not_allowed"),
-        _unless(F.array_contains("c_allowed_viewer_roles", audience), "consent:audience_not_allowed"), _unless(F.array_contains("allowed_audiences", audience), "audience:not_allowed"), _unless(open_, "confidentiality:not_public"),
+        _state("consent", c("c_state"), "active"), _unless(c("consent_state") == c("c_state"), "consent:snapshot_stale"), _unless(F.array_contains("c_allowed_uses", operation), "consent:use_not_allowed"), _unless(c("used"), "contribution:use_not_allowed"),
+        _unless(F.array_contains("c_allowed_viewer_roles", audience), "consent:audience_not_allowed"), _unless(c("heard"), "audience:not_allowed"), _unless(c("open"), "confidentiality:not_public"),
         F.when(F.coalesce("c_redaction_required", F.lit(True)) & F.lit(not redacted), F.lit("redaction:required")), _unless(c("c_decided_day") <= t, "consent:not_yet_effective"), _unless(t < c("c_expires_day"), "consent:expired"),
         _state("retention", c("r_state"), "retain_until"), _unless(t < c("r_expires_day"), "retention:expired"), _unless(c("retention_expires_day") <= c("r_expires_day"), "retention:authority_shortened"), _unless(t < c("retention_expires_day"), "contribution_retention:expired"),
-        _unless(rank(c("confidentiality")) >= rank(c("c_confidentiality")), "confidentiality:authority_stricter"), _state("deletion", c("d_trigger_state"), "none"), _state("deletion_status", c("d_status"), "not_requested"),
+        _unless(c("rank") >= rank(c("c_confidentiality")), "confidentiality:authority_stricter"), _state("deletion", c("d_trigger_state"), "none"), _state("deletion_status", c("d_status"), "not_requested"),
         _state("withdrawal", c("withdrawal_state"), "current"), _state("contribution_deletion", c("deletion_state"), "active"),
     ])
     bound = policy.closed(c("linked") & (c("purpose_code") == c("c_purpose_code")) & (c("notice_version") == c("c_notice_version")) & (c("subject") == c("c_subject")))
@@ -137,26 +142,27 @@ def inherited(inputs: DataFrame, key: str) -> DataFrame:
     """key, consents (union), uses and audiences (in all inputs), confidentiality (the strictest), retention_day (the least), purposes, purpose.
 
     inputs: (key, consents, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
-    purpose_code), arrays without repeats. Labels are few; what all inputs share is counted, so that
-    no group is gathered row by row.
+    purpose_code), arrays without repeats. Labels are few, and so are the sets of them; what all
+    inputs share is in each set, so that one shuffle says it and no group is gathered row by row.
     """
-    n = inputs.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("consents")))).alias("consents"), F.max(policy.ranked(F.col("confidentiality"), CONFIDENTIALITY)).alias("strictest"),
-        F.min("retention_expires_day").alias("retention_day"), F.count_distinct("purpose_code").alias("purposes"), F.min("purpose_code").alias("purpose"),
+    n = F.count(F.lit(1))
+
+    def shared(labels: str) -> Column:
+        sets = F.collect_set(F.array_sort(labels))
+        common = F.array_sort(F.array_compact(F.aggregate(sets, F.element_at(sets, 1), F.array_intersect)))
+        # An input without labels shares none.
+        return F.when(F.count(labels) == n, common).otherwise(F.array().cast("array<string>"))
+
+    purposes = F.collect_set("purpose_code")
+    level = F.element_at(F.array(*map(F.lit, CONFIDENTIALITY)), F.greatest(F.max(policy.ranked(F.col("confidentiality"), CONFIDENTIALITY)), F.lit(1)).cast("int"))
+    return inputs.groupBy(key).agg(
+        n.alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("consents")))).alias("consents"), shared("allowed_uses").alias("uses"), shared("allowed_audiences").alias("audiences"), level.alias("confidentiality"),
+        F.min("retention_expires_day").alias("retention_day"), F.size(purposes).cast("long").alias("purposes"), F.array_min(purposes).alias("purpose"),
     )
 
-    def shared(labels: str, name: str) -> DataFrame:
-        each = inputs.select(key, F.explode(labels).alias("label")).groupBy(key, "label").agg(F.count(F.lit(1)).alias("m"))
-        return each.join(n.select(key, "n"), key).where("m = n").groupBy(key).agg(F.array_sort(F.collect_list("label")).alias(name))
-
-    out = n.join(shared("allowed_uses", "uses"), key, "left").join(shared("allowed_audiences", "audiences"), key, "left")
-    level = F.element_at(F.array(*map(F.lit, CONFIDENTIALITY)), F.greatest("strictest", F.lit(1)).cast("int"))
-    none = F.array().cast("array<string>")
-    return out.select(key, "n", "consents", F.coalesce("uses", none).alias("uses"), F.coalesce("audiences", none).alias("audiences"), level.alias("confidentiality"), "retention_day", "purposes", "purpose")
-
 
 def drift(derived: DataFrame, inputs: DataFrame, operation: str, audience: str, t: Column) -> DataFrame:
-    """node, reason: where a derived record isn't what its inputs give, or may not be used itself.
+    """node, reasons: where a derived record isn't what its inputs give, or may not be used itself.
 
     derived: (node, consents, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
     purpose_code, withdrawal_state, deletion_state); inputs: the records of each node's inputs, keyed by node.
@@ -172,10 +178,15 @@ def drift(derived: DataFrame, inputs: DataFrame, operation: str, audience: str,
         _unless(F.lit(operation != "public_retrieval") | (F.lit(audience == "public") & (c("confidentiality") == "public")), "confidentiality_not_public"),
         _unless(t < c("retention_expires_day"), "retention_expired"), _unless(c("withdrawal_state") == "current", "withdrawn"), _unless(c("deletion_state") == "active", "deletion_pending"),
     ])
-    return rows.select("node", F.explode(reasons).alias("reason"))
+    return rows.select("node", reasons.alias("reasons"))
 
 
-def graph_reasons(own: DataFrame, edges: DataFrame, reach) -> DataFrame:
-    """node, reason: each node's own reasons and those of everything that it rests on, named input:<id>:<reason>."""
-    named = own.select("node", F.concat_ws(":", F.lit("input"), "node", "reason").alias("reason"))
-    return reach(edges, named)
+def graph_reasons(own: DataFrame, edges: DataFrame, gathered) -> DataFrame:
+    """node, reasons: each node's own reasons (node, reasons) and those of everything that it rests on, named input:<id>:<reason>.
+
+    The reasons of a row travel as one text.
+    """
+    named = F.transform("reasons", lambda r: F.concat_ws(":", F.lit("input"), "node", r))
+    found = gathered(own.where(F.size("reasons") > 0).select("node", F.to_json(named).alias("item")), edges)
+    each = F.transform("items", lambda i: F.from_json(i, "array<string>"))
+    return found.select("node", F.array_distinct(F.flatten(each)).alias("reasons"))

@@ -56,6 +56,50 @@ def reach(edges: DataFrame, start: DataFrame, most_rounds: int = 1000) -> DataFr
     raise RuntimeError("lineage is deeper than the bound")
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df, computed once into the checkpoint folder, by columns: texts that repeat take a fraction of a checkpoint's rows."""
+    checkpoints(df.sparkSession)
+    at = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def depth(edges: DataFrame, most_rounds: int) -> int | None:
+    """Edges of the longest path; None if it is longer than most_rounds, as on a cycle."""
+    left = edges.select("node", "input").where("node is not null and input is not null")
+    for r in range(most_rounds + 1):
+        if left.isEmpty():
+            return r
+        left = kept(left.join(left.select(F.col("node").alias("input")).distinct(), "input", "left_semi").select("node", "input"))
+    return None
+
+
+def gathered(own: DataFrame, edges: DataFrame, most_rounds: int = 8) -> DataFrame:
+    """(node, items): the distinct items of each node and of all that it rests on; nodes without any are left out.
+
+    own: (node, item), read more than once; edges: (node, input). A round hands the items of each
+    node on as one row for each edge, and nothing is written but its shuffle; the ids alone hold the
+    rounds together. Deeper lineage than most_rounds, and a cycle, are swept by `reach`.
+    """
+    own = own.where("item is not null")
+    rounds = depth(edges, most_rounds)
+    if rounds is None:
+        return reach(edges, own).groupBy("node").agg(F.collect_set("item").alias("items"))
+    e = edges.select(F.col("node").alias("_to"), F.col("input").alias("_from")).where("_to is not null and _from is not null")
+    known = own.where("node is not null")
+    # Dealt as they are: lists that were begun before the shuffle would make it larger.
+    step = known.repartition("node").groupBy("node").agg(F.collect_set("item").alias("items"))
+    out = known.select("node").union(e.select("_to")).distinct()
+    for r in range(rounds + 1):
+        out = out.join(step.select("node", F.col("items").alias(f"_{r}")), "node", "left")
+        moved = step.join(e, F.col("node") == F.col("_from")).select(F.col("_to").alias("node"), "items").repartition("node")
+        step = moved.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    none = F.array().cast("array<string>")
+    items = F.array_distinct(F.concat(*(F.coalesce(f"_{r}", none) for r in range(rounds + 1))))
+    nameless = own.where("node is null").groupBy("node").agg(F.collect_set("item").alias("items"))
+    return out.select("node", items.alias("items")).where(F.size("items") > 0).unionByName(nameless)
+
+
 def cyclic(edges: DataFrame, most_rounds: int = 1000) -> DataFrame:
     """Nodes on a cycle, or that rest on one; none in sound lineage.
 

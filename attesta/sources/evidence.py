@@ -29,11 +29,12 @@ def _needs(name: str) -> list[str]:
     return [*out, name]
 
 
-def family(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """The rows of a family over the tables of a folder."""
+def family(spark: SparkSession, d: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The rows of a family over the tables of a folder; families that are given aren't computed anew."""
+    given = given or {}
     # Curly brackets that are doubled stand for themselves, in both dialects.
     text = FAMILIES[name].replace("EACH(", "explode(")
-    return spark.sql(text, **{n: family(spark, d, n) if n in FAMILIES else table(spark, d, n) for n in _NAME.findall(text)})
+    return spark.sql(text, **{n: given[n] if n in given else family(spark, d, n, given) if n in FAMILIES else table(spark, d, n) for n in _NAME.findall(text)})
 
 
 def ctes(*names: str) -> str:

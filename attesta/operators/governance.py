@@ -10,6 +10,13 @@ from attesta.operators import policy
 # Confidentiality from open to closed.
 CONFIDENTIALITY = ("public", "internal", "restricted")
 
+# What `native_operation` says, with the states that are usual: one bit each, where reasons are moved. At most 63.
+USUAL = (
+    "records:not_bound", "consent:pending", "consent:revoked", "consent:expired", "consent:missing", "consent:snapshot_stale", "consent:use_not_allowed", "consent:audience_not_allowed", "consent:not_yet_effective", "contribution:use_not_allowed",
+    "audience:not_allowed", "confidentiality:not_public", "confidentiality:authority_stricter", "redaction:required", "retention:review", "retention:missing", "retention:expired", "retention:authority_shortened", "contribution_retention:expired",
+    "deletion:consent_revoked", "deletion:consent_expired", "deletion:retention_expired", "deletion:missing", "deletion_status:pending", "deletion_status:missing", "withdrawal:withdrawn", "withdrawal:missing", "contribution_deletion:scheduled", "contribution_deletion:missing",
+)
+
 
 def sole(rows: DataFrame, keys: list[str], *columns: str) -> DataFrame:
     """keys, n, and the columns of the one row of each key where there is just one; extremes say it without a sort."""
@@ -112,7 +119,7 @@ def withdraw(records: DataFrame, new_state: str, t: Column) -> DataFrame:
 
 
 def native_operation(contributions: DataFrame, records: DataFrame, operation: str, audience: str, t: Column, *, redacted: bool = False) -> DataFrame:
-    """contribution_id, reasons, eligible: a contribution against its subject's current consent, retention and deletion.
+    """contribution_id, k, subject, reasons, eligible: a contribution against its subject's current consent, retention and deletion.
 
     contributions carry the snapshot that was taken when they came in; a stale one is a reason of its own.
     """
@@ -135,13 +142,27 @@ def native_operation(contributions: DataFrame, records: DataFrame, operation: st
     ])
     bound = policy.closed(c("linked") & (c("purpose_code") == c("c_purpose_code")) & (c("notice_version") == c("c_notice_version")) & (c("subject") == c("c_subject")))
     reasons = F.when(bound, reasons).otherwise(F.array(F.lit("records:not_bound")))
-    return rows.select("contribution_id", "k", reasons.alias("reasons")).withColumn("eligible", F.size("reasons") == 0)
+    return rows.select("contribution_id", "k", "subject", reasons.alias("reasons")).withColumn("eligible", F.size("reasons") == 0)
 
 
-def inherited(inputs: DataFrame, key: str) -> DataFrame:
-    """key, consents (union), uses and audiences (in all inputs), confidentiality (the strictest), retention_day (the least), purposes, purpose.
+def packed(reasons: Column, usual: tuple[str, ...] = USUAL) -> tuple[Column, Column]:
+    """A set of reasons as bits of a whole number for those that are usual, and the others as texts, null where there are none."""
+    bit = F.create_map(*(F.lit(x) for i, r in enumerate(usual) for x in (r, 1 << i)))
+    bits = F.aggregate(reasons, F.lit(0).cast("long"), lambda a, r: a.bitwiseOR(F.coalesce(F.element_at(bit, r).cast("long"), F.lit(0).cast("long"))))
+    rest = F.filter(reasons, lambda r: ~F.array_contains(F.array(*map(F.lit, usual)), r))
+    return bits, F.when(F.size(rest) > 0, rest)
+
+
+def unpacked(bits: Column, rest: Column, usual: tuple[str, ...] = USUAL) -> Column:
+    """The reasons that `packed` was given, in no order."""
+    said = F.filter(F.array(*map(F.lit, usual)), lambda _, i: F.call_function("shiftright", bits, i).bitwiseAND(F.lit(1)) == 1)
+    return F.concat(said, F.coalesce(rest, F.array().cast("array<string>")))
 
-    inputs: (key, consents, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
+
+def inheritance() -> dict[str, Column]:
+    """n, consents (union), uses and audiences (in all inputs), confidentiality (the strictest), retention_day (the least), purposes, purpose: aggregates of a group of inputs.
+
+    inputs: (consents, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
     purpose_code), arrays without repeats. Labels are few, and so are the sets of them; what all
     inputs share is in each set, so that one shuffle says it and no group is gathered row by row.
     """
@@ -155,30 +176,42 @@ def inherited(inputs: DataFrame, key: str) -> DataFrame:
 
     purposes = F.collect_set("purpose_code")
     level = F.element_at(F.array(*map(F.lit, CONFIDENTIALITY)), F.greatest(F.max(policy.ranked(F.col("confidentiality"), CONFIDENTIALITY)), F.lit(1)).cast("int"))
-    return inputs.groupBy(key).agg(
-        n.alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("consents")))).alias("consents"), shared("allowed_uses").alias("uses"), shared("allowed_audiences").alias("audiences"), level.alias("confidentiality"),
-        F.min("retention_expires_day").alias("retention_day"), F.size(purposes).cast("long").alias("purposes"), F.array_min(purposes).alias("purpose"),
-    )
+    return {
+        "n": n, "consents": F.array_sort(F.array_distinct(F.flatten(F.collect_set("consents")))), "uses": shared("allowed_uses"), "audiences": shared("allowed_audiences"), "confidentiality": level,
+        "retention_day": F.min("retention_expires_day"), "purposes": F.size(purposes).cast("long"), "purpose": F.array_min(purposes),
+    }
 
 
-def drift(derived: DataFrame, inputs: DataFrame, operation: str, audience: str, t: Column) -> DataFrame:
-    """node, reasons: where a derived record isn't what its inputs give, or may not be used itself.
+def inherited(inputs: DataFrame, key: str) -> DataFrame:
+    """key, and what its inputs give, see `inheritance`."""
+    return inputs.groupBy(key).agg(*(c.alias(name) for name, c in inheritance().items()))
 
-    derived: (node, consents, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
-    purpose_code, withdrawal_state, deletion_state); inputs: the records of each node's inputs, keyed by node.
-    """
-    want = inherited(inputs, "node").select("node", *(F.col(c).alias(f"w_{c}") for c in ("consents", "uses", "audiences", "confidentiality", "retention_day", "purposes", "purpose")))
-    rows = derived.join(want, "node", "left")
+
+def drift_reasons(operation: str, audience: str, t: Column) -> Column:
+    """What `drift` says of a derived record beside what its inputs give, the columns of `inheritance` as w_<name>."""
     c = F.col
     sorted_ = lambda x: F.array_sort(c(x))
-    reasons = _listed([
+    return _listed([
         _unless((c("w_purposes") == 1) & (c("purpose_code") == c("w_purpose")), "purpose_drift"), _unless(sorted_("consents") == c("w_consents"), "consent_lineage_drift"), _unless(sorted_("allowed_uses") == c("w_uses"), "use_inheritance_drift"),
         _unless(sorted_("allowed_audiences") == c("w_audiences"), "audience_inheritance_drift"), _unless(c("confidentiality") == c("w_confidentiality"), "confidentiality_drift"), _unless(c("retention_expires_day") == c("w_retention_day"), "retention_drift"),
         _unless(F.array_contains("allowed_uses", operation), "use_not_allowed"), _unless(F.array_contains("allowed_audiences", audience), "audience_not_allowed"),
         _unless(F.lit(operation != "public_retrieval") | (F.lit(audience == "public") & (c("confidentiality") == "public")), "confidentiality_not_public"),
         _unless(t < c("retention_expires_day"), "retention_expired"), _unless(c("withdrawal_state") == "current", "withdrawn"), _unless(c("deletion_state") == "active", "deletion_pending"),
     ])
-    return rows.select("node", reasons.alias("reasons"))
+
+
+def drift(derived: DataFrame, inputs: DataFrame, operation: str, audience: str, t: Column) -> DataFrame:
+    """node, reasons: where a derived record isn't what its inputs give, or may not be used itself.
+
+    derived: (node, consents, allowed_uses, allowed_audiences, confidentiality, retention_expires_day,
+    purpose_code, withdrawal_state, deletion_state); inputs: the records of each node's inputs, keyed by node.
+    """
+    want = inherited(inputs, "node").select("node", *(F.col(c).alias(f"w_{c}") for c in ("consents", "uses", "audiences", "confidentiality", "retention_day", "purposes", "purpose")))
+    return derived.join(want, "node", "left").select("node", drift_reasons(operation, audience, t).alias("reasons"))
+
+
+def _named(record: Column) -> Column:
+    return F.transform(record.reasons, lambda r: F.concat_ws(":", F.lit("input"), record.node, r))
 
 
 def graph_reasons(own: DataFrame, edges: DataFrame, gathered) -> DataFrame:
@@ -186,7 +219,19 @@ def graph_reasons(own: DataFrame, edges: DataFrame, gathered) -> DataFrame:
 
     The reasons of a row travel as one text.
     """
-    named = F.transform("reasons", lambda r: F.concat_ws(":", F.lit("input"), "node", r))
+    named = _named(F.struct("node", "reasons"))
     found = gathered(own.where(F.size("reasons") > 0).select("node", F.to_json(named).alias("item")), edges)
     each = F.transform("items", lambda i: F.from_json(i, "array<string>"))
     return found.select("node", F.array_distinct(F.flatten(each)).alias("reasons"))
+
+
+def layer_reasons(record: Column, layers: int) -> Column:
+    """array of (node, reasons): what `graph_reasons` says of a record and of each of those below it, where no record is below two.
+
+    record: struct (node, reasons, below), below being an array of such records, of so many layers;
+    those of the last have no `below`.
+    """
+    beneath = lambda r, left, f: F.flatten(F.transform(r.below, lambda b: f(b, left - 1)))
+    held = lambda r, left: F.concat(_named(r), beneath(r, left, held)) if left else _named(r)
+    one = F.array(F.struct(record.node.alias("node"), F.array_distinct(held(record, layers)).alias("reasons")))
+    return F.concat(one, beneath(record, layers, layer_reasons)) if layers else one

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from attesta.sources.tables import table
 
@@ -29,14 +30,21 @@ def _needs(name: str) -> list[str]:
     return [*out, name]
 
 
-def family(spark: SparkSession, d: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The rows of a family over the tables of a folder; families that are given aren't computed anew."""
+def family(spark: SparkSession, d: str, name: str, given: dict[str, DataFrame] | None = None, also: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of a family over the tables of a folder; families and tables that are given aren't read or computed anew.
+
+    also: columns of what the family reads that stay on its rows, for a family of one SELECT.
+    """
     given = given or {}
     # Curly brackets that are doubled stand for themselves, in both dialects.
-    text = FAMILIES[name].replace("EACH(", "explode(")
+    text = _and(FAMILIES[name].replace("EACH(", "explode("), also)
     return spark.sql(text, **{n: given[n] if n in given else family(spark, d, n, given) if n in FAMILIES else table(spark, d, n) for n in _NAME.findall(text)})
 
 
+def _and(text: str, also: tuple[str, ...]) -> str:
+    return text.replace("SELECT ", f"SELECT {', '.join(also)}, ", 1) if also else text
+
+
 def ctes(*names: str) -> str:
     """WITH ... for DuckDB: the families and what they rest on."""
     order = list(dict.fromkeys(n for name in names for n in _needs(name)))
@@ -138,7 +146,16 @@ _define(
 )
 
 # Lineage of project-native material: contributions, what four of them give, and what three of those give.
-_INHERIT = """min({p}) AS purpose_code, max(CASE confidentiality WHEN 'public' THEN 1 WHEN 'internal' THEN 2 ELSE 3 END) AS strict, min(retention_expires_day) AS retention, min(CASE WHEN array_contains(allowed_uses, 'derived_processing') THEN 1 ELSE 0 END) AS d, min(CASE WHEN array_contains(allowed_audiences, 'researcher') THEN 1 ELSE 0 END) AS r""".replace("{p}", "purpose_code")
+_INHERITED = (
+    "min(purpose_code) AS purpose_code",
+    "max(CASE confidentiality WHEN 'public' THEN 1 WHEN 'internal' THEN 2 ELSE 3 END) AS strict",
+    "min(retention_expires_day) AS retention",
+    "min(CASE WHEN array_contains(allowed_uses, 'derived_processing') THEN 1 ELSE 0 END) AS d",
+    "min(CASE WHEN array_contains(allowed_audiences, 'researcher') THEN 1 ELSE 0 END) AS r",
+)
+_INHERIT = ", ".join(_INHERITED)
+#: A consent of a merged record, by that of a derived one.
+_CONSENT = "CASE WHEN m % 29 = 7 THEN 'consent_0' ELSE consent_id END"
 
 
 def _derived(level: str, j: str) -> str:
@@ -148,11 +165,23 @@ def _derived(level: str, j: str) -> str:
       CASE WHEN {j} % 31 = 4 THEN 'withdrawn' ELSE 'current' END AS withdrawal_state, CASE WHEN {j} % 37 = 6 THEN 'scheduled' ELSE 'active' END AS deletion_state"""
 
 
+def derived(rows: DataFrame, keys: list[str], *more: Column, also: tuple[str, ...] = ()) -> DataFrame:
+    """pn_derived by keys m, j from contributions, or pn_merged by key m from derived records, with further aggregates that stay.
+
+    rows: those of the layer below with `consents`, dealt by m. Each group is aggregated where it lies:
+    nothing is moved.
+    """
+    level, key = ("derived", "j") if "j" in keys else ("merged", "m")
+    out = rows.groupBy(*keys).agg(F.array_distinct(F.array_compact(F.flatten(F.collect_set("consents")))).alias("consents"), *map(F.expr, _INHERITED), *more)
+    consents = "array_sort(consents)" if level == "derived" else f"array_sort(array_distinct(transform(consents, consent_id -> {_CONSENT})))"
+    return rows.sparkSession.sql(_and(_derived(level, key), also) + " FROM {rows}", rows=out.withColumn("consents", F.expr(consents)))
+
+
 _define(
     pn_first=f"SELECT CAST(FLOOR(k / 4) AS BIGINT) AS j, array_sort(array_agg(DISTINCT consent_id)) AS consents, {_INHERIT} FROM {{pn_contribution}} GROUP BY CAST(FLOOR(k / 4) AS BIGINT)",
     pn_derived=_derived("derived", "j") + " FROM {pn_first}",
     pn_second_consent="SELECT CAST(FLOOR(j / 3) AS BIGINT) AS m, EACH(consents) AS consent_id FROM {pn_derived}",
-    pn_second_consents="SELECT m, array_sort(array_agg(DISTINCT CASE WHEN m % 29 = 7 THEN 'consent_0' ELSE consent_id END)) AS consents FROM {pn_second_consent} GROUP BY m",
+    pn_second_consents=f"SELECT m, array_sort(array_agg(DISTINCT {_CONSENT})) AS consents FROM {{pn_second_consent}} GROUP BY m",
     pn_second=f"SELECT CAST(FLOOR(j / 3) AS BIGINT) AS m2, {_INHERIT} FROM {{pn_derived}} GROUP BY CAST(FLOOR(j / 3) AS BIGINT)",
     pn_merged=_derived("merged", "m") + " FROM (SELECT s.*, c.m, c.consents FROM {pn_second} s JOIN {pn_second_consents} c ON s.m2 = c.m) t",
     pn_edge="SELECT CONCAT('derived_', CAST(FLOOR(k / 4) AS BIGINT)) AS node, contribution_id AS input FROM {pn_contribution} UNION ALL SELECT CONCAT('merged_', CAST(FLOOR(j / 3) AS BIGINT)), node FROM {pn_derived}",
